@@ -30,10 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recheck.functions.cells import cell_text, diff_expr, order_struct
+from recheck.session import guard
 
 
 @dataclass
@@ -42,6 +44,12 @@ class ReconcileResult:
     left_only: DataFrame   # row_id, key, reason ('no_key' | 'used_up')
     right_only: DataFrame  # row_id, key
     compared: list
+    cached: list
+
+    def release(self) -> None:
+        """Drop the intermediate keyed inputs kept for the branches (call once the outputs are written)."""
+        for df in self.cached:
+            df.unpersist()
 
 
 def _cmp_values(df: DataFrame, cols, mode: str, trim: bool) -> list[Column]:
@@ -81,6 +89,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
 
     ``cols`` are the compared columns (default: common columns minus key and row id); ``mode`` 'exact' or 'ci'.
     """
+    guard(left.sparkSession)
     right_row_id = right_row_id or row_id
     right_order_by = list(right_order_by) if right_order_by is not None else list(order_by)
     if cols is None:
@@ -98,8 +107,10 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     kl = L.groupBy("_k").agg(F.count(F.lit(1)).alias("_nl"))
     kr = R.groupBy("_k").agg(F.count(F.lit(1)).alias("_nr"))
     ks = kl.join(kr, "_k", "full_outer")
-    Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"])
-    Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"])
+    # The keyed, compact projections feed every branch below; keep them so each input is scanned and shuffled once
+    # (the branches' inferred filters differ, so Spark would not reuse the exchanges on its own).
+    Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).persist(StorageLevel.MEMORY_AND_DISK)
+    Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).persist(StorageLevel.MEMORY_AND_DISK)
 
     def exact_row(l_pre: str, r_pre: str) -> Column:
         """Whole-row equality that the 'not consumed' rule needs: equal cells and no NULL on the baseline row."""
@@ -147,12 +158,13 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
         ln1 = Lk.where((F.col("_nl") >= 2) & (F.col("_nr") == 1))
         rn1 = Rk.where((F.col("_nl") >= 2) & (F.col("_nr") == 1)).alias("r")
         if consume_exact:
-            first = ln1.groupBy("_k").agg(F.min(F.struct("_o", "_id")).alias("_f")).select("_k", "_f._id")
-            l_first = ln1.join(first, ["_k", "_id"], "left_semi").alias("l")
-            pn1 = l_first.join(rn1, F.col("l._k") == F.col("r._k")).select(
+            vc = [f"_c{i}" for i in range(C)]
+            first = ln1.groupBy("_k").agg(F.min(F.struct("_o", "_id", *vc)).alias("_f")).select(
+                "_k", "_f._id", *[F.col(f"_f.{c}").alias(c) for c in vc])
+            pn1 = first.alias("l").join(rn1, F.col("l._k") == F.col("r._k")).select(
                 F.col("l._id").alias("row_id"), F.col("l._k").alias("key"), F.col("r._id").alias("matched_id"),
                 F.col("r._id").alias("consumed_id"), diff_expr(lv, rv, cols, mode).alias("diff_columns"))
-            unmatched.append(ln1.join(first, ["_k", "_id"], "left_anti").select(
+            unmatched.append(ln1.join(first.select("_k", "_id"), ["_k", "_id"], "left_anti").select(
                 F.col("_id").alias("row_id"), F.col("_k").alias("key")))
         else:
             # Rows match until the first one that is not exactly equal consumes the baseline row.
@@ -194,7 +206,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     right_only = (Rk.where(F.col("_nl") == 0).select("_k", "_id")
                   .unionByName(Rk.where(F.col("_nl") > 0).select("_k", "_id").join(consumed, ["_k", "_id"], "left_anti"))
                   .select(F.col("_id").alias("row_id"), F.col("_k").alias("key")))
-    return ReconcileResult(pairs=pairs, left_only=left_only, right_only=right_only, compared=cols)
+    return ReconcileResult(pairs=pairs, left_only=left_only, right_only=right_only, compared=cols,
+                           cached=[Lk, Rk])
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -212,97 +225,133 @@ def _norm(v):
 
 
 class _KeyState:
-    """Baseline rows of one key, collapsed into value classes; availability is a prefix count per class."""
+    """Baseline rows of one key, collapsed into value classes; availability is a prefix count per class.
+
+    Because the consumed row is always the *last* available one of some class, each class's available rows stay a
+    prefix of its rows in baseline order: the class's first row (the matched id) never changes while it has rows.
+    Diff lists are bit masks over the compared columns, cached per distinct left value tuple. Keys with few value
+    classes are scanned in plain Python; larger ones use numpy vectors over the classes.
+    """
 
-    __slots__ = ("key", "C", "codes", "rows_cls", "rows_id", "rows_raw", "cls_index", "cls_codes", "cls_pos",
-                 "ready", "R", "k", "firstpos", "lastpos", "avail", "cache")
+    SMALL = 24
+
+    __slots__ = ("key", "C", "codes", "rows_id", "rows_raw", "cls_index", "cls_codes", "cls_pos", "ready", "n",
+                 "k", "firstpos", "lastpos", "avail", "cache", "big", "ok", "np_last", "N", "R", "np_first", "w")
 
     def __init__(self, key, C):
         self.key, self.C = key, C
         self.codes = [dict() for _ in range(C)]
-        self.rows_cls, self.rows_id, self.rows_raw = [], [], []
+        self.rows_id, self.rows_raw = [], []
         self.cls_index, self.cls_codes, self.cls_pos = {}, [], []
         self.ready = False
         self.cache = {}
 
-    def code_right(self, vals):
-        out = []
+    def add_right(self, rid, vals, raw):
+        t = []
         for d, v in zip(self.codes, vals):
             v = _norm(v)
             c = d.get(v)
             if c is None:
                 c = d[v] = len(d)
-            out.append(c)
-        return tuple(out)
-
-    def code_left(self, vals):
-        return tuple(d.get(_norm(v), -1) for d, v in zip(self.codes, vals))
-
-    def add_right(self, rid, vals, raw):
-        t = self.code_right(vals)
+            t.append(c)
+        t = tuple(t)
         ci = self.cls_index.get(t)
         if ci is None:
             ci = self.cls_index[t] = len(self.cls_codes)
             self.cls_codes.append(t)
             self.cls_pos.append([])
-        pos = len(self.rows_id)
-        self.cls_pos[ci].append(pos)
-        self.rows_cls.append(ci)
+        self.cls_pos[ci].append(len(self.rows_id))
         self.rows_id.append(rid)
         self.rows_raw.append(raw)
 
     def finish(self):
-        n = len(self.cls_codes)
-        self.R = np.array(self.cls_codes, dtype=np.int64).reshape(n, self.C)
-        self.k = np.array([len(p) for p in self.cls_pos], dtype=np.int64)
-        self.firstpos = np.array([p[0] for p in self.cls_pos], dtype=np.int64) if n else np.zeros(0, np.int64)
-        self.lastpos = np.array([p[-1] for p in self.cls_pos], dtype=np.int64) if n else np.zeros(0, np.int64)
-        self.avail = int(self.k.sum())
+        self.n = n = len(self.cls_codes)
+        self.N = len(self.rows_id) + 1
+        self.k = [len(p) for p in self.cls_pos]
+        self.firstpos = [p[0] for p in self.cls_pos]
+        self.lastpos = [p[-1] for p in self.cls_pos]
+        self.avail = len(self.rows_id)
+        self.big = n > self.SMALL
+        if self.big:
+            self.ok = np.ones(n, dtype=bool)
+            self.np_last = np.array(self.lastpos, dtype=np.int64)
+            self.np_first = np.array(self.firstpos, dtype=np.int64)
+            self.R = np.array(self.cls_codes, dtype=np.int64).reshape(n, self.C)
+            self.w = (np.left_shift(np.int64(1), np.arange(self.C, dtype=np.int64)) if self.C <= 62
+                      else np.array([1 << i for i in range(self.C)], dtype=object))
         self.ready = True
 
     def _take(self, ci):
         self.k[ci] -= 1
         self.avail -= 1
         kk = self.k[ci]
-        self.lastpos[ci] = self.cls_pos[ci][kk - 1] if kk > 0 else -1
+        last = self.cls_pos[ci][kk - 1] if kk > 0 else -1
+        self.lastpos[ci] = last
+        if self.big:
+            self.np_last[ci] = last
+            if kk == 0:
+                self.ok[ci] = False
         return self.rows_id[self.cls_pos[ci][kk]]
 
-    def match(self, vals, raw, consume_exact, null_code_rows):
-        """Returns (matched_id, consumed_id, diff_index_list) or None when no candidate is left."""
+    def _profile(self, t):
+        """Per class: diff mask and ordering score (diff count, then first row) against left tuple ``t``."""
+        N = self.N
+        if self.big:
+            d = self.R != np.asarray(t, dtype=np.int64)
+            masks = d.astype(np.int64 if self.C <= 62 else object) @ self.w
+            return masks, d.sum(axis=1) * N + self.np_first
+        masks, scores = [], []
+        for ci, codes in enumerate(self.cls_codes):
+            m = 0
+            s = 0
+            for i, (a, b) in enumerate(zip(codes, t)):
+                if a != b:
+                    m |= 1 << i
+                    s += 1
+            masks.append(m)
+            scores.append(s * N + self.firstpos[ci])
+        return masks, scores
+
+    def match(self, vals, raw, consume_exact):
+        """(matched_id, consumed_id or None, diff index list), or None when no candidate is left."""
         if not self.ready:
             self.finish()
         if self.avail == 0:
             return None
-        t = self.code_left(vals)
+        t = tuple(d.get(_norm(v), -1) for d, v in zip(self.codes, vals))
         ci = self.cls_index.get(t)
         if ci is not None and self.k[ci] > 0:
-            best, dmask = ci, None  # identical class: zero diffs, the only class with that (empty) diff list
-            same_cls = [ci]
+            # identical class: zero diffs, the only class with the empty diff list
+            best, c, m = ci, ci, 0
         else:
-            hit = self.cache.get(t)
-            if hit is None:
-                d = self.R != np.asarray(t, dtype=np.int64)
-                hit = self.cache[t] = (d, d.sum(axis=1))
-            d, dsize = hit
-            ok = self.k > 0
-            big = np.iinfo(np.int64).max
-            score = np.where(ok, dsize * (len(self.rows_id) + 1) + self.firstpos, big)
-            best = int(np.argmin(score))
-            dmask = d[best]
-            same = ok & (d == dmask).all(axis=1)
-            same_cls = np.nonzero(same)[0]
+            prof = self.cache.get(t)
+            if prof is None:
+                prof = self.cache[t] = self._profile(t)
+            masks, scores = prof
+            if self.big:
+                best = int(np.argmin(np.where(self.ok, scores, np.iinfo(np.int64).max)))
+                m = masks[best]
+                same = np.flatnonzero(self.ok & (masks == m))
+                c = int(same[0]) if len(same) == 1 else int(same[np.argmax(self.np_last[same])])
+                m = int(m)
+            else:
+                k = self.k
+                best, bs = -1, None
+                for j in range(self.n):
+                    if k[j] and (bs is None or scores[j] < bs):
+                        best, bs = j, scores[j]
+                m = masks[best]
+                c, cl = best, self.lastpos[best]
+                for j in range(self.n):
+                    if k[j] and masks[j] == m and self.lastpos[j] > cl:
+                        c, cl = j, self.lastpos[j]
         matched = self.rows_id[self.cls_pos[best][0]]
-        if len(same_cls) == 1:
-            c = int(same_cls[0])
-        else:
-            c = int(same_cls[np.argmax(self.lastpos[same_cls])])
-        diff = [] if dmask is None else np.nonzero(dmask)[0].tolist()
+        diff = [i for i in range(self.C) if (m >> i) & 1] if m else []
         if not consume_exact and self.avail == 1 and not diff:
             pos = self.cls_pos[c][self.k[c] - 1]
             rcodes = self.cls_codes[c]
             no_null = all(self.codes[i].get(_NULL, -2) != rcodes[i] for i in range(self.C))
-            exact = no_null and (raw is None or tuple(raw) == self.rows_raw[pos])
-            if exact:
+            if no_null and (raw is None or tuple(raw) == self.rows_raw[pos]):
                 return matched, None, diff
         return matched, self._take(c), diff
 
@@ -314,7 +363,10 @@ def _greedy_stream(gl: DataFrame, gr: DataFrame, cols, consume_exact: bool, raw:
     keep = ["_k", "_side", "_id"] + vcols + xcols
     both = (gr.withColumn("_side", F.lit(0)).select(*keep, "_o")
             .unionByName(gl.withColumn("_side", F.lit(1)).select(*keep, "_o")))
-    streamed = both.repartition("_k").sortWithinPartitions("_k", "_side", "_o").select(*keep)
+    # Shuffle on a computed hash of the key: no child partitioning can claim to satisfy it, so the exchange that
+    # brings both sides of a key into one task is never elided.
+    streamed = (both.withColumn("_p", F.xxhash64("_k")).repartition("_p")
+                .sortWithinPartitions("_k", "_side", "_o").select(*keep))
     schema = "_k string, _lid long, _mid long, _cid long, _d array<int>"
 
     def run(batches):
@@ -335,7 +387,7 @@ def _greedy_stream(gl: DataFrame, gr: DataFrame, cols, consume_exact: bool, raw:
                 if side[j] == 0:
                     st.add_right(int(ids[j]), row, rw)
                     continue
-                m = st.match(row, rw, consume_exact, None)
+                m = st.match(row, rw, consume_exact)
                 ok_.append(k)
                 ol.append(int(ids[j]))
                 if m is None:

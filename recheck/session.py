@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Correctness guard. With Spark 4.1's default ``unionOutputPartitioning=true`` a Union of key-partitioned children
+# reports that partitioning, a later repartition on the key is dropped, and under AQE the children are coalesced
+# differently -- rows of one key then land in different tasks. Observed here as a wrong reconcile result at sf0.1.
+GUARD_CONF = {"spark.sql.unionOutputPartitioning": "false"}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "recheck",
                   extra: dict | None = None) -> SparkSession:
@@ -30,6 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     master = master or os.environ.get("RECHECK_MASTER", "local[8]")
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
+    conf.update(GUARD_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf["spark.driver.memory"] = os.environ.get("RECHECK_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
@@ -41,8 +47,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def guard(spark: SparkSession) -> None:
+    """Apply the correctness guards (always, whatever the cluster default)."""
+    for k, v in GUARD_CONF.items():
+        try:
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 -- older Spark without this setting
+            pass
+
+
 def ensure_conf(spark: SparkSession) -> None:
-    """Set package defaults only where the session leaves them unset."""
+    """Set package defaults only where the session leaves them unset, plus the guards."""
+    guard(spark)
     for k, v in DEFAULT_CONF.items():
         if k.startswith("spark.ui"):
             continue
