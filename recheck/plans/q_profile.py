@@ -1 +1,127 @@
-"""(filled in below)"""
+"""Profile and normaliser queries over the flat-file fixture."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from recheck.functions.cells import clean_cells, lower_strings, nan_to_null, normalize_dates
+from recheck.operators import profile as P
+from recheck.plans.registry import query
+from recheck.sources.fixtures import load_fixture, with_fixtures
+
+# Schema facts of the flat-file fixture, for the DuckDB side (the Spark side reads them from the DataFrame).
+FLATFILE_COLS = ["row_id", "file_name", "sku_original", "sku_normalized", "level5_category", "uom", "supplier_id",
+                 "supplier_name_original", "supplier_name_normalized", "client_id", "client_name_original",
+                 "quantity", "unit_price", "total_price", "price_date", "payment_term", "price_type", "store_no",
+                 "service_frequency"]
+FLATFILE_STRINGS = ["file_name", "sku_original", "sku_normalized", "level5_category", "uom",
+                    "supplier_name_original", "supplier_name_normalized", "client_name_original", "payment_term",
+                    "price_type", "store_no", "service_frequency"]
+# The contract fixture as (column, dtype, mandatory, possible values); the oracle SQL is generated from it.
+CONTRACT = [("file_name", "object", "Y", None), ("sku_original", "object", "Y", None),
+            ("sku_normalized", "object", "Y", None), ("unit_price", "float64", "Y", None),
+            ("price_date", "datetime64[ns]", "N", None), ("payment_term", "object", "N", None),
+            ("price_type", "object", "N", "A,B"), ("store_no", "int64", "N", None),
+            ("service_frequency", "object", "N", None), ("currency_code", "object", "Y", None)]
+DUCK_TYPES = {"object": "VARCHAR", "int64": "BIGINT", "float64": "DOUBLE", "datetime64[ns]": "TIMESTAMP"}
+
+
+def flatfile(spark, sf_dir):
+    return nan_to_null(load_fixture(spark, sf_dir, "flatfile"))
+
+
+def contract(spark, sf_dir):
+    return P.contract_rows(load_fixture(spark, sf_dir, "contract"))
+
+
+def _sql(body, extra=()):
+    return with_fixtures(["flatfile", "contract"], body, "duckdb", extra=list(extra))
+
+
+def _u(parts):
+    return " UNION ALL ".join(parts)
+
+
+_MAND = [c for c, _, m, _ in CONTRACT if m == "Y" and c in FLATFILE_COLS]
+MISSING_SQL = _u(
+    f"SELECT 'Mandatory Fields' AS category, 'Missing Mandatory Fields' AS sub_category, '{c}' AS field, file_name, "
+    f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100 AS missing_pct "
+    f"FROM flatfile WHERE file_name IS NOT NULL GROUP BY file_name HAVING count(*) FILTER (WHERE {c} IS NULL) > 0"
+    for c in _MAND)
+
+
+@query("missing_pct", _sql(MISSING_SQL))
+def q_missing_pct(spark, sf_dir):
+    rows = contract(spark, sf_dir)
+    return P.missing_pct(flatfile(spark, sf_dir), [r[0] for r in rows if r[2] == "Y"])
+
+
+ALL_NULL_SQL = _u(f"SELECT 'All Null Values' AS category, '{c}' AS field FROM flatfile HAVING count({c}) = 0"
+                  for c in FLATFILE_COLS)
+
+
+@query("all_null_columns", _sql(ALL_NULL_SQL))
+def q_all_null_columns(spark, sf_dir):
+    return P.all_null_columns(flatfile(spark, sf_dir))
+
+
+_TYPED = [(c, DUCK_TYPES[t]) for c, t, _, _ in CONTRACT if c in FLATFILE_COLS]
+DTYPE_SQL = _u(
+    f"SELECT 'Mismatched Data Types' AS category, '{c}' AS field, "
+    f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL) AS n_bad FROM flatfile "
+    f"HAVING count({c}) > 0 AND count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL) > 0"
+    for c, t in _TYPED)
+
+
+@query("dtype_conformance", _sql(DTYPE_SQL))
+def q_dtype_conformance(spark, sf_dir):
+    rows = contract(spark, sf_dir)
+    return P.dtype_conformance(flatfile(spark, sf_dir), {r[0]: r[1] for r in rows})
+
+
+_STRUCT = ([("Column Structure", "Missing Columns", c) for c, *_ in CONTRACT if c not in FLATFILE_COLS]
+           + [("Column Structure", "Extra Columns", c) for c in FLATFILE_COLS if c not in [r[0] for r in CONTRACT]])
+SUMMARY_SQL = _u(
+    [f"SELECT '{a}' AS category, '{b}' AS sub_category, '{c}' AS field, CAST(NULL AS VARCHAR) AS file_name, "
+     "CAST(NULL AS DOUBLE) AS missing_pct, CAST(NULL AS BIGINT) AS n_bad" for a, b, c in _STRUCT]
+    + [f"SELECT category, sub_category, field, file_name, missing_pct, CAST(NULL AS BIGINT) FROM ({MISSING_SQL})"]
+    + [f"SELECT category, CAST(NULL AS VARCHAR), field, CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), "
+       f"CAST(NULL AS BIGINT) FROM ({ALL_NULL_SQL})"]
+    + [f"SELECT category, CAST(NULL AS VARCHAR), field, CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), n_bad "
+       f"FROM ({DTYPE_SQL})"])
+
+
+@query("validation_summary", _sql(SUMMARY_SQL))
+def q_validation_summary(spark, sf_dir):
+    return P.validation_summary(spark, flatfile(spark, sf_dir), contract(spark, sf_dir))
+
+
+@query("normalize_dates", _sql(
+    "SELECT row_id, strftime(price_date, '%Y-%m-%d') AS price_date, CASE WHEN (SELECT count(*) FILTER (WHERE "
+    "store_no IS NOT NULL AND TRY_CAST(store_no AS TIMESTAMP) IS NULL) FROM flatfile) = 0 THEN "
+    "strftime(TRY_CAST(store_no AS TIMESTAMP), '%Y-%m-%d') ELSE store_no END AS store_no FROM flatfile"))
+def q_normalize_dates(spark, sf_dir):
+    """Dates to text, all or nothing per column: price_date converts, store_no ('n/a' present) stays."""
+    df = flatfile(spark, sf_dir).select("row_id", "price_date", "store_no")
+    return normalize_dates(df, ["price_date", "store_no"])
+
+
+@query("lower_strings", _sql("SELECT row_id, " + ", ".join(f"lower({c}) AS {c}" for c in FLATFILE_STRINGS)
+                             + " FROM flatfile"))
+def q_lower_strings(spark, sf_dir):
+    """Every string cell lower-cased (the string columns and the row id are reported)."""
+    return lower_strings(flatfile(spark, sf_dir)).select("row_id", *FLATFILE_STRINGS)
+
+
+@query("clean_cells", _sql("SELECT row_id, " + ", ".join(f"coalesce(trim({c}), 'nan') AS {c}" for c in FLATFILE_STRINGS)
+                           + " FROM flatfile"))
+def q_clean_cells(spark, sf_dir):
+    df = flatfile(spark, sf_dir)
+    return clean_cells(df.select("row_id", *FLATFILE_STRINGS), "both", FLATFILE_STRINGS)
+
+
+@query("drop_zero", _sql("SELECT row_id, unit_price FROM flatfile WHERE unit_price <> 0 OR unit_price IS NULL"))
+def q_drop_zero(spark, sf_dir):
+    from recheck.operators.stats import drop_zero
+    return drop_zero(flatfile(spark, sf_dir)).select("row_id", "unit_price")

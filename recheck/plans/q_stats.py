@@ -1 +1,40 @@
-"""(filled in below)"""
+"""Price statistics queries over the flat-file fixture."""
+
+from __future__ import annotations
+
+from recheck.operators import stats as ST
+from recheck.plans.q_profile import flatfile
+from recheck.plans.registry import query
+from recheck.sources.fixtures import with_fixtures
+
+ROW_COLS = ["row_id", "level5_category", "sku_original", "sku_normalized", "uom", "unit_price", "no_of_price_points",
+            "low_price", "percentile_25th", "avg_price", "file_name"]
+
+_F = ("fz", "SELECT * FROM flatfile WHERE unit_price <> 0 OR unit_price IS NULL")
+
+
+def _stats_sql(offset):
+    return (f"SELECT sku_normalized, count(*) - {offset} AS no_of_price_points, min(unit_price) AS low_price, "
+            "round(CASE WHEN count(*) FILTER (WHERE unit_price IS NULL) = 0 THEN quantile_cont(unit_price, 0.25) END, 6)"
+            " AS percentile_25th, round(avg(unit_price), 6) AS avg_price FROM fz GROUP BY sku_normalized")
+
+
+@query("price_stats_per_row", with_fixtures(["flatfile"], "SELECT " + ", ".join(
+    f"f.{c}" if c not in ("no_of_price_points", "low_price", "percentile_25th", "avg_price") else f"s.{c}"
+    for c in ROW_COLS) + " FROM fz f LEFT JOIN s ON f.sku_normalized = s.sku_normalized", "duckdb",
+    extra=[_F, ("s", _stats_sql(1) + " HAVING sku_normalized IS NOT NULL")]))
+def q_price_stats_per_row(spark, sf_dir):
+    df = ST.drop_zero(flatfile(spark, sf_dir))
+    return ST.price_stats_per_row(df).select(*ROW_COLS)
+
+
+@query("price_stats_by_name", with_fixtures(["flatfile"], (
+    "SELECT f.level5_category, f.uom, s.sku_normalized, "
+    + ", ".join(f"CASE WHEN s.sku_normalized IS NOT NULL THEN s.{c} END AS {c}"
+                for c in ("no_of_price_points", "low_price", "percentile_25th", "avg_price"))
+    + " FROM s JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sku_normalized ORDER BY row_id) AS rn "
+      "FROM fz) WHERE rn = 1) f ON f.sku_normalized IS NOT DISTINCT FROM s.sku_normalized"),
+    "duckdb", extra=[_F, ("s", _stats_sql(0))]))
+def q_price_stats_by_name(spark, sf_dir):
+    df = ST.drop_zero(flatfile(spark, sf_dir))
+    return ST.price_stats_by_name(df)
