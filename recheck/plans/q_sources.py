@@ -1 +1,52 @@
-"""(filled in below)"""
+"""Source/sink queries: category facts, taxonomy lookup, partitioned write and prefix scan round trips."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from recheck.plans.q_profile import flatfile
+from recheck.plans.registry import query
+from recheck.sources import io
+from recheck.sources.fixtures import load_fixture, load_table, with_fixtures
+
+CATEGORY = "category 7"
+FACT_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+
+
+@query("resolve_category", with_fixtures(["taxonomy"], f"SELECT category_name, category_id FROM taxonomy "
+                                                      f"WHERE category_name = '{CATEGORY}'"))
+def q_resolve_category(spark, sf_dir):
+    """Taxonomy row for a category name."""
+    return io.resolve_category(load_fixture(spark, sf_dir, "taxonomy"), CATEGORY)
+
+
+@query("facts_for_category", with_fixtures(["taxonomy"], (
+    "SELECT p.p_size AS category_id, " + ", ".join(f"l.{c}" for c in FACT_COLS)
+    + f" FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size IN "
+      f"(SELECT category_id FROM taxonomy WHERE category_name = '{CATEGORY}')")))
+def q_facts_for_category(spark, sf_dir):
+    """Price points (lineitem) of the products (part) in one category (J1 with S5)."""
+    cat = io.resolve_category(load_fixture(spark, sf_dir, "taxonomy"), CATEGORY)
+    facts = load_table(spark, sf_dir, "lineitem").select(*FACT_COLS)
+    master = load_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"),
+                                                       F.col("p_size").alias("category_id"))
+    return io.facts_for_category(facts, master, cat, product_col="l_partkey")
+
+
+@query("write_partitioned_roundtrip", with_fixtures(["flatfile"], "SELECT row_id, file_name, sku_normalized, "
+                                                                  "unit_price FROM flatfile"))
+def q_write_partitioned(spark, sf_dir):
+    """Flat file written one folder per file name, sorted within, then read back."""
+    df = flatfile(spark, sf_dir).select("row_id", "file_name", "sku_normalized", "unit_price")
+    path = io.write_partitioned(df, io.scratch_path(spark, "by-file"), by="file_name", sort=["sku_normalized"])
+    return spark.read.parquet(path).select("row_id", "file_name", "sku_normalized", "unit_price")
+
+
+@query("prefix_scan", with_fixtures(["gt"], "SELECT row_id, file_name, unit_price FROM gt"))
+def q_prefix_scan(spark, sf_dir):
+    """Baseline written as CSV files under a prefix, then every matching file read back with its name."""
+    gt = load_fixture(spark, sf_dir, "gt").select("row_id", "file_name", "unit_price")
+    base = io.scratch_path(spark, "prefix")
+    io.write_results({"gt": gt}, base, fmt="csv")
+    back = io.read_prefix(spark, base, glob="*.csv", schema="row_id long, file_name string, unit_price double")
+    return back.select("row_id", "file_name", "unit_price")
