@@ -98,8 +98,10 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     cols = list(cols)
     C = len(cols)
     raw = (not consume_exact) and mode != "exact"
-    L = _prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw)
-    R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw)
+    # The compact projections feed the key profile and every branch below: keep them so each input is scanned
+    # once. (Keeping the keyed joins instead would scan each input again for the key profile of the other side.)
+    L = _prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw).persist(StorageLevel.MEMORY_AND_DISK)
+    R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw).persist(StorageLevel.MEMORY_AND_DISK)
     lv = {c: F.col(f"l._c{i}") for i, c in enumerate(cols)}
     rv = {c: F.col(f"r._c{i}") for i, c in enumerate(cols)}
 
@@ -107,10 +109,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     kl = L.groupBy("_k").agg(F.count(F.lit(1)).alias("_nl"))
     kr = R.groupBy("_k").agg(F.count(F.lit(1)).alias("_nr"))
     ks = kl.join(kr, "_k", "full_outer")
-    # The keyed, compact projections feed every branch below; keep them so each input is scanned and shuffled once
-    # (the branches' inferred filters differ, so Spark would not reuse the exchanges on its own).
-    Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).persist(StorageLevel.MEMORY_AND_DISK)
-    Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).persist(StorageLevel.MEMORY_AND_DISK)
+    Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"])
+    Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"])
 
     def exact_row(l_pre: str, r_pre: str) -> Column:
         """Whole-row equality that the 'not consumed' rule needs: equal cells and no NULL on the baseline row."""
@@ -207,7 +207,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
                   .unionByName(Rk.where(F.col("_nl") > 0).select("_k", "_id").join(consumed, ["_k", "_id"], "left_anti"))
                   .select(F.col("_id").alias("row_id"), F.col("_k").alias("key")))
     return ReconcileResult(pairs=pairs, left_only=left_only, right_only=right_only, compared=cols,
-                           cached=[Lk, Rk])
+                           cached=[L, R])
 
 
 # ---------------------------------------------------------------------------------------------------------------
