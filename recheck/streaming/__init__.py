@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference processes batch files only (no stream, watermark or time window anywhere), so no streaming operator is
+built. The rule predicates of ``recheck.operators.rules`` are plain Columns and run unchanged on a streaming
+DataFrame (``readStream`` -> ``build_rules(...).violations()`` -> ``writeStream``).
+"""
