@@ -10,16 +10,32 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows (one cheap count over the lookup)."""
-    n = df.limit(max_rows + 1).count()
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows.
+
+    ``known_rows`` is a proven upper bound (e.g. the row count of the lookup a distinct/filtered/grouped set was
+    derived from); without it the rows are counted (one cheap job over the lookup).
+    """
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
-def member_flag(df: DataFrame, col, values: DataFrame, name: str) -> DataFrame:
+def row_counts(*dfs: DataFrame) -> list[int]:
+    """Row counts of several (lookup) tables in one job."""
+    if not dfs:
+        return []
+    parts = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, d in enumerate(dfs)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    got = {r.i: r.n for r in u.collect()}
+    return [got[i] for i in range(len(dfs))]
+
+
+def member_flag(df: DataFrame, col, values: DataFrame, name: str, known_rows: int | None = None) -> DataFrame:
     """Add boolean ``name``: is ``col`` in the one-column ``values`` set (NULL-safe: NULL is a member only if the
     set holds NULL, as pandas ``isin``)."""
     v = values.toDF("_mv").distinct().withColumn(name, F.lit(True))
     c = F.col(col) if isinstance(col, str) else col
-    out = df.join(bounded_broadcast(v), c.eqNullSafe(F.col("_mv")), "left").drop("_mv")
+    out = df.join(bounded_broadcast(v, known_rows=known_rows), c.eqNullSafe(F.col("_mv")), "left").drop("_mv")
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))

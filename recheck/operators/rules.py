@@ -2,7 +2,7 @@
 
 A rule is a Boolean Column that is true when a cell violates it. Lookup-based rules first get flag columns from
 broadcast joins with the (size-checked) lookup tables; then every rule is evaluated in a single projection that
-builds ``array(when(rule, struct(...)))`` per row and explodes it into the long ``violations`` table
+builds ``array(when(rule, index))`` per row and explodes it into the long ``violations`` table
 ``(row_id, field, rule, message)``.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recheck.operators.joins import bounded_broadcast, member_flag
+from recheck.operators.joins import bounded_broadcast, member_flag, row_counts
 from recheck.operators.schema import canonical_name
 
 # Patterns, cut-off date, marker words and messages of the checks.
@@ -68,13 +68,19 @@ class Rule:
 
 def run_rules(df: DataFrame, rules: Sequence[Rule], row_id: str = "row_id") -> DataFrame:
     """Violations of all ``rules`` in one projection: (row_id, field, rule, message)."""
-    items = [F.when(F.coalesce(r.violated, F.lit(False)),
-                    F.struct(F.lit(r.field).alias("field"), F.lit(r.rule).alias("rule"),
-                             F.lit(r.message).alias("message"))) for r in rules]
-    if not items:
+    if not rules:
         return df.sparkSession.createDataFrame([], "row_id long, field string, rule string, message string")
-    return (df.select(F.col(row_id).alias("row_id"), F.explode(F.array_compact(F.array(*items))).alias("v"))
-            .select("row_id", "v.field", "v.rule", "v.message"))
+    # Per row only an int array of the violated rules is built; names are looked up for violating rows only.
+    items = [F.when(F.coalesce(r.violated, F.lit(False)), F.lit(i + 1)) for i, r in enumerate(rules)]
+    fields = F.array(*[F.lit(r.field) for r in rules])
+    ids = F.array(*[F.lit(r.rule) for r in rules])
+    msgs = F.array(*[F.lit(r.message) for r in rules])
+    # The array is built in a plain projection (whole-stage codegen) and only a column is exploded: with the rule
+    # expressions inside the generator, Spark evaluates them outside codegen.
+    v = (df.select(F.col(row_id).alias("row_id"), F.array_compact(F.array(*items)).alias("_is"))
+         .where(F.size("_is") > 0).select("row_id", F.explode("_is").alias("_i")))
+    return v.select("row_id", F.element_at(fields, F.col("_i")).alias("field"),
+                    F.element_at(ids, F.col("_i")).alias("rule"), F.element_at(msgs, F.col("_i")).alias("message"))
 
 
 # -- lookups -------------------------------------------------------------------------------------------------------
@@ -115,7 +121,8 @@ def suppliers_of(cat_df: DataFrame, category_id, cat_col: str = "category_id", i
     return alias_lists(cat_df.where(F.col(cat_col) == F.lit(category_id)), id_col, name_col, sep)
 
 
-def pair_flag(df: DataFrame, left: Sequence[Column], pairs: DataFrame, name: str) -> DataFrame:
+def pair_flag(df: DataFrame, left: Sequence[Column], pairs: DataFrame, name: str,
+              known_rows: int | None = None) -> DataFrame:
     """Add boolean ``name``: the tuple ``left`` is one of ``pairs``' rows (plain equality: a NULL never matches)."""
     k = [f"_pk{i}" for i in range(len(left))]
     p = pairs.toDF(*k).distinct().withColumn(name, F.lit(True))
@@ -123,7 +130,7 @@ def pair_flag(df: DataFrame, left: Sequence[Column], pairs: DataFrame, name: str
     for c, kk in zip(left, k):
         e = c == F.col(kk)
         cond = e if cond is None else cond & e
-    out = df.join(bounded_broadcast(p), cond, "left").drop(*k)
+    out = df.join(bounded_broadcast(p, known_rows=known_rows), cond, "left").drop(*k)
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
@@ -175,6 +182,12 @@ def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup:
         rules.append(Rule("R5", pt, ~F.coalesce(F.col(pt).rlike(PAYMENT_TERM_STRICT), F.lit(False)), m["R5"]))
         rules.append(Rule("R6", pt, F.col(pt).isNotNull() & ~F.lower(F.col(pt)).rlike(PAYMENT_TERM_LENIENT), m["R6"]))
 
+    # Row counts of the lookups, one job: a proven bound for every set derived from them (distinct, filter,
+    # group-by never add rows), so each broadcast below is size-checked without a count of its own.
+    given = [d for d in (norm_lookup, supplier_category, supplier_alias, client_alias, conditional) if d is not None]
+    bound = dict(zip([id(d) for d in given], row_counts(*given)))
+    nb = bound.get(id(norm_lookup))
+
     handled = set()
     if norm_lookup is not None:
         checks = [("R7", "sku_normalized", "normalized_name"), ("R8", "level5", "level_5"),
@@ -182,24 +195,25 @@ def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup:
         for rid, role, lcol in checks:                                                  # R7, R8, R9
             c = ro[role]
             if c in has:
-                df = member_flag(df, c, norm_lookup.select(lcol), f"_in_{rid}")
+                df = member_flag(df, c, norm_lookup.select(lcol), f"_in_{rid}", nb)
                 rules.append(Rule(rid, c, ~F.col(f"_in_{rid}"), m[rid]))
                 handled.add(c)
         c = ro["sku_original"]
         if c in has:                                                                    # R11
             removal = norm_lookup.where(F.trim(F.lower(F.col("remove_flag"))) == REMOVE_YES).select("original_name")
-            df = member_flag(df, c, removal, "_in_R11")
+            df = member_flag(df, c, removal, "_in_R11", nb)
             rules.append(Rule("R11", c, F.col("_in_R11"), m["R11"]))
             handled.add(c)
         c, n = ro["unit_price"], ro["sku_normalized"]
         if c in has and n in has:                                                       # R12 (A7)
             band = price_band(norm_lookup).toDF("_bn", "_bmin", "_bmax")
-            df = df.join(bounded_broadcast(band), F.col(n) == F.col("_bn"), "left").drop("_bn")
+            df = df.join(bounded_broadcast(band, known_rows=nb), F.col(n) == F.col("_bn"), "left").drop("_bn")
             rules.append(Rule("R12", c, (F.col(c) > F.col("_bmax")) | (F.col(c) < F.col("_bmin")), m["R12"]))
             handled.add(c)
     if supplier_category is not None and ro["supplier_normalized"] in has:              # R10
         c = ro["supplier_normalized"]
-        df = member_flag(df, c, supplier_category.select("supplier_normalized_names"), "_in_R10")
+        df = member_flag(df, c, supplier_category.select("supplier_normalized_names"), "_in_R10",
+                         bound[id(supplier_category)])
         rules.append(Rule("R10", c, ~F.col("_in_R10"), m["R10"]))
         handled.add(c)
     for col, _dtype, _mand, possible in contract_rows:                                  # R13
@@ -213,7 +227,7 @@ def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup:
             if c.startswith("_") or canonical_name(c) not in fields:
                 continue
             vals = conditional.where(F.col("field") == canonical_name(c)).select("value")
-            df = member_flag(df, F.lower(F.col(c).cast("string")), vals, f"_in_R16_{i}")
+            df = member_flag(df, F.lower(F.col(c).cast("string")), vals, f"_in_R16_{i}", bound[id(conditional)])
             rules.append(Rule("R16_null", c, F.col(c).isNull(), m["R16_null"]))
             rules.append(Rule("R16_missing", c, F.col(c).isNotNull() & ~F.col(f"_in_R16_{i}"), m["R16_missing"]))
 
@@ -229,7 +243,7 @@ def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup:
         if alias is None or i not in has or n not in has:
             return
         an = F.lower(F.col(name_col)) if alias_case == "lower" else F.col(name_col)
-        df = pair_flag(df, [F.col(i), F.lower(F.col(n))], alias.select(id_col, an), f"_ok_{rid}")
+        df = pair_flag(df, [F.col(i), F.lower(F.col(n))], alias.select(id_col, an), f"_ok_{rid}", bound[id(alias)])
         rules.append(Rule(rid, n, ~F.col(f"_ok_{rid}"), m[rid]))
 
     alias_rule("R19", supplier_alias, "supplier_id", "supplier_name", "supplier_id", "alternative_name")
