@@ -16,7 +16,11 @@ FILE_LEVEL_ISSUES = ("missing_rows", "extra_rows", "duplicate_rows")
 
 
 def outer_by_key(gt: DataFrame, pl: DataFrame, key: str, suffixes=("_gt", "_pl")) -> DataFrame:
-    """Many-to-many full outer join on ``key`` with every column suffixed per side."""
+    """Many-to-many full outer join on ``key`` with every column suffixed per side.
+
+    This is the literal merge: a key with n and m rows yields n*m rows. The summaries below never build it (see
+    ``key_mismatch_counts``, ``merge_duplicate_rows``, ``merge_profile``); use it only for inspection of bounded keys.
+    """
     a = gt.select(*[F.col(c).alias(c + suffixes[0]) for c in gt.columns])
     b = pl.select(*[F.col(c).alias(c + suffixes[1]) for c in pl.columns])
     return a.join(b, F.col(key + suffixes[0]) == F.col(key + suffixes[1]), "full_outer")
@@ -82,6 +86,82 @@ def mismatch_counts(merged: DataFrame, cols: Sequence[str], by: str = "file_name
     return _long(g, ["file_name"], cols, "mismatches")
 
 
+def _long_values(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """(ids..., field, v) with every value as exact text (-0.0 folded into 0.0 so text equality = value equality)."""
+    def txt(c):
+        dt = df.schema[c].dataType.simpleString()
+        col = F.col(c)
+        if dt in ("double", "float"):
+            col = F.when(col == 0, F.lit(0.0)).otherwise(col)
+        return col.cast("string")
+    st = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), txt(c).alias("v")) for c in cols]))
+    return df.select(*ids, st.alias("_s")).select(*ids, "_s.field", "_s.v")
+
+
+def key_mismatch_counts(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[str],
+                        by: str = "file_name") -> DataFrame:
+    """A13 without building the key outer merge: per baseline file x column, merged rows whose sides differ.
+
+    For a baseline value ``v`` of a key with ``n`` candidate rows, ``n - n(v)`` of its merged rows differ
+    (NULL-safe); with no candidate row the merged row differs iff ``v`` is not NULL. Both sides are aggregated to
+    one row per (key, column, value) before the single join, so a hot key or value never loads one task.
+    """
+    g = (_long_values(gt.where(F.col(by).isNotNull()), [key, by], cols)
+         .groupBy(key, by, "field", "v").agg(F.count(F.lit(1)).alias("_cg")))
+    p = _long_values(pl, [key], cols).groupBy(key, "field", "v").agg(F.count(F.lit(1)).alias("_cp"))
+    n = pl.groupBy(key).agg(F.count(F.lit(1)).alias("_np"))
+    j = (g.join(n, key, "left")
+         .join(p.withColumnRenamed(key, "_pk").withColumnRenamed("field", "_pf").withColumnRenamed("v", "_pv"),
+               (F.col(key) == F.col("_pk")) & (F.col("field") == F.col("_pf")) & F.col("v").eqNullSafe(F.col("_pv")),
+               "left"))
+    np_, cp = F.coalesce(F.col("_np"), F.lit(0)), F.coalesce(F.col("_cp"), F.lit(0))
+    contrib = F.when(np_ > 0, F.col("_cg") * (np_ - cp)).otherwise(F.when(F.col("v").isNotNull(), F.col("_cg")).otherwise(0))
+    return j.groupBy(F.col(by).alias("file_name"), "field").agg(F.sum(contrib).cast("bigint").alias("mismatches"))
+
+
+def merge_duplicate_rows(gt: DataFrame, pl: DataFrame, key: str, gt_cols: Sequence[str], pl_cols: Sequence[str],
+                         by: str | None = None, threshold: int = 0) -> DataFrame:
+    """A12 without building the key outer merge: merged rows having an exact copy, in total or per baseline file.
+
+    A merged class (baseline class, candidate class) of one key occurs ``c_g * c_p`` times, so a key with both
+    sides contributes ``n_g * n_p - s_g * s_p`` copied rows (``s``: classes seen once); a one-sided key contributes
+    its classes seen more than once.
+    """
+    gcols = [c for c in gt_cols if c != key]
+    pcols = [c for c in pl_cols if c != key]
+    gk_by = [key] + ([by] if by else [])
+    gc = gt.groupBy(key, *gcols).agg(F.count(F.lit(1)).alias("_c"))
+    if by and by not in gcols:
+        raise ValueError("the per-file column must be one of the baseline columns")
+    gs = gc.groupBy(*gk_by).agg(F.sum("_c").alias("_ng"), F.count_if(F.col("_c") == 1).alias("_sg"),
+                               F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("_dg"))
+    pc = pl.groupBy(key, *pcols).agg(F.count(F.lit(1)).alias("_c"))
+    ps = pc.groupBy(F.col(key).alias("_pk")).agg(
+        F.sum("_c").alias("_np"), F.count_if(F.col("_c") == 1).alias("_sp"),
+        F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("_dp"))
+    j = gs.join(ps, F.col(key) == F.col("_pk"), "full_outer")
+    both = F.col("_ng").isNotNull() & F.col("_np").isNotNull()
+    dup = (F.when(both, F.col("_ng") * F.col("_np") - F.col("_sg") * F.col("_sp"))
+           .when(F.col("_ng").isNotNull(), F.col("_dg")).otherwise(F.col("_dp")))
+    if by:
+        out = j.groupBy(by).agg(F.sum(dup).cast("bigint").alias("duplicate_rows"))
+    else:
+        out = j.agg(F.coalesce(F.sum(dup), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    if threshold:
+        out = out.withColumn("duplicate_rows",
+                             F.when(F.col("duplicate_rows") >= threshold, F.col("duplicate_rows")).otherwise(0))
+    return out
+
+
+def merge_profile(gt: DataFrame, pl: DataFrame, key: str) -> DataFrame:
+    """Per key of the outer merge: baseline rows, candidate rows and merged rows (``n*m`` or ``n + m``) (J4 shape)."""
+    g = gt.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("gt_rows"))
+    p = pl.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("pl_rows"))
+    j = g.join(p, "key", "full_outer").fillna(0, ["gt_rows", "pl_rows"])
+    m = F.when((F.col("gt_rows") > 0) & (F.col("pl_rows") > 0), F.col("gt_rows") * F.col("pl_rows"))         .otherwise(F.col("gt_rows") + F.col("pl_rows"))
+    return j.withColumn("merged_rows", m)
+
+
 def pair_diff_counts(pairs_with_file: DataFrame, cols: Sequence[str], by: str = "file_name") -> DataFrame:
     """Wide per-file table: matched rows and, per compared column, pairs where it differs (A14 wide, A18)."""
     aggs = [F.count(F.lit(1)).alias("total_rows")]
@@ -138,15 +218,16 @@ def outer_completeness(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataF
 
 
 def file_level_accuracy(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[str], by: str = "file_name",
-                        threshold: int = 0, dup_cols: Sequence[str] | None = None) -> DataFrame:
-    """Wide per-file table over the key outer merge: total, missing, extra, duplicates, mismatches per column."""
+                        threshold: int = 0, dup_cols: tuple[Sequence[str], Sequence[str]] | None = None) -> DataFrame:
+    """Wide per-file table of the key outer merge -- total, missing, extra, duplicate rows, mismatches per column --
+    computed from per-key aggregates; the merge itself is never built. ``dup_cols``: (baseline, candidate) columns
+    that define a duplicate merged row (default: all columns of each side)."""
     total = rows_per_file(gt, by)
     miss = missing_per_file(gt, pl, key, by)
     extra = extra_per_file(gt, pl, key, by)
-    merged = outer_by_key(gt, pl, key)
-    dup_cols = list(dup_cols) if dup_cols is not None else [c for c in merged.columns]
-    dup = duplicate_rows(merged, dup_cols, by=by + "_gt").withColumnRenamed(by + "_gt", by)
-    mm = mismatch_counts(merged, cols, by + "_gt")
+    gcols, pcols = dup_cols if dup_cols is not None else (gt.columns, pl.columns)
+    dup = merge_duplicate_rows(gt, pl, key, gcols, pcols, by=by)
+    mm = key_mismatch_counts(gt, pl, key, cols, by)
     wide = mm.groupBy("file_name").pivot("field", list(cols)).agg(F.first("mismatches"))
     out = (total.join(miss, by, "left").join(extra, by, "left").join(dup, by, "left").join(wide, by, "left")
            .fillna(0, ["missing_rows", "extra_rows", "duplicate_rows"]))

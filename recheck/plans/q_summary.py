@@ -51,13 +51,14 @@ def _union_fields(tmpl, cols):
     return " UNION ALL ".join(tmpl.format(c=c) for c in cols)
 
 
-MERGE_OUT = ["primary_key_gt", "row_id_gt", "primary_key_pl", "row_id_pl"]
-
-
-@query("recon_outer_by_key", _sql(f"SELECT {', '.join(MERGE_OUT)} FROM m"))
+@query("recon_outer_by_key", _sql(
+    "SELECT coalesce(primary_key_gt, primary_key_pl) AS key, count(DISTINCT row_id_gt) AS gt_rows, "
+    "count(DISTINCT row_id_pl) AS pl_rows, count(*) AS merged_rows FROM m GROUP BY 1"))
 def q_outer_by_key(spark, sf_dir):
+    """Shape of the key outer merge per key (J4): baseline rows, candidate rows, merged rows -- without emitting
+    the n*m merged pairs (``summary.outer_by_key`` builds the literal merge for bounded inspection)."""
     gt, pl = keyed_sides(spark, sf_dir)
-    return S.outer_by_key(gt, pl, "primary_key").select(*MERGE_OUT)
+    return S.merge_profile(gt, pl, "primary_key")
 
 
 @query("rows_per_file", _sql("SELECT file_name, count(*) AS total_rows FROM gt WHERE file_name IS NOT NULL GROUP BY 1"))
@@ -85,6 +86,7 @@ def q_extra_per_file(spark, sf_dir):
 
 
 DUP_COLS = ([f"{c}_gt" for c in ["primary_key"] + ALL_COLS] + [f"{c}_pl" for c in ["primary_key"] + ALL_COLS])
+SIDE_COLS = (["primary_key"] + ALL_COLS, ["primary_key"] + ALL_COLS)  # columns of each side in a merged row
 
 
 @query("duplicate_rows", _sql(
@@ -93,7 +95,7 @@ DUP_COLS = ([f"{c}_gt" for c in ["primary_key"] + ALL_COLS] + [f"{c}_pl" for c i
 def q_duplicate_rows(spark, sf_dir):
     """Merged rows with at least one exact copy (ids excluded)."""
     gt, pl = keyed_sides(spark, sf_dir)
-    return S.duplicate_rows(S.outer_by_key(gt, pl, "primary_key"), DUP_COLS)
+    return S.merge_duplicate_rows(gt, pl, "primary_key", *SIDE_COLS)
 
 
 @query("mismatch_counts", _sql(_union_fields(
@@ -101,7 +103,7 @@ def q_duplicate_rows(spark, sf_dir):
     "AS mismatches FROM m WHERE file_name_gt IS NOT NULL GROUP BY 1", SUM_COLS)))
 def q_mismatch_counts(spark, sf_dir):
     gt, pl = keyed_sides(spark, sf_dir)
-    return S.mismatch_counts(S.outer_by_key(gt, pl, "primary_key"), SUM_COLS)
+    return S.key_mismatch_counts(gt, pl, "primary_key", SUM_COLS)
 
 
 _FILE_TABLE_CTES = [
@@ -122,7 +124,7 @@ _FILE_TABLE_CTES = [
 
 def file_table(spark, sf_dir):
     gt, pl = keyed_sides(spark, sf_dir)
-    return S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=DUP_COLS)
+    return S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS)
 
 
 @query("file_level_accuracy", _sql("SELECT * FROM ft", _FILE_TABLE_CTES))
@@ -166,8 +168,8 @@ _ISSUE_SQL = (
 @query("issue_summary", _sql(_ISSUE_SQL, _FILE_TABLE_CTES + _COMPLETE))
 def q_issue_summary(spark, sf_dir):
     gt, pl = keyed_sides(spark, sf_dir)
-    ft = S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=DUP_COLS)
-    dups = S.duplicate_rows(S.outer_by_key(gt, pl, "primary_key"), DUP_COLS)
+    ft = S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS)
+    dups = S.merge_duplicate_rows(gt, pl, "primary_key", *SIDE_COLS)
     return S.issue_summary(ft, SUM_COLS, completeness(spark, sf_dir), dups)
 
 

@@ -52,3 +52,25 @@ def test_price_stats_match_numpy(spark):
     assert by[None].no_of_price_points is None and by[None].level5_category == "e"
     first = {r.sku_normalized: r.row_id for r in ST.drop_duplicates_first(df, ["sku_normalized"]).collect()}
     assert first == {"n1": 1, "n2": 4, None: 6}
+
+
+def test_pair_free_merge_summaries_equal_literal_merge(spark):
+    g = [("k1", "f1", "a"), ("k1", "f1", "a"), ("k1", "f2", "b"), ("k2", "f1", None), ("k2", "f1", None),
+         ("k3", "f2", "c"), ("k3", "f2", "c"), ("k4", "f1", "d")]
+    p = [("k1", "a"), ("k1", "a"), ("k1", "z"), ("k2", None), ("k5", "q"), ("k5", "q"), ("k4", "d")]
+    gt = spark.createDataFrame(g, "key string, file string, v string")
+    pl = spark.createDataFrame(p, "key string, v string")
+    merged = S.outer_by_key(gt, pl, "key")
+    lit_dup = S.duplicate_rows(merged, ["key_gt", "file_gt", "v_gt", "key_pl", "v_pl"]).first().duplicate_rows
+    pf_dup = S.merge_duplicate_rows(gt, pl, "key", ["key", "file", "v"], ["key", "v"]).first().duplicate_rows
+    assert pf_dup == lit_dup and pf_dup > 0
+    lit_by = {r.file_gt: r.duplicate_rows for r in
+              S.duplicate_rows(merged, ["key_gt", "file_gt", "v_gt", "key_pl", "v_pl"], by="file_gt").collect()}
+    pf_by = {r.file: r.duplicate_rows for r in
+             S.merge_duplicate_rows(gt, pl, "key", ["key", "file", "v"], ["key", "v"], by="file").collect()}
+    assert {k: v for k, v in lit_by.items() if v} == {k: v for k, v in pf_by.items() if v}
+    lit_mm = {(r.file_name, r.field): r.mismatches for r in S.mismatch_counts(merged, ["v"], "file_gt").collect()}
+    pf_mm = {(r.file_name, r.field): r.mismatches for r in S.key_mismatch_counts(gt, pl, "key", ["v"], "file").collect()}
+    assert lit_mm == pf_mm
+    prof = {r.key: (r.gt_rows, r.pl_rows, r.merged_rows) for r in S.merge_profile(gt, pl, "key").collect()}
+    assert sum(v[2] for v in prof.values()) == merged.count()
