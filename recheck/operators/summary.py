@@ -69,9 +69,19 @@ def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, by: str | N
 
 
 def mark_duplicates(df: DataFrame, cols: Sequence[str], name: str = "has_copy") -> DataFrame:
-    """Per-row flag: another row has the same ``cols`` (``duplicated(keep=False)``), via a count window."""
-    from pyspark.sql.window import Window
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*cols)) > 1)
+    """Per-row flag: another row has the same ``cols`` (``duplicated(keep=False)``, NULLs equal).
+
+    A grouped count joined back (NULL-safe) rather than a window, so a hot group is partially aggregated and its
+    join side split by AQE instead of being sorted whole in one task.
+    """
+    k = [f"_d{i}" for i in range(len(cols))]
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).toDF(*k, "_n")
+    cond = None
+    for c, kk in zip(cols, k):
+        e = df[c].eqNullSafe(g[kk])
+        cond = e if cond is None else cond & e
+    out = df.join(g, cond, "left")
+    return out.select(*df.columns, F.col("_n").isNotNull().alias(name))
 
 
 def _long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str) -> DataFrame:

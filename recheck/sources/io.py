@@ -104,9 +104,13 @@ def write_results(results: dict[str, DataFrame], base: str, fmt: str = "parquet"
 
 def write_partitioned(df: DataFrame, path: str, by: str = "file_name", sort: Sequence[str] = (),
                       fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """One output folder per ``by`` value, rows sorted within (S8). The shuffle on ``by`` gathers each value's rows
-    so every folder gets few files; a hot value stays one task's write (sort spills as needed)."""
-    w = (df.repartition(by).sortWithinPartitions(by, *sort).write.mode(mode).format(fmt).partitionBy(by))
+    """One output folder per ``by`` value, rows sorted within.
+
+    Range partitioning on ``(by, *sort)`` keeps each value's rows in few, sorted, non-overlapping files, and splits
+    a hot value over several tasks (boundaries come from a sample) instead of sending it to one writer.
+    """
+    w = (df.repartitionByRange(by, *sort).sortWithinPartitions(by, *sort).write.mode(mode).format(fmt)
+         .partitionBy(by))
     if fmt == "csv":
         w = w.option("header", True)
     w.save(path)

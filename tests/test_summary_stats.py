@@ -74,3 +74,10 @@ def test_pair_free_merge_summaries_equal_literal_merge(spark):
     assert lit_mm == pf_mm
     prof = {r.key: (r.gt_rows, r.pl_rows, r.merged_rows) for r in S.merge_profile(gt, pl, "key").collect()}
     assert sum(v[2] for v in prof.values()) == merged.count()
+
+
+def test_mark_duplicates(spark):
+    df = spark.createDataFrame(ROWS_A + ROWS_B, SCHEMA)
+    pdf = pd.DataFrame(ROWS_A + ROWS_B, columns=["f", "v", "s"])
+    got = sorted(r.has_copy for r in S.mark_duplicates(df, ["f", "v", "s"]).collect())
+    assert got == sorted(pdf.duplicated(keep=False).tolist())
