@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recheck.functions.cells import cell_text, diff_expr, order_struct
-from recheck.session import guard
+from recheck.session import ensure_checkpoint_dir, guard
 
 
 @dataclass
@@ -47,7 +47,7 @@ class ReconcileResult:
     cached: list
 
     def release(self) -> None:
-        """Drop the intermediate keyed inputs kept for the branches (call once the outputs are written)."""
+        """Drop the checkpointed keyed inputs (files go when the cleaner runs; see session settings)."""
         for df in self.cached:
             df.unpersist()
 
@@ -98,10 +98,17 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     cols = list(cols)
     C = len(cols)
     raw = (not consume_exact) and mode != "exact"
-    # The compact projections feed the key profile and every branch below: keep them so each input is scanned
-    # once. (Keeping the keyed joins instead would scan each input again for the key profile of the other side.)
-    L = _prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw).persist(StorageLevel.MEMORY_AND_DISK)
-    R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw).persist(StorageLevel.MEMORY_AND_DISK)
+    # The compact projections feed the key profile and every branch below. They are hash-partitioned on the key
+    # (the one shuffle every key join needs anyway, with an explicit count so both sides stay co-partitioned) and
+    # checkpointed to the shared checkpoint folder: each input is scanned and shuffled once, the checkpoint keeps
+    # the key partitioning (joins/aggregates on the key below need no exchange), lineage is cut so a lost executor
+    # costs a re-read, not a re-run. (A persist() is not enough: when both inputs derive from the same tables, the
+    # analyzer's relation de-duplication in the branch joins makes most fragments miss the cache.)
+    spark = left.sparkSession
+    ensure_checkpoint_dir(spark)
+    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    L = _prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw).repartition(nparts, "_k").checkpoint()
+    R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw).repartition(nparts, "_k").checkpoint()
     lv = {c: F.col(f"l._c{i}") for i, c in enumerate(cols)}
     rv = {c: F.col(f"r._c{i}") for i, c in enumerate(cols)}
 

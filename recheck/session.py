@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Correctness guard. With Spark 4.1's default ``unionOutputPartitioning=true`` a Union of key-partitioned children
