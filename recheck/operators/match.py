@@ -46,6 +46,12 @@ class ReconcileResult:
     compared: list
     cached: list
 
+    def with_left(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+        """``df`` (row_id, key, ...) with carried left columns, joined on the key-partitioned checkpointed input."""
+        left = self.cached[0].select(F.col("_k").alias("key"), F.col("_id").alias("row_id"),
+                                     *[F.col(f"_a_{c}").alias(c) for c in cols])
+        return df.join(left, ["key", "row_id"])
+
     def release(self) -> None:
         """Drop the checkpointed keyed inputs (files go when the cleaner runs; see session settings)."""
         for df in self.cached:
@@ -65,9 +71,9 @@ def _cmp_values(df: DataFrame, cols, mode: str, trim: bool) -> list[Column]:
     return out
 
 
-def _prep(df, key, row_id, order_by, cols, mode, trim, raw):
+def _prep(df, key, row_id, order_by, cols, mode, trim, raw, carry=()):
     sel = [F.col(key).alias("_k"), F.col(row_id).cast("long").alias("_id"),
-           order_struct(order_by, row_id).alias("_o")]
+           order_struct(order_by, row_id).alias("_o")] + [F.col(c).alias(f"_a_{c}") for c in carry]
     vals = _cmp_values(df, cols, mode, trim)
     sel += [v.alias(f"_c{i}") for i, v in enumerate(vals)]
     if raw:
@@ -84,10 +90,11 @@ def _names_from_idx(idx: Column, cols) -> Column:
 def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] | None = None,
               order_by: Sequence[str] = (), row_id: str = "row_id", right_row_id: str | None = None,
               right_order_by: Sequence[str] | None = None, mode: str = "exact", consume_exact: bool = True,
-              trim_left: bool = False, fast_paths: bool = True) -> ReconcileResult:
+              trim_left: bool = False, fast_paths: bool = True, carry: Sequence[str] = ()) -> ReconcileResult:
     """Greedy 1:1 matching of ``left`` (candidate) rows to ``right`` (baseline) rows on ``key``.
 
     ``cols`` are the compared columns (default: common columns minus key and row id); ``mode`` 'exact' or 'ci'.
+    ``carry``: left columns kept with the checkpointed input, for ``ReconcileResult.with_left``.
     """
     guard(left.sparkSession)
     right_row_id = right_row_id or row_id
@@ -107,7 +114,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     spark = left.sparkSession
     ensure_checkpoint_dir(spark)
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    L = _prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw).repartition(nparts, "_k").checkpoint()
+    L = (_prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw, carry).repartition(nparts, "_k")
+         .checkpoint())
     R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw).repartition(nparts, "_k").checkpoint()
     lv = {c: F.col(f"l._c{i}") for i, c in enumerate(cols)}
     rv = {c: F.col(f"r._c{i}") for i, c in enumerate(cols)}

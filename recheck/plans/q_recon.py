@@ -24,11 +24,12 @@ def _sides(spark, sf_dir):
     return pl, gt
 
 
-def recon_exact(spark, sf_dir, fast_paths=True):
+def recon_exact(spark, sf_dir, fast_paths=True, carry=()):
     pl, gt = _sides(spark, sf_dir)
     pl = pseudo_key(pl, KEY_A, "ascii_lower")
     gt = pseudo_key(gt, KEY_A, "ascii_lower")
-    return reconcile(pl, gt, "pseudo_key", RECON_COLS, order_by=["sku_original"], fast_paths=fast_paths)
+    return reconcile(pl, gt, "pseudo_key", RECON_COLS, order_by=["sku_original"], fast_paths=fast_paths,
+                     carry=carry)
 
 
 def recon_ci(spark, sf_dir, consume_exact=True, fast_paths=True):

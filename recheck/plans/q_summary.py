@@ -9,6 +9,7 @@ from recheck.operators import summary as S
 from recheck.plans.oracle_sql import key_sql
 from recheck.plans.q_recon import KEY_B, RECON_COLS, _exact_ctes, recon_exact
 from recheck.plans.registry import query
+from recheck.session import materialize
 from recheck.sources.fixtures import load_fixture, with_fixtures
 
 # Columns checked per file in the key outer merge (the key columns themselves are not re-checked).
@@ -18,12 +19,16 @@ ALL_COLS = ["file_name"] + SUM_COLS  # fixture columns without the row id
 
 
 def keyed_sides(spark, sf_dir):
-    """Both sides with SKU text cleaned and primary key C (file, SKU) put first."""
+    """Both sides with SKU text cleaned and primary key C (file, SKU) put first.
+
+    The sides feed several branches of the summary flow (key joins, per-key and per-file aggregates), so they are
+    materialised once, hash-partitioned on the key.
+    """
     out = []
     for name in ("gt", "pipeline"):
         df = nan_to_null(load_fixture(spark, sf_dir, name))
         df = df.withColumn("sku_original", clean_key_text("sku_original"))
-        out.append(pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key"))
+        out.append(materialize(pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key"), "primary_key"))
     return out
 
 
@@ -176,9 +181,8 @@ def q_issue_summary(spark, sf_dir):
 # -- summaries of the greedy pairs (first entry point) --------------------------------------------------------------
 
 def pairs_with_file(spark, sf_dir):
-    res = recon_exact(spark, sf_dir)
-    pl = load_fixture(spark, sf_dir, "pipeline").select("row_id", "file_name")
-    return res, res.pairs.join(pl, "row_id")
+    res = recon_exact(spark, sf_dir, carry=["file_name"])
+    return res, res.with_left(res.pairs, ["file_name"])
 
 
 _PF = [("pf", "SELECT st.diff, pl.file_name FROM st JOIN pipeline pl ON pl.row_id = st.pid "

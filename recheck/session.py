@@ -82,3 +82,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, key: str | None = None):
+    """Write ``df`` to the shared checkpoint folder and continue from there (lineage cut, survives executor loss).
+
+    For computed inputs that feed several branches of one flow; ``key`` hash-partitions first so joins and
+    aggregates on that key downstream need no exchange. Plain parquet scans are cheaper to re-read than to copy.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if key is not None:
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.checkpoint()
