@@ -365,8 +365,12 @@ class _KeyState:
         if not consume_exact and self.avail == 1 and not diff:
             pos = self.cls_pos[c][self.k[c] - 1]
             rcodes = self.cls_codes[c]
-            no_null = all(self.codes[i].get(_NULL, -2) != rcodes[i] for i in range(self.C))
-            if no_null and (raw is None or tuple(raw) == self.rows_raw[pos]):
+            if raw is None:
+                exact = all(self.codes[i].get(_NULL, -2) != rcodes[i] for i in range(self.C))
+            else:
+                r_raw = self.rows_raw[pos]
+                exact = not any(x is _NULL for x in r_raw) and tuple(raw) == r_raw
+            if exact:
                 return matched, None, diff
         return matched, self._take(c), diff
 

@@ -31,6 +31,11 @@ def rows_per_file(df: DataFrame, by: str = "file_name") -> DataFrame:
     return df.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("total_rows"))
 
 
+def filter_by(df: DataFrame, col: str, value) -> DataFrame:
+    """Rows whose ``col`` equals ``value`` (F2); per-value row counts come from ``rows_per_file`` in one pass."""
+    return df.where(F.col(col) == F.lit(value))
+
+
 def _key_marker(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).alias("_mk")).distinct().withColumn("_hit", F.lit(True))
 

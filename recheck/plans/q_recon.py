@@ -62,6 +62,18 @@ def _ci_ctes():
                        [txt(c, True) for c in CI_COLS], [txt(c, False) for c in CI_COLS], ["file_name"], ["file_name"])
 
 
+def _ci_parity_ctes():
+    def txt(c, trim):
+        v = f"trim({c})" if trim and c not in ("unit_price", "price_date") else c
+        return f"lower({nz_text(v)})"
+
+    def raw(c, trim):
+        return f"CAST(trim({c}) AS VARCHAR)" if trim and c not in ("unit_price", "price_date") else f"CAST({c} AS VARCHAR)"
+    return greedy_ctes("pipeline", "gt", key_sql(KEY_B, "ascii_case"), key_sql(KEY_B, "ascii_case"), CI_COLS,
+                       [txt(c, True) for c in CI_COLS], [txt(c, False) for c in CI_COLS], ["file_name"], ["file_name"],
+                       [raw(c, True) for c in CI_COLS], [raw(c, False) for c in CI_COLS])
+
+
 PAIRS_BODY = """SELECT pid AS row_id, k AS key, matched AS matched_id, consumed AS consumed_id,
  CAST(len(diff) AS BIGINT) AS n_diff, array_to_string(diff, ',') AS diff_columns FROM st WHERE i > 0 AND matched IS NOT NULL"""
 LEFT_BODY = """SELECT pid AS row_id, k AS key,
@@ -96,6 +108,17 @@ def q_recon_pairs_ci(spark, sf_dir):
     return _pairs_out(recon_ci(spark, sf_dir))
 
 
+@query("recon_pairs_ci_parity", _oracle(_ci_parity_ctes(), PAIRS_BODY))
+def q_recon_pairs_ci_parity(spark, sf_dir):
+    """Database variant with ``consume_exact=False``: a sole remaining, exactly equal candidate is not consumed."""
+    return _pairs_out(recon_ci(spark, sf_dir, consume_exact=False))
+
+
+@query("recon_right_only_ci_parity", _oracle(_ci_parity_ctes(), RIGHT_BODY))
+def q_recon_right_only_ci_parity(spark, sf_dir):
+    return recon_ci(spark, sf_dir, consume_exact=False).right_only
+
+
 @query("recon_left_only_ci", _oracle(_ci_ctes(), LEFT_BODY))
 def q_recon_left_only_ci(spark, sf_dir):
     return recon_ci(spark, sf_dir).left_only

@@ -117,3 +117,29 @@ def test_n_by_m_plan_has_no_cartesian(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python UDF
     res.release()
+
+
+def test_not_consumed_exact_ci_mode(spark):
+    # case-only difference: no diff under 'ci', but not raw-equal -> consumed; exact raw copy -> kept available
+    left = [{"id": 1, "k": "a", "o": "x", "a": "P", "b": 1, "c": 0.5},
+            {"id": 2, "k": "a", "o": "y", "a": "p", "b": 1, "c": 0.5},
+            {"id": 3, "k": "b", "o": "x", "a": "p", "b": 1, "c": None},
+            {"id": 4, "k": "b", "o": "y", "a": "p", "b": 1, "c": None}]
+    right = [{"id": 10, "k": "a", "o": "x", "a": "p", "b": 1, "c": 0.5},
+             {"id": 11, "k": "b", "o": "x", "a": "p", "b": 1, "c": None}]
+    for fast in (True, False):
+        pairs, lo, ro = run(spark, left, right, mode="ci", consume_exact=False, fast_paths=fast)
+        assert pairs[1] == (10, 10, "")          # 'P' vs 'p': equal under ci, not raw-equal -> consumed
+        assert 2 in lo                           # nothing left for the second row of key a
+        assert pairs[3] == (11, 11, "")          # NULL on the baseline row: not exact -> consumed
+        assert ro == set()
+
+
+def test_carry_left_columns(spark):
+    rng = random.Random(3)
+    left, right = rows(rng, 30, 0), rows(rng, 30, 100)
+    ldf = spark.createDataFrame([tuple(r[c] for c in ["id", "k", "o"] + COLS) for r in left], SCHEMA)
+    rdf = spark.createDataFrame([tuple(r[c] for c in ["id", "k", "o"] + COLS) for r in right], SCHEMA)
+    res = reconcile(ldf, rdf, "k", COLS, order_by=["o"], row_id="id", carry=["o"])
+    got = {r.row_id: r.o for r in res.with_left(res.pairs, ["o"]).collect()}
+    assert got == {r["id"]: r["o"] for r in left if r["id"] in got} and len(got) == res.pairs.count()
