@@ -37,6 +37,16 @@ from pyspark.sql import functions as F
 from recheck.functions.cells import cell_text, diff_expr, order_struct
 from recheck.session import ensure_checkpoint_dir, guard
 
+# The streamed matcher runs in Python workers: ship this module's code with the task (by value), so executors need
+# no installed copy of the package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 -- older cloudpickle: the package must then be importable on executors
+    pass
+
 
 @dataclass
 class ReconcileResult:
