@@ -115,18 +115,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     cols = list(cols)
     C = len(cols)
     raw = (not consume_exact) and mode != "exact"
-    # The compact projections feed the key profile and every branch below. They are hash-partitioned on the key
-    # (the one shuffle every key join needs anyway, with an explicit count so both sides stay co-partitioned) and
-    # checkpointed to the shared checkpoint folder: each input is scanned and shuffled once, the checkpoint keeps
-    # the key partitioning (joins/aggregates on the key below need no exchange), lineage is cut so a lost executor
-    # costs a re-read, not a re-run. (A persist() is not enough: when both inputs derive from the same tables, the
-    # analyzer's relation de-duplication in the branch joins makes most fragments miss the cache.)
-    spark = left.sparkSession
-    ensure_checkpoint_dir(spark)
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    L = (_prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw, carry).repartition(nparts, "_k")
-         .checkpoint())
-    R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw).repartition(nparts, "_k").checkpoint()
+    L = _prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw, carry)
+    R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw)
     lv = {c: F.col(f"l._c{i}") for i, c in enumerate(cols)}
     rv = {c: F.col(f"r._c{i}") for i, c in enumerate(cols)}
 
@@ -134,8 +124,16 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     kl = L.groupBy("_k").agg(F.count(F.lit(1)).alias("_nl"))
     kr = R.groupBy("_k").agg(F.count(F.lit(1)).alias("_nr"))
     ks = kl.join(kr, "_k", "full_outer")
-    Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"])
-    Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"])
+    # Every row is routed by its key's shape with one shuffle join against the key profile (a hot key's partition
+    # is split by AQE; the profile has one row per key). The routed tables feed all branches below, so they are
+    # checkpointed to the shared checkpoint folder: each input is joined once, lineage is cut (a lost executor
+    # costs a re-read, not a re-run), and each branch then shuffles only its own rows. (persist() is not enough:
+    # when both inputs derive from the same tables, relation de-duplication makes branch fragments miss the cache.
+    # Pre-partitioning by key is avoided on purpose: it would send a hot key to a single task.)
+    spark = left.sparkSession
+    ensure_checkpoint_dir(spark)
+    Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).checkpoint()
+    Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).checkpoint()
 
     def exact_row(l_pre: str, r_pre: str) -> Column:
         """Whole-row equality that the 'not consumed' rule needs: equal cells and no NULL on the baseline row."""
@@ -232,7 +230,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
                   .unionByName(Rk.where(F.col("_nl") > 0).select("_k", "_id").join(consumed, ["_k", "_id"], "left_anti"))
                   .select(F.col("_id").alias("row_id"), F.col("_k").alias("key")))
     return ReconcileResult(pairs=pairs, left_only=left_only, right_only=right_only, compared=cols,
-                           cached=[L, R])
+                           cached=[Lk, Rk])
 
 
 # ---------------------------------------------------------------------------------------------------------------
