@@ -22,13 +22,13 @@ def keyed_sides(spark, sf_dir):
     """Both sides with SKU text cleaned and primary key C (file, SKU) put first.
 
     The sides feed several branches of the summary flow (key joins, per-key and per-file aggregates), so they are
-    materialised once, hash-partitioned on the key.
+    materialised once.
     """
     out = []
     for name in ("gt", "pipeline"):
         df = nan_to_null(load_fixture(spark, sf_dir, name))
         df = df.withColumn("sku_original", clean_key_text("sku_original"))
-        out.append(materialize(pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key"), "primary_key"))
+        out.append(materialize(pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key")))
     return out
 
 

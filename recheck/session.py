@@ -84,14 +84,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df, key: str | None = None):
+def materialize(df):
     """Write ``df`` to the shared checkpoint folder and continue from there (lineage cut, survives executor loss).
 
-    For computed inputs that feed several branches of one flow; ``key`` hash-partitions first so joins and
-    aggregates on that key downstream need no exchange. Plain parquet scans are cheaper to re-read than to copy.
+    For computed inputs that feed several branches of one flow. It is not pre-partitioned by a key: that would send
+    a hot key to a single task, and with AQE on a checkpoint does not keep its partitioning anyway. Plain parquet
+    scans are cheaper to re-read than to copy.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if key is not None:
-        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
