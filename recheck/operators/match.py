@@ -132,6 +132,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     # Pre-partitioning by key is avoided on purpose: it would send a hot key to a single task.)
     spark = left.sparkSession
     ensure_checkpoint_dir(spark)
+    ks = ks.checkpoint()  # one row per key; kept so the two routing joins do not recompute it
     Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).checkpoint()
     Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).checkpoint()
 
