@@ -240,14 +240,6 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
 _NULL = object()
 
 
-def _norm(v):
-    if v is None:
-        return _NULL
-    if isinstance(v, float) and v != v:
-        return _NULL
-    return v
-
-
 class _KeyState:
     """Baseline rows of one key, collapsed into value classes; availability is a prefix count per class.
 
@@ -271,9 +263,9 @@ class _KeyState:
         self.cache = {}
 
     def add_right(self, rid, vals, raw):
+        """``vals``: cell values with NULL/NaN already replaced by the ``_NULL`` marker (see ``_batch_rows``)."""
         t = []
         for d, v in zip(self.codes, vals):
-            v = _norm(v)
             c = d.get(v)
             if c is None:
                 c = d[v] = len(d)
@@ -342,7 +334,7 @@ class _KeyState:
             self.finish()
         if self.avail == 0:
             return None
-        t = tuple(d.get(_norm(v), -1) for d, v in zip(self.codes, vals))
+        t = tuple([d.get(v, -1) for d, v in zip(self.codes, vals)])
         ci = self.cls_index.get(t)
         if ci is not None and self.k[ci] > 0:
             # identical class: zero diffs, the only class with the empty diff list
@@ -384,6 +376,19 @@ class _KeyState:
         return matched, self._take(c), diff
 
 
+def _batch_rows(pdf: pd.DataFrame, cols) -> list:
+    """Row tuples of ``cols`` with NULL/NaN replaced by the ``_NULL`` marker, vectorised per column."""
+    out = []
+    for c in cols:
+        a = pdf[c].to_numpy(dtype=object)
+        m = pd.isna(pdf[c]).to_numpy()
+        if m.any():
+            a = a.copy()
+            a[m] = _NULL
+        out.append(a.tolist())
+    return list(zip(*out)) if out else [()] * len(pdf)
+
+
 def _greedy_stream(gl: DataFrame, gr: DataFrame, cols, consume_exact: bool, raw: bool):
     C = len(cols)
     vcols = [f"_c{i}" for i in range(C)]
@@ -400,18 +405,18 @@ def _greedy_stream(gl: DataFrame, gr: DataFrame, cols, consume_exact: bool, raw:
     def run(batches):
         st = None
         for pdf in batches:
-            ks = pdf["_k"].to_numpy(dtype=object)
-            side = pdf["_side"].to_numpy()
-            ids = pdf["_id"].to_numpy()
-            vals = [pdf[c].to_numpy(dtype=object) for c in vcols]
-            raws = [pdf[c].to_numpy(dtype=object) for c in xcols]
+            ks = pdf["_k"].tolist()
+            side = pdf["_side"].tolist()
+            ids = pdf["_id"].tolist()
+            rows = _batch_rows(pdf, vcols)
+            raws = _batch_rows(pdf, xcols) if raw else None
             ok_, ol, om, oc, od = [], [], [], [], []
-            for j in range(len(pdf)):
+            for j in range(len(ks)):
                 k = ks[j]
                 if st is None or st.key != k:
                     st = _KeyState(k, C)
-                row = [v[j] for v in vals]
-                rw = tuple(_norm(x[j]) for x in raws) if raw else None
+                row = rows[j]
+                rw = raws[j] if raw else None
                 if side[j] == 0:
                     st.add_right(int(ids[j]), row, rw)
                     continue
