@@ -161,7 +161,7 @@ def q_outer_completeness(spark, sf_dir):
 _ISSUE_SQL = (
     "SELECT u.issue_type, CASE WHEN u.issue_type IN ('missing_rows', 'extra_rows', 'duplicate_rows') THEN 'File' "
     "ELSE 'Field' END AS issue_level, round(100.0 - CAST(sum(u.errors) AS DOUBLE) / CAST(sum(u.total_rows) AS DOUBLE)"
-    " * 100, 2) AS accuracy, count(*) FILTER (WHERE u.errors > 0) AS files_affected, 0.0 AS pct_missing, "
+    " * 100, 2) AS accuracy, count(*) FILTER (WHERE u.errors > 0) AS files_affected, CAST(0.0 AS DOUBLE) AS pct_missing, "
     "any_value(i.pct_incorrect) AS pct_incorrect FROM (UNPIVOT (SELECT file_name, total_rows, "
     + ", ".join(f"CAST({m} AS BIGINT) AS {m}" for m in list(S.FILE_LEVEL_ISSUES) + SUM_COLS)
     + " FROM ft) ON " + ", ".join(list(S.FILE_LEVEL_ISSUES) + SUM_COLS)
