@@ -146,10 +146,6 @@ class RuleSet:
         return run_rules(self.data, rs, row_id)
 
 
-def _is_string(df, c):
-    return isinstance(df.schema[c].dataType, T.StringType)
-
-
 def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup: DataFrame | None = None,
                 supplier_category: DataFrame | None = None, supplier_alias: DataFrame | None = None,
                 client_alias: DataFrame | None = None, conditional: DataFrame | None = None,

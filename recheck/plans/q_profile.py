@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recheck.functions.cells import clean_cells, lower_strings, nan_to_null, normalize_dates
 from recheck.operators import profile as P

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from recheck.operators import rules as RU
 from recheck.plans.q_profile import CONTRACT, FLATFILE_COLS, FLATFILE_STRINGS, contract, flatfile

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from recheck.functions.cells import clean_key_text, nan_to_null, pseudo_key
 from recheck.operators import summary as S
