@@ -143,3 +143,17 @@ def test_carry_left_columns(spark):
     res = reconcile(ldf, rdf, "k", COLS, order_by=["o"], row_id="id", carry=["o"])
     got = {r.row_id: r.o for r in res.with_left(res.pairs, ["o"]).collect()}
     assert got == {r["id"]: r["o"] for r in left if r["id"] in got} and len(got) == res.pairs.count()
+
+
+def test_big_keys_and_hot_one_to_many(spark):
+    # keys with > 24 value classes take the vectorised path; key "h" is a hot 1 x m key (one left row)
+    rng = random.Random(11)
+
+    def big_rows(n, id0, keys):
+        return [{"id": id0 + i, "k": rng.choice(keys), "o": rng.choice(["x", "y", "z", None]),
+                 "a": rng.choice(["p", "q", "r", "s", None]), "b": rng.choice([1, 2, 3, 4, 5, None]),
+                 "c": rng.choice([0.5, 1.5, 2.5, None])} for i in range(n)]
+    left = big_rows(150, 0, ["a", "b"]) + [{"id": 999, "k": "h", "o": "x", "a": "q", "b": 2, "c": 1.5}]
+    right = big_rows(140, 1000, ["a", "b"]) + big_rows(300, 5000, ["h"])
+    for fast in (True, False):
+        assert run(spark, left, right, fast_paths=fast) == naive(left, right)
