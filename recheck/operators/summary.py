@@ -233,7 +233,8 @@ def outer_completeness(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataF
 
 
 def file_level_accuracy(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[str], by: str = "file_name",
-                        threshold: int = 0, dup_cols: tuple[Sequence[str], Sequence[str]] | None = None) -> DataFrame:
+                        threshold: int = 0, dup_cols: tuple[Sequence[str], Sequence[str]] | None = None,
+                        dup_by_file: DataFrame | None = None) -> DataFrame:
     """Wide per-file table of the key outer merge -- total, missing, extra, duplicate rows, mismatches per column --
     computed from per-key aggregates; the merge itself is never built. ``dup_cols``: (baseline, candidate) columns
     that define a duplicate merged row (default: all columns of each side)."""
@@ -241,7 +242,7 @@ def file_level_accuracy(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[s
     miss = missing_per_file(gt, pl, key, by)
     extra = extra_per_file(gt, pl, key, by)
     gcols, pcols = dup_cols if dup_cols is not None else (gt.columns, pl.columns)
-    dup = merge_duplicate_rows(gt, pl, key, gcols, pcols, by=by)
+    dup = dup_by_file if dup_by_file is not None else merge_duplicate_rows(gt, pl, key, gcols, pcols, by=by)
     mm = key_mismatch_counts(gt, pl, key, cols, by)
     wide = mm.groupBy("file_name").pivot("field", list(cols)).agg(F.first("mismatches"))
     out = (total.join(miss, by, "left").join(extra, by, "left").join(dup, by, "left").join(wide, by, "left")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from recheck.functions.cells import clean_key_text, nan_to_null, pseudo_key
 from recheck.operators import summary as S
 from recheck.plans.oracle_sql import key_sql
@@ -172,8 +174,10 @@ _ISSUE_SQL = (
 @query("issue_summary", _sql(_ISSUE_SQL, _FILE_TABLE_CTES + _COMPLETE))
 def q_issue_summary(spark, sf_dir):
     gt, pl = keyed_sides(spark, sf_dir)
-    ft = S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS)
-    dups = S.merge_duplicate_rows(gt, pl, "primary_key", *SIDE_COLS)
+    # duplicates per baseline file once; the total adds the NULL-file group (candidate-only keys)
+    dup_by_file = S.merge_duplicate_rows(gt, pl, "primary_key", *SIDE_COLS, by="file_name")
+    ft = S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS, dup_by_file=dup_by_file)
+    dups = dup_by_file.agg(F.coalesce(F.sum("duplicate_rows"), F.lit(0)).cast("bigint").alias("duplicate_rows"))
     return S.issue_summary(ft, SUM_COLS, completeness(spark, sf_dir), dups)
 
 
