@@ -46,3 +46,24 @@ def test_rules_pass_plans_broadcast(spark):
     assert "BroadcastHashJoin" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
+
+
+def test_read_lookup_quoted_commas_crlf(spark):
+    base = tempfile.mkdtemp(prefix="recheck-test-", dir="/tmp")
+    path = os.path.join(base, "category_suppliers.csv")
+    with open(path, "w", newline="") as f:
+        f.write('Category_ID,Category_Name,Supplier_ID,Supplier_Name\r\n'
+                '81,Cards,28,"Bank, National Association"\r\n'
+                '81,Cards,30,Plain Name\r\n')
+    df = io.read_lookup(spark, path, schema="Category_ID int, Category_Name string, Supplier_ID long, "
+                                            "Supplier_Name string")
+    rows = sorted((r.Supplier_ID, r.Supplier_Name) for r in df.collect())
+    assert rows == [(28, "Bank, National Association"), (30, "Plain Name")]
+
+
+def test_to_date_columns(spark):
+    from recheck.functions.cells import to_date_columns
+    df = spark.sql("SELECT TIMESTAMP'2024-05-06 10:11:12' AS t, 'x' AS s, TIMESTAMP_NTZ'2023-01-02 03:04:05' AS u")
+    out = to_date_columns(df)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["date", "string", "date"]
+    assert str(out.first().u) == "2023-01-02"
