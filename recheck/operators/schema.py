@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 # Columns the reference never compares, and the two flag columns its checks append.
 ALIGN_DROP = ("System_DateTime", "Key")
 DB_ALIGN_DROP = ("system_datetime",)
@@ -37,6 +40,10 @@ def align(a: DataFrame, b: DataFrame, drop: Sequence[str] = ALIGN_DROP, how: str
         a = a.toDF(*[c.lower() for c in a.columns])
         b = b.toDF(*[c.lower() for c in b.columns])
     drop = set(drop)
+    only_a = [c for c in a.columns if c not in b.columns and c not in drop]
+    only_b = [c for c in b.columns if c not in a.columns and c not in drop]
+    if only_a or only_b:  # reported before the columns are intersected away
+        log.warning("align: columns only on the left %s, only on the right %s", only_a, only_b)
     if how == "common":
         cols = [c for c in a.columns if c in b.columns and c not in drop]
         if sort:

@@ -45,7 +45,9 @@ def test_align_and_schema(spark):
     b = spark.createDataFrame([("y", 1, 5)], "Name string, id long, only_b long")
     d = {(r.column, r.side) for r in schema_diff(spark, a, b).collect()}
     assert d == {("System_DateTime", "left"), ("only_a", "left"), ("only_b", "right")}
-    ac, bc = align(a, b, how="common")
+    with _Capture() as cap:
+        ac, bc = align(a, b, how="common")
+    assert any("only_a" in m and "only_b" in m for m in cap.messages)
     assert ac.columns == bc.columns == ["id", "Name"]
     al, bl = align(a, b, how="left")
     assert bl.columns == ["id", "Name", "only_a"] and bl.first().only_a is None
@@ -56,3 +58,21 @@ def test_align_and_schema(spark):
         canonical_headers(spark.createDataFrame([(1, 2)], "`A b` long, `ab` long"))
     rep = {(r.sub_category, r.field) for r in contract_report(spark, a, ["id", "Name", "missing"]).collect()}
     assert rep == {("Missing Columns", "missing"), ("Extra Columns", "System_DateTime"), ("Extra Columns", "only_a")}
+
+
+class _Capture(__import__("logging").Handler):
+    def __init__(self):
+        super().__init__()
+        self.messages = []
+
+    def emit(self, record):
+        self.messages.append(record.getMessage())
+
+    def __enter__(self):
+        import logging
+        logging.getLogger("recheck.operators.schema").addHandler(self)
+        return self
+
+    def __exit__(self, *a):
+        import logging
+        logging.getLogger("recheck.operators.schema").removeHandler(self)
