@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recheck.llm import exact_dedup, mixing, quality_rules
+from recheck.llm import exact_dedup, language_id, mixing, quality_rules, sharding, simhash, url_filter
 from recheck.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,20 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs)).select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 WORD_SQL = r"'[^\x20\x09-\x0D]+'"
 
 OP5_SQL = rf"""
@@ -126,3 +140,15 @@ FROM first f JOIN cut c ON f.source IS NOT DISTINCT FROM c.source"""
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op7_simhash_dedup")
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict", "block_score")
