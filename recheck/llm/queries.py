@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recheck.llm import exact_dedup, language_id, mixing, quality_rules, sharding, simhash, url_filter
+from recheck.llm import (
+    exact_dedup, language_id, mixing, packing, quality_rules, sharding, simhash, token_counts, url_filter,
+)
 from recheck.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +154,15 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select(
         "page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.of_documents(table(spark, sf_dir, "documents")).select(
+        F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file_no"), "doc_no", "start", "n_tokens",
+        "complete")
