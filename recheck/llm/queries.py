@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recheck.llm import (
-    exact_dedup, language_id, mixing, packing, quality_rules, sharding, simhash, token_counts, url_filter,
+    exact_dedup, language_id, mixing, packing, quality_rules, sharding, simhash, substring_dedup, token_counts, url_filter,
 )
 from recheck.llm.common import table
 
@@ -166,3 +166,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.of_documents(table(spark, sf_dir, "documents")).select(
         F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file_no"), "doc_no", "start", "n_tokens",
         "complete")
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
