@@ -81,7 +81,7 @@ class Votes:
         for a, b in self.pairs:
             own = (y == a) | (y == b)
             cols.append(svm(x[own].astype(float), np.where(y[own] == a, 1.0, -1.0)))
-        self.w = np.array(cols, np.float32).reshape(len(cols), -1)
+        self.w = np.array(cols, np.float32).reshape(len(cols), x.shape[1])
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(class, score in 0 to 1) of each row: the mean over the winner's pairs of its squashed margin."""

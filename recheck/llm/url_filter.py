@@ -5,8 +5,8 @@ path; of the rules that fit a URL the longest decides. URLs that no rule fits ar
 hashed 2- to 5-grams of the host and of the path (separate columns), fitted on the driver to a small labelled URL
 table, of which ``TRAIN_ROWS`` rows are read at most.
 
-Cases: a NULL URL or one without ``://`` has an empty host and path and no rule; it is judged like others (by the bias
-alone: allow). Ports and user names count as part of the host. Columns other than id and URL are ignored; equal rows
+Cases: a NULL URL or one without ``://`` has an empty host and path and no rule; its score is one half:
+allow. Ports and user names count as part of the host. Columns other than id and URL are ignored; equal rows
 give equal rows; an empty table gives an empty result.
 """
 
@@ -39,7 +39,7 @@ phish-login fake-login replica-watches cheap-replica miracle-diet weight-loss-pi
 ALLOWED_NAMES = """news daily-news weather science physics biology library archive museum history garden recipes kitchen
 travel city-guide mountain river school college university research journal review books reading writers poetry music
 orchestra theatre cinema photo gallery design studio software python linux developer docs manual forum community
-support help contact about health clinic hospital family children sports football cycling running market farm shop
+support help contact about health clinic hospital family children sports football cycling running market orchard shop
 bakery coffee tea hotel airport railway energy water engineering tools workshop north-river green-hill blue-lake
 old-town""".split()
 PATHS = ("/", "/en/12", "/de/345.html", "/fr/78/", "/es/901?page=2", "/index.html", "/2024/05/story", "/blog/post-7")
@@ -83,21 +83,22 @@ def features(hosts: list[str], paths: list[str]) -> np.ndarray:
     return np.hstack([ngrams.normalised(h) for h in halves])
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression by Nesterov's gradient steps; the classes weigh the same. One class only: weights 0."""
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 300) -> np.ndarray:
+    """Weights of a logistic regression, by Nesterov's gradient steps; the classes weigh the same. There is no bias: a
+    URL that has no n-grams gets one half. Labels of one class only: weights towards it; none: weights 0."""
     x, y = x.astype(np.float32), y.astype(np.float32)
-    w, b = np.zeros(x.shape[1], np.float32), np.float32(0)
-    if not len(y) or y.min() == y.max():
-        return w, (0.0 if not len(y) else 4.0 if y.min() else -4.0)
-    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum()).astype(np.float32)
-    lip = np.float32(0.25 * (x ** 2).sum(1).max() + 0.25 + ridge)
-    w0, b0 = w, b
+    w = np.zeros(x.shape[1], np.float32)
+    if not len(y):
+        return w
+    each = {v: 0.5 / max(1, int((y == v).sum())) for v in (0.0, 1.0)}
+    weight = np.array([each[v] for v in y.tolist()], np.float32)
+    step = np.float32(1 / (0.25 * (x ** 2).sum(1).max() + ridge))
+    w0 = w
     for k in range(steps):
-        m = np.float32(k / (k + 3))
-        wv, bv = w + m * (w - w0), b + m * (b - b0)
-        g = weight * (1 / (1 + np.exp(-(x @ wv + bv))) - y)
-        w0, b0, w, b = w, b, wv - (x.T @ g + np.float32(ridge) * wv) / lip, bv - g.sum() / lip
-    return w, float(b)
+        at = w + np.float32(k / (k + 3)) * (w - w0)
+        g = weight * (1 / (1 + np.exp(-(x @ at))) - y)
+        w0, w = w, at - step * (x.T @ g + np.float32(ridge) * at)
+    return w
 
 
 def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, url: str = "url") -> DataFrame:
@@ -109,14 +110,12 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, url:
     h, p = host_and_path(F.col("url"))
     train = (labelled.where(F.col("label").isNotNull()).select(h.alias("h"), p.alias("p"), "label")
              .orderBy(F.xxhash64("h", "p"), "h", "p", "label").limit(TRAIN_ROWS).toPandas())
-    w, b = fit(features(list(train.h), list(train.p)), train.label.to_numpy(float)) if len(train) else (
-        np.zeros(2 * DIMS), 0.0)
-    w32 = w.astype(np.float32)
+    w = fit(features(list(train.h), list(train.p)), train.label.to_numpy(float))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for hosts, paths in batches:
-            out = [1 / (1 + np.exp(-(features(list(hosts[k: k + 512]), list(paths[k: k + 512])) @ w32 + b)))
+            out = [1 / (1 + np.exp(-(features(list(hosts[k: k + 512]), list(paths[k: k + 512])) @ w)))
                    for k in range(0, len(hosts), 512)]
             yield pd.Series(np.concatenate(out) if out else np.zeros(0)).astype(float)
 
@@ -126,6 +125,6 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, url:
     ruled = cut.withColumns({"rule": rule, "verdict": verdict})
     # one branch a kind: only URLs that no rule fits reach Python
     judged = ruled.where(F.col("rule").isNull()).withColumn("block_score", score("host", "path")).withColumn(
-        "verdict", F.when(F.col("block_score") >= 0.5, F.lit("block")).otherwise(F.lit("allow")))
+        "verdict", F.when(F.col("block_score") > 0.5, F.lit("block")).otherwise(F.lit("allow")))
     return ruled.where(F.col("rule").isNotNull()).withColumn("block_score", F.lit(None).cast("double")).unionByName(
         judged)
