@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 NULL_TEXT = "nan"  # how a missing cell renders as text
 ASCII_ALNUM_STRIP = "[^A-Za-z0-9]"  # key variants A and B, and clean_key_text
 UNICODE_ALNUM_STRIP = "[^\\p{L}\\p{N}]"  # key variant C (str.isalnum)
+# White space that text cells are stripped of: every character of the Unicode white-space classes.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def _c(c) -> Column:
@@ -32,12 +34,75 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def cell_text(c, dtype: T.DataType | None = None) -> Column:
-    """Render a cell as text, NULL -> 'nan'; dates as yyyy-MM-dd."""
+def strip(c) -> Column:
+    """Text without white space at its ends (``trim`` takes blanks only)."""
+    return F.btrim(_c(c), F.lit(WHITE_SPACE))
+
+
+def number_text(c, dtype: T.DataType) -> Column:
+    """One text per number, whatever its type: 10, 10.0 and 10.00 are '10', NULL and NaN are NULL."""
+    col = _c(c)
+    if isinstance(dtype, T.DecimalType):
+        text = col.cast("string")
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        v = F.nanvl(col.cast("string").cast("double") if isinstance(dtype, T.FloatType) else col,
+                    F.lit(None).cast("double"))
+        size = F.abs(v)
+        # in this range the shortest decimal text of a double has at most 18 places after the point
+        text = (F.when((v == F.floor(v)) & (size < 1e18), v.cast("decimal(38,0)").cast("string"))
+                .when(size.between(1e-2, 1e15), v.cast("decimal(38,18)").cast("string"))
+                .otherwise(v.cast("string")))
+    else:
+        return col.cast("string")
+    plain = text.rlike(r"^-?[0-9]+\.[0-9]+$")
+    return F.when(plain, F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+
+
+NUMBERS = (T.NumericType,)
+TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def plain_text(c, dtype: T.DataType) -> Column:
+    """A cell as text, NULL kept: numbers as ``number_text``, dates and midnight timestamps as yyyy-MM-dd."""
     col = _c(c)
+    if isinstance(dtype, NUMBERS):
+        return number_text(col, dtype)
     if isinstance(dtype, T.DateType):
-        col = F.date_format(col, "yyyy-MM-dd")
-    return F.coalesce(col.cast("string"), F.lit(NULL_TEXT))
+        return F.date_format(col, "yyyy-MM-dd")
+    if isinstance(dtype, TIMES):
+        day = col.cast("date")
+        return F.when(col == day.cast(dtype), F.date_format(day, "yyyy-MM-dd")).otherwise(col.cast("string"))
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(col)
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(col)
+    return col.cast("string")
+
+
+def cell_text(c, dtype: T.DataType | None = None) -> Column:
+    """Render a cell as text, NULL -> 'nan' (N3). Without a type, by a plain cast."""
+    col = _c(c)
+    return F.coalesce(col.cast("string") if dtype is None else plain_text(col, dtype), F.lit(NULL_TEXT))
+
+
+def comparable(c, own: T.DataType, other: T.DataType, mode: str = "exact") -> Column:
+    """A cell as one text that is equal on both sides exactly where the cells are equal.
+
+    Cells of one type compare by value: NaN is NULL, -0.0 is 0.0, timestamps are instants. Numbers of different types
+    compare as numbers. Any other two types compare as ``plain_text``. NULL equals only NULL. ``ci`` compares the
+    lower-cased text, with NULL as 'nan'.
+    """
+    col = _c(c)
+    if mode == "ci":
+        return F.lower(cell_text(col, own))
+    if own == other and isinstance(own, (T.DoubleType, T.FloatType)):
+        v = F.nanvl(col, F.lit(None).cast(own))
+        return F.when(v == 0, F.lit("0.0")).otherwise(v.cast("string"))
+    if own == other and isinstance(own, T.TimestampType):
+        return F.unix_micros(col).cast("string")
+    if own == other and isinstance(own, (T.DecimalType, T.TimestampNTZType)):
+        return col.cast("string")
+    return plain_text(col, own)
 
 
 def clean_key_text(c) -> Column:
@@ -119,17 +184,26 @@ def to_date_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 
 def clean_cells(df: DataFrame, trim: str = "both", cols: Sequence[str] | None = None) -> DataFrame:
-    """Trimmed text cells, NULL -> 'nan' (N4). ``trim``: 'both' or 'left' (leading blanks only)."""
+    """Text cells stripped of white space at both ends, NULL -> 'nan' (N4). The reference strips one side of a
+    comparison or both: ``clean_sides``; ``trim='none'`` renders without stripping."""
     cols = list(cols or df.columns)
-    fn = F.trim if trim == "both" else F.ltrim
     out = {}
     for c in cols:
         dt = df.schema[c].dataType
-        v = fn(F.col(c)) if isinstance(dt, T.StringType) else F.col(c).cast("string")
+        v = strip(F.col(c)) if isinstance(dt, T.StringType) and trim == "both" else plain_text(F.col(c), dt)
         out[c] = F.coalesce(v, F.lit(NULL_TEXT))
     return df.withColumns(out)
 
 
+def clean_sides(left: DataFrame, right: DataFrame, trim: str = "both",
+                cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a comparison as text cells (N4); ``trim``: 'left' strips the left side (the flat file) only,
+    'both' strips both."""
+    if trim not in ("left", "both"):
+        raise ValueError(f"unknown trim {trim!r}")
+    return clean_cells(left, "both", cols), clean_cells(right, "both" if trim == "both" else "none", cols)
+
+
 def lower_strings(df: DataFrame) -> DataFrame:
     """Lower-case every string cell."""
     return df.withColumns({f.name: F.lower(F.col(f.name)) for f in df.schema.fields

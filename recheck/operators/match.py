@@ -14,13 +14,16 @@ consumed, so it stays available (and ends up right-only) -- the database variant
 Plan. Keys are profiled once (rows per key on each side) and rows are routed by shape:
   0 x m / n x 0   anti sets, no pairing;
   1 x 1           equi-join on key;
-  1 x m           equi-join, then a two-level aggregate (key, diff) -> key; partial aggregation and AQE skew-join
-                  splitting keep a hot key from landing whole in one task;
+  1 x m           equi-join, an exchange on the baseline row, then a two-level aggregate (key, diff) -> key; the
+                  exchange frees the join's partitions, so AQE may split a hot key, and aggregation is partial;
   n x 1           the first left row (a min aggregate) takes the single baseline row;
   n x m           shuffle by key, sort by (key, side, order), and stream each partition through ``mapInPandas``:
                   baseline rows of a key arrive first and are kept as value classes (identical rows collapse);
-                  left rows then stream past that state. Only one key's baseline rows are held at a time and no
-                  pair table is built. The greedy is sequential within a key by definition, so a key is one task.
+                  left rows then stream past that state. Only one key's baseline rows are held at a time, besides
+                  ``CACHE_BYTES`` of profiles, and no pair table is built. The greedy is sequential within a key by
+                  definition, so a key is one task.
+All paths compare cells in one encoded form (``comparable``), and what became of each left row is written once
+(``state``): pairs, left-only and right-only rows and all totals read it.
 """
 
 from __future__ import annotations
@@ -32,8 +35,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from recheck.functions.cells import cell_text, diff_expr, order_struct
+from recheck.functions.cells import comparable, diff_expr, order_struct, plain_text, strip
 from recheck.session import ensure_checkpoint_dir, guard
 
 # The streamed matcher runs in Python workers: ship this module's code with the task (by value), so executors need
@@ -57,7 +61,7 @@ class ReconcileResult:
 
     def with_left(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
         """``df`` (row_id, key, ...) with carried left columns, joined on the key-partitioned checkpointed input."""
-        left = self.cached[0].select(F.col("_k").alias("key"), F.col("_id").alias("row_id"),
+        left = self.cached[0].select(F.col("_k").cast(df.schema["key"].dataType).alias("key"), F.col("_id").alias("row_id"),
                                      *[F.col(f"_a_{c}").alias(c) for c in cols])
         return df.join(left, ["key", "row_id"])
 
@@ -67,27 +71,18 @@ class ReconcileResult:
             df.unpersist()
 
 
-def _cmp_values(df: DataFrame, cols, mode: str, trim: bool) -> list[Column]:
-    out = []
-    for c in cols:
-        dt = df.schema[c].dataType
-        v = F.col(c)
-        if trim and dt.simpleString() == "string":
-            v = F.trim(v)
-        if mode == "ci":
-            v = F.lower(cell_text(v, dt))
-        out.append(v.alias(c))
-    return out
-
-
-def _prep(df, key, row_id, order_by, cols, mode, trim, raw, carry=()):
-    sel = [F.col(key).alias("_k"), F.col(row_id).cast("long").alias("_id"),
+def _prep(df, other, key, row_id, order_by, cols, mode, trim, raw, carry=()):
+    """Key, id and order of a side, and each compared cell as one text (``comparable``): the only form in which any
+    path below, in Spark or in Python, compares cells."""
+    if not isinstance(df.schema[row_id].dataType, T.IntegralType):
+        raise TypeError(f"row id {row_id!r} must be a whole number, not {df.schema[row_id].dataType.simpleString()}")
+    kinds = {c: df.schema[c].dataType for c in cols}
+    cells = {c: strip(c) if trim and isinstance(kinds[c], T.StringType) else F.col(c) for c in cols}
+    sel = [F.col(key).cast("string").alias("_k"), F.col(row_id).cast("long").alias("_id"),
            order_struct(order_by, row_id).alias("_o")] + [F.col(c).alias(f"_a_{c}") for c in carry]
-    vals = _cmp_values(df, cols, mode, trim)
-    sel += [v.alias(f"_c{i}") for i, v in enumerate(vals)]
+    sel += [comparable(cells[c], kinds[c], other.schema[c].dataType, mode).alias(f"_c{i}") for i, c in enumerate(cols)]
     if raw:
-        sel += [(F.trim(F.col(c)) if trim and df.schema[c].dataType.simpleString() == "string" else F.col(c))
-                .cast("string").alias(f"_x{i}") for i, c in enumerate(cols)]
+        sel += [plain_text(cells[c], kinds[c]).alias(f"_x{i}") for i, c in enumerate(cols)]
     return df.select(*sel)
 
 
@@ -114,8 +109,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     cols = list(cols)
     C = len(cols)
     raw = (not consume_exact) and mode != "exact"
-    L = _prep(left, key, row_id, list(order_by), cols, mode, trim_left, raw, carry)
-    R = _prep(right, key, right_row_id, right_order_by, cols, mode, False, raw)
+    L = _prep(left, right, key, row_id, list(order_by), cols, mode, trim_left, raw, carry)
+    R = _prep(right, left, key, right_row_id, right_order_by, cols, mode, False, raw)
     lv = {c: F.col(f"l._c{i}") for i, c in enumerate(cols)}
     rv = {c: F.col(f"r._c{i}") for i, c in enumerate(cols)}
 
@@ -156,7 +151,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
         # 1 x 1
         l11 = Lk.where((F.col("_nl") == 1) & (F.col("_nr") == 1)).alias("l")
         r11 = Rk.where((F.col("_nl") == 1) & (F.col("_nr") == 1)).alias("r")
-        d11 = diff_expr(lv, rv, cols, mode)
+        d11 = diff_expr(lv, rv, cols)
         consumed11 = F.col("r._id") if consume_exact else F.when(~exact_row("l", "r"), F.col("r._id"))
         p11 = l11.join(r11, F.col("l._k") == F.col("r._k")).select(
             F.col("l._id").alias("row_id"), F.col("l._k").alias("key"), F.col("r._id").alias("matched_id"),
@@ -168,7 +163,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
         cand = l1m.join(r1m, F.col("l._k") == F.col("r._k")).select(
             F.col("l._k").alias("_k"), F.col("l._id").alias("_lid"),
             F.struct(F.col("r._o").alias("o"), F.col("r._id").alias("id")).alias("_ro"),
-            diff_expr(lv, rv, cols, mode).alias("_d"))
+            diff_expr(lv, rv, cols).alias("_d")).repartition("_ro.id")  # else the aggregate keeps the join's partitions
         by_diff = cand.groupBy("_k", "_lid", "_d").agg(F.min("_ro").alias("_first"), F.max("_ro").alias("_last"))
         best = by_diff.groupBy("_k", "_lid").agg(F.min_by(
             F.struct("_d", F.col("_first.id").alias("mid"), F.col("_last.id").alias("cid")),
@@ -186,15 +181,15 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
                 "_k", "_f._id", *[F.col(f"_f.{c}").alias(c) for c in vc])
             pn1 = first.alias("l").join(rn1, F.col("l._k") == F.col("r._k")).select(
                 F.col("l._id").alias("row_id"), F.col("l._k").alias("key"), F.col("r._id").alias("matched_id"),
-                F.col("r._id").alias("consumed_id"), diff_expr(lv, rv, cols, mode).alias("diff_columns"))
+                F.col("r._id").alias("consumed_id"), diff_expr(lv, rv, cols).alias("diff_columns"))
             unmatched.append(ln1.join(first.select("_k", "_id"), ["_k", "_id"], "left_anti").select(
                 F.col("_id").alias("row_id"), F.col("_k").alias("key")))
         else:
             # Rows match until the first one that is not exactly equal consumes the baseline row.
             j = ln1.alias("l").join(rn1, F.col("l._k") == F.col("r._k")).select(
                 F.col("l._k").alias("_k"), F.col("l._id").alias("_id"), F.col("l._o").alias("_o"),
-                F.col("r._id").alias("_rid"), diff_expr(lv, rv, cols, mode).alias("_d"),
-                exact_row("l", "r").alias("_ex"))
+                F.col("r._id").alias("_rid"), diff_expr(lv, rv, cols).alias("_d"),
+                exact_row("l", "r").alias("_ex")).repartition("_id")
             stop = j.where(~F.col("_ex")).groupBy("_k").agg(F.min(F.struct("_o", "_id")).alias("_t"))
             jt = j.join(stop, "_k", "left")
             take = F.col("_t").isNull() | (F.struct("_o", "_id") <= F.col("_t"))
@@ -214,22 +209,29 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
 
     gp, gu = _greedy_stream(greedy_l, greedy_r, cols, consume_exact, raw)
     pairs = gp if fast is None else fast.unionByName(gp)
-    pairs = pairs.withColumn("n_diff", F.size("diff_columns")).select(*pair_cols)
     unmatched.append(gu)
-
-    no_key = Lk.where(F.col("_nr") == 0).select(F.col("_id").alias("row_id"), F.col("_k").alias("key"),
-                                                F.lit("no_key").alias("reason"))
-    used_up = unmatched[0]
-    for u in unmatched[1:]:
-        used_up = used_up.unionByName(u)
-    left_only = no_key.unionByName(used_up.withColumn("reason", F.lit("used_up")))
-
+    state = pairs.withColumn("state", F.lit("matched"))
+    none = {f.name: F.lit(None).cast(f.dataType) for f in pairs.schema.fields if f.name not in ("row_id", "key")}
+    for u in unmatched:
+        state = state.unionByName(u.withColumns(none).withColumn("state", F.lit("used_up")))
+    # Every left row that has candidates, with what became of it: matched once, written once, read by all outputs.
+    state = state.unionByName(Lk.where(F.col("_nr") == 0).select(
+        F.col("_id").alias("row_id"), F.col("_k").alias("key")).withColumns(none).withColumn("state", F.lit("no_key")))
+    state = state.withColumn("n_diff", F.size("diff_columns")).checkpoint()
+
+    kind = left.schema[key].dataType
+
+    def typed(df):
+        return df if isinstance(kind, T.StringType) else df.withColumn("key", F.col("key").cast(kind))
+
+    pairs = state.where(F.col("state") == "matched").select(*pair_cols)
+    left_only = state.where(F.col("state") != "matched").select("row_id", "key", F.col("state").alias("reason"))
     consumed = pairs.where(F.col("consumed_id").isNotNull()).select(
         F.col("key").alias("_k"), F.col("consumed_id").alias("_id"))
     right_only = (Rk.where(F.col("_nl") == 0).select("_k", "_id")
                   .unionByName(Rk.where(F.col("_nl") > 0).select("_k", "_id").join(consumed, ["_k", "_id"], "left_anti"))
                   .select(F.col("_id").alias("row_id"), F.col("_k").alias("key")))
-    return ReconcileResult(pairs=pairs, left_only=left_only, right_only=right_only, compared=cols,
+    return ReconcileResult(pairs=typed(pairs), left_only=typed(left_only), right_only=typed(right_only), compared=cols,
                            cached=[Lk, Rk])
 
 
@@ -249,6 +251,8 @@ class _KeyState:
     """
 
     SMALL = 24
+    # Bytes of class profiles kept for left tuples that come again; beyond it they are computed anew.
+    CACHE_BYTES = 32 << 20
 
     __slots__ = ("key", "C", "codes", "rows_id", "rows_raw", "cls_index", "cls_codes", "cls_pos", "ready", "n",
                  "k", "firstpos", "lastpos", "avail", "cache", "big", "ok", "np_last", "N", "R", "np_first", "w")
@@ -341,7 +345,10 @@ class _KeyState:
         else:
             prof = self.cache.get(t)
             if prof is None:
-                prof = self.cache[t] = self._profile(t)
+                prof = self._profile(t)
+                if (len(self.cache) + 1) * self.n * 16 > self.CACHE_BYTES:
+                    self.cache.clear()
+                self.cache[t] = prof
             masks, scores = prof
             if self.big:
                 best = int(np.argmin(np.where(self.ok, scores, np.iinfo(np.int64).max)))
@@ -436,8 +443,3 @@ def _greedy_stream(gl: DataFrame, gr: DataFrame, cols, consume_exact: bool, raw:
         F.col("_cid").alias("consumed_id"), _names_from_idx(F.col("_d"), cols).alias("diff_columns"))
     unmatched = out.where(F.col("_mid").isNull()).select(F.col("_lid").alias("row_id"), F.col("_k").alias("key"))
     return pairs, unmatched
-
-
-def attach(ids: DataFrame, df: DataFrame, row_id: str = "row_id", id_col: str = "row_id") -> DataFrame:
-    """Full rows of ``df`` for a finding table keyed by row id (a semi join, one shuffle on the id)."""
-    return df.join(ids.select(F.col(id_col).alias(row_id)).distinct(), row_id, "left_semi")

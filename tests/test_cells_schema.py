@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from recheck.functions.cells import (cell_text, clean_cells, lower_strings, nan_to_null, normalize_dates,
+from recheck.functions.cells import (cell_text, clean_cells, clean_sides, lower_strings, nan_to_null, normalize_dates,
                                      pseudo_key)
 from recheck.operators.schema import align, canonical_headers, contract_report, schema_diff
 
@@ -35,7 +35,8 @@ def test_clean_lower_nan(spark):
     assert nan_to_null(df).first().d is None
     r = clean_cells(nan_to_null(df)).first()
     assert (r.s, r.d, r.i) == ("X", "nan", "1")
-    assert clean_cells(df, trim="left").first().s == "X "
+    left, right = clean_sides(df, df, trim="left")  # the flat file's side is stripped, the other is not
+    assert left.first().s == "X" and right.first().s == df.first().s
     assert lower_strings(df).first().s == " x "
     assert df.select(cell_text(F.lit(None).cast("string")).alias("t")).first().t == "nan"
 
