@@ -1,41 +1,55 @@
-"""Join helpers: size-checked broadcast for lookup-sized sides."""
+"""Join helpers: broadcasts of checked size for lookup-sized sides."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when its row count is proven below this bound; otherwise the join stays a
-# shuffle join and AQE may still convert it at runtime from measured sizes.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows.
-
-    ``known_rows`` is a proven upper bound (e.g. the row count of the lookup a distinct/filtered/grouped set was
-    derived from); without it the rows are counted (one cheap job over the lookup).
-    """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+# Value sets are broadcast as long as the bytes of all sets of one plan stay below this bound together; the rest stay
+# shuffle joins, which AQE may still convert from measured sizes.
+BROADCAST_MAX_BYTES = 64 << 20
+# What a row of a hashed relation takes besides its values.
+ROW_BYTES = 48
 
 
-def row_counts(*dfs: DataFrame) -> list[int]:
-    """Row counts of several (lookup) tables in one job."""
-    if not dfs:
+def set_bytes(*sets: DataFrame) -> list[int]:
+    """Bytes that each table takes when broadcast (its values as text, and a row's overhead); one job for all."""
+    if not sets:
         return []
-    parts = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, d in enumerate(dfs)]
+    parts = []
+    for i, d in enumerate(sets):
+        row = F.lit(ROW_BYTES)
+        for c in d.columns:
+            row = row + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8
+        parts.append(d.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("n")).select(F.lit(i).alias("i"), "n"))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     got = {r.i: r.n for r in u.collect()}
-    return [got[i] for i in range(len(dfs))]
+    return [got[i] for i in range(len(sets))]
+
+
+def hinted(sets: Sequence[DataFrame], max_bytes: int = BROADCAST_MAX_BYTES) -> list[DataFrame]:
+    """The sets, smallest first marked for broadcast until ``max_bytes`` are reached in sum."""
+    out, room = list(sets), max_bytes
+    for n, i in sorted((n, i) for i, n in enumerate(set_bytes(*sets))):
+        if n > room:
+            break
+        room -= n
+        out[i] = F.broadcast(sets[i])
+    return out
+
+
+def member_set(values: DataFrame, name: str) -> DataFrame:
+    """The distinct values of a one-column table, with a marker column ``name``."""
+    return values.toDF(f"{name}_v").distinct().withColumn(name, F.lit(True))
 
 
-def member_flag(df: DataFrame, col, values: DataFrame, name: str, known_rows: int | None = None) -> DataFrame:
-    """Add boolean ``name``: is ``col`` in the one-column ``values`` set (NULL-safe: NULL is a member only if the
-    set holds NULL, as pandas ``isin``)."""
-    v = values.toDF("_mv").distinct().withColumn(name, F.lit(True))
+def member_flag(df: DataFrame, col, members: DataFrame, name: str) -> DataFrame:
+    """Add boolean ``name``: is ``col`` in ``members`` (a ``member_set``; NULL-safe: NULL is a member only if the set
+    holds NULL, as pandas ``isin``)."""
     c = F.col(col) if isinstance(col, str) else col
-    out = df.join(bounded_broadcast(v, known_rows=known_rows), c.eqNullSafe(F.col("_mv")), "left").drop("_mv")
+    out = df.join(members, c.eqNullSafe(F.col(f"{name}_v")), "left").drop(f"{name}_v")
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))

@@ -8,14 +8,15 @@ builds ``array(when(rule, index))`` per row and explodes it into the long ``viol
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recheck.operators.joins import bounded_broadcast, member_flag, row_counts
+from recheck.functions.cells import strip
+from recheck.operators.joins import hinted, member_flag, member_set
 from recheck.operators.schema import canonical_name
 
 # Patterns, cut-off date, marker words and messages of the checks.
@@ -103,7 +104,7 @@ def long_lookup(*dfs: DataFrame) -> DataFrame:
 def price_band(lookup: DataFrame, name: str = "normalized_name", price: str = "price",
                outlier: str = "price_outlier") -> DataFrame:
     """Min/max reference price per name over non-outlier lookup rows."""
-    ok = F.trim(F.lower(F.col(outlier))) == OUTLIER_NO
+    ok = strip(F.lower(F.col(outlier))) == OUTLIER_NO
     return lookup.where(ok).groupBy(name).agg(F.min(price).alias("min_price"), F.max(price).alias("max_price"))
 
 
@@ -121,144 +122,206 @@ def suppliers_of(cat_df: DataFrame, category_id, cat_col: str = "category_id", i
     return alias_lists(cat_df.where(F.col(cat_col) == F.lit(category_id)), id_col, name_col, sep)
 
 
-def pair_flag(df: DataFrame, left: Sequence[Column], pairs: DataFrame, name: str,
-              known_rows: int | None = None) -> DataFrame:
-    """Add boolean ``name``: the tuple ``left`` is one of ``pairs``' rows (plain equality: a NULL never matches)."""
-    k = [f"_pk{i}" for i in range(len(left))]
-    p = pairs.toDF(*k).distinct().withColumn(name, F.lit(True))
-    cond = None
-    for c, kk in zip(left, k):
-        e = c == F.col(kk)
-        cond = e if cond is None else cond & e
-    out = df.join(bounded_broadcast(p, known_rows=known_rows), cond, "left").drop(*k)
+def pair_set(pairs: DataFrame, name: str) -> DataFrame:
+    """Distinct rows of ``pairs`` with a marker column ``name``."""
+    return pairs.toDF(*[f"{name}_{i}" for i in range(len(pairs.columns))]).distinct().withColumn(name, F.lit(True))
+
+
+def pair_flag(df: DataFrame, left: Sequence[Column], pairs: DataFrame, name: str) -> DataFrame:
+    """Add boolean ``name``: the tuple ``left`` is one of ``pairs``' rows (a ``pair_set``; plain equality: a NULL never
+    matches)."""
+    cond = F.lit(True)
+    for i, c in enumerate(left):
+        cond = cond & (c == F.col(f"{name}_{i}"))
+    out = df.join(pairs, cond, "left").drop(*[f"{name}_{i}" for i in range(len(left))])
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 # -- the rule set --------------------------------------------------------------------------------------------------
 
+@dataclass
+class Lookup:
+    """A value set and how its columns get to the data; joined only where a rule that asks for it is run."""
+    values: DataFrame
+    attach: Callable[[DataFrame, DataFrame], DataFrame]
+
+
 @dataclass
 class RuleSet:
-    data: DataFrame       # input with the lookup flag columns added
-    rules: list           # list[Rule]
+    base: DataFrame                                  # the input, no lookup joined yet
+    rules: list = field(default_factory=list)        # list[Rule]
+    lookups: dict = field(default_factory=dict)      # rule id -> Lookup
+    not_run: list = field(default_factory=list)      # (rule, what is missing)
+
+    def with_lookups(self, names: Sequence[str]) -> DataFrame:
+        """The input with the columns of the named lookups; their sizes are measured in one job."""
+        used = [self.lookups[n] for n in names if n in self.lookups]
+        df = self.base
+        for lookup, values in zip(used, hinted([x.values for x in used])):
+            df = lookup.attach(df, values)
+        return df
+
+    @property
+    def data(self) -> DataFrame:
+        return self.with_lookups(list(self.lookups))
 
     def violations(self, row_id: str = "row_id", only: Sequence[str] | None = None) -> DataFrame:
         rs = [r for r in self.rules if only is None or r.rule in only or r.rule.split("_")[0] in only]
-        return run_rules(self.data, rs, row_id)
+        names = {r.rule for r in rs} | {f"{r.rule}:{r.field}" for r in rs}
+        return run_rules(self.with_lookups([n for n in self.lookups if n in names]), rs, row_id)
+
+    def rules_not_run(self) -> DataFrame:
+        """(rule, reason): each check that had nothing to look at; an empty table means that every rule ran."""
+        return self.base.sparkSession.createDataFrame(self.not_run, "rule string, reason string")
+
+
+def column_finder(df: DataFrame) -> Callable[[str], str | None]:
+    """Finds a column by its canonical name (case, blanks and punctuation don't count); raises if two have it (C4)."""
+    known: dict[str, list[str]] = {}
+    for c in df.columns:
+        known.setdefault(canonical_name(c), []).append(c)
+
+    def find(name: str) -> str | None:
+        found = [name] if name in df.columns else known.get(canonical_name(name), [])
+        if len(found) > 1:
+            raise ValueError(f"column {name!r} is ambiguous: {found}")
+        return found[0] if found else None
+    return find
 
 
 def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup: DataFrame | None = None,
                 supplier_category: DataFrame | None = None, supplier_alias: DataFrame | None = None,
-                client_alias: DataFrame | None = None, conditional: DataFrame | None = None,
+                client_alias: DataFrame | None = None, conditional: DataFrame | Sequence[DataFrame] | None = None,
                 roles: dict | None = None, price_columns: Sequence[str] = ("total_price",),
-                alias_case: str = "lower") -> RuleSet:
-    """Every check of the business-rule flows over one DataFrame.
-
-    ``contract_rows``: (column, dtype, mandatory 'Y', possible values) tuples; ``conditional``: long lookup from
-    ``long_lookup``. ``alias_case='as_is'`` keeps alias names as stored (the reference lower-cases only the data).
+                alias_case: str = "lower", level5_pool: Sequence[str] = ()) -> RuleSet:
+    """Every check of the business-rule flows over one DataFrame. Building runs no job.
+
+    ``contract_rows``: (column, dtype, mandatory 'Y', possible values) tuples; ``conditional``: the lookup tables of
+    R16 (or one long lookup from ``long_lookup``, whose field names then cost a job). ``alias_case='as_is'`` keeps alias
+    names as stored (the reference lower-cases only the data). ``level5_pool``: further lookup columns whose values
+    count for R8 as well. Columns are found by their canonical names; a check whose column or lookup is missing is
+    listed in ``not_run``.
     """
-    ro = dict(ROLES)
-    ro.update(roles or {})
-    has = set(df.columns)
-    rules: list[Rule] = []
-    m = MESSAGES
-
-    mandatory = [r[0] for r in contract_rows if r[2] == "Y" and r[0] in has]
-    for c in mandatory:                                                                 # R1
-        rules.append(Rule("R1", c, F.col(c).isNull(), m["R1"]))
+    find = column_finder(df)
+    ro = {k: find(v) for k, v in {**ROLES, **(roles or {})}.items()}
+    wanted = {**ROLES, **(roles or {})}
+    rs = RuleSet(df)
+    rules, m = rs.rules, MESSAGES
+    contract = [(find(c), c, mand, possible) for c, _, mand, possible in contract_rows]
+
+    def runs(rule: str, *needed: str, lookup=True) -> bool:
+        gone = [f"no column {wanted[r]}" for r in needed if ro[r] is None] + ["no lookup"] * (lookup is None)
+        if gone:
+            rs.not_run.append((rule, ", ".join(gone)))
+        return not gone
+
+    def member(rule: str, col: str, values: DataFrame, text: Column | None = None, name: str | None = None) -> Column:
+        flag = f"_in_{rule}" if name is None else f"_in_{rule}_{len(rs.lookups)}"
+        rs.lookups[name or rule] = Lookup(member_set(values, flag), lambda d, v: member_flag(
+            d, F.col(col) if text is None else text, v, flag))
+        return F.col(flag)
+
+    for c, name, mand, _ in contract:                                                   # R1
+        if mand == "Y" and c is None:
+            rs.not_run.append(("R1", f"no column {name}"))
+        elif mand == "Y":
+            rules.append(Rule("R1", c, F.col(c).isNull(), m["R1"]))
     for f in df.schema.fields:                                                          # R2
         if isinstance(f.dataType, T.StringType):
             rules.append(Rule("R2", f.name, F.lower(F.col(f.name)) == UNKNOWN_TEXT, m["R2"]))
-    for c in price_columns:                                                             # R3
-        if c in has:
-            rules.append(Rule("R3", c, F.col(c) < 0, m["R3"]))
-    if ro["price_date"] in has:                                                         # R4
+    for name in price_columns:                                                          # R3
+        if find(name) is None:
+            rs.not_run.append(("R3", f"no column {name}"))
+        else:
+            rules.append(Rule("R3", find(name), F.col(find(name)) < 0, m["R3"]))
+    if runs("R4", "price_date"):                                                        # R4
         rules.append(Rule("R4", ro["price_date"], F.col(ro["price_date"]) < F.lit(MIN_PRICE_DATE).cast("date"), m["R4"]))
-    pt = ro["payment_term"]
-    if pt in has:
+    if runs("R5", "payment_term"):
+        pt = ro["payment_term"]
         rules.append(Rule("R5", pt, ~F.coalesce(F.col(pt).rlike(PAYMENT_TERM_STRICT), F.lit(False)), m["R5"]))
+    if runs("R6", "payment_term"):
         rules.append(Rule("R6", pt, F.col(pt).isNotNull() & ~F.lower(F.col(pt)).rlike(PAYMENT_TERM_LENIENT), m["R6"]))
 
-    # Row counts of the lookups, one job: a proven bound for every set derived from them (distinct, filter,
-    # group-by never add rows), so each broadcast below is size-checked without a count of its own.
-    given = [d for d in (norm_lookup, supplier_category, supplier_alias, client_alias, conditional) if d is not None]
-    bound = dict(zip([id(d) for d in given], row_counts(*given)))
-    nb = bound.get(id(norm_lookup))
-
     handled = set()
-    if norm_lookup is not None:
-        checks = [("R7", "sku_normalized", "normalized_name"), ("R8", "level5", "level_5"),
-                  ("R9", "uom", "normalized_uom")]
-        for rid, role, lcol in checks:                                                  # R7, R8, R9
-            c = ro[role]
-            if c in has:
-                df = member_flag(df, c, norm_lookup.select(lcol), f"_in_{rid}", nb)
-                rules.append(Rule(rid, c, ~F.col(f"_in_{rid}"), m[rid]))
-                handled.add(c)
-        c = ro["sku_original"]
-        if c in has:                                                                    # R11
-            removal = norm_lookup.where(F.trim(F.lower(F.col("remove_flag"))) == REMOVE_YES).select("original_name")
-            df = member_flag(df, c, removal, "_in_R11", nb)
-            rules.append(Rule("R11", c, F.col("_in_R11"), m["R11"]))
-            handled.add(c)
-        c, n = ro["unit_price"], ro["sku_normalized"]
-        if c in has and n in has:                                                       # R12 (A7)
-            band = price_band(norm_lookup).toDF("_bn", "_bmin", "_bmax")
-            df = df.join(bounded_broadcast(band, known_rows=nb), F.col(n) == F.col("_bn"), "left").drop("_bn")
-            rules.append(Rule("R12", c, (F.col(c) > F.col("_bmax")) | (F.col(c) < F.col("_bmin")), m["R12"]))
-            handled.add(c)
-    if supplier_category is not None and ro["supplier_normalized"] in has:              # R10
+    for rid, role, lcols in (("R7", "sku_normalized", ["normalized_name"]), ("R8", "level5", ["level_5", *level5_pool]),
+                             ("R9", "uom", ["normalized_uom"])):                        # R7, R8, R9
+        if runs(rid, role, lookup=norm_lookup):
+            values = norm_lookup.select(F.explode(F.array(*lcols)).alias("v")) if len(lcols) > 1 else norm_lookup.select(
+                *lcols)
+            rules.append(Rule(rid, ro[role], ~member(rid, ro[role], values), m[rid]))
+            handled.add(ro[role])
+    if runs("R11", "sku_original", lookup=norm_lookup):                                 # R11
+        removal = norm_lookup.where(strip(F.lower(F.col("remove_flag"))) == REMOVE_YES).select("original_name")
+        rules.append(Rule("R11", ro["sku_original"], member("R11", ro["sku_original"], removal), m["R11"]))
+        handled.add(ro["sku_original"])
+    if runs("R12", "unit_price", "sku_normalized", lookup=norm_lookup):                 # R12 (A7)
+        price, name = ro["unit_price"], ro["sku_normalized"]
+        rs.lookups["R12"] = Lookup(price_band(norm_lookup).toDF("_bn", "_bmin", "_bmax"), lambda d, v, own=name: d.join(
+            v, F.col(own) == F.col("_bn"), "left").drop("_bn"))
+        rules.append(Rule("R12", price, (F.col(price) > F.col("_bmax")) | (F.col(price) < F.col("_bmin")), m["R12"]))
+        handled.add(price)
+    if runs("R10", "supplier_normalized", lookup=supplier_category):                    # R10
         c = ro["supplier_normalized"]
-        df = member_flag(df, c, supplier_category.select("supplier_normalized_names"), "_in_R10",
-                         bound[id(supplier_category)])
-        rules.append(Rule("R10", c, ~F.col("_in_R10"), m["R10"]))
+        rules.append(Rule("R10", c, ~member("R10", c, supplier_category.select("supplier_normalized_names")), m["R10"]))
         handled.add(c)
-    for col, _dtype, _mand, possible in contract_rows:                                  # R13
-        if possible is not None and col in has and col not in handled:
+    for c, name, _, possible in contract:                                               # R13
+        if possible is not None and c is None:
+            rs.not_run.append(("R13", f"no column {name}"))
+        elif possible is not None and c not in handled:
             values = possible.split(",")
-            rules.append(Rule("R13", col, ~F.coalesce(F.col(col).isin(*values), F.lit(False)), m["R13"]))
-
-    if conditional is not None:                                                         # R16
-        fields = {r[0] for r in conditional.select("field").distinct().collect()}
-        for i, c in enumerate(df.columns):
-            if c.startswith("_") or canonical_name(c) not in fields:
+            rules.append(Rule("R13", c, ~F.coalesce(F.col(c).isin(*values), F.lit(False)), m["R13"]))
+
+    if conditional is None:                                                             # R16
+        rs.not_run.append(("R16", "no lookup"))
+    else:
+        if isinstance(conditional, DataFrame):
+            long, fields = conditional, {r[0] for r in conditional.select("field").distinct().collect()}
+        else:
+            long = long_lookup(*conditional)
+            fields = {canonical_name(c) for d in conditional for c in d.columns}
+        for c in df.columns:
+            if canonical_name(c) not in fields:
                 continue
-            vals = conditional.where(F.col("field") == canonical_name(c)).select("value")
-            df = member_flag(df, F.lower(F.col(c).cast("string")), vals, f"_in_R16_{i}", bound[id(conditional)])
+            values = long.where(F.col("field") == canonical_name(c)).select("value")
+            known = member("R16", c, values, F.lower(F.col(c).cast("string")), f"R16_missing:{c}")
             rules.append(Rule("R16_null", c, F.col(c).isNull(), m["R16_null"]))
-            rules.append(Rule("R16_missing", c, F.col(c).isNotNull() & ~F.col(f"_in_R16_{i}"), m["R16_missing"]))
+            rules.append(Rule("R16_missing", c, F.col(c).isNotNull() & ~known, m["R16_missing"]))
 
-    canon = {canonical_name(c): c for c in df.columns if not c.startswith("_")}
     for name in NON_NEGATIVE:                                                           # R18
-        c = canon.get(canonical_name(name))
+        c = find(name)
         if c is not None and not any(r.rule == "R18" and r.field == c for r in rules):
             rules.append(Rule("R18", c, F.col(c) < 0, m["R18"]))
+    if not any(r.rule == "R18" for r in rules):
+        rs.not_run.append(("R18", "no column " + " or ".join(NON_NEGATIVE)))
 
     def alias_rule(rid, alias, id_role, name_role, id_col, name_col):                   # R19, R20
-        nonlocal df
-        i, n = ro[id_role], ro[name_role]
-        if alias is None or i not in has or n not in has:
+        if not runs(rid, id_role, name_role, lookup=alias):
             return
+        i, n = ro[id_role], ro[name_role]
         an = F.lower(F.col(name_col)) if alias_case == "lower" else F.col(name_col)
-        df = pair_flag(df, [F.col(i), F.lower(F.col(n))], alias.select(id_col, an), f"_ok_{rid}", bound[id(alias)])
+        rs.lookups[rid] = Lookup(pair_set(alias.select(id_col, an), f"_ok_{rid}"), lambda d, v: pair_flag(
+            d, [F.col(i), F.lower(F.col(n))], v, f"_ok_{rid}"))
         rules.append(Rule(rid, n, ~F.col(f"_ok_{rid}"), m[rid]))
 
     alias_rule("R19", supplier_alias, "supplier_id", "supplier_name", "supplier_id", "alternative_name")
     alias_rule("R20", client_alias, "client_id", "client_name", "client_id", "alternative_name")
-    return RuleSet(df, rules)
+    return rs
 
 
 def search_flags(rs: RuleSet, contract_rows: Sequence[tuple] = (), roles: dict | None = None,
                  row_id: str = "row_id") -> DataFrame:
     """Per row: ``normalized_name_search_flag`` (R14) and ``price_range_flag``."""
-    ro = dict(ROLES)
-    ro.update(roles or {})
-    df = rs.data
+    find = column_finder(rs.base)
+    ro = {k: find(v) for k, v in {**ROLES, **(roles or {})}.items()}
     name, price = ro["sku_normalized"], ro["unit_price"]
+    if name is None or price is None:
+        raise ValueError("search flags need the columns of the roles sku_normalized and unit_price")
+    df = rs.with_lookups([n for n in ("R7", "R12") if n in rs.lookups])
     not_found = F.col(name).isNull()
     if "_in_R7" in df.columns:
         not_found = not_found | ~F.col("_in_R7")
     s_flag = F.when(not_found, F.lit(SEARCH_FLAG[1])).otherwise(F.lit(SEARCH_FLAG[0]))
-    mandatory = {r[0] for r in contract_rows if r[2] == "Y"}
+    mandatory = {find(r[0]) for r in contract_rows if r[2] == "Y"}
     out_of = not_found
     if price in mandatory:
         out_of = out_of | F.col(price).isNull()

@@ -11,9 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STAT_DIGITS = 6  # statistics are reported rounded to 6 decimals
-
-
 def drop_zero(df: DataFrame, col: str = "unit_price") -> DataFrame:
     """Drop rows whose price is exactly 0; NULL prices stay (F1)."""
     return df.where((F.col(col) != 0) | F.col(col).isNull())
@@ -29,8 +26,8 @@ def _stats(name: str, price: str, count_offset: int, exact: bool) -> list[Column
     return [
         (F.count(F.lit(1)) - count_offset).alias("no_of_price_points"),
         F.min(price).alias("low_price"),
-        F.round(_p25(price, exact), STAT_DIGITS).alias("percentile_25th"),
-        F.round(F.avg(price), STAT_DIGITS).alias("avg_price"),
+        _p25(price, exact).alias("percentile_25th"),
+        F.avg(price).alias("avg_price"),
     ]
 
 

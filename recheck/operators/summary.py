@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recheck.functions.cells import comparable, strip
+
 # File-level issue types (all other issue types are fields).
 FILE_LEVEL_ISSUES = ("missing_rows", "extra_rows", "duplicate_rows")
 
@@ -58,7 +60,8 @@ def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, by: str | N
                    threshold: int = 0) -> DataFrame:
     """Rows that have at least one exact copy over ``cols`` (NULLs equal), in total or per ``by``.
 
-    Counted with a grouped aggregate (partial aggregation absorbs hot groups); below ``threshold`` reported as 0.
+    Counted with a grouped aggregate (partial aggregation absorbs hot groups); a total below ``threshold`` is reported
+    as 0 (the counts per file never are).
     """
     cols = list(cols or df.columns)
     keys = cols if by is None or by in cols else [by] + cols
@@ -66,11 +69,13 @@ def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, by: str | N
     if by is None:
         out = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("duplicate_rows"))
     else:
-        out = g.groupBy(by).agg(F.sum("_n").cast("bigint").alias("duplicate_rows"))
-    if threshold:
-        out = out.withColumn("duplicate_rows",
-                             F.when(F.col("duplicate_rows") >= threshold, F.col("duplicate_rows")).otherwise(0))
-    return out
+        return g.groupBy(by).agg(F.sum("_n").cast("bigint").alias("duplicate_rows"))
+    return _from_threshold(out, threshold)
+
+
+def _from_threshold(total: DataFrame, threshold: int) -> DataFrame:
+    n = F.col("duplicate_rows")
+    return total.withColumn("duplicate_rows", F.when(n >= threshold, n).otherwise(0)) if threshold else total
 
 
 def mark_duplicates(df: DataFrame, cols: Sequence[str], name: str = "has_copy") -> DataFrame:
@@ -101,15 +106,10 @@ def mismatch_counts(merged: DataFrame, cols: Sequence[str], by: str = "file_name
     return _long(g, ["file_name"], cols, "mismatches")
 
 
-def _long_values(df: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """(ids..., field, v) with every value as exact text (-0.0 folded into 0.0 so text equality = value equality)."""
-    def txt(c):
-        dt = df.schema[c].dataType.simpleString()
-        col = F.col(c)
-        if dt in ("double", "float"):
-            col = F.when(col == 0, F.lit(0.0)).otherwise(col)
-        return col.cast("string")
-    st = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), txt(c).alias("v")) for c in cols]))
+def _long_values(df: DataFrame, other: DataFrame, ids: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """(ids..., field, v): every value as a text that equals the other side's exactly where the cells are equal."""
+    st = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), comparable(
+        c, df.schema[c].dataType, other.schema[c].dataType).alias("v")) for c in cols]))
     return df.select(*ids, st.alias("_s")).select(*ids, "_s.field", "_s.v")
 
 
@@ -121,9 +121,9 @@ def key_mismatch_counts(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[s
     (NULL-safe); with no candidate row the merged row differs iff ``v`` is not NULL. Both sides are aggregated to
     one row per (key, column, value) before the single join, so a hot key or value never loads one task.
     """
-    g = (_long_values(gt.where(F.col(by).isNotNull()), [key, by], cols)
+    g = (_long_values(gt.where(F.col(by).isNotNull()), pl, [key, by], cols)
          .groupBy(key, by, "field", "v").agg(F.count(F.lit(1)).alias("_cg")))
-    p = _long_values(pl, [key], cols).groupBy(key, "field", "v").agg(F.count(F.lit(1)).alias("_cp"))
+    p = _long_values(pl, gt, [key], cols).groupBy(key, "field", "v").agg(F.count(F.lit(1)).alias("_cp"))
     n = pl.groupBy(key).agg(F.count(F.lit(1)).alias("_np"))
     j = (g.join(n, key, "left")
          .join(p.withColumnRenamed(key, "_pk").withColumnRenamed("field", "_pf").withColumnRenamed("v", "_pv"),
@@ -159,13 +159,8 @@ def merge_duplicate_rows(gt: DataFrame, pl: DataFrame, key: str, gt_cols: Sequen
     dup = (F.when(both, F.col("_ng") * F.col("_np") - F.col("_sg") * F.col("_sp"))
            .when(F.col("_ng").isNotNull(), F.col("_dg")).otherwise(F.col("_dp")))
     if by:
-        out = j.groupBy(by).agg(F.sum(dup).cast("bigint").alias("duplicate_rows"))
-    else:
-        out = j.agg(F.coalesce(F.sum(dup), F.lit(0)).cast("bigint").alias("duplicate_rows"))
-    if threshold:
-        out = out.withColumn("duplicate_rows",
-                             F.when(F.col("duplicate_rows") >= threshold, F.col("duplicate_rows")).otherwise(0))
-    return out
+        return j.groupBy(by).agg(F.sum(dup).cast("bigint").alias("duplicate_rows"))
+    return _from_threshold(j.agg(F.coalesce(F.sum(dup), F.lit(0)).cast("bigint").alias("duplicate_rows")), threshold)
 
 
 def merge_profile(gt: DataFrame, pl: DataFrame, key: str) -> DataFrame:
@@ -233,7 +228,7 @@ def outer_completeness(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataF
 
 
 def file_level_accuracy(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[str], by: str = "file_name",
-                        threshold: int = 0, dup_cols: tuple[Sequence[str], Sequence[str]] | None = None,
+                        dup_cols: tuple[Sequence[str], Sequence[str]] | None = None,
                         dup_by_file: DataFrame | None = None) -> DataFrame:
     """Wide per-file table of the key outer merge -- total, missing, extra, duplicate rows, mismatches per column --
     computed from per-key aggregates; the merge itself is never built. ``dup_cols``: (baseline, candidate) columns
@@ -247,16 +242,13 @@ def file_level_accuracy(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[s
     wide = mm.groupBy("file_name").pivot("field", list(cols)).agg(F.first("mismatches"))
     out = (total.join(miss, by, "left").join(extra, by, "left").join(dup, by, "left").join(wide, by, "left")
            .fillna(0, ["missing_rows", "extra_rows", "duplicate_rows"]))
-    if threshold:
-        out = out.withColumn("duplicate_rows",
-                             F.when(F.col("duplicate_rows") >= threshold, F.col("duplicate_rows")).otherwise(0))
     return out.select(by, "total_rows", "missing_rows", "extra_rows", "duplicate_rows", *cols)
 
 
 def issue_summary(file_table: DataFrame, cols: Sequence[str], completeness: DataFrame | None = None,
                   duplicates_total: DataFrame | None = None, parity: bool = False) -> DataFrame:
     """Per issue type: accuracy round(100 - errors / rows * 100, 2), level, files affected, % missing, % incorrect
-    (A17). ``parity=True`` counts affected files as the reference (errors > 0 and file accuracy != 0)."""
+    (A17). % missing: files that the table has no count for. ``parity=True`` counts affected files as the reference (errors > 0 and file accuracy != 0)."""
     measures = list(FILE_LEVEL_ISSUES) + list(cols)
     long = file_table.select("file_name", "total_rows", *[F.col(m).cast("bigint").alias(m) for m in measures]) \
         .unpivot(["file_name", "total_rows"], measures, "issue_type", "errors")
@@ -264,12 +256,13 @@ def issue_summary(file_table: DataFrame, cols: Sequence[str], completeness: Data
     if parity:
         hit = hit & ((F.lit(100.0) - F.col("errors") / F.col("total_rows") * 100) != 0)
     g = long.groupBy("issue_type").agg(F.sum("errors").alias("_e"), F.sum("total_rows").alias("_t"),
-                                       F.count_if(hit).alias("files_affected"))
+                                       F.count_if(hit).alias("files_affected"),
+                                       (F.avg(F.col("errors").isNull().cast("int")) * 100).alias("pct_missing"))
     out = g.select(
         "issue_type",
         F.when(F.col("issue_type").isin(*FILE_LEVEL_ISSUES), F.lit("File")).otherwise(F.lit("Field")).alias("issue_level"),
         F.round(F.lit(100.0) - F.col("_e").cast("double") / F.col("_t").cast("double") * 100, 2).alias("accuracy"),
-        "files_affected", F.lit(0.0).alias("pct_missing"))
+        "files_affected", "pct_missing")
     inc = None
     if completeness is not None:
         inc = completeness.select(F.col("field").alias("issue_type"), F.col("match_pct").alias("pct_incorrect"))
@@ -291,7 +284,7 @@ def run_totals(matched: DataFrame, left_only: DataFrame, right_only: DataFrame)
 
 def key_quality(df: DataFrame, key: str, side: str = "left") -> DataFrame:
     """Keys occurring more than once, and blank keys, with their row counts (K4)."""
-    blank = F.col(key).isNull() | (F.trim(F.col(key)) == "")
+    blank = F.col(key).isNull() | (strip(F.col(key)) == "")
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return g.where((F.col("n") > 1) | blank).select(F.lit(side).alias("side"), F.col(key).alias("key"), "n",
                                                     blank.alias("is_blank"))

@@ -134,7 +134,7 @@ def cell_diffs(pairs, left, right, cols, row_id="row_id"):
     def as_map(df):
         kv = []
         for c in cols:
-            kv += [F.lit(c), cell_text(F.col(c), df.schema[c].dataType)]
+            kv += [F.lit(c), cell_text(F.col(c))]
         return F.create_map(*kv)
     lm = left.select(F.col(row_id).alias("row_id"), as_map(left).alias("_lm"))
     rm = right.select(F.col(row_id).alias("matched_id"), as_map(right).alias("_rm"))

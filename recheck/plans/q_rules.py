@@ -17,7 +17,7 @@ def ruleset(spark, sf_dir):
     return RU.build_rules(
         flatfile(spark, sf_dir), contract(spark, sf_dir), norm_lookup=load_fixture(spark, sf_dir, "norm_lookup"),
         supplier_category=cat, supplier_alias=load_fixture(spark, sf_dir, "supplier_alias"), client_alias=cal,
-        conditional=RU.long_lookup(cat, cal))
+        conditional=[cat, cal])
 
 
 def _sql(body, extra=()):

@@ -18,4 +18,4 @@ def query(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from recheck.plans import q_profile, q_recon, q_rules, q_sources, q_stats, q_summary  # noqa: F401
+    from recheck.plans import q_flows, q_profile, q_recon, q_rules, q_sources, q_stats, q_summary  # noqa: F401

@@ -71,12 +71,15 @@ def ensure_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared (HDFS/object-store) folder there; we only create a scratch folder when nothing is set,
-    which happens in local tests.
+    The cluster names a shared (HDFS/object-store) folder there. A scratch folder is made only where nothing is set and
+    the master is local, as in tests; elsewhere a folder of the driver's own would be out of the executors' sight.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not d and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="recheck-ckpt-", dir=os.environ.get("RECHECK_SCRATCH", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recheck.functions.cells import nan_to_null
-from recheck.operators.joins import bounded_broadcast
+from recheck.operators.joins import hinted
 
 # File extension -> Spark source.
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".orc": "orc", ".txt": "csv"}
@@ -139,7 +139,7 @@ def facts_for_category(facts: DataFrame, master: DataFrame, category: DataFrame,
     The product master is filtered to the category first; that side is broadcast when its size is proven small.
     """
     cat_ids = category.select(F.col(category_col).alias("_cid")).distinct()
-    m = master.join(bounded_broadcast(cat_ids), F.col(category_col) == F.col("_cid"), "left_semi") \
-        .select(F.col(master_product_col).alias("_pid"), F.col(category_col).alias("category_id"))
-    j = facts.join(bounded_broadcast(m), F.col(product_col) == F.col("_pid"))
+    m = master.join(cat_ids, F.col(category_col) == F.col("_cid"), "left_semi").select(
+        F.col(master_product_col).alias("_pid"), F.col(category_col).alias("category_id"))
+    j = facts.join(hinted([m])[0], F.col(product_col) == F.col("_pid"))
     return j.select("category_id", *[facts[c] for c in facts.columns])
