@@ -77,3 +77,27 @@ class _Capture(__import__("logging").Handler):
     def __exit__(self, *a):
         import logging
         logging.getLogger("recheck.operators.schema").removeHandler(self)
+
+
+def test_dtype_conformance_of_values_and_declared_types(spark):
+    from recheck.operators.profile import dtype_conformance
+    df = spark.createDataFrame([(1.5, 2.0, 7, "x", "1", "1.5", 5, "2020-01-01"), (2.0, 3.0, 8, "y", "2", "2", 6, "2020-13-01")],
+                               "half double, whole double, num long, s string, i string, j string, e long, t string")
+    got = {r.field: r.n_bad for r in dtype_conformance(df, {
+        "half": "int64", "whole": "int64", "num": "object", "s": "object", "i": "int64", "j": "int64",
+        "e": "datetime64[ns]", "t": "datetime64[ns]"}).collect()}
+    assert got == {"half": 1, "num": 2, "j": 1, "e": 2, "t": 1}
+
+
+def test_white_space_is_stripped_as_python_does(spark):
+    texts = ["  a\t", "\r\n b \u00a0", "\u2003c\u3000", "d\x1c", "", " \t "]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert [r.s for r in clean_cells(df).collect()] == [t.strip() for t in texts]
+
+
+def test_number_text_is_one_for_each_number(spark):
+    from recheck.functions.cells import number_text
+    df = spark.sql("SELECT 10 AS a, 10D AS b, 10.00BD AS c, 1e7 AS d, 0.1D AS e, 0.10BD AS f, -0.0D AS g, 1e300 AS h, "
+                   "double('NaN') AS i, 100BD AS j, 1234567.875D AS k, 0.1F AS l")
+    row = df.select(*[number_text(c, df.schema[c].dataType).alias(c) for c in df.columns]).first()
+    assert tuple(row) == ("10", "10", "10", "10000000", "0.1", "0.1", "0", "1.0E300", None, "100", "1234567.875", "0.1")

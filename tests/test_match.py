@@ -1,11 +1,13 @@
 """Greedy reconciliation against a plain Python loop written from the specification."""
 
+import datetime
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from recheck.operators.match import reconcile
+from recheck.operators.match import _KeyState, reconcile
 
 COLS = ["a", "b", "c"]
 SCHEMA = "id long, k string, o string, a string, b long, c double"
@@ -157,3 +159,91 @@ def test_big_keys_and_hot_one_to_many(spark):
     right = big_rows(140, 1000, ["a", "b"]) + big_rows(300, 5000, ["h"])
     for fast in (True, False):
         assert run(spark, left, right, fast_paths=fast) == naive(left, right)
+
+
+# -- cell types: one comparison, whatever path a key takes -----------------------------------------------------------
+
+NAN = float("nan")
+FAR = datetime.datetime(9999, 12, 31, 23, 59, 59)
+TYPED = ("id long, k long, o string, f double, n long, t timestamp, d date, m decimal(20,4), s string, x array<int>, "
+         "b boolean")
+TCOLS = ["f", "n", "t", "d", "m", "s", "x", "b"]
+CHOICES = {"f": [None, NAN, 0.0, -0.0, 1.5, 1e300], "n": [None, 9007199254740992, 9007199254740993, -1],
+           "t": [None, FAR, datetime.datetime(2020, 1, 1)], "d": [None, datetime.date(2020, 1, 1), datetime.date(9999, 12, 31)],
+           "m": [None, Decimal("1.0000"), Decimal("1.0001")], "s": [None, "nan", "", "NULL", "a"],
+           "x": [None, [], [1], [1, 2]], "b": [None, True, False]}
+
+
+def typed_rows(rng, n, id0, keys):
+    return [(id0 + i, rng.choice(keys), rng.choice(["x", "y", None]), *[rng.choice(CHOICES[c]) for c in TCOLS])
+            for i in range(n)]
+
+
+def as_dicts(rows):
+    def plain(v):  # NaN is a null, -0.0 is 0.0, lists compare by value
+        if isinstance(v, float):
+            return None if v != v else v + 0.0
+        return tuple(v) if isinstance(v, list) else v
+    return [dict(zip(["id", "k", "o", *TCOLS], map(plain, r))) for r in rows]
+
+
+@pytest.mark.parametrize("fast", [True, False])
+def test_every_type_compares_alike_on_all_paths(spark, monkeypatch, fast):
+    rng = random.Random(11)
+    left = typed_rows(rng, 60, 0, [2**60, 2, 3, 4, 5, 6, 7, 8, 9, None])
+    right = typed_rows(rng, 60, 1000, [2**60, 2, 3, 4, 20, 21, 22, 23, 5, 6, 7, None])
+    monkeypatch.setitem(globals(), "COLS", TCOLS)
+    res = reconcile(spark.createDataFrame(left, TYPED), spark.createDataFrame(right, TYPED), "k", TCOLS, order_by=["o"],
+                    row_id="id", fast_paths=fast)
+    got = {r.row_id: (r.matched_id, r.consumed_id, ",".join(r.diff_columns)) for r in res.pairs.collect()}
+    want = naive(as_dicts(left), as_dicts(right))
+    assert got == want[0]
+    assert {r.row_id: r.reason for r in res.left_only.collect()} == want[1]
+    assert {r.row_id for r in res.right_only.collect()} == want[2]
+    assert res.pairs.schema["key"].dataType.simpleString() == "bigint"
+
+
+def test_other_types_on_the_other_side(spark):
+    left = spark.createDataFrame([(1, "a", 10000000, "7", datetime.date(2020, 1, 2), Decimal("1.50"), "1e7")],
+                                 "id long, k string, n long, s string, d date, m decimal(10,2), u string")
+    right = spark.createDataFrame([(9, "a", 1e7, 7, datetime.datetime(2020, 1, 2), 1.5, 1e7)],
+                                  "id long, k string, n double, s long, d timestamp, m double, u double")
+    cols = ["n", "s", "d", "m", "u"]
+    for mode in ("exact", "ci"):
+        res = reconcile(left, right, "k", cols, row_id="id", mode=mode)
+        assert res.pairs.first().diff_columns == ["u"]  # a text is compared as it is written
+
+
+def test_more_columns_than_bits(spark):
+    cols = [f"c{i}" for i in range(70)]
+    rng = random.Random(3)
+    make = lambda id0, n: [(id0 + i, "k", *[rng.choice(["p", "q"]) for _ in cols]) for i in range(n)]
+    left, right = make(0, 3), make(100, 40)
+    schema = "id long, k string, " + ", ".join(f"{c} string" for c in cols)
+    res = reconcile(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "k", cols, row_id="id")
+    used, want = set(), {}
+    for r in left:
+        diffs = [(sum(a != b for a, b in zip(r[2:], x[2:])), i) for i, x in enumerate(right) if i not in used]
+        n, i = min(diffs)
+        want[r[0]] = (right[i][0], n)
+        used.add(i)  # no two rows differ in the same columns here
+    assert {r.row_id: (r.matched_id, r.n_diff) for r in res.pairs.collect()} == want
+
+
+def test_hot_1_by_m_key_and_bounded_profiles(spark, monkeypatch):
+    left = spark.createDataFrame([(1, "a", "x")], "id long, k string, v string")
+    right = spark.range(100, 400).selectExpr("id", "'a' AS k", "cast(id % 7 AS string) AS v")
+    res = reconcile(left, right, "k", ["v"], row_id="id")
+    assert res.pairs.first().matched_id == 100
+    one = _KeyState("a", 1)
+    monkeypatch.setattr(_KeyState, "CACHE_BYTES", 1)  # profiles are computed anew, with the same results
+    for i in range(50):
+        one.add_right(i, (str(i % 30),), None)
+    seen = [one.match((str(100 + j),), None, True) for j in range(50)]
+    assert [s[0] for s in seen] and len(one.cache) <= 1 and len({s[1] for s in seen}) == 50
+
+
+def test_row_ids_must_be_whole_numbers(spark):
+    df = spark.createDataFrame([("r1", "a", "x")], "id string, k string, v string")
+    with pytest.raises(TypeError, match="whole number"):
+        reconcile(df, df, "k", ["v"], row_id="id")

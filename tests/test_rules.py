@@ -1,5 +1,7 @@
 """NULL outcome of each rule, lookups and row comments."""
 
+import pytest
+
 from recheck.operators import rules as RU
 
 CONTRACT = [("name", "object", "Y", None), ("ptype", "object", "N", "A,B"), ("price", "float64", "Y", None)]
@@ -64,3 +66,38 @@ def test_lookup_tables(spark):
     assert got == {5: "B|a"}
     ll = {(r.field, r.value) for r in RU.long_lookup(sup).collect()}
     assert ("suppliernormalizednames", "b") in ll and ("categoryid", "1") in ll
+
+
+def test_rules_run_under_other_headers_and_missing_ones_are_named(spark):
+    df = spark.createDataFrame([(1, -1.0, "2016-01-01", "net 30", "nut")],
+                               "row_id long, Total_Price double, `Price Date` string, PAYMENT_TERM string, Sku_Normalized string")
+    df = df.withColumn("Price Date", RU.F.col("Price Date").cast("date"))
+    rs = RU.build_rules(df, [("price type", "object", "Y", "A,B")])
+    assert {r.rule for r in rs.violations().collect()} == {"R3", "R4", "R5", "R6", "R18"}
+    gone = {(r.rule, r.reason) for r in rs.rules_not_run().collect()}
+    assert ("R1", "no column price type") in gone and ("R13", "no column price type") in gone
+    assert ("R7", "no lookup") in gone and ("R9", "no column uom, no lookup") in gone
+    assert {r for r, _ in gone} == {"R1", "R7", "R8", "R9", "R10", "R11", "R12", "R13", "R16", "R19", "R20"}
+
+
+def test_ambiguous_headers_raise(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0)], "row_id long, Total_Price double, totalPrice double")
+    with pytest.raises(ValueError, match="ambiguous"):
+        RU.build_rules(df)
+
+
+def test_only_the_lookups_of_a_rule_are_joined(spark):
+    df = spark.createDataFrame([(1, "nut", -1.0)], "row_id long, sku_normalized string, total_price double")
+    lk = spark.createDataFrame([("nut",) * 7], "normalized_name string, level_5 string, normalized_uom string, "
+                               "original_name string, remove_flag string, price string, price_outlier string")
+    rs = RU.build_rules(df, norm_lookup=lk)
+    assert "Join" not in rs.violations(only=["R3"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in rs.violations(only=["R7"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_value_sets_share_one_broadcast_bound(spark):
+    from recheck.operators.joins import hinted, set_bytes
+    small, large = spark.range(10), spark.range(1000)
+    a, b = set_bytes(small, large)
+    plans = [d._jdf.queryExecution().logical().toString() for d in hinted([large, small], a + 1)]
+    assert a < b and "hint" not in plans[0].lower() and "hint" in plans[1].lower()
