@@ -26,6 +26,8 @@ HEADLINE = [
     "validation_summary",
     "issue_summary",
     "category_accuracy",
+    "run_totals",
+    "recon_cell_diffs",
 ]
 
 

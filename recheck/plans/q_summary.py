@@ -19,17 +19,18 @@ PK_COLS = ["file_name", "sku_original"]
 ALL_COLS = ["file_name"] + SUM_COLS  # fixture columns without the row id
 
 
-def keyed_sides(spark, sf_dir):
+def keyed_sides(spark, sf_dir, written=False):
     """Both sides with SKU text cleaned and primary key C (file, SKU) put first.
 
-    The sides feed several branches of the summary flow (key joins, per-key and per-file aggregates), so they are
-    materialised once.
+    A query of one summary reads the columns it needs from the scan. Where a flow computes several summaries of the same
+    sides, these are ``written`` once.
     """
     out = []
     for name in ("gt", "pipeline"):
         df = nan_to_null(load_fixture(spark, sf_dir, name))
         df = df.withColumn("sku_original", clean_key_text("sku_original"))
-        out.append(materialize(pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key")))
+        df = pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key")
+        out.append(materialize(df) if written else df)
     return out
 
 
@@ -129,7 +130,7 @@ _FILE_TABLE_CTES = [
 
 
 def file_table(spark, sf_dir):
-    gt, pl = keyed_sides(spark, sf_dir)
+    gt, pl = keyed_sides(spark, sf_dir, written=True)
     return S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS)
 
 
@@ -173,7 +174,7 @@ _ISSUE_SQL = (
 
 @query("issue_summary", _sql(_ISSUE_SQL, _FILE_TABLE_CTES + _COMPLETE))
 def q_issue_summary(spark, sf_dir):
-    gt, pl = keyed_sides(spark, sf_dir)
+    gt, pl = keyed_sides(spark, sf_dir, written=True)
     # duplicates per baseline file once; the total adds the NULL-file group (candidate-only keys)
     dup_by_file = S.merge_duplicate_rows(gt, pl, "primary_key", *SIDE_COLS, by="file_name")
     ft = S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS, dup_by_file=dup_by_file)
