@@ -168,6 +168,24 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "complete")
 
 
-@query("op2_substring_dedup")
+OP2_SQL = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORD_SQL}) AS words FROM documents),
+windows AS (
+  SELECT doc_id, p, md5(array_to_string(words[p : p + 49], ' ')) AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS p FROM w)),
+firsts AS (SELECT k, min(doc_id) AS lo FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i
+  FROM windows JOIN firsts ON windows.k = firsts.k WHERE doc_id > lo),
+kept AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w) e
+  ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id)
+SELECT w.doc_id, len(w.words) AS n_words, len(w.words) - coalesce(kept.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
+
+
+@query("op2_substring_dedup", OP2_SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
