@@ -66,9 +66,10 @@ class ReconcileResult:
         return df.join(left, ["key", "row_id"])
 
     def release(self) -> None:
-        """Drop the checkpointed keyed inputs (files go when the cleaner runs; see session settings)."""
-        for df in self.cached:
-            df.unpersist()
+        """Lets go of all results: their checkpoint files are removed once nothing else refers to them (with
+        spark.cleaner.referenceTracking.cleanCheckpoints, see ``session``)."""
+        self.pairs = self.left_only = self.right_only = None
+        self.cached = []
 
 
 def _prep(df, other, key, row_id, order_by, cols, mode, trim, raw, carry=()):

@@ -50,3 +50,13 @@ def q_prefix_scan(spark, sf_dir):
     io.write_results({"gt": gt}, base, fmt="csv")
     back = io.read_prefix(spark, base, glob="*.csv", schema="row_id long, file_name string, unit_price double")
     return back.select("row_id", "file_name", "unit_price")
+
+
+@query("prefix_scan_files", with_fixtures(["gt"], "SELECT file_name AS folder, count(*) AS n_rows FROM gt GROUP BY 1"))
+def q_prefix_scan_files(spark, sf_dir):
+    """Rows of each folder under a prefix, by the path that the scan gives each row."""
+    gt = load_fixture(spark, sf_dir, "gt").select("row_id", "file_name", "unit_price")
+    base = io.write_partitioned(gt, io.scratch_path(spark, "folders"), by="file_name", sort=["row_id"], fmt="csv")
+    back = io.read_prefix(spark, f"{base}/*", glob="*.csv", schema="row_id long, unit_price double")
+    return back.groupBy(F.regexp_extract("source_file", r"file_name=([^/]+)/", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_rows"))

@@ -1,7 +1,8 @@
 """Spark session settings used by tests, the bench and the query registry.
 
-On a cluster the session normally exists already (spark-submit, notebooks); ``ensure_conf`` only fills in what is
-unset, so cluster-wide choices (shuffle partitions, checkpoint folder) win.
+On a cluster the session normally exists already (spark-submit, notebooks): its settings are taken as they are, besides
+``guard``. Set spark.sql.session.timeZone to UTC there if dates are rendered from timestamps, and
+spark.cleaner.referenceTracking.cleanCheckpoints to true, so that checkpoint files go with the frames that read them.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ GUARD_CONF = {"spark.sql.unionOutputPartitioning": "false"}
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "recheck",
                   extra: dict | None = None) -> SparkSession:
-    """Local/test session builder. On a cluster use the provided session and call ``ensure_conf``."""
+    """Local/test session builder; on a cluster use the provided session."""
     master = master or os.environ.get("RECHECK_MASTER", "local[8]")
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
@@ -58,16 +59,6 @@ def guard(spark: SparkSession) -> None:
             pass
 
 
-def ensure_conf(spark: SparkSession) -> None:
-    """Set package defaults only where the session leaves them unset, plus the guards."""
-    guard(spark)
-    for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.ui"):
-            continue
-        if spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
