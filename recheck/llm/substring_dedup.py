@@ -83,7 +83,8 @@ def paths(found: DataFrame, k: int) -> DataFrame:
                          .where("lo < hi").select("a"))
     in_order = Window.partitionBy("doc", "tx").orderBy("i")
     alike = F.col("i") == F.lag("i").over(in_order) + 1
-    seen = checkpointed(found.join(nodes, "a").dropDuplicates(["doc", "tx", "i"])
+    # equal rows count once; the window keeps the partitions that this is done in
+    seen = checkpointed(found.join(nodes, "a").repartition("doc", "tx").dropDuplicates(["doc", "tx", "i"])
                         .withColumn("e_before", F.when(alike, F.lag("e").over(in_order))))
 
     def one(col: str, name: str):
@@ -168,14 +169,16 @@ def spans(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
     known = docs.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
     anchor_rows(known, k, window).write.parquet(f"{folder}/anchors")
     found = checkpointed(paths(spark.read.parquet(f"{folder}/anchors"), k))
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/anchors"), True)
     candidates(among(known, found), found, k, window).write.parquet(f"{folder}/candidates")
     read = spark.read.parquet(f"{folder}/candidates")
     sources = checkpointed(read.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
                            .where("lo < hi").select("h1", "h2", "lo"))
     out = checkpointed(read.join(sources, ["h1", "h2"]).where("doc > lo").groupBy("doc", "tx").agg(
         F.sort_array(F.collect_set(F.struct("s0", "s1"))).alias("cut")))
-    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    top.getFileSystem(spark._jsc.hadoopConfiguration()).delete(top, True)
+    files.delete(top, True)
     return out
 
 
