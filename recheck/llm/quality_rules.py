@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recheck.llm.common import WORD, fresh, quoted
+from recheck.llm.common import WORD, quoted
 
 # Rows of the sample on which rules are timed; more rows are never used.
 SAMPLE_ROWS = 2000
@@ -187,6 +187,6 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = BASE + RULES) -> DataFrame:
     """The rows of ``docs`` that pass every rule, with all their columns."""
     order = [r for r, _, _ in measured(docs, rules, text)]
-    w, t = fresh(docs, "_words"), F.col(quoted(text))
-    return (docs.withColumn(w, words(t)).where(cascade(order, Facts(t, F.col(w))))
-            .select(*[F.col(quoted(c)) for c in docs.columns]))
+    t = F.col(quoted(text))
+    # not as a column of its own: a filter is pushed below it, with the words put in wherever a rule asks for them
+    return docs.where(let(words(t), lambda w: cascade(order, Facts(t, w))))
