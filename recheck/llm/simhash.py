@@ -255,7 +255,7 @@ def labelled(rows: DataFrame, max_bits: int = MAX_BITS, node_rows: int = NODE_RO
     found = connected(links(classes.select("fp"), max_bits, node_rows))
     grouped = checkpointed(classes.join(found, classes["fp"] == found["node"], "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label")))
-    ids = grouped.groupBy("label").agg(F.min("least").alias("component_id"))
+    ids = checkpointed(grouped.groupBy("label").agg(F.min("least").alias("component_id")))
     known = checkpointed(grouped.join(ids, "label").select(F.col("fp").alias("fp2"), "label", "component_id"))
     return rows.join(known, F.col("fp") == F.col("fp2")).drop("fp2")
 
