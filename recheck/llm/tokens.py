@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 # Parts whose ids one Python worker remembers; the dictionary is emptied when it is full.
-CACHE_PARTS = 1_000_000
+CACHE_PARTS = 400_000
 # Longer parts are not cut off but sent through the tokenizer library with their text.
 PART_CHARS = 64
 # Characters handed to the tokenizer library in one call.
