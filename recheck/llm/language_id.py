@@ -145,10 +145,17 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
                      & F.col(quoted(text)).isNotNull() & ~held_out(F.col(quoted(doc_id))))
     keyed = own.select(F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text"),
                        F.xxhash64(quoted(doc_id), quoted(lang)).alias("k"))
-    # the least hashes of each language: keys first (small rows), then the texts that have them
+    # The least hashes of each language: counts by the hashes' first 12 bits say how far they reach, so that one task
+    # sees a 4096th of a language at most besides the sample; then the texts that have them.
+    keys, high = keyed.select("lang", "k").distinct(), F.shiftright("k", 52)
+    up = Window.partitionBy("lang").orderBy("high").rowsBetween(Window.unboundedPreceding, 0)
+    reach = (keys.groupBy("lang", high.alias("high")).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("so_far", F.sum("n").over(up)).groupBy(F.col("lang").alias("l0")).agg(
+                 F.coalesce(F.min(F.when(F.col("so_far") >= per_lang, F.col("high"))), F.max("high")).alias("last")))
     first = Window.partitionBy("lang").orderBy("k")
-    least = checkpointed(keyed.select("lang", "k").distinct().withColumn("at", F.row_number().over(first))
-                         .where(F.col("at") <= per_lang).select(F.col("lang").alias("l2"), F.col("k").alias("k2")))
+    least = checkpointed(keys.join(F.broadcast(reach), F.col("lang") == F.col("l0")).where(high <= F.col("last"))
+                         .withColumn("at", F.row_number().over(first)).where(F.col("at") <= per_lang)
+                         .select(F.col("lang").alias("l2"), F.col("k").alias("k2")))
     rows = (keyed.join(F.broadcast(least), (F.col("lang") == F.col("l2")) & (F.col("k") == F.col("k2")))
             .groupBy("lang", "k").agg(F.min("text").alias("text")).orderBy("lang", "k").select("lang", "text").collect())
     return Model([r.text for r in rows], [r.lang for r in rows])
