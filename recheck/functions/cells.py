@@ -39,11 +39,28 @@ def strip(c) -> Column:
     return F.btrim(_c(c), F.lit(WHITE_SPACE))
 
 
+def _expanded(text: Column) -> Column:
+    """A number's text without its exponent: 5.0E-4 is 0.00050, 1E-7 is 0.0000001, 1.0E18 is 10 and 17 noughts."""
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(text, r"^-|\.|E.*$", "")  # one of them stands before the point
+    e = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    more = e + 1 - F.length(digits)
+    plain = (F.when(e < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits))
+              .when(more >= 0, F.concat(digits, F.repeat(F.lit("0"), more)))
+              .otherwise(F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."),
+                                  F.substring(digits, e + 2, F.length(digits)))))
+    return F.when(text.rlike(r"^-?[0-9](\.[0-9]+)?E-?[0-9]+$"), F.concat(sign, plain)).otherwise(text)
+
+
 def number_text(c, dtype: T.DataType) -> Column:
-    """One text per number, whatever its type: 10, 10.0 and 10.00 are '10', NULL and NaN are NULL."""
+    """One text per number, whatever its type: 10, 10.0 and 10.00 are '10', NULL and NaN are NULL.
+
+    A double is the number that its shortest decimal text says. From 1e38 on, where no decimal and no whole number
+    reaches, it keeps the text with an exponent.
+    """
     col = _c(c)
     if isinstance(dtype, T.DecimalType):
-        text = col.cast("string")
+        text = _expanded(col.cast("string"))
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
         v = F.nanvl(col.cast("string").cast("double") if isinstance(dtype, T.FloatType) else col,
                     F.lit(None).cast("double"))
@@ -51,6 +68,7 @@ def number_text(c, dtype: T.DataType) -> Column:
         # in this range the shortest decimal text of a double has at most 18 places after the point
         text = (F.when((v == F.floor(v)) & (size < 1e18), v.cast("decimal(38,0)").cast("string"))
                 .when(size.between(1e-2, 1e15), v.cast("decimal(38,18)").cast("string"))
+                .when(size < 1e38, _expanded(v.cast("string")))
                 .otherwise(v.cast("string")))
     else:
         return col.cast("string")

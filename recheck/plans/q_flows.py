@@ -114,6 +114,41 @@ def q_recon_pairs_mixed_types(spark, sf_dir):
                                "amount": F.col("amount").cast("decimal(30,6)"), "day": F.col("day").cast("timestamp")})
     return _pairs(reconcile(left, other, "k", TYPE_COLS))
 
+# Numbers whose text as a double has an exponent, or a place behind the point beyond 1e15; written as text, so that the
+# oracle compares texts and only the queries' sides have types.
+_NUMBERS = """SELECT o_orderkey AS row_id,
+ CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 100000000 ELSE o_custkey % 5000 END AS k,
+ CASE (o_orderkey {bump}) % 5 WHEN 0 THEN '0.0005' WHEN 1 THEN '0.0000001' WHEN 2 THEN '-0.0003' WHEN 3 THEN '0.009' END AS tiny,
+ CASE o_custkey % 3 WHEN 0 THEN '0.0005' WHEN 1 THEN '0.0000001' ELSE '1125899906842624.2' END AS as_text,
+ CASE (o_orderkey {bump}) % 3 WHEN 0 THEN '1000000000000000000' WHEN 1 THEN '2000000000000000000' ELSE '-7' END AS huge,
+ CASE o_orderkey % 2 WHEN 0 THEN '1125899906842624.2' ELSE '2251799813685248.5' END AS frac
+FROM {{orders}}"""
+NUMBER_COLS = ["tiny", "as_text", "huge", "frac"]
+_BUMP = "+ CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END"
+
+
+def _numbers_sql(engine, sf_dir=None):
+    from recheck.sources.fixtures import table_refs
+    refs = table_refs(engine, sf_dir)
+    return tuple(_NUMBERS.format(bump=b).format(**refs) for b in (_BUMP, ""))
+
+
+def _numbers_oracle():
+    left, right = _numbers_sql("duckdb")
+    ctes = [("tl", f"SELECT * FROM ({left}) WHERE row_id % 17 <> 0"), ("tr", right)]
+    return with_fixtures([], PAIRS_BODY, "duckdb", recursive=True, extra=ctes + greedy_ctes(
+        "tl", "tr", "CAST(k AS VARCHAR)", "CAST(k AS VARCHAR)", NUMBER_COLS, NUMBER_COLS, NUMBER_COLS, [], []))
+
+
+@query("recon_pairs_mixed_numbers", _numbers_oracle())
+def q_recon_pairs_mixed_numbers(spark, sf_dir):
+    """Doubles below 0.01, from 1e18 on and with places beyond 1e15 against decimals, whole numbers and text."""
+    left, right = (spark.sql(x) for x in _numbers_sql("spark", sf_dir))
+    left = left.where("row_id % 17 <> 0").withColumns({c: F.col(c).cast("double") for c in NUMBER_COLS})
+    right = right.withColumns({"tiny": F.col("tiny").cast("decimal(38,10)"), "huge": F.col("huge").cast("bigint"),
+                               "frac": F.col("frac").cast("decimal(38,4)")})
+    return _pairs(reconcile(left, right, "k", NUMBER_COLS))
+
 # -- headers in another style --------------------------------------------------------------------------------------
 
 

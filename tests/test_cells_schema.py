@@ -101,3 +101,37 @@ def test_number_text_is_one_for_each_number(spark):
                    "double('NaN') AS i, 100BD AS j, 1234567.875D AS k, 0.1F AS l")
     row = df.select(*[number_text(c, df.schema[c].dataType).alias(c) for c in df.columns]).first()
     assert tuple(row) == ("10", "10", "10", "10000000", "0.1", "0.1", "0", "1.0E300", None, "100", "1234567.875", "0.1")
+
+
+def test_number_text_of_small_and_large_doubles_is_plain(spark):
+    from recheck.functions.cells import number_text
+    texts = ["0.0005", "-0.0005", "0.0000001", "0.00000012345", "0.009", "1000000000000000000", "-1000000000000000000",
+             "1234567890123456800000", "1125899906842624.2", "2251799813685248.5", "0.01", "1000000000000000", "0", "-1.5"]
+    for kind in ("double", "decimal(38,12)"):
+        df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("v", F.col("t").cast(kind))
+        got = df.select("t", number_text("v", df.schema["v"].dataType).alias("n")).collect()
+        assert [r.n for r in got] == [r.t for r in got], kind
+    row = spark.sql("SELECT 1e-40D AS a, 1.5e-12F AS b, 9.5e37D AS c, 1000000000000000000 AS d, double('Infinity') AS e, "
+                    "4.9e-324D AS f")
+    got = row.select(*[number_text(c, row.schema[c].dataType).alias(c) for c in row.columns]).first()
+    assert tuple(got) == ("0." + "0" * 39 + "1", "0.0000000000015", "95" + "0" * 36, "1" + "0" * 18, "Infinity",
+                          "0." + "0" * 323 + "49")
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")  # then a decimal's own text has an exponent too
+    try:
+        df = spark.sql("SELECT CAST('0.0000001' AS DECIMAL(20,18)) AS a, CAST(0 AS DECIMAL(20,18)) AS b")
+        assert tuple(df.select(*[number_text(c, df.schema[c].dataType) for c in df.columns]).first()) == ("0.0000001", "0")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+
+def test_equal_numbers_of_other_types_are_not_reported(spark):
+    from recheck.operators.match import reconcile
+    texts = ["0.0005", "0.0000001", "1000000000000000000", "1125899906842624.2"]
+    left = spark.createDataFrame([(i, "k", t) for i, t in enumerate(texts)], "row_id long, k string, t string")
+    left = left.withColumn("v", F.col("t").cast("double")).drop("t")
+    for kind in ("decimal(38,10)", "string"):
+        right = spark.createDataFrame([(i, "k", t) for i, t in enumerate(texts)], "row_id long, k string, v string")
+        right = right.withColumn("v", F.col("v").cast(kind))
+        got = reconcile(left, right, "k", ["v"]).pairs.select("row_id", "matched_id", "n_diff").collect()
+        assert sorted(map(tuple, got)) == [(i, i, 0) for i in range(len(texts))], kind
