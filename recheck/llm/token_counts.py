@@ -5,8 +5,10 @@ document, and no index. The scan cuts files into blocks, finds the end ids of a
 and stitches: a prefix scan over the blocks of a file says where the document that is open at a block's first id began
 and how many documents ended before. A document may span any number of blocks.
 
-Files of up to ``FILE_BYTES`` are read by one task each and cut there; larger files are read in splits by Spark's
-fixed-length record reader, so that no task holds a file whole. ``write_flat`` makes such files from documents, one a
+Files of up to ``FILE_BYTES`` are read by one task each and cut there; larger files are dealt to tasks as byte ranges of
+whole blocks, read a block at a time, so that no task holds a file whole. Tasks open ranges by ``file:`` paths, as Spark
+does; in other stores, whose files only Spark reads, large files go through its fixed-length record reader, with the
+longest records that fill the file (``record_ends``). ``write_flat`` makes such files from documents, one a
 partition, with Spark's text writer: the line separator is the end id.
 
 Cases: an empty file has no documents; ids behind the last end id are a document with complete = false; a NULL or empty
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recheck.llm.common import checkpointed, quoted
@@ -34,6 +36,7 @@ FILE_BYTES = 1 << 28
 BATCH = 256
 
 _ENDS = "file string, block bigint, n bigint, ends array<int>"
+_RANGES = "file string, first bigint, tokens bigint"
 
 
 def write_flat(docs: DataFrame, path: str, text: str = "text", tokenizer: str | None = None, end_id: int = END_ID,
@@ -77,25 +80,63 @@ def block_ends(spark: SparkSession, path: str, end_id: int = END_ID, dtype: str
                                                       pa.array(e, pa.list_(pa.int32()))],
                                                      names=["file", "block", "n", "ends"])
 
-    out = files.where(F.col("length") <= file_bytes).select("path", "content").mapInArrow(scan, _ENDS)
-    for row in files.where(F.col("length") > file_bytes).select("path", "length").collect():
-        # records must fill the file: the longest that do, up to a block; what is behind the last id is left out
-        tokens = row.length // item
-        each = next((d for d in range(min(block_tokens, tokens), 0, -1) if tokens % d == 0 and not row.length % item), 0)
-        if not each:
-            raise ValueError(f"{row.path}: {row.length} bytes are not a whole number of {item}-byte ids")
-        name = row.path
-
-        def split(records: Iterator[tuple[bytes, int]], name: str = name) -> Iterator[tuple]:
-            for data, k in records:
-                for f, b, n, e in ends_of(name, k, data, end_id, dtype, block_tokens):
-                    yield f, b, n, e.tolist()
-
-        big = spark.sparkContext.binaryRecords(name, each * item).zipWithIndex().mapPartitions(split)
-        out = out.unionByName(spark.createDataFrame(big, _ENDS))
+    def whole(some: Column) -> DataFrame:
+        return files.where(some).select("path", "content").mapInArrow(scan, _ENDS)
+
+    out = whole(F.col("length") <= file_bytes)
+    large = files.where(F.col("length") > file_bytes).select("path", "length").collect()
+    each = max(1, file_bytes // (block_tokens * item)) * block_tokens  # tokens of a range
+    ranges = [(r.path, at, min(each, r.length // item - at)) for r in large if r.path.startswith("file:")
+              for at in range(0, r.length // item, each)]
+    if ranges:
+        dealt = spark.createDataFrame(spark.sparkContext.parallelize(ranges, len(ranges)), _RANGES)
+        out = out.unionByName(dealt.mapInArrow(range_scan(end_id, dtype, block_tokens), _ENDS))
+    for r in large:
+        if not r.path.startswith("file:"):
+            # records must fill the file: with a part of an id at its end, the file is read by one task
+            got = (whole((F.col("path") == r.path) & (F.col("length") > file_bytes)) if r.length % item else
+                   record_ends(spark, r.path, r.length, end_id, dtype, block_tokens))
+            out = out.unionByName(got)
     return out
 
 
+def range_scan(end_id: int, dtype: str, block_tokens: int):
+    """Scan of (file, first token, tokens) rows, the first token being a block's: a batch a block."""
+    item = np.dtype(dtype).itemsize
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, first, tokens in zip(*(c.to_pylist() for c in b.columns)):
+                with open("/" + file.removeprefix("file:").lstrip("/"), "rb") as f:
+                    f.seek(first * item)
+                    for at in range(first, first + tokens, block_tokens):
+                        size = min(block_tokens, first + tokens - at) * item
+                        data = f.read(size)
+                        if len(data) < size:
+                            raise ValueError(f"{file}: shorter than it was listed")
+                        [(_, k, n, e)] = ends_of(file, at // block_tokens, data, end_id, dtype, block_tokens)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([file]), pa.array([k], pa.int64()), pa.array([n], pa.int64()),
+                             pa.array([e], pa.list_(pa.int32()))], names=["file", "block", "n", "ends"])
+
+    return scan
+
+
+def record_ends(spark: SparkSession, file: str, length: int, end_id: int, dtype: str, block_tokens: int) -> DataFrame:
+    """``block_ends`` of one file of whole ids, by fixed-length records that fill it: blocks may be far smaller."""
+    item = np.dtype(dtype).itemsize
+    tokens = length // item
+    each = next(d for d in range(min(block_tokens, tokens), 0, -1) if tokens % d == 0)
+
+    def split(records: Iterator[tuple[bytes, int]]) -> Iterator[tuple]:
+        for data, k in records:
+            for f, b, n, e in ends_of(file, k, data, end_id, dtype, block_tokens):
+                yield f, b, n, e.tolist()
+
+    return spark.createDataFrame(spark.sparkContext.binaryRecords(file, each * item).zipWithIndex().mapPartitions(split),
+                                 _ENDS)
+
+
 def stitched(blocks: DataFrame) -> DataFrame:
     """(file, doc_no, start, n_tokens, complete) of every document of the files, end ids not counted."""
     order = Window.partitionBy("file").orderBy("block")

@@ -189,6 +189,32 @@ def test_scan_of_flat_files(spark, tmp_path, block, file_bytes):
     assert dict(got) == want
 
 
+@pytest.mark.parametrize("n, tail", [(10007, b""), (10007, b"x"), (10000, b"x"), (1, b"x"), (0, b"x")])
+def test_large_files_have_the_blocks_of_small_ones(spark, tmp_path, n, tail):
+    """A prime number of ids and a part of an id at the end, whatever the size from which on a file is large."""
+    ids = np.random.default_rng(n).integers(0, 40, n).astype("<u2")
+    (tmp_path / "a b%20c").write_bytes(ids.tobytes() + tail)
+    ends = np.flatnonzero(ids == 7)
+    lengths = [*np.diff([-1, *ends]) - 1, *([n - 1 - ends[-1]] if len(ends) and ends[-1] < n - 1 else [])]
+    lengths = lengths if len(ends) else [n] * (n > 0)
+    for file_bytes in (1 << 28, 3000, 0):
+        blocks = token_counts.block_ends(spark, str(tmp_path), 7, "<u2", 256, file_bytes)
+        assert [(r.block, r.n) for r in blocks.orderBy("block").collect()] == [
+            (k, min(256, n - at)) for k, at in enumerate(range(0, n, 256))]
+        got = token_counts.stitched(blocks).orderBy("doc_no").collect()
+        assert [r.n_tokens for r in got] == lengths
+
+
+@pytest.mark.parametrize("n, tail", [(10007, b""), (10000, b"x")])
+def test_large_files_that_only_spark_reads(spark, tmp_path, n, tail):
+    ids = np.random.default_rng(n).integers(0, 40, n).astype("<u2")
+    ids[-1] = 7
+    (tmp_path / "a").write_bytes(ids.tobytes() + tail)
+    spark.sparkContext._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.flat{n}.link./in", f"file://{tmp_path}")
+    got = token_counts.counts(spark, f"viewfs://flat{n}/in", 7, "<u2", 256, 3000).orderBy("doc_no").collect()
+    assert [r.n_tokens for r in got] == (np.diff([-1, *np.flatnonzero(ids == 7)]) - 1).tolist()
+
+
 def test_written_files_are_flat(spark, docs_frame, tmp_path):
     rows = [(i, t, "en", "s") for i, t in enumerate(["a b", "", None, "É 你好 <|endoftext|>", "x " * 300])]
     token_counts.write_flat(docs_frame(rows).coalesce(1), str(tmp_path / "out"))
