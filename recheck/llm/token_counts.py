@@ -138,22 +138,30 @@ def record_ends(spark: SparkSession, file: str, length: int, end_id: int, dtype:
 
 
 def stitched(blocks: DataFrame) -> DataFrame:
-    """(file, doc_no, start, n_tokens, complete) of every document of the files, end ids not counted."""
+    """(file, doc_no, start, n_tokens, complete) of every document of the files, end ids not counted.
+
+    The scan over a file's blocks sees four numbers a block; what it finds goes back to the blocks, where the documents
+    are made. ``blocks`` is read twice.
+    """
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    last = F.when(F.size("ends") > 0, F.element_at("ends", -1) + 1)
-    found = (blocks.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0)))
-             .withColumn("doc_0", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
-             .withColumn("behind", F.col("at") + last)  # place behind the last end id of the block
+    numbers = blocks.select("file", "block", "n", F.size("ends").alias("c"),
+                            F.when(F.size("ends") > 0, F.element_at("ends", -1) + 1).alias("last"))
+    found = (numbers.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0)))
+             .withColumn("doc_0", F.coalesce(F.sum("c").over(before), F.lit(0)))
+             .withColumn("behind", F.col("at") + F.col("last"))  # place behind the last end id of the block
              .withColumn("open", F.coalesce(F.max("behind").over(before), F.lit(0)))
              .withColumn("final", F.lead("block").over(order).isNull()))
-    ended = found.select("file", "at", "open", "doc_0", "ends", F.posexplode("ends").alias("k", "end")).select(
+    some = found.where("c > 0").select(F.col("file").alias("_file"), F.col("block").alias("_block"), "at", "open", "doc_0")
+    ended = (blocks.select("file", "block", "ends").where(F.size("ends") > 0)
+             .join(some, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+             .select("file", "at", "open", "doc_0", "ends", F.posexplode("ends").alias("k", "end")).select(
         "file", (F.col("doc_0") + F.col("k")).alias("doc_no"),
         F.when(F.col("k") == 0, F.col("open")).otherwise(
             F.col("at") + F.get("ends", F.col("k") - 1) + 1).alias("start"),
-        (F.col("at") + F.col("end")).alias("to"), F.lit(True).alias("complete"))
+        (F.col("at") + F.col("end")).alias("to"), F.lit(True).alias("complete")))
     tail = found.where("final").select(
-        "file", (F.col("doc_0") + F.size("ends")).alias("doc_no"), F.coalesce("behind", "open").alias("start"),
+        "file", (F.col("doc_0") + F.col("c")).alias("doc_no"), F.coalesce("behind", "open").alias("start"),
         (F.col("at") + F.col("n")).alias("to"), F.lit(False).alias("complete")).where("to > start")
     return ended.unionByName(tail).select("file", "doc_no", "start", (F.col("to") - F.col("start")).alias("n_tokens"),
                                           "complete")

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recheck.llm import packing, sharding, token_counts, tokens
 
@@ -215,6 +216,22 @@ def test_large_files_that_only_spark_reads(spark, tmp_path, n, tail):
     assert [r.n_tokens for r in got] == (np.diff([-1, *np.flatnonzero(ids == 7)]) - 1).tolist()
 
 
+def test_documents_of_one_file_are_made_in_many_tasks(spark):
+    """The scan over a file's blocks carries no end ids, and the documents are not made where it runs."""
+    rows = [("f", k, 64, list(range(k % 3, 64, 3))) for k in range(400)]
+    blocks = spark.createDataFrame(rows, "file string, block bigint, n bigint, ends array<int>").localCheckpoint()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = token_counts.stitched(blocks).withColumn("pid", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ends = [64 * k + e for _, k, _, inside in rows for e in inside]
+    assert sorted((r.doc_no, r.start, r.n_tokens) for r in got if r.complete) == [
+        (i, b + 1, e - b - 1) for i, (b, e) in enumerate(zip([-1, *ends], ends))]
+    by_task = Counter(r.pid for r in got)
+    assert max(by_task.values()) < len(got) / 2
+
+
 def test_written_files_are_flat(spark, docs_frame, tmp_path):
     rows = [(i, t, "en", "s") for i, t in enumerate(["a b", "", None, "É 你好 <|endoftext|>", "x " * 300])]
     token_counts.write_flat(docs_frame(rows).coalesce(1), str(tmp_path / "out"))
