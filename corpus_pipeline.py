@@ -43,7 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
-    return packing.pack(docs)
+    return packing.pack(docs, special=True)
 
 
 STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("simhash_dedup", near), ("mixing", mixed),

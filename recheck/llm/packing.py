@@ -206,13 +206,14 @@ def slots(runs: list[Run]) -> np.ndarray:
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None,
-           capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:
-    """One row a piece: doc_id, piece, start, length, ids_crc32, and with ``ids`` the ids (little-endian, 4 bytes)."""
+           capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False, special: bool = False) -> DataFrame:
+    """One row a piece: doc_id, piece, start, length, ids_crc32, and with ``ids`` the ids (little-endian, 4 bytes).
+    ``special``: see ``tokens``."""
     rows = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).cast("string").alias("text"))
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, "<u4").ids
+        encode = encoder(tokenizer, "<u4", special).ids
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 b = whole.slice(at, BATCH)
@@ -265,9 +266,10 @@ def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None,
-         capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:
-    """One row a piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (with ``ids``: the ids too)."""
-    return place(checkpointed(pieces(docs, doc_id, text, tokenizer, capacity, end_id, ids)), capacity)
+         capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False, special: bool = False) -> DataFrame:
+    """One row a piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (with ``ids``: the ids too).
+    ``special``: the string of a special token is that token, the tokenizer library's default."""
+    return place(checkpointed(pieces(docs, doc_id, text, tokenizer, capacity, end_id, ids, special)), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ merges inside those pieces only. So a text in which every blank and line break s
 may be cut before each of them: the parts' ids, joined, are the ids of the whole. Parts repeat a great deal, so their
 ids are kept in a bounded dictionary; a part of letters is one piece and needs no further splitting. Any other text
 (double blanks, blank lines, very long words) goes to the tokenizer library whole.
+
+The string of a special token inside a text is ordinary text, or, with ``special``, that token: the library's default.
+Texts that hold a token which the library looks for are given to it whole.
 """
 
 from __future__ import annotations
@@ -61,7 +64,7 @@ class _Parts(dict):
 class Encoder:
     """ids(texts) -> one little-endian id buffer a text; made once in each Python worker."""
 
-    def __init__(self, path: str | None = None, dtype: str = "<u4"):
+    def __init__(self, path: str | None = None, dtype: str = "<u4", special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import tiktoken
@@ -69,7 +72,7 @@ class Encoder:
 
         path = path or tokenizer_path()
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings inside a text are ordinary text
+        self.tok.encode_special_tokens = not special
         self.dtype = np.dtype(dtype)
         if self.tok.get_vocab_size() - 1 > np.iinfo(self.dtype).max:
             raise ValueError(f"{dtype} cannot hold the ids of {path}")
@@ -82,9 +85,11 @@ class Encoder:
         self.cut = (model.get("type") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
                     and not spec.get("normalizer")
                     and all(vocab.get(m.replace(" ", "", 1)) == 256 + k for k, m in enumerate(merges)))
+        # strings that the library looks for before it splits a text
+        self.marks = [t["content"] for t in spec.get("added_tokens", []) if special or not t.get("special")]
         if self.cut:
-            special = {t["content"] for t in spec.get("added_tokens", [])}
-            ranks = {bytes(letters[c] for c in t): k for t, k in vocab.items() if t not in special}
+            added = {t["content"] for t in spec.get("added_tokens", [])}
+            ranks = {bytes(letters[c] for c in t): k for t, k in vocab.items() if t not in added}
             self.bpe = tiktoken.Encoding("parts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                          special_tokens={})
             self.piece = self.bpe._core_bpe.encode_single_piece
@@ -124,6 +129,8 @@ class Encoder:
             parts = t.replace("\n", " \n").split(" ")
             head = parts[0]
             try:
+                if any(m in t for m in self.marks):
+                    raise _Whole
                 if not head or len(head) > PART_CHARS or head[0].isspace() or head[-1].isspace():
                     raise _Whole
                 parts[0] = "\n" + parts[0]
@@ -145,12 +152,12 @@ class Encoder:
         return n
 
 
-_ENCODERS: dict[tuple[str | None, str], Encoder] = {}
+_ENCODERS: dict[tuple[str | None, str, bool], Encoder] = {}
 
 
-def encoder(path: str | None = None, dtype: str = "<u4") -> Encoder:
+def encoder(path: str | None = None, dtype: str = "<u4", special: bool = False) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    key = (path, dtype)
+    key = (path, dtype, special)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, dtype)
+        _ENCODERS[key] = Encoder(path, dtype, special)
     return _ENCODERS[key]

@@ -34,6 +34,28 @@ def test_ids_are_the_librarys(weird_rows):
         assert [np.frombuffer(g, dtype).tolist() for g in got] == [library_ids(t) for t in texts]
 
 
+def test_ids_are_the_untouched_librarys(weird_rows):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(tokens.tokenizer_path())
+    texts = ["<|endoftext|>", "a <|endoftext|>", "a<|endoftext|>b c", "<|endoftext|> x\ny <|endoftext|><|endoftext|>",
+             "<|endoftext", " <|EndOfText|>", "", *[t or "" for _, t, *_ in weird_rows]]
+    got = [np.frombuffer(g, "<u4").tolist() for g in tokens.Encoder(special=True).ids(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == [50256] != library_ids(texts[0])
+
+
+def test_queries_pack_the_untouched_librarys_ids(spark, docs_frame, tmp_path):
+    import corpus_pipeline
+    from recheck.llm.queries import QUERIES
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(tokens.tokenizer_path())
+    rows = [(1, "one <|endoftext|> two", "en", "s"), (2, "plain text", "en", "s")]
+    docs_frame(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    want = {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t, *_ in rows}
+    for got in (QUERIES["op4_packing"](spark, str(tmp_path)), corpus_pipeline.packed(spark, docs_frame(rows), "")):
+        assert {r.doc_id: r.length for r in got.collect()} == want
+
+
 def test_cache_is_emptied(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PARTS", 10)
     e = tokens.Encoder()
