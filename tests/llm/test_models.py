@@ -123,3 +123,30 @@ def test_url_labels_of_one_class(spark, label, verdict):
     labelled = spark.createDataFrame([("http://a.org/x", label), (None, label)], "url string, label int")
     pages = spark.createDataFrame([(1, "http://b.org/y")], "page_id bigint, url string")
     assert url_filter.judge(pages, labelled=labelled).first().verdict == verdict
+
+
+def test_the_driver_gets_counts_of_the_sample(docs_frame, monkeypatch):
+    """A fixed number of bytes at most for each sampled text, and the features of the whole texts."""
+    import pyspark.sql.classic.dataframe as frames
+    rows = sentences(60)
+    rows[3] = (3, " ".join(chr(0x4E00 + i % 9000) for i in range(150000)), "zh", "s")
+    rows = [r for r in rows if r[0] % 7]
+    seen, most, collect = [], [], frames.DataFrame.collect
+
+    def spy(df):
+        got = collect(df)
+        most.extend(len(v.encode()) if isinstance(v, str) else len(v)
+                    for r in got for v in r if isinstance(v, (str, bytes, bytearray)))
+        return got
+
+    real = language_id.Model
+    monkeypatch.setattr(frames.DataFrame, "collect", spy)
+    monkeypatch.setattr(language_id, "Model", lambda x, langs: seen.append((x, langs)) or real(x, langs))
+    docs = docs_frame(rows)
+    out = {r.doc_id for r in docs.where(language_id.held_out(F.col("doc_id"))).select("doc_id").collect()}
+    most.clear()
+    language_id.fit(docs)
+    assert most and max(most) <= 4 * language_id.DIMS
+    [(x, langs)] = seen
+    want = language_id.features([t for i, t, *_ in rows if i not in out], ngrams.letters_only())
+    assert sorted(map(bytes, x)) == sorted(map(bytes, want)) and len(langs) == len(want)
