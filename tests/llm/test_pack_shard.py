@@ -277,3 +277,60 @@ def test_pipeline(spark, weird, docs_frame, empty, tmp_path):
         docs = out
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def survivors(rows):
+    """(stage, documents that stay) of the first three stages, in plain Python."""
+    from test_dedup import before, lowered, slow_fingerprint, slow_labels
+    from test_rules_mixing import slow_kept
+    rows = [r for r in rows if slow_kept(r[1])]
+    yield "quality_rules", rows
+    groups = defaultdict(list)
+    for r in rows:
+        groups[lowered(r[1])].append(r)
+    rows = [max(g, key=lambda r: before(r[0])) for g in groups.values()]
+    yield "exact_dedup", rows
+    parts = defaultdict(list)
+    for r, c in zip(rows, slow_labels([slow_fingerprint(t) for _, t, *_ in rows]).tolist()):
+        parts[c].append(r)
+    yield "simhash_dedup", [min(p, key=lambda r: (r[0] is None, r[0] or 0)) for p in parts.values()]
+
+
+def check_stages(spark, stages, docs, rows, folder):
+    """Each stage's Parquet against plain Python on what must have reached it."""
+    from test_rules_mixing import size_of, slow_targets
+    out = {}
+    for k, (name, stage) in enumerate(stages):
+        stage(spark, docs, folder).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        out[name] = docs.collect()
+    for name, left in survivors(rows):
+        assert Counter((r.doc_id, r.text, r.lang, r.source) for r in out[name]) == Counter(left), name
+    copies = Counter((r.doc_id, r.text, r.lang, r.source) for r in out["mixing"])
+    assert set(copies) <= set(left) and max(copies.values()) <= 3
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for r in left:
+        sizes[r[3]] += size_of(r[1])
+        taken[r[3]] += size_of(r[1]) * copies[r]
+        largest[r[3]] = max(largest[r[3]], size_of(r[1]))
+    goal = slow_targets(dict(sizes))
+    assert all(abs(taken[s] - goal[s]) <= 3 * largest[s] for s in sizes)
+    got = out["packing"]
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == slow_pieces(copies.elements())
+    check_sequences([(r.sequence_id, r.offset, r.length) for r in got], 2048)
+    assert len({r.sequence_id for r in got}) <= -(-sum(r.length for r in got) // 2048) + 1
+    return [len(x) for x in out.values()]
+
+
+@pytest.mark.skipif(importlib.util.find_spec("corpus_pipeline") is None, reason="no pipeline")
+def test_stages_against_plain_python(spark, docs_frame, weird_rows, tmp_path):
+    import corpus_pipeline
+    rows = weird_rows + [(300 + i, t.capitalize() if i < 15 else t + " tail", lang, src) for i, t, lang, src in weird_rows[:50]]
+    n = check_stages(spark, corpus_pipeline.STAGES, docs_frame(rows), rows, str(tmp_path / "a"))
+    assert len(rows) > n[0] > n[1] > n[2] > 10
+    # a document that a stage loses is seen
+    lost = max(i for i, *_ in dict(survivors(rows))["simhash_dedup"] if i is not None)
+    stages = [(k, f if k != "exact_dedup" else lambda s, d, p, f=f: f(s, d, p).where(F.col("doc_id").isNull() | (F.col("doc_id") != lost)))
+              for k, f in corpus_pipeline.STAGES]
+    with pytest.raises(AssertionError):
+        check_stages(spark, stages, docs_frame(rows), rows, str(tmp_path / "b"))
