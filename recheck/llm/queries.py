@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recheck.llm import (
-    exact_dedup, language_id, mixing, packing, quality_rules, sharding, simhash, substring_dedup, token_counts, url_filter,
+    exact_dedup, fill_middle, hard_negatives, language_id, mixing, packing, quality_model, quality_rules, sharding,
+    simhash, substring_dedup, token_counts, url_filter,
 )
 from recheck.llm.common import table
 
@@ -189,3 +190,74 @@ FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
 @query("op2_substring_dedup", OP2_SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+# A token of fill-in-the-middle: a word with the white space before it, or white space at the end.
+TOKEN_SQL = r"'[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'"
+
+OP11_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('{fill_middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), {TOKEN_SQL}) AS u
+  FROM documents),
+k AS (
+  SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS c1,
+         ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS c2,
+         CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+parts AS (
+  SELECT doc_id, t, n, form, coalesce(array_to_string(u[1 : least(c1, c2)], ''), '') AS p,
+         coalesce(array_to_string(u[least(c1, c2) + 1 : greatest(c1, c2)], ''), '') AS m,
+         coalesce(array_to_string(u[greatest(c1, c2) + 1 : n], ''), '') AS s
+  FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+       sha256(p || m || s) AS restored_sha256
+FROM parts"""
+
+
+@query("op11_fill_middle", OP11_SQL)
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op12_quality_model")
+def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_model.predict(docs, quality_model.fit(docs, labels)).select(
+        "doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+OP13_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    relabelled = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(
+        F.col("label")))
+    return hard_negatives.mine(relabelled, F.col("vec_id") % 50 == 0)

@@ -153,8 +153,9 @@ def stitched(blocks: DataFrame) -> DataFrame:
              .withColumn("open", F.coalesce(F.max("behind").over(before), F.lit(0)))
              .withColumn("final", F.lead("block").over(order).isNull()))
     some = found.where("c > 0").select(F.col("file").alias("_file"), F.col("block").alias("_block"), "at", "open", "doc_0")
-    ended = (blocks.select("file", "block", "ends").where(F.size("ends") > 0)
-             .join(some, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    # never by broadcast: the documents of a file would be made where its window ran, or its end ids sent to every task
+    ended = (blocks.select("file", "block", "ends").where(F.size("ends") > 0).hint("merge")
+             .join(some.hint("merge"), (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
              .select("file", "at", "open", "doc_0", "ends", F.posexplode("ends").alias("k", "end")).select(
         "file", (F.col("doc_0") + F.col("k")).alias("doc_no"),
         F.when(F.col("k") == 0, F.col("open")).otherwise(
