@@ -123,6 +123,27 @@ def comparable(c, own: T.DataType, other: T.DataType, mode: str = "exact") -> Co
     return plain_text(col, own)
 
 
+# Types whose values compare as they are, once NaN is NULL and -0.0 is 0.0.
+_VALUES = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+
+
+def cell_type(own: T.DataType, other: T.DataType, mode: str = "exact") -> T.DataType:
+    """Type of ``cell``: the cells' own where both sides have it and its values compare as they are, else text."""
+    return own if mode == "exact" and own == other and isinstance(own, _VALUES) else T.StringType()
+
+
+def cell(c, own: T.DataType, other: T.DataType, mode: str = "exact") -> Column:
+    """A cell in a form that is equal on both sides exactly where ``comparable`` is (D1): its value where it can be,
+    else that text."""
+    if cell_type(own, other, mode) != own or isinstance(own, T.StringType):
+        return comparable(c, own, other, mode)
+    col = _c(c)
+    if isinstance(own, (T.DoubleType, T.FloatType)):
+        v = F.nanvl(col, F.lit(None).cast(own))
+        return F.when(v == 0, F.lit(0.0).cast(own)).otherwise(v)
+    return col
+
+
 def clean_key_text(c) -> Column:
     """Text reduced to ``[a-z0-9]``."""
     return F.lower(F.regexp_replace(_c(c).cast("string"), ASCII_ALNUM_STRIP, ""))

@@ -11,7 +11,9 @@ Semantics (per key; keys never interact):
 With ``consume_exact=False`` a sole remaining candidate that is exactly equal (and holds no NULL) is matched but not
 consumed, so it stays available (and ends up right-only) -- the database variant's behaviour.
 
-Plan. Keys are profiled once (rows per key on each side) and rows are routed by shape:
+Plan. Inputs are derived once. Keys are counted (rows on each side), every row is routed by its key's shape, and the
+routed rows are written as Parquet to the shared folder, a folder for each side and shape, so that a branch reads its own
+rows and columns only:
   0 x m / n x 0   anti sets, no pairing;
   1 x 1           equi-join on key;
   1 x m           equi-join, an exchange on the baseline row, then a two-level aggregate (key, diff) -> key; the
@@ -20,10 +22,10 @@ Plan. Keys are profiled once (rows per key on each side) and rows are routed by
   n x m           shuffle by key, sort by (key, side, order), and stream each partition through ``mapInPandas``:
                   baseline rows of a key arrive first and are kept as value classes (identical rows collapse);
                   left rows then stream past that state. Only one key's baseline rows are held at a time, besides
-                  ``CACHE_BYTES`` of profiles, and no pair table is built. The greedy is sequential within a key by
-                  definition, so a key is one task.
-All paths compare cells in one encoded form (``comparable``), and what became of each left row is written once
-(``state``): pairs, left-only and right-only rows and all totals read it.
+                  ``CACHE_BYTES`` of profiles, and no pair table is built. A key is one task;
+  hot n x m       keys of more than ``hot_pairs`` row pairs: the comparisons are dealt to tasks (``hot_keys``).
+All paths compare cells in one form (``cells.cell``), and what became of each left row is written once (``state``):
+pairs, left-only and right-only rows and all totals read it.
 """
 
 from __future__ import annotations
@@ -37,56 +39,112 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recheck.functions.cells import comparable, diff_expr, order_struct, plain_text, strip
-from recheck.session import ensure_checkpoint_dir, guard
+from recheck.functions.cells import cell, cell_text, cell_type, comparable, diff_expr, order_struct, plain_text, strip
+from recheck.operators import hot_keys
+from recheck.session import Scratch, guard
 
-# The streamed matcher runs in Python workers: ship this module's code with the task (by value), so executors need
-# no installed copy of the package.
+# The streamed matchers run in Python workers: ship their code with the task (by value), so executors need no installed
+# copy of the package.
 try:
     import sys as _sys
 
     from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+    for _m in (__name__, hot_keys.__name__):
+        _cloudpickle.register_pickle_by_value(_sys.modules[_m])
 except Exception:  # noqa: BLE001 -- older cloudpickle: the package must then be importable on executors
     pass
 
 
+# Row pairs of a key from which on its comparisons are dealt to tasks.
+HOT_PAIRS = 25_000_000
+LEFT, RIGHT = 0, 1
+# Shapes of keys: the folders of the routed rows.
+ALONE, ONE_ONE, ONE_MANY, MANY_ONE, MANY_MANY, HOT = range(6)
+
+
 @dataclass
 class ReconcileResult:
     pairs: DataFrame       # row_id, key, matched_id, consumed_id, diff_columns array<string>, n_diff
     left_only: DataFrame   # row_id, key, reason ('no_key' | 'used_up')
     right_only: DataFrame  # row_id, key
     compared: list
-    cached: list
+    routed: DataFrame | None   # every row of both sides: _side, _shape, _k, _id, cells, carried columns
+    state: DataFrame | None    # every left row: row_id, key, state, matched_id, consumed_id, diff_columns, n_diff, shape
+    carried: list
+    scratch: Scratch
 
     def with_left(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-        """``df`` (row_id, key, ...) with carried left columns, joined on the key-partitioned checkpointed input."""
-        left = self.cached[0].select(F.col("_k").cast(df.schema["key"].dataType).alias("key"), F.col("_id").alias("row_id"),
-                                     *[F.col(f"_a_{c}").alias(c) for c in cols])
+        """``df`` (row_id, key, ...) with carried left columns, joined to the routed rows on key and id."""
+        left = self.routed.where(F.col("_side") == LEFT).select(
+            F.col("_k").cast(df.schema["key"].dataType).alias("key"), F.col("_id").alias("row_id"),
+            *[F.col(f"_a{self.carried.index(c)}").alias(c) for c in cols])
         return df.join(left, ["key", "row_id"])
 
+    def cell_diffs(self) -> DataFrame:
+        """(row_id, matched_id, column, left_value, right_value) of every differing cell of the matched pairs (D3).
+
+        Cells are those that were compared, as text, NULL as 'nan'. 1 x 1 keys are joined again, on the key alone; of the
+        others only rows of pairs that differ are looked up.
+        """
+        n = len(self.compared)
+        cells = [f"_c{i}" for i in range(n)]
+
+        def side(which: int, name: str, shapes) -> DataFrame:
+            return self.routed.where((F.col("_side") == which) & F.col("_shape").isin(*shapes)).select(
+                "_k", "_id", *cells).alias(name)
+
+        def rows(j: DataFrame) -> DataFrame:
+            each = F.filter(F.array(*[F.when(~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")), F.struct(
+                F.lit(self.compared[i]).alias("column"), cell_text(F.col(f"l.{c}")).alias("left_value"),
+                cell_text(F.col(f"r.{c}")).alias("right_value"))) for i, c in enumerate(cells)]),
+                lambda x: x.isNotNull())
+            return j.select(F.col("l._id").alias("row_id"), F.col("r._id").alias("matched_id"), each.alias("_e")).where(
+                F.size("_e") > 0).select("row_id", "matched_id", F.explode("_e").alias("_s")).select(
+                "row_id", "matched_id", "_s.*")
+
+        one = rows(side(LEFT, "l", [ONE_ONE]).join(side(RIGHT, "r", [ONE_ONE]), F.col("l._k") == F.col("r._k")))
+        rest = [ONE_MANY, MANY_ONE, MANY_MANY, HOT]
+        p = self.state.where((F.col("n_diff") > 0) & F.col("shape").isin(*rest)).select(
+            F.col("key").alias("_pk"), F.col("row_id").alias("_pl"), F.col("matched_id").alias("_pr"))
+        found = (p.join(side(LEFT, "l", rest), (F.col("_pk") == F.col("l._k")) & (F.col("_pl") == F.col("l._id")))
+                 .join(side(RIGHT, "r", rest), (F.col("_pk") == F.col("r._k")) & (F.col("_pr") == F.col("r._id"))))
+        return one.unionByName(rows(found)) if n else rows(found)
+
     def release(self) -> None:
-        """Lets go of all results: their checkpoint files are removed once nothing else refers to them (with
-        spark.cleaner.referenceTracking.cleanCheckpoints, see ``session``)."""
-        self.pairs = self.left_only = self.right_only = None
-        self.cached = []
+        """Lets go of all results and removes the files they read."""
+        self.pairs = self.left_only = self.right_only = self.routed = self.state = None
+        self.scratch.drop()
 
 
-def _prep(df, other, key, row_id, order_by, cols, mode, trim, raw, carry=()):
-    """Key, id and order of a side, and each compared cell as one text (``comparable``): the only form in which any
-    path below, in Spark or in Python, compares cells."""
+def _prep(df, other, key, row_id, order_by, cols, mode, trim, raw, side, carry):
+    """Key, id and order of a side, and each compared cell in the one form (``cells.cell``) in which any path below
+    compares cells. ``carry``: name of the column (of the left side) -> its type."""
     if not isinstance(df.schema[row_id].dataType, T.IntegralType):
         raise TypeError(f"row id {row_id!r} must be a whole number, not {df.schema[row_id].dataType.simpleString()}")
     kinds = {c: df.schema[c].dataType for c in cols}
     cells = {c: strip(c) if trim and isinstance(kinds[c], T.StringType) else F.col(c) for c in cols}
-    sel = [F.col(key).cast("string").alias("_k"), F.col(row_id).cast("long").alias("_id"),
-           order_struct(order_by, row_id).alias("_o")] + [F.col(c).alias(f"_a_{c}") for c in carry]
-    sel += [comparable(cells[c], kinds[c], other.schema[c].dataType, mode).alias(f"_c{i}") for i, c in enumerate(cols)]
+    sel = [F.lit(side).alias("_side"), F.col(key).cast("string").alias("_k"), F.col(row_id).cast("long").alias("_id"),
+           order_struct(order_by, row_id).alias("_o")]
+    sel += [(F.col(c) if side == LEFT else F.lit(None).cast(kind)).alias(f"_a{i}")
+            for i, (c, kind) in enumerate(carry.items())]
+    sel += [cell(cells[c], kinds[c], other.schema[c].dataType, mode).alias(f"_c{i}") for i, c in enumerate(cols)]
     if raw:
         sel += [plain_text(cells[c], kinds[c]).alias(f"_x{i}") for i, c in enumerate(cols)]
     return df.select(*sel)
 
 
+class HotKeyError(ValueError):
+    """A key has more row pairs than the caller allows."""
+
+
+def _check_pairs(counts: DataFrame, max_pairs: int) -> None:
+    over = counts.where(F.col("_nl") * F.col("_nr") > max_pairs).orderBy((F.col("_nl") * F.col("_nr")).desc()).limit(
+        5).collect()
+    if over:
+        raise HotKeyError(f"keys of more than {max_pairs} row pairs: " + ", ".join(
+            f"{r['_k']!r} ({r['_nl']} x {r['_nr']} rows)" for r in over))
+
+
 def _names_from_idx(idx: Column, cols) -> Column:
     names = F.array(*[F.lit(c) for c in cols]) if cols else F.array().cast("array<string>")
     return F.transform(idx, lambda i: F.element_at(names, i + 1))
@@ -95,11 +153,15 @@ def _names_from_idx(idx: Column, cols) -> Column:
 def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] | None = None,
               order_by: Sequence[str] = (), row_id: str = "row_id", right_row_id: str | None = None,
               right_order_by: Sequence[str] | None = None, mode: str = "exact", consume_exact: bool = True,
-              trim_left: bool = False, fast_paths: bool = True, carry: Sequence[str] = ()) -> ReconcileResult:
+              trim_left: bool = False, fast_paths: bool = True, carry: Sequence[str] = (),
+              hot_pairs: int = HOT_PAIRS, max_pairs: int | None = None, rescan: bool = False) -> ReconcileResult:
     """Greedy 1:1 matching of ``left`` (candidate) rows to ``right`` (baseline) rows on ``key``.
 
     ``cols`` are the compared columns (default: common columns minus key and row id); ``mode`` 'exact' or 'ci'.
-    ``carry``: left columns kept with the checkpointed input, for ``ReconcileResult.with_left``.
+    ``carry``: left columns kept with the routed rows, for ``ReconcileResult.with_left``. ``hot_pairs``: keys of more row
+    pairs take the distributed path (same results). ``max_pairs``: a guard; a key of more row pairs raises
+    ``HotKeyError`` before anything is matched (one more job, over the keys). ``rescan``: the inputs are plain scans, to
+    be read twice rather than derived once and written.
     """
     guard(left.sparkSession)
     right_row_id = right_row_id or row_id
@@ -110,26 +172,40 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     cols = list(cols)
     C = len(cols)
     raw = (not consume_exact) and mode != "exact"
-    L = _prep(left, right, key, row_id, list(order_by), cols, mode, trim_left, raw, carry)
-    R = _prep(right, left, key, right_row_id, right_order_by, cols, mode, False, raw)
+    kept = {c: left.schema[c].dataType for c in carry}
+    L = _prep(left, right, key, row_id, list(order_by), cols, mode, trim_left, raw, LEFT, kept)
+    R = _prep(right, left, key, right_row_id, right_order_by, cols, mode, False, raw, RIGHT, kept)
     lv = {c: F.col(f"l._c{i}") for i, c in enumerate(cols)}
     rv = {c: F.col(f"r._c{i}") for i, c in enumerate(cols)}
 
-    # Rows per key on each side: two partial aggregates, one row per key.
-    kl = L.groupBy("_k").agg(F.count(F.lit(1)).alias("_nl"))
-    kr = R.groupBy("_k").agg(F.count(F.lit(1)).alias("_nr"))
-    ks = kl.join(kr, "_k", "full_outer")
-    # Every row is routed by its key's shape with one shuffle join against the key profile (a hot key's partition
-    # is split by AQE; the profile has one row per key). The routed tables feed all branches below, so they are
-    # checkpointed to the shared checkpoint folder: each input is joined once, lineage is cut (a lost executor
-    # costs a re-read, not a re-run), and each branch then shuffles only its own rows. (persist() is not enough:
-    # when both inputs derive from the same tables, relation de-duplication makes branch fragments miss the cache.
-    # Pre-partitioning by key is avoided on purpose: it would send a hot key to a single task.)
-    spark = left.sparkSession
-    ensure_checkpoint_dir(spark)
-    ks = ks.checkpoint()  # one row per key; kept so the two routing joins do not recompute it
-    Lk = L.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).checkpoint()
-    Rk = R.join(ks, "_k", "left").fillna(0, ["_nl", "_nr"]).checkpoint()
+    scratch = Scratch(left.sparkSession, "reconcile")
+    both = L.unionByName(R)
+    if not rescan:
+        both = scratch.written(both, "prepared")
+    # Rows per key on each side: one partial aggregate over both, one row per key.
+    counts = (both.select("_k", "_side").where(F.col("_k").isNotNull()).groupBy("_k")
+              .agg(F.count_if(F.col("_side") == LEFT).alias("_nl"), F.count_if(F.col("_side") == RIGHT).alias("_nr")))
+    if max_pairs is not None:
+        _check_pairs(counts, max_pairs)
+    nl, nr = F.col("_nl"), F.col("_nr")
+    several = F.when(nl * nr > hot_pairs, F.lit(HOT)).otherwise(F.lit(MANY_MANY)) if C else F.lit(MANY_MANY)
+    if not fast_paths:
+        shape = F.when(nl.isNull() | (nl == 0) | (nr == 0), ALONE).otherwise(several)
+    else:
+        shape = (F.when(nl.isNull() | (nl == 0) | (nr == 0), ALONE).when((nl == 1) & (nr == 1), ONE_ONE)
+                 .when(nl == 1, ONE_MANY).when(nr == 1, MANY_ONE).otherwise(several))
+    # Every row of both sides is routed by its key's shape with one shuffle join against the counts (a hot key's
+    # partition is split by AQE; the counts have one row per key) and written once: each branch then reads and shuffles
+    # only its own rows, and a lost executor costs a re-read, not a re-run. Pre-partitioning by key is avoided on
+    # purpose: it would send a hot key to a single task.
+    routed = scratch.written(
+        both.join(counts.withColumnRenamed("_k", "_ck"), F.col("_k") == F.col("_ck"), "left")
+        .withColumn("_shape", shape).drop("_ck", "_nl", "_nr"), "rows", by=("_side", "_shape"))
+    if not rescan:
+        scratch.remove("prepared")
+
+    def of(side: int, *shapes: int) -> DataFrame:
+        return routed.where((F.col("_side") == side) & F.col("_shape").isin(*shapes))
 
     def exact_row(l_pre: str, r_pre: str) -> Column:
         """Whole-row equality that the 'not consumed' rule needs: equal cells and no NULL on the baseline row."""
@@ -146,21 +222,30 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
         return out
 
     pair_cols = ["row_id", "key", "matched_id", "consumed_id", "diff_columns", "n_diff"]
-    unmatched = []  # (row_id, key) of left rows whose candidates ran out
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("matched_id", "long"), ("consumed_id", "long"),
+                                                      ("diff_columns", "array<string>"))]
+    parts = []  # every left row: row_id, key, matched_id, consumed_id, diff_columns, state, shape
+
+    def pairs_of(df: DataFrame, shape: int) -> None:
+        parts.append(df.withColumn("state", F.lit("matched")).withColumn("shape", F.lit(shape)))
+
+    def without(df: DataFrame, shape: int) -> None:
+        parts.append(df.select(F.col("_id").alias("row_id"), F.col("_k").alias("key"), *none, F.lit(
+            "no_key" if shape == ALONE else "used_up").alias("state"), F.lit(shape).alias("shape")))
 
-    if fast_paths:
-        # 1 x 1
-        l11 = Lk.where((F.col("_nl") == 1) & (F.col("_nr") == 1)).alias("l")
-        r11 = Rk.where((F.col("_nl") == 1) & (F.col("_nr") == 1)).alias("r")
+    # shapes that no left row has are left out of the plan: their folders are not there
+    there = {s for s in range(HOT + 1) if scratch.has(f"rows/_side={LEFT}/_shape={s}")}
+    if ONE_ONE in there:
+        l11, r11 = of(LEFT, ONE_ONE).alias("l"), of(RIGHT, ONE_ONE).alias("r")
         d11 = diff_expr(lv, rv, cols)
         consumed11 = F.col("r._id") if consume_exact else F.when(~exact_row("l", "r"), F.col("r._id"))
         p11 = l11.join(r11, F.col("l._k") == F.col("r._k")).select(
             F.col("l._id").alias("row_id"), F.col("l._k").alias("key"), F.col("r._id").alias("matched_id"),
             consumed11.alias("consumed_id"), d11.alias("diff_columns"))
-
+        pairs_of(p11, ONE_ONE)
+    if ONE_MANY in there:
         # 1 x m: every candidate of the single left row, then (key, diff) groups -> best group per key.
-        l1m = Lk.where((F.col("_nl") == 1) & (F.col("_nr") >= 2)).alias("l")
-        r1m = Rk.where((F.col("_nl") == 1) & (F.col("_nr") >= 2)).alias("r")
+        l1m, r1m = of(LEFT, ONE_MANY).alias("l"), of(RIGHT, ONE_MANY).alias("r")
         cand = l1m.join(r1m, F.col("l._k") == F.col("r._k")).select(
             F.col("l._k").alias("_k"), F.col("l._id").alias("_lid"),
             F.struct(F.col("r._o").alias("o"), F.col("r._id").alias("id")).alias("_ro"),
@@ -172,10 +257,10 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
         p1m = best.select(F.col("_lid").alias("row_id"), F.col("_k").alias("key"),
                           F.col("_b.mid").alias("matched_id"), F.col("_b.cid").alias("consumed_id"),
                           F.col("_b._d").alias("diff_columns"))
-
+        pairs_of(p1m, ONE_MANY)
+    if MANY_ONE in there:
         # n x 1: the first left row takes the single baseline row; the rest find nothing.
-        ln1 = Lk.where((F.col("_nl") >= 2) & (F.col("_nr") == 1))
-        rn1 = Rk.where((F.col("_nl") >= 2) & (F.col("_nr") == 1)).alias("r")
+        ln1, rn1 = of(LEFT, MANY_ONE), of(RIGHT, MANY_ONE).alias("r")
         if consume_exact:
             vc = [f"_c{i}" for i in range(C)]
             first = ln1.groupBy("_k").agg(F.min(F.struct("_o", "_id", *vc)).alias("_f")).select(
@@ -183,8 +268,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
             pn1 = first.alias("l").join(rn1, F.col("l._k") == F.col("r._k")).select(
                 F.col("l._id").alias("row_id"), F.col("l._k").alias("key"), F.col("r._id").alias("matched_id"),
                 F.col("r._id").alias("consumed_id"), diff_expr(lv, rv, cols).alias("diff_columns"))
-            unmatched.append(ln1.join(first.select("_k", "_id"), ["_k", "_id"], "left_anti").select(
-                F.col("_id").alias("row_id"), F.col("_k").alias("key")))
+            without(ln1.join(first.select("_k", "_id"), ["_k", "_id"], "left_anti"), MANY_ONE)
         else:
             # Rows match until the first one that is not exactly equal consumes the baseline row.
             j = ln1.alias("l").join(rn1, F.col("l._k") == F.col("r._k")).select(
@@ -199,26 +283,21 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
                                         F.col("_rid").alias("matched_id"),
                                         F.when(is_t, F.col("_rid")).alias("consumed_id"),
                                         F.col("_d").alias("diff_columns"))
-            unmatched.append(jt.where(~take).select(F.col("_id").alias("row_id"), F.col("_k").alias("key")))
-        fast = p11.unionByName(p1m).unionByName(pn1)
-        greedy_l = Lk.where((F.col("_nl") >= 2) & (F.col("_nr") >= 2))
-        greedy_r = Rk.where((F.col("_nl") >= 2) & (F.col("_nr") >= 2))
-    else:
-        fast = None
-        greedy_l = Lk.where(F.col("_nr") >= 1)
-        greedy_r = Rk.where(F.col("_nl") >= 1)
-
-    gp, gu = _greedy_stream(greedy_l, greedy_r, cols, consume_exact, raw)
-    pairs = gp if fast is None else fast.unionByName(gp)
-    unmatched.append(gu)
-    state = pairs.withColumn("state", F.lit("matched"))
-    none = {f.name: F.lit(None).cast(f.dataType) for f in pairs.schema.fields if f.name not in ("row_id", "key")}
-    for u in unmatched:
-        state = state.unionByName(u.withColumns(none).withColumn("state", F.lit("used_up")))
-    # Every left row that has candidates, with what became of it: matched once, written once, read by all outputs.
-    state = state.unionByName(Lk.where(F.col("_nr") == 0).select(
-        F.col("_id").alias("row_id"), F.col("_k").alias("key")).withColumns(none).withColumn("state", F.lit("no_key")))
-    state = state.withColumn("n_diff", F.size("diff_columns")).checkpoint()
+            without(jt.where(~take), MANY_ONE)
+        pairs_of(pn1, MANY_ONE)
+    if MANY_MANY in there:
+        parts.append(_named(_greedy_stream(_as_text(of(LEFT, MANY_MANY), C), _as_text(of(RIGHT, MANY_MANY), C), C,
+                                           consume_exact, raw), cols, MANY_MANY))
+    if HOT in there:
+        parts.append(_named(hot_keys.matched(_hashed(of(LEFT, HOT), C, raw), _hashed(of(RIGHT, HOT), C, raw), C,
+                                             consume_exact), cols, HOT))
+    if ALONE in there or not parts:
+        without(of(LEFT, ALONE), ALONE)
+    state = parts[0]
+    for p in parts[1:]:
+        state = state.unionByName(p)
+    # Every left row with what became of it: matched once, written once, read by all outputs.
+    state = scratch.written(state.withColumn("n_diff", F.size("diff_columns")), "state")
 
     kind = left.schema[key].dataType
 
@@ -229,11 +308,38 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
     left_only = state.where(F.col("state") != "matched").select("row_id", "key", F.col("state").alias("reason"))
     consumed = pairs.where(F.col("consumed_id").isNotNull()).select(
         F.col("key").alias("_k"), F.col("consumed_id").alias("_id"))
-    right_only = (Rk.where(F.col("_nl") == 0).select("_k", "_id")
-                  .unionByName(Rk.where(F.col("_nl") > 0).select("_k", "_id").join(consumed, ["_k", "_id"], "left_anti"))
+    right_only = (of(RIGHT, ALONE).select("_k", "_id")
+                  .unionByName(routed.where((F.col("_side") == RIGHT) & (F.col("_shape") != ALONE)).select("_k", "_id")
+                               .join(consumed, ["_k", "_id"], "left_anti"))
                   .select(F.col("_id").alias("row_id"), F.col("_k").alias("key")))
     return ReconcileResult(pairs=typed(pairs), left_only=typed(left_only), right_only=typed(right_only), compared=cols,
-                           cached=[Lk, Rk])
+                           routed=routed, state=state, carried=list(kept), scratch=scratch)
+
+
+def _as_text(rows: DataFrame, n: int) -> DataFrame:
+    """Cells as the one text (``comparable``) that stands for each: Python sees no typed cell."""
+    kinds = {f"_c{i}": rows.schema[f"_c{i}"].dataType for i in range(n)}
+    return rows.withColumns({c: comparable(c, k, k) for c, k in kinds.items() if not isinstance(k, T.StringType)})
+
+
+def _hashed(rows: DataFrame, n: int, raw: bool) -> DataFrame:
+    """(_k, _id, _o, _h, _xn, _xh): hashes of the cells; of the raw cells, whether any is NULL and one hash."""
+    cells = [F.col(f"_c{i}") for i in range(n)]
+    plain = [F.col(f"_x{i}") for i in range(n)] if raw else cells
+    any_null = F.lit(False)
+    for c in plain:
+        any_null = any_null | c.isNull()
+    return rows.select("_k", "_id", "_o", hot_keys.packed_hashes(cells).alias("_h"), any_null.alias("_xn"),
+                       (F.xxhash64(*plain) if raw else F.lit(0).cast("long")).alias("_xh"))
+
+
+def _named(out: DataFrame, cols, shape: int) -> DataFrame:
+    """What became of left rows, from a matcher's (_k, _lid, _mid, _cid, _d) rows: one projection, so that the matcher
+    runs once."""
+    return out.select(F.col("_lid").alias("row_id"), F.col("_k").alias("key"), F.col("_mid").alias("matched_id"),
+                      F.col("_cid").alias("consumed_id"), _names_from_idx(F.col("_d"), cols).alias("diff_columns"),
+                      F.when(F.col("_mid").isNull(), F.lit("used_up")).otherwise(F.lit("matched")).alias("state"),
+                      F.lit(shape).alias("shape"))
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -396,8 +502,7 @@ def _batch_rows(pdf: pd.DataFrame, cols) -> list:
     return list(zip(*out)) if out else [()] * len(pdf)
 
 
-def _greedy_stream(gl: DataFrame, gr: DataFrame, cols, consume_exact: bool, raw: bool):
-    C = len(cols)
+def _greedy_stream(gl: DataFrame, gr: DataFrame, C: int, consume_exact: bool, raw: bool) -> DataFrame:
     vcols = [f"_c{i}" for i in range(C)]
     xcols = [f"_x{i}" for i in range(C)] if raw else []
     keep = ["_k", "_side", "_id"] + vcols + xcols
@@ -438,9 +543,4 @@ def _greedy_stream(gl: DataFrame, gr: DataFrame, cols, consume_exact: bool, raw:
                 yield pd.DataFrame({"_k": ok_, "_lid": ol, "_mid": pd.array(om, dtype="Int64"),
                                     "_cid": pd.array(oc, dtype="Int64"), "_d": od})
 
-    out = streamed.mapInPandas(run, schema)
-    pairs = out.where(F.col("_mid").isNotNull()).select(
-        F.col("_lid").alias("row_id"), F.col("_k").alias("key"), F.col("_mid").alias("matched_id"),
-        F.col("_cid").alias("consumed_id"), _names_from_idx(F.col("_d"), cols).alias("diff_columns"))
-    unmatched = out.where(F.col("_mid").isNull()).select(F.col("_lid").alias("row_id"), F.col("_k").alias("key"))
-    return pairs, unmatched
+    return streamed.mapInPandas(run, schema)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -275,11 +276,18 @@ def issue_summary(file_table: DataFrame, cols: Sequence[str], completeness: Data
     return out.join(inc, "issue_type", "left")
 
 
-def run_totals(matched: DataFrame, left_only: DataFrame, right_only: DataFrame) -> DataFrame:
-    """Matched rows, candidate rows not in the baseline, baseline rows left over."""
-    def one(df, name):
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
-    return one(matched, "matched").unionByName(one(left_only, "left_only")).unionByName(one(right_only, "right_only"))
+def run_totals(state: DataFrame, baseline_rows: DataFrame) -> DataFrame:
+    """Matched rows, candidate rows not in the baseline, baseline rows left over.
+
+    One aggregate over what became of the candidate rows (``ReconcileResult.state``) and one count of the baseline:
+    the rows left over are those that no pair consumed.
+    """
+    of_state = state.agg(F.count_if(F.col("state") == "matched").alias("matched"),
+                         F.count_if(F.col("state") != "matched").alias("left_only"),
+                         (-F.count("consumed_id")).alias("right_only")).unpivot(
+        [], ["matched", "left_only", "right_only"], "metric", "value")
+    baseline = baseline_rows.agg(F.count(F.lit(1)).alias("value")).select(F.lit("right_only").alias("metric"), "value")
+    return of_state.unionByName(baseline).groupBy("metric").agg(F.sum("value").alias("value"))
 
 
 def key_quality(df: DataFrame, key: str, side: str = "left") -> DataFrame:
@@ -290,6 +298,69 @@ def key_quality(df: DataFrame, key: str, side: str = "left") -> DataFrame:
                                                     blank.alias("is_blank"))
 
 
+def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows, with their exact counts: (key, n). NULL keys don't count (K4).
+
+    One pass of Misra-Gries, ``2 / share`` counters a task; the tasks' tables merge in rounds, ``MERGED`` tables a task,
+    by adding counters. Whenever more counters are held, all are lowered by the next largest: each lowering by ``d`` takes
+    more than ``d * 2 / share`` off all counters together, so no key loses more than half the share of all rows, however
+    tables are merged, and every key over the share is found. The keys found, ``2 / share`` at most, are broadcast and
+    counted exactly in a second scan.
+    """
+    k = int(2 / share) + 1
+    text = df.select(F.col(key).cast("string").alias("k")).where(F.col("k").isNotNull())
+
+    def scan(batches):
+        top = Counters(k)
+        for b in batches:
+            got = b.column(0).value_counts()
+            top.add(zip(got.field(0).to_pylist(), got.field(1).to_pylist()))
+        yield top.table()
+
+    def merge(batches):
+        top = Counters(k)
+        for b in batches:
+            top.add(zip(*(c.to_pylist() for c in b.columns)))
+        yield top.table()
+
+    tables = text.mapInArrow(scan, "k string, n bigint")
+    parts = tables.rdd.getNumPartitions()
+    while parts > 1:
+        parts = -(-parts // MERGED)
+        tables = tables.repartition(parts).mapInArrow(merge, "k string, n bigint")
+    found = tables.select(F.col("k").alias("_mk"))
+    exact = text.join(F.broadcast(found), F.col("k") == F.col("_mk"), "left_semi").groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"))
+    return exact.where(F.col("n") > share * text.count()).select(F.col("k").alias("key"), "n")
+
+
+# Tables of counters that one task merges.
+MERGED = 64
+
+
+class Counters:
+    """Misra-Gries: ``k`` counters that hold every key of more than 1 / (k + 1) of what was added."""
+
+    def __init__(self, k: int):
+        self.k, self.n = k, {}
+
+    def add(self, counts) -> None:
+        for key, c in counts:
+            self.n[key] = self.n.get(key, 0) + c
+            if len(self.n) >= 4 * self.k:
+                self.shrink()
+        self.shrink()
+
+    def shrink(self) -> None:
+        if len(self.n) > self.k:
+            less = sorted(self.n.values(), reverse=True)[self.k]
+            self.n = {key: c - less for key, c in self.n.items() if c > less}
+
+    def table(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(self.n), pa.string()), pa.array(list(self.n.values()), pa.int64())],
+                                          names=["k", "n"])
+
+
 def baseline_coverage(pl: DataFrame, gt: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per candidate group (file, category, ...): does the baseline hold that group."""
     by = list(by)

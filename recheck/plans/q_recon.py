@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recheck.functions.cells import cell_text, nan_to_null, pseudo_key
+from recheck.functions.cells import nan_to_null, pseudo_key
 from recheck.operators.match import reconcile
 from recheck.plans.oracle_sql import greedy_ctes, key_sql, nz_text
 from recheck.plans.registry import query
@@ -40,6 +40,16 @@ def recon_ci(spark, sf_dir, consume_exact=True, fast_paths=True):
                      consume_exact=consume_exact, fast_paths=fast_paths)
 
 
+KEY_HOT = ["sku_normalized"]  # few keys of many rows on both sides
+
+
+def recon_hot(spark, sf_dir):
+    """Every n x m key takes the path for hot keys: their comparisons are dealt to tasks."""
+    pl, gt = _sides(spark, sf_dir)
+    pl, gt = pseudo_key(pl, KEY_HOT, "ascii_lower"), pseudo_key(gt, KEY_HOT, "ascii_lower")
+    return reconcile(pl, gt, "pseudo_key", RECON_COLS, order_by=["sku_original"], hot_pairs=0)
+
+
 def _pairs_out(res):
     p = res.pairs
     return p.select("row_id", "key", "matched_id", "consumed_id", F.col("n_diff").cast("bigint").alias("n_diff"),
@@ -92,6 +102,17 @@ def q_recon_pairs(spark, sf_dir):
     return _pairs_out(recon_exact(spark, sf_dir))
 
 
+def _hot_ctes():
+    return greedy_ctes("pipeline", "gt", key_sql(KEY_HOT, "ascii_lower"), key_sql(KEY_HOT, "ascii_lower"), RECON_COLS,
+                       list(RECON_COLS), list(RECON_COLS), ["sku_original"], ["sku_original"])
+
+
+@query("recon_pairs_hot_keys", _oracle(_hot_ctes(), PAIRS_BODY))
+def q_recon_pairs_hot_keys(spark, sf_dir):
+    """Matched pairs where a few keys hold all rows of both sides."""
+    return _pairs_out(recon_hot(spark, sf_dir))
+
+
 @query("recon_left_only", _oracle(_exact_ctes(), LEFT_BODY))
 def q_recon_left_only(spark, sf_dir):
     return recon_exact(spark, sf_dir).left_only
@@ -129,21 +150,6 @@ def q_recon_right_only_ci(spark, sf_dir):
     return recon_ci(spark, sf_dir).right_only
 
 
-def cell_diffs(pairs, left, right, cols, row_id="row_id"):
-    """Long cell diffs (row_id, matched_id, column, left_value, right_value) of matched pairs (D3)."""
-    def as_map(df):
-        kv = []
-        for c in cols:
-            kv += [F.lit(c), cell_text(F.col(c))]
-        return F.create_map(*kv)
-    lm = left.select(F.col(row_id).alias("row_id"), as_map(left).alias("_lm"))
-    rm = right.select(F.col(row_id).alias("matched_id"), as_map(right).alias("_rm"))
-    ex = pairs.select("row_id", "matched_id", F.explode("diff_columns").alias("column"))
-    return (ex.join(lm, "row_id").join(rm, "matched_id")
-            .select("row_id", "matched_id", "column", F.element_at("_lm", F.col("column")).alias("left_value"),
-                    F.element_at("_rm", F.col("column")).alias("right_value")))
-
-
 def _cell_text_sql(prefix, c):
     return f"coalesce(CAST({prefix}.{c} AS VARCHAR), 'nan')"
 
@@ -160,6 +166,4 @@ CELL_DIFFS_BODY = (
 
 @query("recon_cell_diffs", _oracle(_exact_ctes(), CELL_DIFFS_BODY))
 def q_recon_cell_diffs(spark, sf_dir):
-    pl, gt = _sides(spark, sf_dir)
-    res = recon_exact(spark, sf_dir)
-    return cell_diffs(res.pairs, pl, gt, RECON_COLS)
+    return recon_exact(spark, sf_dir).cell_diffs()

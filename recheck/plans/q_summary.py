@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recheck.functions.cells import clean_key_text, nan_to_null, pseudo_key
 from recheck.operators import summary as S
+from recheck.operators.match import RIGHT
 from recheck.plans.oracle_sql import key_sql
 from recheck.plans.q_recon import KEY_B, RECON_COLS, _exact_ctes, recon_exact
 from recheck.plans.registry import query
@@ -230,7 +231,7 @@ def q_file_accuracy_table(spark, sf_dir):
     "SELECT 'right_only', count(*) FROM g WHERE id NOT IN (SELECT consumed FROM st WHERE consumed IS NOT NULL)"))
 def q_run_totals(spark, sf_dir):
     res = recon_exact(spark, sf_dir)
-    return S.run_totals(res.pairs, res.left_only, res.right_only)
+    return S.run_totals(res.state, res.routed.where(F.col("_side") == RIGHT))
 
 
 _KB = key_sql(KEY_B, "ascii_case")
@@ -247,6 +248,14 @@ def q_key_quality(spark, sf_dir):
     return S.key_quality(pl, "pseudo_key", "left").unionByName(S.key_quality(gt, "pseudo_key", "right"))
 
 
+@query("heavy_keys", _sql(
+    "SELECT k AS key, count(*) AS n FROM (SELECT sku_normalized AS k FROM pipeline) WHERE k IS NOT NULL GROUP BY k "
+    "HAVING count(*) > 0.008 * (SELECT count(sku_normalized) FROM pipeline)"))
+def q_heavy_keys(spark, sf_dir):
+    """Items that hold more than 0.8 % of the candidate rows each (K4 for keys too many to count one by one)."""
+    return S.heavy_keys(load_fixture(spark, sf_dir, "pipeline"), "sku_normalized", 0.008)
+
+
 @query("baseline_coverage", _sql(
     "SELECT p.file_name, p.level5_category, (g.file_name IS NOT NULL) AS has_baseline FROM "
     "(SELECT DISTINCT file_name, level5_category FROM pipeline) p LEFT JOIN "

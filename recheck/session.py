@@ -7,8 +7,10 @@ spark.cleaner.referenceTracking.cleanCheckpoints to true, so that checkpoint fil
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -87,3 +89,44 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+class Scratch:
+    """A folder of this run's own under spark.checkpoint.dir, for tables that several branches read: Parquet, so that
+    each reads only its columns. ``drop`` removes it; what is still there when Python ends is removed then."""
+
+    _open: list = []
+
+    def __init__(self, spark: SparkSession, what: str):
+        self.spark, self.path = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+        self._place = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._files = self._place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not Scratch._open:
+            atexit.register(Scratch._drop_all)
+        Scratch._open.append(self)
+
+    def written(self, df, name: str, by: tuple[str, ...] = ()):
+        """``df`` written (a folder for each value of ``by``) and read again."""
+        path = f"{self.path}/{name}"
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def has(self, name: str) -> bool:
+        return self._files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}"))
+
+    def remove(self, name: str) -> None:
+        """Removes one table that nothing reads any more."""
+        self._files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}"), True)
+
+    def drop(self) -> None:
+        if self in Scratch._open:
+            Scratch._open.remove(self)
+        self._files.delete(self._place, True)
+
+    @staticmethod
+    def _drop_all() -> None:
+        for s in list(Scratch._open):
+            try:
+                s.drop()
+            except Exception:  # noqa: BLE001 -- the session may be gone: the folder stays
+                pass
