@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GROUP = 4096        # left classes that one task compares
-BLOCK = 4096        # baseline classes compared at a time
+GROUP = 1024        # left classes that one task compares
+BLOCK = 8192        # baseline classes compared at a time
 SHORT = 512         # masks of a left class's list
 INDEX_BYTES = 256 << 20
 LISTED = 4 << 20    # masks kept unpacked for left classes that come again
@@ -117,8 +117,10 @@ def short_lists(left: DataFrame, right: DataFrame, columns: int, group: int = GR
     dealt = (lc.join(groups, "_k").select("_k", of_group.alias("_g"), F.lit(0).alias("_side"), "_h")
              .unionByName(rc.join(groups, "_k").select(
                  "_k", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_g"), F.lit(1).alias("_side"), "_h")))
-    # a hash that no child partitioning can claim: see match._greedy_stream
-    streamed = (dealt.withColumn("_p", F.xxhash64("_k", "_g")).repartition("_p")
+    # A hash that no child partitioning can claim (see match._greedy_stream), and a number of partitions that adaptive
+    # execution keeps: the work of a group is not its bytes.
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    streamed = (dealt.withColumn("_p", F.xxhash64("_k", "_g")).repartition(n, "_p")
                 .sortWithinPartitions("_k", "_g", "_side").select("_k", "_g", "_side", "_h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

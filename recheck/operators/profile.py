@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recheck.operators.order import with_position
 from recheck.operators.schema import FLAG_COLUMNS, contract_report
 from recheck.session import materialize
 
@@ -107,8 +108,10 @@ def dtype_conformance(df: DataFrame, contract: dict[str, str]) -> DataFrame:
 
 
 def flagged_columns(df: DataFrame, contract: dict[str, str]) -> DataFrame:
-    """All-NULL columns and dtype mismatches from one pass, category descending (A2 + A3, O3)."""
-    return _flagged(_file_stats(df, df.columns, _expected(df, contract), None)).orderBy(F.col("category").desc(), "field")
+    """All-NULL columns and dtype mismatches from one pass, with their places in the sheet: category descending, then
+    column (A2 + A3, O3)."""
+    found = _flagged(_file_stats(df, df.columns, _expected(df, contract), None))
+    return with_position(found, ["-category", "field"], row_id="field")
 
 
 def validation_summary(spark: SparkSession, df: DataFrame, contract_rows: Sequence[tuple],

@@ -78,6 +78,15 @@ def q_dtype_conformance(spark, sf_dir):
     return P.dtype_conformance(flatfile(spark, sf_dir), {r[0]: r[1] for r in rows})
 
 
+@query("sort_category_desc", _sql(
+    "SELECT row_number() OVER (ORDER BY category DESC, field) AS position, category, field, n_bad FROM ("
+    f"SELECT category, field, CAST(NULL AS BIGINT) AS n_bad FROM ({ALL_NULL_SQL}) UNION ALL "
+    f"SELECT category, field, n_bad FROM ({DTYPE_SQL}))"))
+def q_sort_category_desc(spark, sf_dir):
+    """Flagged columns with their places in the sheet, category descending (O3)."""
+    return P.flagged_columns(flatfile(spark, sf_dir), {r[0]: r[1] for r in contract(spark, sf_dir)})
+
+
 _STRUCT = ([("Column Structure", "Missing Columns", c) for c, *_ in CONTRACT if c not in FLATFILE_COLS]
            + [("Column Structure", "Extra Columns", c) for c in FLATFILE_COLS if c not in [r[0] for r in CONTRACT]])
 SUMMARY_SQL = _u(
