@@ -13,23 +13,37 @@ from pyspark.sql import functions as F
 
 from recheck.functions.cells import nan_to_null, pseudo_key, to_date_columns
 from recheck.operators import summary as S
-from recheck.operators.match import ReconcileResult, reconcile
+from recheck.operators.match import RIGHT, ReconcileResult, reconcile
 from recheck.operators.rules import build_rules, row_comments
 from recheck.operators.schema import align, schema_diff
 from recheck.sources.io import write_results
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """``name``, with underscores before it until no column of the tables has it."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def comparison_sheets(res: ReconcileResult, left: DataFrame, right: DataFrame, row_id: str = "row_id",
                       right_row_id: str = "row_id") -> dict[str, DataFrame]:
     """The three sheets of a comparison (D2): matched left rows with their baseline row and differing columns, left rows
-    without a baseline row, baseline rows left over; each row whole."""
-    pairs = res.pairs.select(F.col("row_id").alias("_l"), "matched_id", F.array_join("diff_columns", ",").alias(
-        "diff_columns"))
-    alone = res.left_only.select(F.col("row_id").alias("_l"), "reason")
-    over = res.right_only.select(F.col("row_id").alias("_r"))
-    return {"matched": left.join(pairs, left[row_id] == F.col("_l")).drop("_l"),
-            "left_only": left.join(alone, left[row_id] == F.col("_l")).drop("_l"),
-            "right_only": right.join(over, right[right_row_id] == F.col("_r"), "left_semi")}
+    without a baseline row, baseline rows left over; each row whole. A finding whose name a column of the row has gets
+    underscores before it (``_reason``)."""
+    mid, diff, reason, at = (fresh(n, left, right) for n in ("matched_id", "diff_columns", "reason", "_at"))
+    pairs = res.pairs.select(F.col("row_id").alias(at), F.col("matched_id").alias(mid),
+                             F.array_join("diff_columns", ",").alias(diff))
+    alone = res.left_only.select(F.col("row_id").alias(at), F.col("reason").alias(reason))
+    over = res.right_only.select(F.col("row_id").alias(at))
+    return {"matched": left.join(pairs, left[row_id] == F.col(at)).drop(at),
+            "left_only": left.join(alone, left[row_id] == F.col(at)).drop(at),
+            "right_only": right.join(over, right[right_row_id] == F.col(at), "left_semi")}
+
+
+def totals(res: ReconcileResult) -> DataFrame:
+    return S.run_totals(res.state, res.routed.where(F.col("_side") == RIGHT))
 
 
 def compare(left: DataFrame, right: DataFrame, key: Sequence[str], base: str | None = None, variant: str = "ascii_lower",
@@ -38,10 +52,10 @@ def compare(left: DataFrame, right: DataFrame, key: Sequence[str], base: str | N
     diff = schema_diff(left.sparkSession, left, right)
     a, b = align(nan_to_null(to_date_columns(left)), nan_to_null(to_date_columns(right)))
     cols = [c for c in a.columns if c != row_id]
-    res = reconcile(pseudo_key(a, key, variant), pseudo_key(b, key, variant), "pseudo_key", cols,
+    name = fresh("pseudo_key", a, b)
+    res = reconcile(pseudo_key(a, key, variant, name), pseudo_key(b, key, variant, name), name, cols,
                     order_by=order_by or key[:1], row_id=row_id, **options)
-    out = {"columns": diff, **comparison_sheets(res, a, b, row_id, row_id),
-           "totals": S.run_totals(res.pairs, res.left_only, res.right_only)}
+    out = {"columns": diff, **comparison_sheets(res, a, b, row_id, row_id), "totals": totals(res)}
     if base is not None:
         write_results(out, base)
     return out
@@ -55,9 +69,10 @@ def flat_vs_extract(flat: DataFrame, extract: DataFrame, key: Sequence[str], bas
     a, b = nan_to_null(a), nan_to_null(b)
     key = [c.lower() for c in key]
     cols = [c for c in a.columns if c != row_id]
-    res = reconcile(pseudo_key(a, key, "ascii_case"), pseudo_key(b, key, "ascii_case"), "pseudo_key", cols,
+    name = fresh("pseudo_key", a, b)
+    res = reconcile(pseudo_key(a, key, "ascii_case", name), pseudo_key(b, key, "ascii_case", name), name, cols,
                     order_by=order_by or key[:1], row_id=row_id, mode="ci", trim_left=True, consume_exact=consume_exact)
-    out = {**comparison_sheets(res, a, b, row_id, row_id), "totals": S.run_totals(res.pairs, res.left_only, res.right_only)}
+    out = {**comparison_sheets(res, a, b, row_id, row_id), "totals": totals(res)}
     if base is not None:
         write_results(out, base)
     return out

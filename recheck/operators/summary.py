@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recheck.functions.cells import comparable, strip
@@ -276,6 +276,119 @@ def issue_summary(file_table: DataFrame, cols: Sequence[str], completeness: Data
     return out.join(inc, "issue_type", "left")
 
 
+def file_measures(gt: DataFrame, pl: DataFrame, key: str, cols: Sequence[str], by: str = "file_name",
+                  dup_cols: tuple[Sequence[str], Sequence[str]] | None = None, complete: tuple | None = None) -> DataFrame:
+    """All measures of the key outer merge in one table of sums: a row for each file of either side (``_file``), and, with
+    ``complete`` = (a, b, columns), one for the all-column merge of A19 (``_tag`` 1).
+
+    The merge is never built. Equal rows of a side are one class (one shuffle, read by both parts below).
+    * Per (key, side, file): rows, classes seen once, rows of classes seen more often, cells that are not NULL. A window
+      over a key's files adds the other side's numbers. From these: rows, missing, extra, copied rows, and for every
+      column all pairs of the key, or its cells that are not NULL where the candidate has no row of the key.
+    * From the pairs go those that agree: per (key, column, value) baseline rows times candidate rows.
+    Everything is then one grouped sum of wide rows.
+    """
+    gcols, pcols = (list(x) for x in (dup_cols if dup_cols is not None else (gt.columns, pl.columns)))
+    if not set(cols) | {by} <= set(gcols) or not set(cols) <= set(pcols):
+        raise ValueError("the compared columns and the file column must be among those that define a copied row")
+    n = len(cols)
+
+    def texts(df: DataFrame, other: DataFrame, names: Sequence[str]):
+        out = [comparable(c, df.schema[c].dataType, (other if c in other.columns else df).schema[c].dataType) for c in names]
+        return F.array(*out) if out else F.array().cast("array<string>")
+
+    def side(df: DataFrame, other: DataFrame, own: list[str], which: int) -> DataFrame:
+        rest = [c for c in own if c not in cols and c not in (key, by)]
+        file = F.col(by).cast("string") if by in df.columns else F.lit(None).cast("string")
+        return df.select(F.col(key).cast("string").alias("k"), F.lit(which).alias("side"), file.alias("file"),
+                         texts(df, other, cols).alias("v"), texts(df, other, rest).alias("rest"))
+
+    c = F.col("c")
+    classes = side(gt, pl, gcols, 0).unionByName(side(pl, gt, pcols, 1)).groupBy("k", "side", "file", "v", "rest").agg(
+        F.count(F.lit(1)).alias("c"))
+    per = classes.groupBy("k", "side", "file").agg(
+        F.sum("c").alias("n"), F.count_if(c == 1).alias("s"), F.sum(F.when(c > 1, c).otherwise(0)).alias("d"),
+        *[F.sum(F.when(F.get("v", F.lit(i)).isNotNull(), c).otherwise(0)).alias(f"nn{i}") for i in range(n)])
+    of_key = Window.partitionBy("k", F.when(F.col("k").isNull(), F.col("side")))  # NULL keys meet nothing
+
+    def across(which: int, x: str):
+        return F.coalesce(F.sum(F.when(F.col("side") == which, F.col(x))).over(of_key), F.lit(0))
+
+    per = per.withColumns({"np": across(1, "n"), "sp": across(1, "s"), "ng": across(0, "n")})
+    base, cand, rows, none = F.col("side") == 0, F.col("side") == 1, F.col("n"), F.lit(None).cast("bigint")
+    met = F.col("np") > 0
+    sums = ["total_rows", "missing_rows", "extra_rows", "duplicate_rows"] + [f"m{i}" for i in range(n)]
+    extra = ["w", *[f"z{i}" for i in range(n)]] if complete is not None else []
+    keyed = per.select(
+        F.lit(0).alias("_tag"),
+        # copied rows of keys that only the candidate has belong to no baseline file: they stand in a row of their own
+        F.explode(F.when(cand & (F.col("ng") == 0) & (F.col("d") > 0), F.array(
+            F.struct(F.col("file").alias("f"), F.lit(False).alias("o")), F.struct(
+                F.lit(None).cast("string").alias("f"), F.lit(True).alias("o")))).otherwise(F.array(F.struct(
+                    F.col("file").alias("f"), F.lit(False).alias("o"))))).alias("x"), "*").select(
+        "_tag", F.col("x.f").alias("_file"), F.when(base, rows).alias("total_rows"),
+        F.when(base, F.when(met, 0).otherwise(rows)).alias("missing_rows"),
+        F.when(cand & ~F.col("x.o"), F.when(F.col("ng") == 0, rows).otherwise(0)).alias("extra_rows"),
+        F.when(base, F.when(met, rows * F.col("np") - F.col("s") * F.col("sp")).otherwise(F.col("d")))
+        .when(F.col("x.o"), F.col("d")).alias("duplicate_rows"),
+        *[F.when(base, F.when(met, rows * F.col("np")).otherwise(F.col(f"nn{i}"))).alias(f"m{i}") for i in range(n)],
+        *[none.alias(x) for x in extra])
+    # no filter here that Spark could push below the classes: they are to be the same in both parts, to be made once
+    cells = (classes.select("k", "side", F.when(base, F.col("file")).alias("file"), F.when(
+        F.col("k").isNotNull(), c).alias("c"), F.posexplode_outer("v").alias("i", "x"))
+             .groupBy("k", "i", "x", "side", "file").agg(F.sum("c").alias("c")))
+    agree = cells.withColumn("cp", F.sum(F.when(cand, c)).over(Window.partitionBy("k", "i", "x"))).where(
+        base & F.col("cp").isNotNull()).select(
+        F.lit(0).alias("_tag"), F.col("file").alias("_file"), *[none.alias(x) for x in sums[:4]],
+        *[F.when(F.col("i") == i, -c * F.col("cp")).alias(f"m{i}") for i in range(n)], *[none.alias(x) for x in extra])
+    wide = keyed.unionByName(agree)
+    if complete is not None:
+        a, b, names = complete
+        both = a.select(*names, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+            b.select(*names, F.lit(0).alias("_a"), F.lit(1).alias("_b"))).groupBy(*names).agg(
+            F.sum("_a").alias("_x"), F.sum("_b").alias("_y"))
+        x, y = F.col("_x"), F.col("_y")
+        weight = F.when((x > 0) & (y > 0), x * y).otherwise(x + y)
+        wide = wide.unionByName(both.select(
+            F.lit(1).alias("_tag"), F.lit(None).cast("string").alias("_file"), *[none.alias(m) for m in sums],
+            weight.alias("w"), *[F.when(F.col(m).isNull(), weight).otherwise(0).alias(f"z{i}")
+                                 for i, m in enumerate(cols)]))
+    return wide.groupBy("_tag", "_file").agg(*[F.sum(x).alias(x) for x in sums + extra])
+
+
+def file_table(measures: DataFrame, cols: Sequence[str], by: str = "file_name") -> DataFrame:
+    """The wide table per baseline file of ``file_level_accuracy``, from ``file_measures``."""
+    of = measures.where((F.col("_tag") == 0) & F.col("_file").isNotNull() & F.col("total_rows").isNotNull())
+    return of.select(F.col("_file").alias(by), "total_rows", *[F.coalesce(m, F.lit(0)).alias(m) for m in FILE_LEVEL_ISSUES],
+                     *[F.col(f"m{i}").alias(c) for i, c in enumerate(cols)])
+
+
+def issue_table(measures: DataFrame, cols: Sequence[str], parity: bool = False) -> DataFrame:
+    """The issue summary (A17) from ``file_measures`` (with ``complete``): one grouped sum over its few rows."""
+    issues = [(m, F.coalesce(m, F.lit(0)), F.lit(None).cast("bigint")) for m in FILE_LEVEL_ISSUES]
+    issues += [(c, F.col(f"m{i}"), F.col(f"z{i}")) for i, c in enumerate(cols)]
+    listed = (F.col("_tag") == 0) & F.col("_file").isNotNull() & F.col("total_rows").isNotNull()
+    each = F.explode(F.array(*[F.struct(
+        F.lit(name).alias("issue_type"), F.when(listed, errors).alias("e"), z.alias("z"),
+        (F.col("duplicate_rows") if name == "duplicate_rows" else F.lit(None).cast("bigint")).alias("dup"))
+        for name, errors, z in issues]))
+    long = measures.select(listed.alias("listed"), F.when(listed, F.col("total_rows")).alias("t"), "w", each.alias("x")).select(
+        "listed", "t", "w", "x.*")
+    e, t = F.sum("e").cast("double"), F.sum("t").cast("double")
+    hit = F.col("listed") & (F.col("e") > 0)
+    if parity:
+        hit = hit & ((F.lit(100.0) - F.col("e") / F.col("t") * 100) != 0)
+    field = ~F.col("issue_type").isin(*FILE_LEVEL_ISSUES)
+    g = long.groupBy("issue_type").agg(
+        F.round(F.lit(100.0) - e / t * 100, 2).alias("accuracy"), F.count_if(hit).alias("files_affected"),
+        (F.count_if(F.col("listed") & F.col("e").isNull()) / F.count_if("listed") * 100).alias("pct_missing"),
+        (F.lit(100) - F.round(F.sum("z").cast("double") / F.sum("w").cast("double") * 100, 2)).alias("_pct"),
+        F.coalesce(F.sum("dup"), F.lit(0)).cast("double").alias("_dup"))
+    return g.select("issue_type", F.when(field, F.lit("Field")).otherwise(F.lit("File")).alias("issue_level"), "accuracy",
+                    "files_affected", "pct_missing", F.when(field, F.col("_pct")).when(
+                        F.col("issue_type") == "duplicate_rows", F.col("_dup")).alias("pct_incorrect"))
+
+
 def run_totals(state: DataFrame, baseline_rows: DataFrame) -> DataFrame:
     """Matched rows, candidate rows not in the baseline, baseline rows left over.
 

@@ -11,8 +11,8 @@ from recheck.operators.match import reconcile
 from recheck.operators.schema import canonical_headers
 from recheck.plans.oracle_sql import greedy_ctes, key_sql
 from recheck.plans.q_profile import FLATFILE_COLS, contract, flatfile
-from recheck.plans.q_recon import KEY_A, KEY_B, PAIRS_BODY, _ci_ctes, _exact_ctes, _oracle
-from recheck.plans.q_rules import _BAND, RULE_SQL, _sql
+from recheck.plans.q_recon import KEY_A, KEY_B, PAIRS_BODY, RECON_COLS, _ci_ctes, _exact_ctes, _oracle
+from recheck.plans.q_rules import _BAND, LOOKUPS, RULE_SQL, _sql
 from recheck.plans.registry import query
 from recheck.sources import io
 from recheck.sources.fixtures import load_fixture, with_fixtures
@@ -44,21 +44,115 @@ def q_flow_flat_vs_extract(spark, sf_dir):
     return _sheet(spark, base)
 
 
-@query("flow_rules", with_fixtures(["pipeline"], " UNION ALL ".join(
-    f"SELECT row_id, '{f}' AS field, '{r}' AS rule, '{RU.MESSAGES[r].replace(chr(39), chr(39) * 2)}' AS message FROM pipeline "
-    f"WHERE file_name NOT IN ('file_0.xlsx', 'file_1.xlsx') AND {w}" for f, r, w in [
-        *[(c, "R2", f"lower({c}) = 'unknown'") for c in (
-            "file_name", "sku_original", "sku_normalized", "level5_category", "uom", "payment_term")],
-        ("price_date", "R4", "price_date < DATE '2017-01-01'"),
-        ("payment_term", "R5", "NOT coalesce(regexp_full_match(payment_term, 'NET[0-9]+'), false)"),
-        ("payment_term", "R6", "payment_term IS NOT NULL AND NOT regexp_full_match(lower(payment_term), 'net[0-9]+')"),
-    ])))
+# -- the written sheets of a flow as one table ---------------------------------------------------------------------
+
+# Columns of the tagged table: those of whole rows, and of findings.
+_ROW = {"row_id": "BIGINT", "file_name": "VARCHAR", "sku_original": "VARCHAR", "sku_normalized": "VARCHAR",
+        "level5_category": "VARCHAR", "uom": "VARCHAR", "unit_price": "DOUBLE", "price_date": "VARCHAR",
+        "payment_term": "VARCHAR"}
+_FOUND = {"matched_id": "BIGINT", "diff_columns": "VARCHAR", "reason": "VARCHAR", "metric": "VARCHAR", "value": "BIGINT",
+          "column": "VARCHAR", "side": "VARCHAR", "field": "VARCHAR", "rule": "VARCHAR", "message": "VARCHAR",
+          "comment": "VARCHAR"}
+
+
+def tagged(spark, base, sheets):
+    """The named sheets as they were written, one after the other, with the sheet's name."""
+    out = None
+    for name in sheets:
+        part = spark.read.parquet(f"{base}/{name}").withColumn("sheet", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out.withColumn("price_date", F.col("price_date").cast("string"))
+
+
+def _tagged_sql(sheets, columns):
+    """``sheets``: (name, the columns that it has, FROM clause) with SQL for each column's value."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS sheet, " + ", ".join(
+            f"CAST({own[c]} AS {kind}) AS \"{c}\"" if c in own else f"CAST(NULL AS {kind}) AS \"{c}\"" for c, kind in columns.items())
+        + f" FROM {source}" for name, own, source in sheets)
+
+
+def _comparison_sql(left, right, prefix="", cols=_ROW):
+    """The sheets of a comparison, from the greedy's steps (``st``) and both sides."""
+    def whole(t):
+        return {c: f"{t}.{c}" for c in cols}
+    return [
+        (f"{prefix}matched", whole("l") | {"matched_id": "st.matched", "diff_columns": "array_to_string(st.diff, ',')"},
+         f"st JOIN {left} l ON l.row_id = st.pid WHERE st.i > 0 AND st.matched IS NOT NULL"),
+        (f"{prefix}left_only", whole("l") | {
+            "reason": "CASE WHEN st.k IN (SELECT k FROM g) THEN 'used_up' ELSE 'no_key' END"},
+         f"st JOIN {left} l ON l.row_id = st.pid WHERE st.i > 0 AND st.matched IS NULL"),
+        (f"{prefix}right_only", whole("r"),
+         f"{right} r WHERE r.row_id NOT IN (SELECT consumed FROM st WHERE i > 0 AND consumed IS NOT NULL)"),
+        (f"{prefix}totals", {"metric": "'matched'", "value": "count(*)"}, "st WHERE i > 0 AND matched IS NOT NULL"),
+        (f"{prefix}totals", {"metric": "'left_only'", "value": "count(*)"}, "st WHERE i > 0 AND matched IS NULL"),
+        (f"{prefix}totals", {"metric": "'right_only'", "value": "count(*)"},
+         "g WHERE id NOT IN (SELECT consumed FROM st WHERE consumed IS NOT NULL)")]
+
+
+def _columns_sql(rows, prefix=""):
+    return [(f"{prefix}columns", {"column": f"'{c}'", "side": f"'{s}'"}, "(SELECT 1)") for c, s in rows]
+
+
+_COMPARED = {c: _FOUND[c] for c in ("matched_id", "diff_columns", "reason", "metric", "value", "column", "side")}
+
+
+@query("flow_compare_sheets", _oracle(_exact_ctes(), _tagged_sql(
+    _comparison_sql("pipeline", "gt") + _columns_sql([("batch_no", "left"), ("approved_by", "right")]), _ROW | _COMPARED)))
+def q_flow_compare_sheets(spark, sf_dir):
+    """Every sheet of a comparison, whole rows, as written; each side has a column that the other lacks."""
+    base = io.scratch_path(spark, "compare")
+    flows.compare(load_fixture(spark, sf_dir, "pipeline").withColumn("batch_no", F.lit(1)),
+                  load_fixture(spark, sf_dir, "gt").withColumn("approved_by", F.lit("x")), KEY_A, base)
+    return tagged(spark, base, ["matched", "left_only", "right_only", "totals", "columns"])
+
+
+@query("flow_flat_vs_extract_sheets", _oracle(_ci_ctes(), _tagged_sql(_comparison_sql("pipeline", "gt"), _ROW | {
+    c: _FOUND[c] for c in ("matched_id", "diff_columns", "reason", "metric", "value")})))
+def q_flow_flat_vs_extract_sheets(spark, sf_dir):
+    """Every sheet of the database comparison, whole rows, as written."""
+    base = io.scratch_path(spark, "flat-vs-extract")
+    extract = load_fixture(spark, sf_dir, "gt")
+    extract.toDF(*[c.upper() if c != "row_id" else c for c in extract.columns]).write.parquet(f"{base}/extract")
+    flows.flat_vs_extract(load_fixture(spark, sf_dir, "pipeline"), spark.read.parquet(f"{base}/extract"), KEY_B, base)
+    return tagged(spark, base, ["matched", "left_only", "right_only", "totals"])
+
+
+# Business checks: line items and price points in one table. Files that the baseline holds are compared with it, rows of
+# all other files go through every rule.
+_SHIFT = 10 ** 12  # price points' ids, clear of the line items'
+_KNOWN = [("known", "SELECT " + ", ".join(_ROW) + " FROM flatfile WHERE file_name IN (SELECT file_name FROM gt) UNION ALL "
+           f"SELECT row_id + {_SHIFT}, " + ", ".join(list(_ROW)[1:]) + " FROM pipeline"),
+          ("newrows", "SELECT * FROM flatfile WHERE file_name NOT IN (SELECT file_name FROM gt)"), _BAND]
+_NEW_RULES = {r: [p.replace("FROM flatfile f", "FROM newrows f") for p in parts] for r, parts in RULE_SQL.items()}
+_FINDINGS = [("violations", {c: c for c in ("row_id", "field", "rule", "message")}, f"({p})")
+             for parts in _NEW_RULES.values() for p in parts]
+_FINDINGS += [
+    ("comments", {"row_id": "row_id", "comment": "string_agg(message || ' in ' || field, '; ' ORDER BY pos)"},
+     "(" + " UNION ALL ".join(f"SELECT *, {FLATFILE_COLS.index(c) + 1} AS pos FROM ({p})" for p, c in zip(
+         _NEW_RULES["R16"], ["supplier_id", "client_id", "supplier_id", "client_id"])) + ") GROUP BY row_id"),
+    ("rules_not_run", {"rule": "'R1'", "reason": "'no column currency_code'"}, "(SELECT 1)")]
+
+
+@query("flow_rules", with_fixtures(["gt", "pipeline", *LOOKUPS], _tagged_sql(
+    _FINDINGS + _comparison_sql("known", "gt", "compare_") + _columns_sql(
+        [(c, "left") for c in FLATFILE_COLS if c not in _ROW], "compare_"), _ROW | _FOUND), "duckdb", recursive=True,
+    extra=_KNOWN + greedy_ctes("known", "gt", key_sql(KEY_A, "ascii_lower"), key_sql(KEY_A, "ascii_lower"), RECON_COLS,
+                               list(RECON_COLS), list(RECON_COLS), ["sku_original"], ["sku_original"])))
 def q_flow_rules(spark, sf_dir):
-    """Files that the baseline holds are compared, all others go through the business rules; the written violations."""
+    """Business checks with contract and lookups: violations, comments, rules not run, and all sheets of the comparison
+    of the files that the baseline holds, as written."""
     base = io.scratch_path(spark, "rules")
-    gt = load_fixture(spark, sf_dir, "gt").where(F.col("file_name").isin("file_0.xlsx", "file_1.xlsx"))
-    flows.business_checks(load_fixture(spark, sf_dir, "pipeline"), gt, ["file_name"], KEY_A, base)
-    return spark.read.parquet(f"{base}/violations")
+    cat, cal = (load_fixture(spark, sf_dir, n) for n in ("supplier_category", "client_alias"))
+    points = load_fixture(spark, sf_dir, "pipeline").withColumn("row_id", F.col("row_id") + _SHIFT)
+    flows.business_checks(
+        flatfile(spark, sf_dir).unionByName(points, allowMissingColumns=True), load_fixture(spark, sf_dir, "gt"),
+        ["file_name"], KEY_A, base, contract_rows=contract(spark, sf_dir),
+        norm_lookup=load_fixture(spark, sf_dir, "norm_lookup"), supplier_category=cat,
+        supplier_alias=load_fixture(spark, sf_dir, "supplier_alias"), client_alias=cal, conditional=[cat, cal])
+    return tagged(spark, base, ["violations", "comments", "rules_not_run", *[
+        f"compare_{s}" for s in ("matched", "left_only", "right_only", "totals", "columns")]])
+
 
 # -- column types ------------------------------------------------------------------------------------------------
 # Large integers with NULLs, doubles, decimals, dates and far timestamps; keys with one and with several rows a side.

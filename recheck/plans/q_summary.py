@@ -11,7 +11,6 @@ from recheck.operators.match import RIGHT
 from recheck.plans.oracle_sql import key_sql
 from recheck.plans.q_recon import KEY_B, RECON_COLS, _exact_ctes, recon_exact
 from recheck.plans.registry import query
-from recheck.session import materialize
 from recheck.sources.fixtures import load_fixture, with_fixtures
 
 # Columns checked per file in the key outer merge (the key columns themselves are not re-checked).
@@ -20,18 +19,13 @@ PK_COLS = ["file_name", "sku_original"]
 ALL_COLS = ["file_name"] + SUM_COLS  # fixture columns without the row id
 
 
-def keyed_sides(spark, sf_dir, written=False):
-    """Both sides with SKU text cleaned and primary key C (file, SKU) put first.
-
-    A query of one summary reads the columns it needs from the scan. Where a flow computes several summaries of the same
-    sides, these are ``written`` once.
-    """
+def keyed_sides(spark, sf_dir):
+    """Both sides with SKU text cleaned and primary key C (file, SKU) put first."""
     out = []
     for name in ("gt", "pipeline"):
         df = nan_to_null(load_fixture(spark, sf_dir, name))
         df = df.withColumn("sku_original", clean_key_text("sku_original"))
-        df = pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key")
-        out.append(materialize(df) if written else df)
+        out.append(pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key"))
     return out
 
 
@@ -130,15 +124,17 @@ _FILE_TABLE_CTES = [
 ]
 
 
-def file_table(spark, sf_dir):
-    gt, pl = keyed_sides(spark, sf_dir, written=True)
-    return S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS)
+def measures(spark, sf_dir, complete=False):
+    gt, pl = keyed_sides(spark, sf_dir)
+    raw = (load_fixture(spark, sf_dir, n) for n in ("pipeline", "gt"))
+    return S.file_measures(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS,
+                           complete=(*map(nan_to_null, raw), ALL_COLS) if complete else None)
 
 
 @query("file_level_accuracy", _sql("SELECT * FROM ft", _FILE_TABLE_CTES))
 def q_file_level_accuracy(spark, sf_dir):
     """Per GT file: rows, missing, extra, duplicate rows and mismatches per column (key outer merge)."""
-    return file_table(spark, sf_dir)
+    return S.file_table(measures(spark, sf_dir), SUM_COLS)
 
 
 # The literal NULL-safe outer merge on all common columns (the Spark side never builds it).
@@ -175,12 +171,7 @@ _ISSUE_SQL = (
 
 @query("issue_summary", _sql(_ISSUE_SQL, _FILE_TABLE_CTES + _COMPLETE))
 def q_issue_summary(spark, sf_dir):
-    gt, pl = keyed_sides(spark, sf_dir, written=True)
-    # duplicates per baseline file once; the total adds the NULL-file group (candidate-only keys)
-    dup_by_file = S.merge_duplicate_rows(gt, pl, "primary_key", *SIDE_COLS, by="file_name")
-    ft = S.file_level_accuracy(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS, dup_by_file=dup_by_file)
-    dups = dup_by_file.agg(F.coalesce(F.sum("duplicate_rows"), F.lit(0)).cast("bigint").alias("duplicate_rows"))
-    return S.issue_summary(ft, SUM_COLS, completeness(spark, sf_dir), dups)
+    return S.issue_table(measures(spark, sf_dir, complete=True), SUM_COLS)
 
 
 # -- summaries of the greedy pairs (first entry point) --------------------------------------------------------------

@@ -8,7 +8,6 @@ from the cluster configuration, never from code.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from recheck.functions.cells import nan_to_null
 from recheck.operators.joins import hinted
+from recheck.session import Scratch
 
 # File extension -> Spark source.
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".orc": "orc", ".txt": "csv"}
@@ -118,9 +118,9 @@ def write_partitioned(df: DataFrame, path: str, by: str = "file_name", sort: Seq
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (``spark.checkpoint.dir``), never a machine-local temp."""
-    from recheck.session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/recheck-out/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint folder (``spark.checkpoint.dir``), never a machine-local temp; removed
+    when Python ends (``session.Scratch``)."""
+    return Scratch(spark, name).path
 
 
 def resolve_category(taxonomy: DataFrame, name: str, name_col: str = "category_name",

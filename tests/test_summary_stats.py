@@ -1,5 +1,7 @@
 """Rewrites against their literal pandas/numpy form."""
 
+import re
+
 import numpy as np
 import pandas as pd
 
@@ -81,3 +83,44 @@ def test_mark_duplicates(spark):
     pdf = pd.DataFrame(ROWS_A + ROWS_B, columns=["f", "v", "s"])
     got = sorted(r.has_copy for r in S.mark_duplicates(df, ["f", "v", "s"]).collect())
     assert got == sorted(pdf.duplicated(keep=False).tolist())
+
+
+def random_sides(spark, seed):
+    import random
+    rng = random.Random(seed)
+    def make(n, id0, files):
+        return [(id0 + i, rng.choice(["k1", "k2", "k3", "k4", None]), rng.choice(files), rng.choice(["p", "q", None]),
+                 rng.choice([1, 2, None])) for i in range(n)]
+    schema = "row_id long, key string, file_name string, a string, b long"
+    return (spark.createDataFrame(make(60, 0, ["f1", "f2", None]), schema),
+            spark.createDataFrame(make(50, 1000, ["f1", "f9", None]), schema))
+
+
+def test_one_table_of_sums_equals_the_single_measures(spark):
+    """All measures at once against the operators of one measure each; NULL keys and files, keys of one side only."""
+    cols, side = ["a", "b"], ["key", "file_name", "a", "b"]
+    for seed in (1, 2):
+        gt, pl = random_sides(spark, seed)
+        if seed == 2:
+            gt, pl = gt.where("key <> 'k1' OR key IS NULL"), pl.where("key <> 'k2' OR key IS NULL")
+        m = S.file_measures(gt, pl, "key", cols, dup_cols=(side, side), complete=(pl, gt, ["file_name", "a", "b"]))
+        got = S.file_table(m, cols)
+        want = S.file_level_accuracy(gt, pl, "key", cols, dup_cols=(side, side))
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        total = S.merge_duplicate_rows(gt, pl, "key", side, side)
+        old = S.issue_summary(want, cols, S.outer_completeness(pl, gt, ["file_name", "a", "b"]).where("field <> 'file_name'"), total)
+        new = S.issue_table(m, cols)
+        assert new.columns == old.columns
+        assert sorted(map(tuple, new.collect()), key=str) == sorted(map(tuple, old.collect()), key=str)
+
+
+def test_issue_table_is_one_plan_of_few_exchanges(spark):
+    gt, pl = random_sides(spark, 3)
+    side = ["key", "file_name", "a", "b"]
+    m = S.issue_table(S.file_measures(gt, pl, "key", ["a", "b"], dup_cols=(side, side),
+                                      complete=(pl, gt, ["file_name", "a", "b"])), ["a", "b"])
+    m.collect()
+    plan = m._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    shuffles = {x for line in plan.splitlines() for x in re.findall(r"^[^A-Za-z]*Exchange .*plan_id=(\d+)", line)}
+    assert len(shuffles) <= 8 and "ReusedExchange" in plan and "Join" not in plan, plan
