@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,10 +202,7 @@ def normalize_dates(df: DataFrame, cols: Sequence[str], on_error: str = "keep_co
     ``null``: unparsable cells become NULL. The decision costs one aggregate pass over the named columns.
     """
     def parsed(c):
-        dt = df.schema[c].dataType
-        if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return F.col(c)
-        return F.try_to_timestamp(F.col(c).cast("string"))
+        return _as_date(df, c)
 
     if on_error == "null":
         return df.withColumns({c: F.date_format(parsed(c), fmt) for c in cols})
@@ -214,6 +211,26 @@ def normalize_dates(df: DataFrame, cols: Sequence[str], on_error: str = "keep_co
     return df.withColumns({c: F.date_format(parsed(c), fmt) for c in ok})
 
 
+def _as_date(df: DataFrame, c: str) -> Column:
+    if isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.col(c)
+    return F.try_to_timestamp(F.col(c).cast("string"))
+
+
+def write_normalized(df: DataFrame, cols: Sequence[str], path: str, fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """``normalize_dates`` (all or nothing a column) decided in the pass that writes: ``df`` is read once. Both forms of a
+    column are written side by side and its bad cells observed on the way; the columns returned are those of the form
+    that holds, and only they are read (N1)."""
+    seen = Observation()
+    new = {c: f"{c}__as_date" for c in cols}
+    both = df.withColumns({new[c]: F.date_format(_as_date(df, c), fmt) for c in cols})
+    both.observe(seen, *[F.count_if(F.col(c).isNotNull() & F.col(new[c]).isNull()).alias(f"bad{i}")
+                         for i, c in enumerate(cols)]).write.parquet(path)
+    bad = {c: seen.get[f"bad{i}"] for i, c in enumerate(cols)}
+    written = df.sparkSession.read.schema(both.schema).parquet(path)
+    return written.select(*[F.col(new[c]).alias(c) if c in new and not bad[c] else F.col(c) for c in df.columns])
+
+
 def to_date_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Truncate named timestamp columns, or every timestamp column, to DATE."""
     if cols is None:
@@ -223,13 +240,18 @@ def to_date_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 
 def clean_cells(df: DataFrame, trim: str = "both", cols: Sequence[str] | None = None) -> DataFrame:
-    """Text cells stripped of white space at both ends, NULL -> 'nan' (N4). The reference strips one side of a
-    comparison or both: ``clean_sides``; ``trim='none'`` renders without stripping."""
+    """Cells as text, NULL -> 'nan' (N4): numbers, dates and times as ``plain_text``, text stripped of white space at
+    'both' ends, at its 'left' end, or not at all ('none'). The reference strips one side of a comparison or both:
+    ``clean_sides``."""
+    if trim not in ("both", "left", "none"):
+        raise ValueError(f"unknown trim {trim!r}")
     cols = list(cols or df.columns)
     out = {}
     for c in cols:
         dt = df.schema[c].dataType
-        v = strip(F.col(c)) if isinstance(dt, T.StringType) and trim == "both" else plain_text(F.col(c), dt)
+        v = plain_text(F.col(c), dt)
+        if isinstance(dt, T.StringType) and trim != "none":
+            v = strip(F.col(c)) if trim == "both" else F.ltrim(F.col(c), F.lit(WHITE_SPACE))
         out[c] = F.coalesce(v, F.lit(NULL_TEXT))
     return df.withColumns(out)
 

@@ -31,17 +31,22 @@ def set_bytes(*sets: DataFrame) -> list[int]:
     return [got[i] for i in range(len(sets))]
 
 
-def hinted(sets: Sequence[DataFrame], max_bytes: int = BROADCAST_MAX_BYTES) -> list[DataFrame]:
-    """The sets, smallest first marked for broadcast until ``max_bytes`` are reached in sum."""
-    out, room = list(sets), max_bytes
+def sized(sets: Sequence[DataFrame], max_bytes: int = BROADCAST_MAX_BYTES) -> list[tuple[DataFrame, bool]]:
+    """The sets, smallest first marked for broadcast until ``max_bytes`` are reached in sum, and whether each is."""
+    out, room = [(s, False) for s in sets], max_bytes
     for n, i in sorted((n, i) for i, n in enumerate(set_bytes(*sets))):
         if n > room:
             break
         room -= n
-        out[i] = F.broadcast(sets[i])
+        out[i] = F.broadcast(sets[i]), True
     return out
 
 
+def hinted(sets: Sequence[DataFrame], max_bytes: int = BROADCAST_MAX_BYTES) -> list[DataFrame]:
+    """The sets, smallest first marked for broadcast until ``max_bytes`` are reached in sum."""
+    return [s for s, _ in sized(sets, max_bytes)]
+
+
 def member_set(values: DataFrame, name: str) -> DataFrame:
     """The distinct values of a one-column table, with a marker column ``name``."""
     return values.toDF(f"{name}_v").distinct().withColumn(name, F.lit(True))

@@ -46,6 +46,30 @@ def with_position(df: DataFrame, sort: Sequence[str], name: str = "position", ro
     return rows.withColumn(name, start + F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1).drop("_place")
 
 
+def with_rank(df: DataFrame, group: Sequence[str], sort: Sequence[Column], scratch: Scratch, name: str = "rank",
+              total: str = "total", table: str = "ranked") -> DataFrame:
+    """``df`` with each row's number from 0 within its group, in the order of ``sort`` (which must be total for numbers
+    that reruns agree on), and the rows of the group. NULL is a group value like any other.
+
+    Rows are in global order of (group, sort): a group's rows in one partition stand together, so a row's number is its
+    place there less that of the group's first, plus the group's rows in the partitions before.
+    """
+    from pyspark.sql import Window
+    keys = [F.col(g) for g in group]
+    rows = in_order(df, [*[k.asc_nulls_last() for k in keys], *sort], scratch, table)
+    rows = rows.withColumn("_p", F.shiftright("_place", _PLACE_BITS).cast("int"))
+    parts = rows.groupBy(*group, "_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    up = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*[k.alias(f"_g{i}") for i, k in enumerate(keys)], F.col("_p").alias("_p2"), "_first",
+                          F.coalesce(F.sum("_n").over(up), F.lit(0)).alias("_start"),
+                          F.sum("_n").over(Window.partitionBy(*group)).alias(total))
+    same = F.col("_p") == F.col("_p2")
+    for i, k in enumerate(keys):
+        same = same & k.eqNullSafe(F.col(f"_g{i}"))
+    return rows.join(starts, same).withColumn(name, F.col("_start") + F.col("_place") - F.col("_first")).drop(
+        "_place", "_p", "_p2", "_first", "_start", *[f"_g{i}" for i in range(len(keys))])
+
+
 def percentiles(df: DataFrame, group: str, value: str, q: float) -> DataFrame:
     """(group, percentile) with linear interpolation between the two nearest ranks; exact for groups of any size.
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,6 +114,19 @@ def flagged_columns(df: DataFrame, contract: dict[str, str]) -> DataFrame:
     return with_position(found, ["-category", "field"], row_id="field")
 
 
+def write_profiled(df: DataFrame, contract: dict[str, str], path: str) -> DataFrame:
+    """Writes ``df`` to ``path`` and returns its flagged columns (category, field, n_bad), counted on the way: no pass of
+    their own for A2 and A3."""
+    seen, expected = Observation(), _expected(df, contract)
+    counts = [x for i, c in enumerate(df.columns) for x in (
+        F.count(F.col(quoted(c))).alias(f"v{i}"), F.count_if(_bad(df, c, expected.get(c))).alias(f"b{i}"))]
+    df.observe(seen, *counts).write.parquet(path)
+    got = seen.get
+    rows = [(ALL_NULL_CATEGORY if not got[f"v{i}"] else DTYPE_CATEGORY, c, got[f"b{i}"] if got[f"v{i}"] else None)
+            for i, c in enumerate(df.columns) if not got[f"v{i}"] or got[f"b{i}"]]
+    return df.sparkSession.createDataFrame(rows, "category string, field string, n_bad bigint")
+
+
 def validation_summary(spark: SparkSession, df: DataFrame, contract_rows: Sequence[tuple],
                        ignore: Sequence[str] = FLAG_COLUMNS, by: str = "file_name") -> DataFrame:
     """Column structure + missing % of mandatory columns + flagged columns, one long table.

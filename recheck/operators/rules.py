@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recheck.functions.cells import strip
-from recheck.operators.joins import hinted, member_flag, member_set
+from recheck.functions.cells import comparable, strip
+from recheck.operators.joins import BROADCAST_MAX_BYTES, member_flag, member_set, sized
 from recheck.operators.schema import canonical_name
 
 # Patterns, cut-off date, marker words and messages of the checks.
@@ -141,9 +141,26 @@ def pair_flag(df: DataFrame, left: Sequence[Column], pairs: DataFrame, name: str
 
 @dataclass
 class Lookup:
-    """A value set and how its columns get to the data; joined only where a rule that asks for it is run."""
+    """A value set and how its columns get to the data; joined only where a rule that asks for it is run.
+
+    For membership: ``cell`` is the data's value as one text, ``members`` the set's as one column ``value`` of the same
+    texts; a NULL ``cell`` is never looked up, and violates the rule where ``null_violates`` says so.
+    """
     values: DataFrame
     attach: Callable[[DataFrame, DataFrame], DataFrame]
+    cell: Column | None = None
+    members: DataFrame | None = None
+    null_violates: Column | None = None
+
+
+def one_text(cells: Sequence[tuple[Column, T.DataType, T.DataType]], null_safe: bool) -> Column:
+    """A tuple of cells as one text, equal on both sides where all cells are (each: column, own type, other type). NULL
+    if any cell is, or, ``null_safe``, a text that says so."""
+    parts = []
+    for c, own, other in cells:
+        text = F.concat(F.lit("="), F.replace(comparable(c, own, other), F.lit("\x01"), F.lit("\x01\x01")))
+        parts.append(F.coalesce(text, F.lit("-")) if null_safe else text)
+    return F.concat(*[x for p in parts for x in (p, F.lit(" \x01 "))][:-1])
 
 
 @dataclass
@@ -155,20 +172,67 @@ class RuleSet:
 
     def with_lookups(self, names: Sequence[str]) -> DataFrame:
         """The input with the columns of the named lookups; their sizes are measured in one job."""
-        used = [self.lookups[n] for n in names if n in self.lookups]
-        df = self.base
-        for lookup, values in zip(used, hinted([x.values for x in used])):
-            df = lookup.attach(df, values)
-        return df
+        return self._joined(names, None)[0]
+
+    def _joined(self, names: Sequence[str], max_bytes: int | None, apart: bool = False) -> tuple[DataFrame, list[str]]:
+        """The input joined with the named lookups, and the names of those left out: with ``apart``, memberships whose
+        sets are too large for a broadcast."""
+        used = [n for n in names if n in self.lookups]
+        bound = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+        df, out = self.base, []
+        for n, (values, small) in zip(used, sized([self.lookups[n].values for n in used], bound)):
+            if apart and not small and self.lookups[n].cell is not None:
+                out.append(n)
+            else:
+                df = self.lookups[n].attach(df, values)
+        return df, out
 
     @property
     def data(self) -> DataFrame:
         return self.with_lookups(list(self.lookups))
 
-    def violations(self, row_id: str = "row_id", only: Sequence[str] | None = None) -> DataFrame:
+    def violations(self, row_id: str = "row_id", only: Sequence[str] | None = None, max_bytes: int | None = None
+                   ) -> DataFrame:
+        """(row_id, field, rule, message) of the rules, or of those named. Sets up to ``max_bytes`` in sum (default:
+        ``joins.BROADCAST_MAX_BYTES``) are broadcast; for larger ones see ``_by_values``."""
         rs = [r for r in self.rules if only is None or r.rule in only or r.rule.split("_")[0] in only]
         names = {r.rule for r in rs} | {f"{r.rule}:{r.field}" for r in rs}
-        return run_rules(self.with_lookups([n for n in self.lookups if n in names]), rs, row_id)
+        df, apart = self._joined([n for n in self.lookups if n in names], max_bytes, apart=True)
+
+        def large(r: Rule) -> str | None:
+            return next((n for n in (r.rule, f"{r.rule}:{r.field}") if n in apart), None)
+
+        direct = [r if large(r) is None else Rule(r.rule, r.field, self.lookups[large(r)].null_violates, r.message)
+                  for r in rs if large(r) is None or self.lookups[large(r)].null_violates is not None]
+        out = run_rules(df, direct, row_id)
+        if apart:
+            out = out.unionByName(self._by_values([(r, self.lookups[large(r)]) for r in rs if large(r)], row_id))
+        return out
+
+    def _by_values(self, rules: list[tuple[Rule, Lookup]], row_id: str) -> DataFrame:
+        """Violations of memberships in large sets. Only distinct (rule, value) pairs of the data meet the sets, in one
+        join for all rules; the pairs that violate, few as a rule, go back to (row, rule, value) rows. Rows are never
+        shuffled whole."""
+        cells = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("i"), x.cell.alias("value"))
+                                             for i, (_, x) in enumerate(rules)]), lambda s: s["value"].isNotNull()))
+        long = self.base.select(F.col(row_id).alias("row_id"), cells.alias("_s")).select("row_id", "_s.*")
+        members = None
+        for i, (_, x) in enumerate(rules):
+            part = x.members.select(F.lit(i).alias("_i"), F.col("value").alias("_v"))
+            members = part if members is None else members.unionByName(part)
+        member = members.where(F.col("_v").isNotNull()).distinct().withColumn("_member", F.lit(True))
+        found = long.select("i", "value").distinct().join(
+            member, (F.col("i") == F.col("_i")) & (F.col("value") == F.col("_v")), "left")
+        # R11 asks for values that are in its set, all others for values that are not
+        wants = F.element_at(F.array(*[F.lit(r.rule == "R11") for r, _ in rules]), F.col("i") + 1)
+        bad = found.where(F.coalesce("_member", F.lit(False)) == wants).select(
+            F.col("i").alias("_bi"), F.col("value").alias("_bv"))
+        hits = long.join(bad, (F.col("i") == F.col("_bi")) & (F.col("value") == F.col("_bv")))
+
+        def of(what: str) -> Column:
+            return F.element_at(F.array(*[F.lit(getattr(r, what)) for r, _ in rules]), F.col("i") + 1).alias(what)
+
+        return hits.select("row_id", of("field"), of("rule"), of("message"))
 
     def rules_not_run(self) -> DataFrame:
         """(rule, reason): each check that had nothing to look at; an empty table means that every rule ran."""
@@ -217,8 +281,13 @@ def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup:
 
     def member(rule: str, col: str, values: DataFrame, text: Column | None = None, name: str | None = None) -> Column:
         flag = f"_in_{rule}" if name is None else f"_in_{rule}_{len(rs.lookups)}"
-        rs.lookups[name or rule] = Lookup(member_set(values, flag), lambda d, v: member_flag(
-            d, F.col(col) if text is None else text, v, flag))
+        own = df.schema[col].dataType if text is None else T.StringType()
+        other = values.schema.fields[0]
+        data, null_safe = F.col(col) if text is None else text, text is None
+        rs.lookups[name or rule] = Lookup(
+            member_set(values, flag), lambda d, v: member_flag(d, data, v, flag),
+            one_text([(data, own, other.dataType)], null_safe),
+            values.select(one_text([(F.col(other.name), other.dataType, own)], null_safe).alias("value")))
         return F.col(flag)
 
     for c, name, mand, _ in contract:                                                   # R1
@@ -299,8 +368,13 @@ def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup:
             return
         i, n = ro[id_role], ro[name_role]
         an = F.lower(F.col(name_col)) if alias_case == "lower" else F.col(name_col)
-        rs.lookups[rid] = Lookup(pair_set(alias.select(id_col, an), f"_ok_{rid}"), lambda d, v: pair_flag(
-            d, [F.col(i), F.lower(F.col(n))], v, f"_ok_{rid}"))
+        own, other, text = df.schema[i].dataType, alias.schema[id_col].dataType, T.StringType()
+        rs.lookups[rid] = Lookup(
+            pair_set(alias.select(id_col, an), f"_ok_{rid}"),
+            lambda d, v: pair_flag(d, [F.col(i), F.lower(F.col(n))], v, f"_ok_{rid}"),
+            one_text([(F.col(i), own, other), (F.lower(F.col(n)), text, text)], False),
+            alias.select(one_text([(F.col(id_col), other, own), (an, text, text)], False).alias("value")),
+            F.col(i).isNull() | F.col(n).isNull())
         rules.append(Rule(rid, n, ~F.col(f"_ok_{rid}"), m[rid]))
 
     alias_rule("R19", supplier_alias, "supplier_id", "supplier_name", "supplier_id", "alternative_name")

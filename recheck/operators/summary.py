@@ -13,20 +13,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recheck.functions.cells import comparable, strip
+from recheck.operators.order import with_rank
+from recheck.session import Scratch
 
 # File-level issue types (all other issue types are fields).
 FILE_LEVEL_ISSUES = ("missing_rows", "extra_rows", "duplicate_rows")
 
 
-def outer_by_key(gt: DataFrame, pl: DataFrame, key: str, suffixes=("_gt", "_pl")) -> DataFrame:
-    """Many-to-many full outer join on ``key`` with every column suffixed per side.
+# Rows of either side whose pairs one task of the literal merge makes at a time.
+MERGE_BLOCK = 512
 
-    This is the literal merge: a key with n and m rows yields n*m rows. The summaries below never build it (see
-    ``key_mismatch_counts``, ``merge_duplicate_rows``, ``merge_profile``); use it only for inspection of bounded keys.
+
+def outer_by_key(gt: DataFrame, pl: DataFrame, key: str, suffixes=("_gt", "_pl"), block: int = MERGE_BLOCK) -> DataFrame:
+    """Many-to-many full outer join on ``key`` with every column suffixed per side (J4). A key with n and m rows yields
+    n*m rows; the summaries below never build it.
+
+    Spark cannot split a key of a full outer join, so pairs are addressed: rows are numbered inside their key (over range
+    partitions, no task holds a key), numbers fall into blocks of ``block``, and a pair of blocks is one value of an
+    equi-join's key: a row goes to each block of the other side. Rows of keys that the other side lacks are added.
     """
-    a = gt.select(*[F.col(c).alias(c + suffixes[0]) for c in gt.columns])
-    b = pl.select(*[F.col(c).alias(c + suffixes[1]) for c in pl.columns])
-    return a.join(b, F.col(key + suffixes[0]) == F.col(key + suffixes[1]), "full_outer")
+    scratch = Scratch(gt.sparkSession, "outer")
+    counts = (gt.select(F.col(key).alias("_ck"), F.lit(0).alias("_s")).unionByName(
+        pl.select(F.col(key).alias("_ck"), F.lit(1).alias("_s"))).where(F.col("_ck").isNotNull()).groupBy("_ck").agg(
+        F.count_if(F.col("_s") == 0).alias("_n"), F.count_if(F.col("_s") == 1).alias("_m")))
+
+    def side(df: DataFrame, suffix: str, other: str, mine: str, theirs: str, name: str) -> tuple[DataFrame, DataFrame]:
+        own = df.select(F.struct(*[F.col(c).alias(c + suffix) for c in df.columns]).alias(f"_{name}"), F.col(key).alias("_k"))
+        # any order serves: numbers are written with the rows, and a pair of blocks is made whole in any case
+        ranked = with_rank(own, ["_k"], [F.xxhash64(f"_{name}").asc()], scratch, table=name).join(
+            counts, F.col("_k") == F.col("_ck"), "left")
+        blocks = F.ceil(F.col(other) / block).cast("int")
+        met = ranked.where(F.col(other) > 0).select(
+            "_k", f"_{name}", F.floor(F.col("rank") / block).cast("int").alias(mine),
+            F.explode(F.sequence(F.lit(0), blocks - 1)).alias(theirs))
+        return met, ranked.where(F.coalesce(F.col(other), F.lit(0)) == 0).select(f"_{name}")
+
+    a, only_a = side(gt, suffixes[0], "_m", "_i", "_j", "a")
+    b, only_b = side(pl, suffixes[1], "_n", "_j", "_i", "b")
+    pairs = a.join(b, ["_k", "_i", "_j"]).select("_a.*", "_b.*")
+    return pairs.unionByName(only_a.select("_a.*"), allowMissingColumns=True).unionByName(
+        only_b.select("_b.*"), allowMissingColumns=True)
 
 
 def rows_per_file(df: DataFrame, by: str = "file_name") -> DataFrame:

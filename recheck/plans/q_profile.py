@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 
-from recheck.functions.cells import clean_cells, lower_strings, nan_to_null, normalize_dates
+from pyspark.sql import functions as F
+
+from recheck.functions.cells import clean_cells, clean_sides, lower_strings, nan_to_null, normalize_dates, pseudo_key, write_normalized
 from recheck.operators import profile as P
 from recheck.plans.registry import query
+from recheck.session import Scratch
 from recheck.sources.fixtures import load_fixture, with_fixtures
 
 # Schema facts of the flat-file fixture, for the DuckDB side (the Spark side reads them from the DataFrame).
@@ -114,6 +117,23 @@ def q_normalize_dates(spark, sf_dir):
     return normalize_dates(df, ["price_date", "store_no"])
 
 
+@query("normalize_dates_written", _sql(
+    "SELECT row_id, strftime(price_date, '%Y-%m-%d') AS price_date, store_no, payment_term FROM flatfile"))
+def q_normalize_dates_written(spark, sf_dir):
+    """The same decided in the pass that writes: the flat file is read once."""
+    df = flatfile(spark, sf_dir).select("row_id", "price_date", "store_no", "payment_term")
+    return write_normalized(df, ["price_date", "store_no", "payment_term"], Scratch(spark, "normalized").path)
+
+
+@query("profile_while_writing", _sql(
+    f"SELECT category, field, CAST(NULL AS BIGINT) AS n_bad FROM ({ALL_NULL_SQL}) UNION ALL "
+    f"SELECT category, field, n_bad FROM ({DTYPE_SQL})"))
+def q_profile_while_writing(spark, sf_dir):
+    """All-NULL columns and values of another type than the contract's, counted while the flat file is written (A2, A3)."""
+    return P.write_profiled(flatfile(spark, sf_dir), {r[0]: r[1] for r in contract(spark, sf_dir)},
+                            Scratch(spark, "profiled").path)
+
+
 @query("lower_strings", _sql("SELECT row_id, " + ", ".join(f"lower({c}) AS {c}" for c in FLATFILE_STRINGS)
                              + " FROM flatfile"))
 def q_lower_strings(spark, sf_dir):
@@ -128,6 +148,37 @@ def q_clean_cells(spark, sf_dir):
     return clean_cells(df.select("row_id", *FLATFILE_STRINGS), "both", FLATFILE_STRINGS)
 
 
+@query("clean_sides", with_fixtures(["gt"], " UNION ALL ".join(
+    f"SELECT '{side}' AS side, CAST(row_id AS VARCHAR) AS row_id, {text} AS sku_original, CAST(row_id % 1000 AS VARCHAR) "
+    "|| CASE row_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.25' WHEN 2 THEN '.5' ELSE '.75' END AS unit_price, "
+    "coalesce(CAST(price_date AS VARCHAR), 'nan') AS price_date, coalesce(payment_term, 'nan') AS payment_term, "
+    "CASE WHEN row_id % 5 = 0 THEN 'nan' ELSE CAST(row_id % 7 AS VARCHAR) END AS quantity FROM gt"
+    for side, text in (("left", "sku_original"), ("right", "'  ' || sku_original || chr(9)"))), "duckdb"))
+def q_clean_sides(spark, sf_dir):
+    """Text, numbers, dates and NULLs of both sides as cell text, the left side stripped only (N3, N4); the key first."""
+    gt = load_fixture(spark, sf_dir, "gt")
+    padded = gt.select(
+        F.concat(F.lit("  "), "sku_original", F.lit("\t")).alias("sku_original"),
+        (F.col("row_id") % 1000 + (F.col("row_id") % 4) / 4).alias("unit_price"), "price_date", "payment_term",
+        F.when(F.col("row_id") % 5 != 0, F.col("row_id") % 7).alias("quantity"), "row_id")
+    left, right = clean_sides(padded, padded, "left")
+    return left.withColumn("side", F.lit("left")).unionByName(right.withColumn("side", F.lit("right")))
+
+
+@query("key_first", with_fixtures(["gt"], (
+    "SELECT unnest([1, 2, 3, 4]) AS place, unnest(['pseudo_key', 'row_id', 'file_name', 'sku_normalized']) AS \"column\", "
+    "count(*) AS n_rows, min(regexp_replace(concat_ws('-', file_name, sku_normalized), '[^A-Za-z0-9]', '', 'g')) AS least_key "
+    "FROM gt"), "duckdb"))
+def q_key_first(spark, sf_dir):
+    """Columns of a keyed table in their order, the key first."""
+    keyed = pseudo_key(load_fixture(spark, sf_dir, "gt").select("row_id", "file_name", "sku_normalized"),
+                       ["file_name", "sku_normalized"], "ascii_case")
+    places = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("place"), F.lit(c).alias("column"))
+                                 for i, c in enumerate(keyed.columns)]))
+    return keyed.agg(F.count(F.lit(1)).alias("n_rows"), F.min("pseudo_key").alias("least_key")).select(
+        places.alias("x"), "n_rows", "least_key").select("x.*", "n_rows", "least_key")
+
+
 @query("drop_zero", _sql("SELECT row_id, unit_price FROM flatfile WHERE unit_price <> 0 OR unit_price IS NULL"))
 def q_drop_zero(spark, sf_dir):
     from recheck.operators.stats import drop_zero

@@ -96,6 +96,12 @@ def q_violations_all(spark, sf_dir):
     return ruleset(spark, sf_dir).violations()
 
 
+@query("violations_large_lookups", _sql(" UNION ALL ".join(p for parts in RULE_SQL.values() for p in parts), [_BAND]))
+def q_violations_large_lookups(spark, sf_dir):
+    """Every rule with no lookup small enough for a broadcast: memberships by distinct values, one join for all."""
+    return ruleset(spark, sf_dir).violations(max_bytes=0)
+
+
 _FLAGS_SQL = (
     "SELECT row_id, CASE WHEN nf THEN 'Not found' ELSE 'Found' END AS normalized_name_search_flag, "
     "CASE WHEN nf OR unit_price IS NULL OR coalesce(unit_price > mx OR unit_price < mn, false) THEN 'Out of Range' "

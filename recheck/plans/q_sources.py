@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recheck.plans.q_profile import flatfile
@@ -42,6 +43,58 @@ def q_write_partitioned(spark, sf_dir):
     return spark.read.parquet(path).select("row_id", "file_name", "sku_normalized", "unit_price")
 
 
+@query("write_manifest", with_fixtures(["flatfile"], (
+    "SELECT file_name, CAST(n // 1000 AS INT) AS part, 1 AS files, count(*) AS n_rows, min(row_id) AS first_row, "
+    "max(row_id) AS last_row, true AS sorted FROM (SELECT file_name, row_id, row_number() OVER (PARTITION BY file_name "
+    "ORDER BY row_id) - 1 AS n FROM flatfile) GROUP BY 1, 2")))
+def q_write_manifest(spark, sf_dir):
+    """One file for each 1000 rows of a file name, listed in the manifest; rows are sorted in their files."""
+    df = flatfile(spark, sf_dir).select("row_id", "file_name", "unit_price")
+    path = io.write_partitioned(df, f"{io.scratch_path(spark, 'manifest')}/data", sort=["row_id"], rows_per_file=1000)
+    listed = io.manifest(spark, path, sort=["row_id"]).groupBy("file_name", "part").agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.sum("rows").alias("n_rows"), F.min("first.row_id").alias("first_row"),
+        F.max("last.row_id").alias("last_row"))
+    data = spark.read.parquet(path).select("file_name", "part", "row_id", F.col("_metadata.row_index").alias("at"))
+    in_file = Window.partitionBy("file_name", "part").orderBy("row_id")
+    right = data.withColumn("is", F.row_number().over(in_file) - 1 == F.col("at")).groupBy("file_name", "part").agg(
+        F.bool_and("is").alias("sorted"))
+    return listed.join(right, ["file_name", "part"])
+
+
+# Lines that do not fit: text for a number, too many cells, too few.
+_LINE = ("CASE WHEN o_orderkey % 97 = 0 THEN concat(CAST(o_orderkey AS STRING), ',n/a,', o_orderstatus) "
+         "WHEN o_orderkey % 89 = 0 THEN concat(CAST(o_orderkey AS STRING), ',1.5,', o_orderstatus, ',more') "
+         "WHEN o_orderkey % 83 = 0 THEN CAST(o_orderkey AS STRING) "
+         "ELSE concat(CAST(o_orderkey AS STRING), ',', CAST(o_custkey AS STRING), '.25,', o_orderstatus) END")
+
+
+@query("scan_with_rejects", (
+    f"WITH l AS (SELECT o_orderkey, {_LINE.replace('STRING', 'VARCHAR')} AS line, o_custkey, o_orderstatus, o_orderkey % 97 = 0 OR "
+    "o_orderkey % 89 = 0 OR o_orderkey % 83 = 0 AS bad FROM orders) SELECT 'row' AS kind, o_orderkey AS order_id, "
+    "o_custkey + 0.25::DOUBLE AS price, o_orderstatus AS status, CAST(NULL AS VARCHAR) AS record FROM l WHERE NOT bad "
+    "UNION ALL SELECT 'reject', NULL, NULL, NULL, line FROM l WHERE bad"))
+def q_scan_with_rejects(spark, sf_dir):
+    """CSV lines of which some do not fit: rows, and every rejected line."""
+    path = f"{io.scratch_path(spark, 'lines')}/orders.csv"
+    load_table(spark, sf_dir, "orders").selectExpr(f"{_LINE} AS value").write.text(path)
+    rows, rejects = io.read_checked(spark, path, "order_id long, price double, status string", header=False)
+    return rows.withColumn("kind", F.lit("row")).unionByName(rejects.select(
+        F.lit("reject").alias("kind"), "record"), allowMissingColumns=True).select("kind", "order_id", "price", "status", "record")
+
+
+@query("lookup_scan", with_fixtures(["supplier_alias"], "SELECT alias_id, supplier_id, CASE WHEN alias_id % 3 = 0 THEN "
+                                    "concat('a, \"', alternative_name, '\"') ELSE alternative_name END AS alternative_name "
+                                    "FROM supplier_alias"))
+def q_lookup_scan(spark, sf_dir):
+    """A lookup CSV with commas and quotes in its cells, with headers, typed."""
+    path = f"{io.scratch_path(spark, 'lookup')}/alias.csv"
+    alias = load_fixture(spark, sf_dir, "supplier_alias")
+    name = F.when(F.col("alias_id") % 3 == 0, F.concat(F.lit('a, "'), "alternative_name", F.lit('"'))).otherwise(
+        F.col("alternative_name"))
+    alias.withColumn("alternative_name", name).write.option("header", True).option("escape", '"').csv(path)
+    return io.read_lookup(spark, path, "alias_id long, supplier_id long, alternative_name string", escape='"')
+
+
 @query("prefix_scan", with_fixtures(["gt"], "SELECT row_id, file_name, unit_price FROM gt"))
 def q_prefix_scan(spark, sf_dir):
     """Baseline written as CSV files under a prefix, then every matching file read back with its name."""

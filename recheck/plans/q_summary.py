@@ -63,6 +63,27 @@ def q_outer_by_key(spark, sf_dir):
     return S.merge_profile(gt, pl, "primary_key")
 
 
+_M_COLS = [f"{c}{x}" for x in ("_gt", "_pl") for c in ["primary_key", "row_id"] + ALL_COLS]
+
+
+@query("recon_outer_rows", _sql("SELECT " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" if c.startswith("price_date") else c for c in _M_COLS) + " FROM m"))
+def q_outer_rows(spark, sf_dir):
+    """Every row of the key outer merge, columns suffixed."""
+    gt, pl = keyed_sides(spark, sf_dir)
+    m = S.outer_by_key(gt.select("primary_key", "row_id", *ALL_COLS), pl.select("primary_key", "row_id", *ALL_COLS),
+                       "primary_key")
+    return m.withColumns({c: F.col(c).cast("string") for c in ("price_date_gt", "price_date_pl")})
+
+
+@query("mark_duplicates", _sql(
+    "SELECT row_id, count(*) OVER (PARTITION BY file_name, sku_normalized, uom) > 1 AS has_copy FROM pipeline"))
+def q_mark_duplicates(spark, sf_dir):
+    """Each candidate row: has another row the same file, item and unit."""
+    pl = load_fixture(spark, sf_dir, "pipeline")
+    return S.mark_duplicates(pl, ["file_name", "sku_normalized", "uom"]).select("row_id", "has_copy")
+
+
 @query("rows_per_file", _sql("SELECT file_name, count(*) AS total_rows FROM gt WHERE file_name IS NOT NULL GROUP BY 1"))
 def q_rows_per_file(spark, sf_dir):
     gt, _ = keyed_sides(spark, sf_dir)

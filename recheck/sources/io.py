@@ -10,11 +10,12 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recheck.functions.cells import nan_to_null
 from recheck.operators.joins import hinted
+from recheck.operators.order import with_rank
 from recheck.session import Scratch
 
 # File extension -> Spark source.
@@ -48,6 +49,33 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
     return nan_to_null(r.load(path))
 
 
+def read_checked(spark: SparkSession, path: str, schema: str, header: bool = True, **options
+                 ) -> tuple[DataFrame, DataFrame]:
+    """A CSV scan that loses nothing: (rows, rejects). ``rejects``: file, line, record of every line that does not fit
+    ``schema`` (a cell of another type, too many or too few cells); ``rows`` are all other lines, NaN -> NULL (S1, S2).
+
+    Lines are read as text and parsed as expressions, so a file is split as any text file; a line's number is its place in
+    its split plus the lines of the file's splits before. A quoted cell must not go over lines. ``header``: the first
+    line of each file is its header. Empty lines are skipped.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    up = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(F.col("file").alias("f"), F.col("block").alias("b"), "first",
+                           F.coalesce(F.sum("n").over(up), F.lit(0)).alias("before"))  # a row a split: small
+    numbered = lines.join(splits, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).select(
+        "file", (F.col("before") + F.col("place") - F.col("first") + 1).alias("line"), "value")
+    own = numbered.where((F.trim("value") != "") & ((F.col("line") > 1) if header else F.lit(True)))
+    bad = "_bad"
+    parsed = own.withColumn("row", F.from_csv("value", f"{schema}, {bad} string", {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad, **options}))
+    rejects = parsed.where(F.col(f"row.{bad}").isNotNull()).select("file", "line", F.col("value").alias("record"))
+    rows = parsed.where(F.col(f"row.{bad}").isNull()).select("row.*").drop(bad)
+    return nan_to_null(rows), rejects
+
+
 def read_lookup(spark: SparkSession, path: str, schema=None, **options) -> DataFrame:
     """Lookup CSV (quoted commas, CRLF): a small table joined by size-checked broadcast."""
     return read_table(spark, path, schema=schema, fmt=_fmt_of(path, options.pop("fmt", None)), **options)
@@ -102,21 +130,55 @@ def write_results(results: dict[str, DataFrame], base: str, fmt: str = "parquet"
     return out
 
 
+# Rows of a value from which on it gets a further file.
+ROWS_PER_FILE = 1_000_000
+
+
 def write_partitioned(df: DataFrame, path: str, by: str = "file_name", sort: Sequence[str] = (),
-                      fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """One output folder per ``by`` value, rows sorted within.
+                      fmt: str = "parquet", mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE) -> str:
+    """One output folder per ``by`` value, rows sorted within, one file for each ``rows_per_file`` rows of a value.
 
-    Range partitioning on ``(by, *sort)`` keeps each value's rows in few, sorted, non-overlapping files, and splits
-    a hot value over several tasks (boundaries come from a sample) instead of sending it to one writer.
+    Rows are numbered inside their value in the order of ``sort`` (``order.with_rank``: no task holds a value), and the
+    number says which file a row goes to: a small value has one file, a large one several that follow each other. A file
+    is written by one task. ``manifest`` lists what was written.
     """
-    w = (df.repartitionByRange(by, *sort).sortWithinPartitions(by, *sort).write.mode(mode).format(fmt)
-         .partitionBy(by))
+    scratch = Scratch(df.sparkSession, "by-value")
+    order = [F.col(c).asc_nulls_last() for c in sort]
+    number, total, part = (_free(n, df) for n in ("_number", "_total", "part"))
+    ranked = with_rank(df, [by], order, scratch, number, total)
+    out = ranked.withColumn(part, F.floor(F.col(number) / rows_per_file).cast("int")).drop(total)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    w = (out.repartition(n, by, part).sortWithinPartitions(by, part, number).drop(number).write.mode(mode).format(fmt)
+         .partitionBy(by, part))
     if fmt == "csv":
         w = w.option("header", True)
     w.save(path)
+    scratch.drop()
     return path
 
 
+def manifest(spark: SparkSession, path: str, by: str = "file_name", sort: Sequence[str] = (), fmt: str = "parquet",
+             schema=None, publish: bool = True) -> DataFrame:
+    """What ``write_partitioned`` wrote: a row for each file with its value, part, rows, and its first and last row's
+    ``sort`` columns (structs ``first``, ``last``). ``publish`` writes it beside the data, as ``<path>.manifest``."""
+    r = spark.read.format(fmt)
+    r = r.schema(schema) if schema is not None else r
+    df = (r.option("header", True) if fmt == "csv" else r).load(path)
+    key = F.struct(*[c for s in sort for c in (F.col(s).isNull().alias(f"{s}_is_null"), F.col(s))])
+    out = df.groupBy(F.col(by), "part", F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), *([F.min(key).alias("first"), F.max(key).alias("last")] if sort else []))
+    if publish:
+        out.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.manifest")
+        return spark.read.parquet(f"{path.rstrip('/')}.manifest")
+    return out
+
+
+def _free(name: str, df: DataFrame) -> str:
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (``spark.checkpoint.dir``), never a machine-local temp; removed
     when Python ends (``session.Scratch``)."""
