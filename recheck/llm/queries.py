@@ -114,29 +114,31 @@ goal AS (
   FROM shares),
 numbered AS (
   SELECT d.doc_id, d.source, d.size, g.source_size, g.target, g.u, length(bin(d.size)) AS power,
-         (row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS LAST) - 1)::DOUBLE AS x,
+         (row_number() OVER (PARTITION BY d.source ORDER BY d.size DESC, d.doc_id NULLS LAST) - 1)::DOUBLE AS x,
          CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS r
   FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source),
 first AS (SELECT *, (floor((x + 1) * r + u) - floor(x * r + u))::BIGINT AS copies FROM numbered),
 powers AS (
-  SELECT source, power, sum(size) AS words, sum(size * copies) AS taken, max(target) AS target,
-         max(source_size) AS source_size
+  SELECT source, power, sum(size) AS words, sum(size * copies) AS taken, count(*) AS docs, max(target) AS target,
+         max(source_size) AS source_size, max(r) AS r, max(u) AS u
   FROM first GROUP BY source, power),
 sums AS (
   SELECT *, sum(words) OVER (PARTITION BY source ORDER BY power) AS low,
-         coalesce(sum(taken) OVER (PARTITION BY source ORDER BY power ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
-                  0) AS high
-  FROM powers),
+         coalesce(sum(taken) OVER above, 0) AS high, coalesce(sum(docs) OVER above, 0)::DOUBLE AS larger
+  FROM powers
+  WINDOW above AS (PARTITION BY source ORDER BY power ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
 cut AS (
-  SELECT source, power AS small,
+  SELECT source, power AS small, larger, larger * r + u AS reached,
          CASE WHEN low > 0 THEN least(3.0::DOUBLE, greatest(0.0::DOUBLE, (target - high::DOUBLE) / low::DOUBLE))
               ELSE 0.0::DOUBLE END AS rate
   FROM sums WHERE low >= source_size * 0.25::DOUBLE
-  QUALIFY row_number() OVER (PARTITION BY source ORDER BY power) = 1)
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY power) = 1),
+seam AS (SELECT *, (floor((reached - floor(reached)) * 65536.0::DOUBLE) + 0.5::DOUBLE) / 65536.0::DOUBLE AS b FROM cut)
 SELECT f.doc_id, f.size, f.source_size, f.target,
-       f.size * (CASE WHEN f.power <= c.small THEN (floor((x + 1) * c.rate + u) - floor(x * c.rate + u))::BIGINT
+       f.size * (CASE WHEN f.power <= c.small
+                      THEN (floor((x - larger + 1) * c.rate + b) - floor((x - larger) * c.rate + b))::BIGINT
                       ELSE f.copies END) AS taken
-FROM first f JOIN cut c ON f.source IS NOT DISTINCT FROM c.source"""
+FROM first f JOIN seam c ON f.source IS NOT DISTINCT FROM c.source"""
 
 
 @query("op8_mixing", OP8_SQL)

@@ -135,6 +135,36 @@ def test_mixing_comes_near_its_targets(docs_frame):
     assert all(abs(r.taken - r.target) < 0.02 * r.target for r in got)
 
 
+def test_copies_are_crossings_of_one_running_sum(docs_frame):
+    """Plain Python over exact fractions: one sum a source, the largest documents first, one offset; from the small
+    documents on another expectation, but the sum goes on."""
+    import hashlib
+    import random
+    from fractions import Fraction
+    rnd = random.Random(11)
+    rows = [(i, "w " * int(rnd.lognormvariate(4, 1.3)), "en", "abcde"[min(4, int(rnd.expovariate(0.8)))]) for i in range(1500)]
+    got = {r.doc_id: (r.src, r.copies, r.target) for r in mixing.plan(docs_frame(rows)).collect()}
+    by_source = {}
+    for i, t, _, s in rows:
+        by_source.setdefault(s, []).append((-size_of(t), i))
+    for s, own in by_source.items():
+        own.sort()
+        words = -sum(n for n, _ in own)
+        target = got[own[0][1]][2]
+        digits = [(-n).bit_length() for n, _ in own]
+        small = next(p for p in range(40) if sum(-n for (n, _), d in zip(own, digits) if d <= p) >= mixing.SMALL_SHARE * words)
+        low = sum(-n for (n, _), d in zip(own, digits) if d <= small)
+        offset = Fraction(2 * int(hashlib.md5(f"{mixing.SEED}+{s}".encode()).hexdigest()[:4], 16) + 1, 2 * 65536)
+        at, taken, rate = offset, 0, None
+        for (n, i), d in zip(own, digits):
+            if d <= small and rate is None:
+                rate = min(Fraction(3), max(Fraction(0), Fraction(target - taken) / low))
+            before, at = at, at + (Fraction(target) / words if rate is None else rate)
+            assert got[i][1] == at // 1 - before // 1, (s, i)
+            taken += -n * got[i][1]
+        assert abs(taken - target) <= 3 * max(-n for (n, _), d in zip(own, digits) if d <= small)
+
+
 def test_mix_repeats_rows(weird, weird_rows, empty):
     out = mixing.mix(weird)
     assert out.columns == weird.columns
