@@ -3,10 +3,12 @@
 1. Documents become pieces: the ids of the whole text and the id of the document end, cut into ``CAPACITY`` ids from the
    end if there are more; the first piece takes what is over.
 2. Lengths are whole numbers up to the capacity, so a histogram says all that packing needs to know: ``CAPACITY`` rows at
-   most, however many pieces there are. On it, the driver sorts large lengths into groups of equal cardinality and
-   rounds each up to its group's largest; finds how often to use which combination of the few sizes (a linear program
-   over all combinations, by column generation with a knapsack); rounds those numbers down; puts the actual lengths of
-   the groups back in; and best-fits everything else, largest first, into the room that is really left (see SLACKS).
+   most, however many pieces there are. On it, the driver sorts large lengths (above a quarter of the capacity) into
+   groups of equal cardinality and rounds each up to its group's largest; finds how often to use which combination of
+   these sizes (a linear program over all combinations, by column generation); rounds the numbers to whole ones; and puts
+   the actual lengths of the groups back in. Pieces that the rounding leaves over are grouped and combined again, until
+   none is left or the program gives no whole combination. Then the rest, small lengths nearly all, is best-fitted,
+   largest first, into the room that the actual lengths leave.
 3. The plan is a list of runs of sequences with the same lengths inside, a few thousand whatever the input. Pieces are
    numbered within their length, and a piece's number finds its run, sequence and offset in the broadcast plan.
 
@@ -30,13 +32,8 @@ from recheck.llm.tokens import encoder
 
 CAPACITY = 2048
 END_ID = 0
-# Lengths of up to 1/4 of the capacity are small: they are only best-fitted.
-SMALL = CAPACITY // 4
-GROUPS = 96
-# Rounding up leaves a little room in most combinations. Those whose actual lengths leave more than a slack, but less
-# than ROOM, are given up and their pieces best-fitted; of these slacks the one that gives the fewest sequences is taken.
-SLACKS = (CAPACITY, 64, 16, 4, 1, 0)
-ROOM = CAPACITY // 8
+# Groups of equal cardinality, where there are more large lengths than that; else each length is a size of its own.
+GROUPS = 512
 # Texts tokenized at a time.
 BATCH = 256
 
@@ -67,47 +64,74 @@ def grouped(hist: dict[int, int], groups: int) -> list[tuple[int, list[list[int]
     return merged
 
 
-def knapsack(sizes: list[int], worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Best combination of the sizes within the capacity: (worth, how many of each)."""
-    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for i, s in enumerate(sizes):
-        if worth[i] <= 1e-12:
-            continue
-        for _ in range(capacity // s):
-            more = best[:-s] + worth[i]
-            better = more > best[s:] + 1e-12
-            if not better.any():
-                break
-            best[s:][better] = more[better]
-            last[s:][better] = i
-    used, c = np.zeros(len(sizes)), int(np.argmax(best))
-    while last[c] >= 0:
-        used[last[c]] += 1
-        c -= sizes[last[c]]
-    return float(used @ worth), used
-
-
-def combinations(sizes: list[int], need: list[int], capacity: int, rounds: int = 3000) -> list[tuple[float, np.ndarray]]:
+def dearest(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """Best combination of the sizes within the capacity: (worth, how many of each). Sizes are above a quarter of the
+    capacity, so a combination has one to three pieces."""
+    value = np.zeros(capacity + 1)
+    value[sizes] = worth
+    top = np.maximum.accumulate(value)  # of one piece, by the room for it
+    place = np.maximum.accumulate(np.where((value >= top) & (value > 0), np.arange(capacity + 1), 0))
+    index = np.full(capacity + 1, -1)
+    index[sizes] = np.arange(len(sizes))
+    room = capacity - sizes
+    i = int(np.argmax(worth + top[room]))
+    best, chosen, last = worth[i] + top[room[i]], [i], room[i]
+    least = int(sizes.min())
+    a, b = np.triu_indices(int((sizes <= capacity - 2 * least).sum()))
+    first = len(sizes) - int((sizes <= capacity - 2 * least).sum())  # sizes descend
+    a, b = a + first, b + first
+    a, b = (x[sizes[a] + sizes[b] <= capacity - least] for x in (a, b))
+    if len(a):
+        three = worth[a] + worth[b] + top[capacity - sizes[a] - sizes[b]]
+        j = int(np.argmax(three))
+        if three[j] > best + 1e-12:
+            best, chosen, last = three[j], [a[j], b[j]], capacity - sizes[a[j]] - sizes[b[j]]
+    used = np.zeros(len(sizes))
+    np.add.at(used, [*chosen, *([index[place[last]]] if top[last] > 0 else [])], 1)
+    return float(best), used
+
+
+def combinations(sizes: list[int], need: list[int], capacity: int, rounds: int = 20_000) -> list[tuple[float, np.ndarray]]:
     """(times, how many of each size): the linear program's answer, over all combinations that fit."""
+    sizes_, need_ = np.array(sizes), np.array(need, float)
     base = np.diag([float(capacity // s) for s in sizes])
-    need_, inverse = np.array(need, float), np.diag(1 / np.diag(base))
+    inverse, x = np.diag(1 / np.diag(base)), need_ / np.diag(base)
     for turn in range(1, rounds):
-        worth, new = knapsack(sizes, inverse.sum(0), capacity)  # prices: what a size is worth in sequences
-        if worth <= 1 + 1e-6:
+        worth, new = dearest(sizes_, np.maximum(inverse.sum(0), 0), capacity)  # prices: what a size is worth in sequences
+        if worth <= 1 + 1e-4:
             break
-        way, x = inverse @ new, inverse @ need_
+        way = inverse @ new
         ratio = np.where(way > 1e-9, np.maximum(x, 0) / np.where(way > 1e-9, way, 1), np.inf)
         out = int(np.argmin(ratio))
         base[:, out] = new
-        if turn % 100 == 0:
+        if turn % 200 == 0:
             inverse = np.linalg.inv(base)  # keeps rounding errors small
+            x = inverse @ need_
         else:
-            row = inverse[out] / way[out]
-            inverse = inverse - np.outer(way, row)
+            step, row = ratio[out], inverse[out] / way[out]
+            inverse -= np.outer(way, row)
             inverse[out] = row
+            x = x - step * way
+            x[out] = step
     return list(zip(np.linalg.solve(base, need_), base.T))
 
 
+def whole(used: list[tuple[float, np.ndarray]], need: list[int]) -> list[int]:
+    """Whole numbers of the combinations, rounded to the nearest as far as pieces are there, else down; if all are 0, the
+    most used one is taken once."""
+    times = [int(x + 1e-6) for x, _ in used]
+    left = np.array(need, float) - sum((t * c for t, (_, c) in zip(times, used)), np.zeros(len(need)))
+    part = [x - t for t, (x, _) in zip(times, used)]
+    for j in sorted(range(len(used)), key=lambda j: -part[j]):
+        if part[j] >= 0.5 - 1e-9 and (left >= used[j][1] - 1e-9).all():
+            times[j] += 1
+            left = left - used[j][1]
+    if not any(times):
+        j = max(range(len(used)), key=lambda j: used[j][0])
+        times[j] = int((np.array(need) >= used[j][1]).all())
+    return times
+
+
 class Open:
     """Runs by the room left in their sequences."""
 
@@ -147,37 +171,43 @@ class Open:
             self.put(n, inside)
 
 
-def plan(hist: dict[int, int], capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS) -> list[Run]:
-    """Runs that hold exactly the pieces of the histogram: the fewest sequences over the ``SLACKS``."""
-    large = grouped({k: n for k, n in hist.items() if n > 0 and small < k < capacity}, groups)
-    used = combinations([s for s, _ in large], [sum(n for _, n in m) for _, m in large], capacity) if large else []
-    made = [substituted(hist, large, used, capacity, slack) for slack in (SLACKS if large else SLACKS[:1])]
-    return min(made, key=lambda runs: sum(n for n, _ in runs))
-
-
-def substituted(hist: dict[int, int], large: list, used: list, capacity: int, slack: int) -> list[Run]:
-    """The combinations with actual lengths in them, where these leave at most ``slack`` of a sequence free or enough
-    for another piece; everything else best-fitted, largest first."""
+def plan(hist: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
+    """Runs that hold exactly the pieces of the histogram."""
     left = {length: n for length, n in hist.items() if n > 0}
     runs = Open(capacity)
     runs.put(left.pop(capacity, 0), ((capacity, 1),))
+    while configured(left, runs, capacity, groups):
+        pass
+    for length in sorted(left, reverse=True):
+        if left[length]:
+            runs.fit(length, left[length])
+    return [r for room in runs.rooms for r in runs.runs[room]]
+
+
+def configured(left: dict[int, int], runs: Open, capacity: int, groups: int) -> int:
+    """Takes pieces out of ``left`` into combinations, with their actual lengths, as one program says; how many."""
+    pieces = {k: n for k, n in left.items() if n and k > capacity // 4}
+    if not pieces:
+        return 0
+    own = [(k, [[k, pieces[k]]]) for k in sorted(pieces, reverse=True)]
+    large = own if len(own) <= groups else grouped(pieces, groups)
+    need, taken = [sum(n for _, n in m) for _, m in large], 0
+    used = combinations([s for s, _ in large], need, capacity)
     members = [[list(x) for x in m] for _, m in large]
-    for times, combination in used:
-        n = int(times + 1e-6)
+    for n, (_, combination) in zip(whole(used, need), used):
+        if not n:
+            continue
         # the actual lengths of each slot, in stretches; a run ends where a stretch of any slot does
         slots = [stretches(members[i], n) for i in np.flatnonzero(combination) for _ in range(int(combination[i]))]
         done = 0
         for e in sorted({e for slot in slots for e, _ in slot}):
             inside = tuple((next(v for end, v in slot if end >= e), 1) for slot in slots if slot and slot[-1][0] >= e)
-            room = capacity - sum(v for v, _ in inside)
-            if room <= slack or room >= ROOM:
-                for v, _ in inside:
-                    left[v] -= e - done
-                runs.put(e - done, inside)
+            for v, _ in inside:
+                left[v] -= e - done
+                taken += e - done
+            runs.put(e - done, inside)
             done = e
-    for length in sorted(left, reverse=True):
-        runs.fit(length, left[length])
-    return [r for room in runs.rooms for r in runs.runs[room]]
+    return taken
 
 
 def stretches(members: list[list[int]], n: int) -> list[tuple[int, int]]:
