@@ -4,8 +4,9 @@
    end if there are more; the first piece takes what is over.
 2. Lengths are whole numbers up to the capacity, so a histogram says all that packing needs to know: ``CAPACITY`` rows at
    most, however many pieces there are. On it, the driver sorts large lengths (above a quarter of the capacity) into
-   groups of equal cardinality and rounds each up to its group's largest; finds how often to use which combination of
-   these sizes (a linear program over all combinations, by column generation); rounds the numbers to whole ones; and puts
+   groups of equal cardinality and rounds each up to its group's largest (a group whose pieces have one length rounds
+   nothing: so all with ``GROUPS`` at this capacity); finds how often to use which combination of these sizes (a linear
+   program over all combinations, by column generation); rounds the numbers to whole ones; and puts
    the actual lengths of the groups back in. Pieces that the rounding leaves over are grouped and combined again, until
    none is left or the program gives no whole combination. Then the rest, small lengths nearly all, is best-fitted,
    largest first, into the room that the actual lengths leave.
@@ -33,7 +34,12 @@ from recheck.llm.tokens import encoder
 CAPACITY = 2048
 END_ID = 0
 # Groups of equal cardinality, where there are more large lengths than that; else each length is a size of its own.
-GROUPS = 512
+GROUPS = 1536
+# A combination that leaves room, but less than this part of the capacity, costs so much of a sequence more: rooms that
+# small pieces can fill come in few sequences instead of a little in most.
+GAP, LOSS = 1 / 8, 0.02
+# The program ends when no combination would save more than this part of a sequence.
+ENOUGH = 1e-3
 # Texts tokenized at a time.
 BATCH = 256
 
@@ -64,52 +70,75 @@ def grouped(hist: dict[int, int], groups: int) -> list[tuple[int, list[list[int]
     return merged
 
 
-def dearest(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Best combination of the sizes within the capacity: (worth, how many of each). Sizes are above a quarter of the
-    capacity, so a combination has one to three pieces."""
-    value = np.zeros(capacity + 1)
+def twos(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of the sizes (descending) beside which a third fits, and the room for it."""
+    least = int(sizes.min())
+    first = len(sizes) - int((sizes <= capacity - 2 * least).sum())
+    a, b = np.triu_indices(len(sizes) - first)
+    rest = capacity - sizes[a + first] - sizes[b + first]
+    return (a + first)[rest >= least], (b + first)[rest >= least], rest[rest >= least]
+
+
+def dearest(sizes: np.ndarray, worth: np.ndarray, capacity: int, loss: float = LOSS,
+            pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> tuple[float, np.ndarray]:
+    """Best combination of the sizes within the capacity: (worth less what its gap costs, how many of each). Sizes are
+    above a quarter of the capacity, so a combination has one to three pieces."""
+    gap = max(1, int(capacity * GAP))
+    value = np.full(capacity + 1, -np.inf)
+    value[0] = 0.0  # no piece
     value[sizes] = worth
-    top = np.maximum.accumulate(value)  # of one piece, by the room for it
-    place = np.maximum.accumulate(np.where((value >= top) & (value > 0), np.arange(capacity + 1), 0))
+    top = np.maximum.accumulate(value)  # of at most one piece, by the room for it
+    place = np.maximum.accumulate(np.where(value >= top, np.arange(capacity + 1), 0))
+    # the same, less what the room that stays costs: none, a gap, or room for small pieces
+    stays = [value, np.r_[-np.inf, top[:-1] - loss], np.r_[np.full(gap, -np.inf), top[:-gap]]]
+    which = np.argmax(stays, axis=0)
+    last_worth = np.max(stays, axis=0)
+    last_piece = np.choose(which, [np.arange(capacity + 1), np.r_[0, place[:-1]], np.r_[np.zeros(gap, int), place[:-gap]]])
     index = np.full(capacity + 1, -1)
     index[sizes] = np.arange(len(sizes))
     room = capacity - sizes
-    i = int(np.argmax(worth + top[room]))
-    best, chosen, last = worth[i] + top[room[i]], [i], room[i]
-    least = int(sizes.min())
-    a, b = np.triu_indices(int((sizes <= capacity - 2 * least).sum()))
-    first = len(sizes) - int((sizes <= capacity - 2 * least).sum())  # sizes descend
-    a, b = a + first, b + first
-    a, b = (x[sizes[a] + sizes[b] <= capacity - least] for x in (a, b))
+    i = int(np.argmax(worth + last_worth[room]))
+    best, chosen, last = worth[i] + last_worth[room[i]], [i], room[i]
+    a, b, rest = twos(sizes, capacity) if pairs is None else pairs
     if len(a):
-        three = worth[a] + worth[b] + top[capacity - sizes[a] - sizes[b]]
+        three = worth[a] + worth[b] + last_worth[rest]
         j = int(np.argmax(three))
         if three[j] > best + 1e-12:
             best, chosen, last = three[j], [a[j], b[j]], capacity - sizes[a[j]] - sizes[b[j]]
     used = np.zeros(len(sizes))
-    np.add.at(used, [*chosen, *([index[place[last]]] if top[last] > 0 else [])], 1)
+    np.add.at(used, [*chosen, *([index[last_piece[last]]] if last_piece[last] else [])], 1)
     return float(best), used
 
 
+def cost(room: np.ndarray, capacity: int, loss: float = LOSS) -> np.ndarray:
+    """What a sequence with that room left costs."""
+    return 1.0 + loss * ((room > 0) & (room < max(1, int(capacity * GAP))))
+
+
 def combinations(sizes: list[int], need: list[int], capacity: int, rounds: int = 20_000) -> list[tuple[float, np.ndarray]]:
     """(times, how many of each size): the linear program's answer, over all combinations that fit."""
     sizes_, need_ = np.array(sizes), np.array(need, float)
     base = np.diag([float(capacity // s) for s in sizes])
+    costs, pairs = cost(capacity - sizes_ @ base, capacity), twos(sizes_, capacity)
     inverse, x = np.diag(1 / np.diag(base)), need_ / np.diag(base)
+    prices = costs @ inverse  # what a size is worth in sequences
     for turn in range(1, rounds):
-        worth, new = dearest(sizes_, np.maximum(inverse.sum(0), 0), capacity)  # prices: what a size is worth in sequences
-        if worth <= 1 + 1e-4:
+        worth, new = dearest(sizes_, np.maximum(prices, 0), capacity, pairs=pairs)
+        if worth <= 1 + ENOUGH:
             break
-        way = inverse @ new
+        parts = np.flatnonzero(new)
+        way = inverse[:, parts] @ new[parts]
         ratio = np.where(way > 1e-9, np.maximum(x, 0) / np.where(way > 1e-9, way, 1), np.inf)
         out = int(np.argmin(ratio))
-        base[:, out] = new
+        base[:, out], costs[out] = new, cost(capacity - sizes_ @ new, capacity)
         if turn % 200 == 0:
             inverse = np.linalg.inv(base)  # keeps rounding errors small
-            x = inverse @ need_
+            x, prices = inverse @ need_, costs @ inverse
         else:
             step, row = ratio[out], inverse[out] / way[out]
-            inverse -= np.outer(way, row)
+            prices = prices + (costs[out] - prices[parts] @ new[parts]) * row
+            moved = np.flatnonzero(np.abs(way) > 1e-12)
+            inverse[moved] -= way[moved, None] * row
             inverse[out] = row
             x = x - step * way
             x[out] = step

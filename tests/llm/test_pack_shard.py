@@ -165,15 +165,15 @@ def test_plan_holds_every_piece(seed):
     plain = packing.Open(2048)
     for length in sorted(hist, reverse=True):
         plain.fit(length, hist[length])
-    assert sum(n for n, _ in runs) <= 1.0025 * sum(n for x in plain.runs.values() for n, _ in x)
+    assert sum(n for n, _ in runs) <= sum(n for x in plain.runs.values() for n, _ in x)
     table = packing.slots(runs)
     assert len(table) == len({(r[0], r[1]) for r in table.tolist()})
 
 
-@pytest.mark.parametrize("sf, more", [("sf0.01", 0), ("sf0.1", 0.001)])
-def test_large_pieces_come_from_configurations(spark, monkeypatch, sf, more):
-    """Nine of ten large pieces at least are placed by the program, in no more (sf0.1: a thousandth more) sequences than
-    best fit takes without any grouping."""
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_large_pieces_come_from_configurations(spark, monkeypatch, sf):
+    """Nine of ten large pieces at least are placed by the program, in no more sequences than best fit takes without any
+    grouping."""
     parts = packing.pieces(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"), special=True)
     hist = {r[0]: r[1] for r in parts.groupBy("length").count().collect()}
     taken, real = [], packing.configured
@@ -184,7 +184,7 @@ def test_large_pieces_come_from_configurations(spark, monkeypatch, sf, more):
     plain = packing.Open(2048)
     for length in sorted(hist, reverse=True):
         plain.fit(length, hist[length])
-    assert sum(n for n, _ in runs) <= (1 + more) * sum(n for x in plain.runs.values() for n, _ in x)
+    assert sum(n for n, _ in runs) <= sum(n for x in plain.runs.values() for n, _ in x)
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -194,9 +194,11 @@ def test_dearest_combination_equals_all_tried(seed):
     sizes = np.array(sorted(set(rng.integers(26, 100, 12).tolist()), reverse=True))
     worth = rng.random(len(sizes)) * rng.integers(0, 2, len(sizes))
     best, used = packing.dearest(sizes, worth, 100)
-    tried = max(sum(worth[list(c)]) for k in (1, 2, 3) for c in combinations_with_replacement(range(len(sizes)), k)
-                if sizes[list(c)].sum() <= 100)
-    assert best == pytest.approx(tried) == pytest.approx(used @ worth) and used @ sizes <= 100
+    worths = [(sum(worth[list(c)]), 100 - sizes[list(c)].sum()) for k in (1, 2, 3)
+              for c in combinations_with_replacement(range(len(sizes)), k)]
+    less = lambda room: packing.LOSS if 0 < room < 12 else 0
+    assert best == pytest.approx(max(w - less(room) for w, room in worths if room >= 0))
+    assert used @ sizes <= 100 and best == pytest.approx(used @ worth - less(100 - used @ sizes))
 
 
 def test_program_equals_all_combinations():
