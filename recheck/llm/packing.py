@@ -131,7 +131,7 @@ def combinations(sizes: list[int], need: list[int], capacity: int, rounds: int =
         ratio = np.where(way > 1e-9, np.maximum(x, 0) / np.where(way > 1e-9, way, 1), np.inf)
         out = int(np.argmin(ratio))
         base[:, out], costs[out] = new, cost(capacity - sizes_ @ new, capacity)
-        if turn % 200 == 0:
+        if turn % 1000 == 0:
             inverse = np.linalg.inv(base)  # keeps rounding errors small
             x, prices = inverse @ need_, costs @ inverse
         else:
