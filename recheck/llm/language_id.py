@@ -5,7 +5,10 @@ roots taken, of length 1. Families, and the languages of a family, are told apar
 classes; the class with most votes wins, larger margins deciding ties. Texts are read whole, in NumPy blocks.
 
 The SVMs are fitted on the driver by dual coordinate descent to ``SAMPLE_PER_LANG`` labelled texts of each language at
-most (those with the smallest hashes), of which it sees the counts: 6 bytes a column that is not 0, never a text. Families are ``FAMILIES``; a label that is not listed is a family by itself.
+most (those with the smallest hashes), ``SAMPLE_ROWS`` in all, of which it sees the counts: 6 bytes a column that is not
+0, never a text. Learned are ``MOST_LANGS`` labels at most, those with most labelled rows (ties: by code point). Families
+are ``FAMILIES``; labels that are not listed, and listed families of more than ``FAMILY_LANGS`` labels, are cut into
+families of at most so many by their mean features, so that the SVMs are fewer than 1900 (30 MB) whatever the labels.
 
 Cases: a NULL text and one without letters get ``und`` with score 0; with no labelled row every text gets ``und``; with
 one language every other text gets that language; NULL labels and NULL ids are never learned from; columns other than
@@ -28,6 +31,9 @@ from recheck.llm.common import checkpointed, quoted
 ORDERS = (1, 2, 3)
 DIMS = 1 << 12
 SAMPLE_PER_LANG = 250
+SAMPLE_ROWS = 5000
+MOST_LANGS = 192
+FAMILY_LANGS = 12
 UND = "und"
 # Language families by ISO 639-1 code: fixed values.
 FAMILIES = {
@@ -41,9 +47,29 @@ FAMILIES = {
 }
 
 
-def family(lang: str) -> str:
+def family(lang: str) -> str | None:
     code = lang.lower().replace("_", "-").split("-")[0]
-    return next((f for f, codes in FAMILIES.items() if code in codes), lang)
+    return next((f for f, codes in FAMILIES.items() if code in codes), None)
+
+
+def halves(langs: list[str], means: np.ndarray, most: int) -> list[list[str]]:
+    """The languages in lists of ``most`` at most, halved along the direction in which their means differ most."""
+    if len(langs) <= most:
+        return [langs]
+    apart = means - means.mean(0)
+    order = np.argsort(apart @ np.linalg.svd(apart, full_matrices=False)[2][0], kind="stable")
+    parts = [np.sort(order[: len(order) // 2]), np.sort(order[len(order) // 2:])]
+    return [part for own in parts for part in halves([langs[i] for i in own], means[own], most)]
+
+
+def families(x: np.ndarray, langs: list[str], most: int = FAMILY_LANGS) -> list[list[str]]:
+    """The languages of ``langs`` by family, of at most ``most`` languages each."""
+    known: dict[str, list[str]] = {}
+    for lang in sorted(set(langs)):
+        known.setdefault(family(lang) or "", []).append(lang)
+    of = np.array(langs, object)
+    return [part for _, own in sorted(known.items())
+            for part in (halves(own, np.stack([x[of == lang].mean(0) for lang in own]), most) if len(own) > most else [own])]
 
 
 def features(texts: list[str], fold: np.ndarray) -> np.ndarray:
@@ -70,22 +96,22 @@ def count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 60) -> np.ndarray:
     """Weights of a linear SVM (squared hinge loss, a constant column as its bias), y in {-1, 1}."""
     n = len(y)
-    w, a = np.zeros(x.shape[1]), np.zeros(n)
-    q = (x * x).sum(1) + 0.5 / cost
+    inner = x @ x.T  # at most SAMPLE_ROWS x SAMPLE_ROWS
+    q, a, margin = inner.diagonal() + 0.5 / cost, np.zeros(n), np.zeros(n)
     order = np.random.default_rng(0)
     for _ in range(rounds):
         most = 0.0
-        for i in order.permutation(n):
-            g = y[i] * (x[i] @ w) - 1 + 0.5 / cost * a[i]
+        for i in order.permutation(n).tolist():
+            g = y[i] * margin[i] - 1 + 0.5 / cost * a[i]
             if a[i] == 0 and g >= 0:
                 continue
             new = max(a[i] - g / q[i], 0.0)
-            w += (new - a[i]) * y[i] * x[i]
+            margin += ((new - a[i]) * y[i]) * inner[i]
             most = max(most, abs(g))
             a[i] = new
         if most < 1e-3:
             break
-    return w
+    return (a * y) @ x
 
 
 class Votes:
@@ -123,13 +149,12 @@ class Model:
     def __init__(self, x: np.ndarray, langs: list[str]):
         """``x``: the features of one text of each of ``langs``."""
         self.fold = ngrams.letters_only()
-        of = {lang: family(lang) for lang in sorted(set(langs))}
-        self.families = sorted(set(of.values()))
-        fam = np.array([self.families.index(of[lang]) for lang in langs], int)
-        self.top = Votes(x, fam, self.families) if langs else None
+        self.families = families(x, langs)
+        of = {lang: k for k, own in enumerate(self.families) for lang in own}
+        fam = np.array([of[lang] for lang in langs], int)
+        self.top = Votes(x, fam, [" ".join(own) for own in self.families]) if langs else None
         self.inner = []
-        for k, f in enumerate(self.families):
-            own = [lang for lang in of if of[lang] == f]
+        for k, own in enumerate(self.families):
             rows = np.flatnonzero(fam == k)
             self.inner.append(Votes(x[rows], np.array([own.index(langs[i]) for i in rows]), own))
 
@@ -156,10 +181,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-        per_lang: int = SAMPLE_PER_LANG) -> Model:
+        per_lang: int = SAMPLE_PER_LANG, most: int = MOST_LANGS) -> Model:
     """The model of a bounded sample of the rows with a label and an id that are not held out."""
-    own = docs.where(F.col(quoted(lang)).isNotNull() & F.col(quoted(doc_id)).isNotNull()
-                     & F.col(quoted(text)).isNotNull() & ~held_out(F.col(quoted(doc_id))))
+    labelled = docs.where(F.col(quoted(lang)).isNotNull() & F.col(quoted(doc_id)).isNotNull()
+                          & ~held_out(F.col(quoted(doc_id))))
+    langs = [r.lang for r in labelled.groupBy(F.col(quoted(lang)).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(most).collect()]
+    per_lang = max(1, min(per_lang, SAMPLE_ROWS // max(1, len(langs))))
+    own = labelled.where(F.col(quoted(text)).isNotNull() & F.col(quoted(lang)).isin(langs))
     keyed = own.select(F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text"),
                        F.xxhash64(quoted(doc_id), quoted(lang)).alias("k"))
     # The least hashes of each language: counts by the hashes' first 12 bits say how far they reach, so that one task

@@ -71,6 +71,31 @@ def test_sample_is_bounded(docs_frame):
     assert seen[0].count("en") == 20 and seen[0].count("de") == 20
 
 
+def test_labels_are_bounded(docs_frame):
+    """2000 labels, those of one listed family among them: as many are learned as allowed, in small families."""
+    rnd = random.Random(3)
+    names = [f"x{i}" for i in range(1900)] + [f"en-{i}" for i in range(100)]
+    docs = docs_frame([(i, " ".join(f"{name}{rnd.choice('abcd')}" for _ in range(9)), name, "s")
+                       for i, name in enumerate(names * 2)] + [(9000 + i, "der die das und nicht", "de", "s") for i in range(90)])
+    model = language_id.fit(docs, most=60)
+    learned = sorted(lang for own in model.families for lang in own)
+    assert len(learned) == len(set(learned)) == 60 and "de" in learned
+    assert max(map(len, model.families)) <= language_id.FAMILY_LANGS
+    assert {r.lang_pred for r in language_id.predict(docs, model).where("doc_id >= 9000").collect()} == {"de"}
+
+
+def test_svm_count_is_bounded():
+    """At the largest number of labels; every label is in one family, and listed families stay together if small."""
+    rnd = np.random.default_rng(0)
+    langs = sorted(["en", "de", "nl", "fr", "es", *(f"q{i}" for i in range(language_id.MOST_LANGS - 5))])
+    x = rnd.random((len(langs), 64), np.float32)
+    found = language_id.families(x, langs)
+    assert sorted(lang for own in found for lang in own) == langs
+    assert ["de", "en", "nl"] in found and ["es", "fr"] in found
+    pairs = len(found) * (len(found) - 1) // 2 + sum(len(own) * (len(own) - 1) // 2 for own in found)
+    assert max(map(len, found)) <= language_id.FAMILY_LANGS and pairs < 1900
+
+
 def test_ngram_counts_equal_a_plain_loop(monkeypatch):
     texts = ["abc abd", "", "é" * 40 + "x\0y", "z" * 90, "ab"]
     monkeypatch.setattr(ngrams, "BLOCK_CHARS", 16)  # long texts come in overlapping pieces
