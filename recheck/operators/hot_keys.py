@@ -1,35 +1,48 @@
-"""Greedy matching of one key's n x m rows over many tasks (J2, J3, W2 for keys of very many rows).
+"""Greedy matching of one key's n x m rows without comparing n x m rows (J2, J3, W2 for keys of very many rows).
 
-The greedy is sequential within a key, but nearly all of its work is not: comparing every left value class with every
-baseline value class. That work is dealt to tasks; what stays sequential looks up a few numbers for each left row.
+The greedy is sequential within a key. Let ``m`` be a mask (the set of differing columns) with the fewest differences
+among those that still have a baseline row. Then the rows that agree with the left row in all columns outside of ``m``
+and are still there have exactly this mask: any that agreed in more columns would have come first. So a mask's rows are
+those of one bucket of an index over the columns outside of it. The first row over the level's buckets is matched; the
+last of its bucket is consumed.
 
-1. Cells become 64-bit hashes of their compared form, rows with equal cells one value class (a key's row is never equal
-   to another by accident but with a chance of about n * n / 2 ** 65 a column).
-2. ``short_lists``: a key's left classes are dealt into groups of about ``GROUP``; the key's baseline classes stream past
+Cells become 64-bit hashes of their compared form (a key's row is never equal to another by accident but with a chance of
+about n * n / 2 ** 65 a column).
+
+Up to ``LATTICE`` columns, masks are tried, fewest differences first (``Standing``): no row is compared with all others,
+so a key's work grows with its rows, times the masks tried, 2 ** columns at most. Of every column it is known how many
+rows that are still there have each value: a value that none has differs in any case, one that all have agrees, and only
+the other columns are tried. Where a level has more masks than a look at the rows still there costs, or the indexes do
+not fit into ``index_bytes``, the left row is compared with all rows left: the result is exact in any case.
+
+With more columns, the masks that occur are listed first. Comparing every left value class (rows with equal cells) with
+every baseline value class is dealt to tasks; what stays sequential looks up a few numbers for each left row:
+
+1. ``short_lists``: a key's left classes are dealt into groups of about ``GROUP``; the key's baseline classes stream past
    each group, a block at a time, in NumPy. Of every left class the distinct diff lists (bit masks over the columns) are
    kept that occur with any baseline class, fewest differences first, whole levels up to ``SHORT`` masks.
-3. ``resolve``: one stream a key, baseline rows in their order, then left rows in theirs. Let ``m`` be a mask with the
-   fewest differences among those that still have a row. Then the rows that agree with the left row in all columns
-   outside of ``m`` and are still there have exactly this mask: any that agreed in more columns would have come first.
-   So a mask's rows are those of one bucket of an index over the columns outside of it. The first row over the level's
-   buckets is matched; the last of its bucket is consumed. Pointers from both ends skip rows that are gone, each once.
-   An index costs one sort of the key's baseline rows, is made when first asked for, and dropped when ``INDEX_BYTES``
+2. ``resolve``: one stream a key, baseline rows in their order, then left rows in theirs. Pointers from both ends of a
+   bucket skip rows that are gone, each once. An index costs one sort of the key's baseline rows, is made when first asked for, and dropped when ``INDEX_BYTES``
    are reached. A left row whose list runs dry, because it was cut, is compared with all rows left: the result is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import prod
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LATTICE = 12        # compared columns up to which masks are tried, not listed
 GROUP = 1024        # left classes that one task compares
 BLOCK = 8192        # baseline classes compared at a time
 SHORT = 512         # masks of a left class's list
-INDEX_BYTES = 256 << 20
+INDEX_BYTES = 512 << 20
+CLEARED = 8         # times that a key's indexes are dropped for room before its rows are compared instead
 LISTED = 4 << 20    # masks kept unpacked for left classes that come again
 _DENSE_BITS = 14    # up to so many columns, masks are marked in a table
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -99,7 +112,9 @@ class Masks:
 
 
 def _codes(column: pa.Array, columns: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), ">i8").astype(np.int64).reshape(-1, columns)
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset: column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[at[0]: at[-1]]
+    return raw.view(">i8").astype(np.int64).reshape(-1, columns)
 
 
 def packed_hashes(cells: list[Column]) -> Column:
@@ -238,6 +253,10 @@ class Sequence:
         index.low[bucket], index.high[bucket] = low, high
         return (int(order[low]), int(order[high])) if low <= high else None
 
+    def consume(self, row: int) -> None:
+        self.there[row] = 0
+        self.left -= 1
+
     def scan(self, code: np.ndarray) -> tuple[bytes, int, int]:
         """(mask, matched row, consumed row) by comparing with every row that is still there."""
         self.scans += 1
@@ -280,21 +299,178 @@ def taken(seq: Sequence, batch: Batch, row: int, levels: list[tuple[int, list[by
     return seq.scan(batch.codes[row])
 
 
+class Buckets:
+    """Rows of one key that are still there by their values in some columns: buckets of row numbers, ascending."""
+
+    def __init__(self, rows: np.ndarray, at: np.ndarray):
+        order = np.argsort(at, kind="stable")
+        self.keys, start = np.unique(at[order], return_index=True)
+        end = np.append(start[1:], len(at)) - 1
+        # memory views give and take plain numbers, several times faster than arrays do one at a time
+        self.order, self.low, self.high = (memoryview(np.ascontiguousarray(x, np.int32)) for x in (rows[order], start, end))
+        self.bytes = 4 * len(rows) + 16 * len(self.keys)
+
+    def of(self, at: np.ndarray) -> memoryview:
+        """The bucket of each left row, -1 where there is none."""
+        found = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return memoryview(np.where(self.keys[found] == at, found, -1).astype(np.int32))
+
+
+class Lookup:
+    """Left rows of one key: their cells as the baseline's value numbers (-1: no such value), and the buckets of each
+    index looked up for all of them at once."""
+
+    def __init__(self, values: list[np.ndarray], codes: np.ndarray):
+        self.codes = np.empty(codes.shape, np.int32)
+        for j, known in enumerate(values):
+            at = np.minimum(np.searchsorted(known, codes[:, j]), len(known) - 1)
+            self.codes[:, j] = np.where(known[at] == codes[:, j], at, -1)
+        self.rows, self.found = self.codes.tolist(), {}
+
+
+class Standing:
+    """Baseline rows of one key, which of them are still there, and how many of these have each value of a column."""
+
+    def __init__(self, ids: list[int], codes: np.ndarray, any_null: list[bool], raw: list[int], index_bytes: int):
+        self.ids, self.any_null, self.raw, self.room = ids, any_null, raw, index_bytes
+        n, self.columns = codes.shape
+        self.values, self.own = [], np.empty((self.columns, n), np.int32)
+        for j in range(self.columns):
+            known, self.own[j] = np.unique(codes[:, j], return_inverse=True)
+            self.values.append(known)
+        self.cells = [memoryview(x) for x in self.own]
+        self.counts = [memoryview(np.bincount(x).astype(np.int32)) for x in self.own]
+        self.bits = [1 << j for j in range(self.columns)]
+        self.varied = sum(b for b, v in zip(self.bits, self.values) if len(v) > 1)  # others need no index
+        self.there, self.left = bytearray(b"\x01") * n, n
+        self.indexes, self.used, self.cleared = {}, 0, 0
+        self.tries, self.differs = {}, {}
+        self.rows, self.packed, self.scans = np.arange(n), self.own, 0
+
+    def lookup(self, codes: np.ndarray) -> Lookup:
+        return Lookup(self.values, codes)
+
+    def place(self, codes: np.ndarray, agree: int) -> np.ndarray:
+        """A number for each row's values in the columns ``agree`` (codes: a row a column): their place in the order of
+        all combinations, or a hash where these are too many to be numbered."""
+        which = [j for j in range(self.columns) if agree >> j & 1]
+        if prod(len(self.values[j]) for j in which) < 1 << 62:
+            out = np.zeros(codes.shape[1], np.int64)
+            for j in which:
+                out = out * len(self.values[j]) + codes[j]
+            return out
+        mixed = np.full(codes.shape[1], 17, np.uint64)
+        for j in which:
+            mixed = (mixed ^ codes[j].astype(np.uint64)) * _MIX
+            mixed ^= mixed >> np.uint64(29)
+        return mixed.view(np.int64)
+
+    def buckets(self, batch: Lookup, agree: int) -> tuple[Buckets, memoryview] | None:
+        """The index over the columns ``agree`` and the left rows' buckets; None if there is no room for it."""
+        index = self.indexes.get(agree)
+        if index is None:
+            if self.cleared > CLEARED:
+                return None
+            rows = np.flatnonzero(np.frombuffer(self.there, np.uint8))
+            index = Buckets(rows, self.place(self.own[:, rows], agree))
+            if self.indexes and self.used + index.bytes > self.room:
+                self.indexes.clear()
+                batch.found.clear()
+                self.used, self.cleared = 0, self.cleared + 1
+            self.indexes[agree] = index
+            self.used += index.bytes
+        got = batch.found[agree] = (index, index.of(self.place(batch.codes.T, agree)))
+        return got
+
+    def levels(self, free: tuple[int, ...]) -> list[list[int]]:
+        """The sets of columns that may agree besides those that do in any case, largest first."""
+        got = self.tries.get(free)
+        if got is None:
+            got = self.tries[free] = [[sum(x) for x in combinations(free, n)] for n in range(len(free), -1, -1)]
+        return got
+
+    def best(self, batch: Lookup, row: int) -> tuple[list[int], int, int]:
+        """(differing columns, matched row, row to consume) for one left row; at least one row is still there."""
+        sure, free, left, there = 0, [], self.left, self.there
+        for bit, code, count in zip(self.bits, batch.rows[row], self.counts):
+            n = count[code] if code >= 0 else 0
+            if n == left:
+                sure |= bit
+            elif n:
+                free.append(bit)
+        for level in self.levels(tuple(free)):
+            if len(level) > 50 + left // 40:
+                break
+            first = last = agreed = -1
+            for some in level:
+                agree = sure | some
+                got = batch.found.get(agree & self.varied) or self.buckets(batch, agree & self.varied)
+                if got is None:
+                    return self.scan(batch.codes[row])
+                index, of = got
+                b = of[row]
+                if b < 0:
+                    continue
+                low, high, order = index.low[b], index.high[b], index.order
+                if low > high:
+                    continue
+                while low <= high and not there[order[low]]:
+                    low += 1
+                while low <= high and not there[order[high]]:
+                    high -= 1
+                index.low[b], index.high[b] = low, high
+                if low <= high and (first < 0 or order[low] < first):
+                    first, last, agreed = order[low], order[high], agree
+            if first >= 0:
+                out = self.differs.get(agreed)
+                if out is None:
+                    out = self.differs[agreed] = [j for j, bit in enumerate(self.bits) if not agreed & bit]
+                return out, first, last
+        return self.scan(batch.codes[row])
+
+    def scan(self, codes: np.ndarray) -> tuple[list[int], int, int]:
+        """The same by comparing with every row that is still there."""
+        self.scans += 1
+        if 2 * self.left < len(self.rows):
+            self.rows = np.flatnonzero(np.frombuffer(self.there, np.uint8))
+            self.packed = self.own[:, self.rows]
+        diff = self.packed != codes[:, None]
+        gone = np.frombuffer(self.there, np.uint8)[self.rows] == 0
+        n = diff.sum(0)
+        n[gone] = self.columns + 1
+        at = int(n.argmin())
+        same = np.flatnonzero((diff == diff[:, at: at + 1]).all(0) & ~gone)
+        return np.flatnonzero(diff[:, at]).tolist(), int(self.rows[at]), int(self.rows[same[-1]])
+
+    def consume(self, row: int) -> None:
+        self.there[row] = 0
+        self.left -= 1
+        for cell, count in zip(self.cells, self.counts):
+            count[cell[row]] -= 1
+
+
 def resolve(left: DataFrame, right: DataFrame, columns: int, consume_exact: bool, index_bytes: int = INDEX_BYTES
             ) -> DataFrame:
-    """(_k, _lid, _mid, _cid, _d) of every left row. ``right``: (_k, _id, _o, _h, _xn, _xh); ``left`` the same with the
-    columns of ``short_lists``."""
-    cols = ["_k", "_side", "_id", "_h", "_xn", "_xh", "_masks"]
-    both = (right.withColumn("_side", F.lit(0)).withColumn("_masks", F.lit(None).cast("binary")).select(*cols, "_o")
+    """(_k, _lid, _mid, _cid, _d) of every left row. Both sides: (_k, _id, _o, _h, _xn, _xh); ``left`` may have the
+    columns of ``short_lists``: then only listed masks are tried."""
+    listed = "_masks" in left.columns
+    cols = ["_k", "_side", "_id", "_h", "_xn", "_xh"] + ["_masks"] * listed
+    right = right.withColumn("_masks", F.lit(None).cast("binary")) if listed else right
+    both = (right.withColumn("_side", F.lit(0)).select(*cols, "_o")
             .unionByName(left.withColumn("_side", F.lit(1)).select(*cols, "_o")))
-    streamed = (both.withColumn("_p", F.xxhash64("_k")).repartition("_p")
+    # a number of partitions that adaptive execution keeps: the work of a key is not its bytes
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    streamed = (both.withColumn("_p", F.xxhash64("_k")).repartition(n, "_p")
                 .sortWithinPartitions("_k", "_side", "_o").select(*cols))
     width = mask_bytes(columns)
+    make = Sequence if listed else Standing
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, seq, rows = None, None, []
         for b in batches:
-            ks, sides, ids, hs, nulls, raws, masks = (c.to_pylist() for c in b.columns)
+            ks, sides, ids, nulls, raws = (b.column(i).to_pylist() for i in (0, 1, 2, 4, 5))
+            codes = _codes(b.column(3), columns)
+            hs, masks = (b.column(i).to_pylist() for i in (3, 6)) if listed else (None, None)
             at = 0
             while at < len(ks):
                 if ks[at] != key:
@@ -303,27 +479,29 @@ def resolve(left: DataFrame, right: DataFrame, columns: int, consume_exact: bool
                 while to < len(ks) and ks[to] == key and sides[to] == sides[at]:
                     to += 1
                 if sides[at] == 0:
-                    rows.extend(zip(ids[at:to], hs[at:to], nulls[at:to], raws[at:to]))
+                    rows.append((ids[at:to], codes[at:to], nulls[at:to], raws[at:to]))
                     at = to
                     continue
                 if seq is None:
-                    i, h, n, x = zip(*rows)
-                    seq, rows = Sequence(list(i), _codes(pa.array(h), columns), list(n), list(x), index_bytes), []
-                batch = Batch(_codes(pa.array(hs[at:to]), columns))
+                    i, h, nul, x = zip(*rows)
+                    seq, rows = make(*([v for part in p for v in part] if p is not h else np.concatenate(h)
+                                       for p in (i, h, nul, x)), index_bytes), []
+                batch = Batch(codes[at:to]) if listed else seq.lookup(codes[at:to])
                 out = []
                 for j in range(at, to):
                     if not seq.left:
                         out.append((None, None, None))
                         continue
-                    m, first, last = taken(seq, batch, j - at, seq.levels(hs[j], masks[j], width))
-                    differs = any(m)
-                    keep = (not consume_exact and seq.left == 1 and not differs and not seq.any_null[last]
+                    if listed:
+                        m, first, last = taken(seq, batch, j - at, seq.levels(hs[j], masks[j], width))
+                        diff = np.flatnonzero(flags(m, columns)).tolist() if any(m) else []
+                    else:
+                        diff, first, last = seq.best(batch, j - at)
+                    keep = (not consume_exact and seq.left == 1 and not diff and not seq.any_null[last]
                             and seq.raw[last] == raws[j])
                     if not keep:
-                        seq.there[last] = 0
-                        seq.left -= 1
-                    out.append((seq.ids[first], None if keep else seq.ids[last],
-                                np.flatnonzero(flags(m, columns)).tolist() if differs else []))
+                        seq.consume(last)
+                    out.append((seq.ids[first], None if keep else seq.ids[last], diff))
                 mid, cid, d = zip(*out)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ks[at:to], pa.string()), pa.array(ids[at:to], pa.int64()), pa.array(mid, pa.int64()),
@@ -336,6 +514,8 @@ def resolve(left: DataFrame, right: DataFrame, columns: int, consume_exact: bool
 
 def matched(left: DataFrame, right: DataFrame, columns: int, consume_exact: bool) -> DataFrame:
     """(_k, _lid, _mid, _cid, _d) of every left row of the keys. Both sides: (_k, _id, _o, _h, _xn, _xh)."""
+    if columns <= LATTICE:
+        return resolve(left, right, columns, consume_exact)
     lists = short_lists(left, right, columns)
     own = left.join(lists.withColumnsRenamed({"_k": "_k2", "_h": "_h2"}),
                     (F.col("_k") == F.col("_k2")) & (F.col("_h") == F.col("_h2"))).drop("_k2", "_h2")

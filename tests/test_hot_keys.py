@@ -160,3 +160,57 @@ def test_counters_lose_less_than_a_share():
     for p in parts:
         whole.add(p.n.items())
     assert 300 - len(keys) / 11 <= whole.n["a"] <= 300 and len(whole.n) <= 10
+
+
+def greedy(left, right):
+    """The plain loop over whole rows of numbers: (differing columns, matched, consumed) of each left row."""
+    there, out = np.ones(len(right), bool), []
+    for t in left:
+        rows = np.flatnonzero(there)
+        if not len(rows):
+            break
+        diff = right[rows] != t
+        at = int(diff.sum(1).argmin())
+        last = int(rows[np.flatnonzero((diff == diff[at]).all(1))[-1]])
+        out.append((np.flatnonzero(diff[at]).tolist(), int(rows[at]), last))
+        there[last] = False
+    return out
+
+
+def standing(left, right, index_bytes, batch=64):
+    seq, out = H.Standing(list(range(len(right))), right, [False] * len(right), [0] * len(right), index_bytes), []
+    for at in range(0, len(left), batch):
+        part = seq.lookup(left[at: at + batch])
+        for j in range(len(part.rows)):
+            if seq.left:
+                out.append(seq.best(part, j))
+                seq.consume(out[-1][2])
+    return out, seq
+
+
+@pytest.mark.parametrize("columns, values", [(1, 3), (5, 2), (6, 40), (12, 3), (8, 10**6)])
+@pytest.mark.parametrize("index_bytes", [H.INDEX_BYTES, 1, 20_000])
+def test_masks_tried_equal_the_plain_loop(monkeypatch, columns, values, index_bytes):
+    """With room for all indexes, for one, and for some; combinations that are numbered and, of many values, hashed."""
+    rng = np.random.default_rng(columns)
+    right, left = rng.integers(0, values, (400, columns)), rng.integers(0, values, (450, columns))
+    edited = rng.random((450, columns)) < 0.7
+    left = np.where(edited, right[rng.integers(0, 400, 450)], left)
+    right[:, 0] = right[0, 0] if columns > 5 else right[:, 0]  # a column of one value
+    want = greedy(left, right)
+    assert standing(left, right, index_bytes)[0] == want and len(want) == 400
+    monkeypatch.setattr(H, "prod", lambda x: 1 << 62)
+    assert standing(left, right, index_bytes)[0] == want
+
+
+def test_work_of_a_key_grows_with_its_rows():
+    """Rows of values that hardly come again are looked up: none is compared with all others, whatever their number."""
+    rng = np.random.default_rng(3)
+    n = 20_000
+    right = np.stack([rng.integers(0, v, n) for v in (4, 3000, 5, 3, n, 2400, 6, 1)], 1)
+    left = right[rng.permutation(n)]
+    left[::5, 4] += n
+    left[::19, 5] = -1
+    got, seq = standing(left, right, H.INDEX_BYTES, 10_000)
+    assert len(got) == n and len({x[2] for x in got}) == n
+    assert seq.scans < n / 50 and len(seq.indexes) <= 2 ** 7
