@@ -23,7 +23,8 @@ rows and columns only:
                   baseline rows of a key arrive first and are kept as value classes (identical rows collapse);
                   left rows then stream past that state. Only one key's baseline rows are held at a time, besides
                   ``CACHE_BYTES`` of profiles, and no pair table is built. A key is one task;
-  hot n x m       keys of more than ``hot_pairs`` row pairs: the comparisons are dealt to tasks (``hot_keys``).
+  hot n x m       keys of more than ``hot_pairs`` row pairs: rows are looked up in indexes by the columns that agree, not
+                  compared one by one (``hot_keys``).
 All paths compare cells in one form (``cells.cell``), and what became of each left row is written once (``state``):
 pairs, left-only and right-only rows and all totals read it.
 """
@@ -55,8 +56,10 @@ except Exception:  # noqa: BLE001 -- older cloudpickle: the package must then be
     pass
 
 
-# Row pairs of a key from which on its comparisons are dealt to tasks.
-HOT_PAIRS = 25_000_000
+# Row pairs of a key from which on it takes the path for hot keys: where that tries masks (``hot_keys.LATTICE``), and
+# where it lists them first.
+HOT_PAIRS = 40_000
+HOT_PAIRS_LISTED = 25_000_000
 LEFT, RIGHT = 0, 1
 # Shapes of keys: the folders of the routed rows.
 ALONE, ONE_ONE, ONE_MANY, MANY_ONE, MANY_MANY, HOT = range(6)
@@ -154,12 +157,12 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
               order_by: Sequence[str] = (), row_id: str = "row_id", right_row_id: str | None = None,
               right_order_by: Sequence[str] | None = None, mode: str = "exact", consume_exact: bool = True,
               trim_left: bool = False, fast_paths: bool = True, carry: Sequence[str] = (),
-              hot_pairs: int = HOT_PAIRS, max_pairs: int | None = None, rescan: bool = False) -> ReconcileResult:
+              hot_pairs: int | None = None, max_pairs: int | None = None, rescan: bool = False) -> ReconcileResult:
     """Greedy 1:1 matching of ``left`` (candidate) rows to ``right`` (baseline) rows on ``key``.
 
     ``cols`` are the compared columns (default: common columns minus key and row id); ``mode`` 'exact' or 'ci'.
     ``carry``: left columns kept with the routed rows, for ``ReconcileResult.with_left``. ``hot_pairs``: keys of more row
-    pairs take the distributed path (same results). ``max_pairs``: a guard; a key of more row pairs raises
+    pairs take the path for hot keys (same results; default ``HOT_PAIRS``). ``max_pairs``: a guard; a key of more row pairs raises
     ``HotKeyError`` before anything is matched (one more job, over the keys). ``rescan``: the inputs are plain scans, to
     be read twice rather than derived once and written.
     """
@@ -171,6 +174,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
         cols = [c for c in left.columns if c in right.columns and c not in skip]
     cols = list(cols)
     C = len(cols)
+    if hot_pairs is None:
+        hot_pairs = HOT_PAIRS if C <= hot_keys.LATTICE else HOT_PAIRS_LISTED
     raw = (not consume_exact) and mode != "exact"
     kept = {c: left.schema[c].dataType for c in carry}
     L = _prep(left, right, key, row_id, list(order_by), cols, mode, trim_left, raw, LEFT, kept)

@@ -214,3 +214,20 @@ def test_work_of_a_key_grows_with_its_rows():
     got, seq = standing(left, right, H.INDEX_BYTES, 10_000)
     assert len(got) == n and len({x[2] for x in got}) == n
     assert seq.scans < n / 50 and len(seq.indexes) <= 2 ** 7
+
+
+def test_keys_of_some_hundred_rows_are_looked_up(spark, monkeypatch):
+    """Without a bound of the caller's, a key of 250 x 240 rows takes the path by indexes, and no list of masks is made."""
+    monkeypatch.setattr(H, "short_lists", None)
+    left, right = (table(spark, n, id0, seed, 6).withColumn("k", F.lit("k")) for n, id0, seed in ((250, 0, 1), (240, 1000, 2)))
+    cols = [f"c{j}" for j in range(6)]
+
+    def out(**kw):
+        res = reconcile(left, right, "k", cols, order_by=["o"], row_id="id", **kw)
+        got = sorted(map(tuple, res.state.drop("shape").collect()), key=str)
+        shapes = {r["shape"] for r in res.state.select("shape").distinct().collect()}
+        res.release()
+        return got, shapes
+
+    got, shapes = out()
+    assert shapes == {HOT} and got == out(hot_pairs=10**9)[0]
