@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from recheck.functions.cells import comparable, strip
 from recheck.operators.joins import BROADCAST_MAX_BYTES, member_flag, member_set, sized
 from recheck.operators.schema import canonical_name
+from recheck.session import Scratch
 
 # Patterns, cut-off date, marker words and messages of the checks.
 UNKNOWN_TEXT = "unknown"
@@ -71,15 +72,23 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], row_id: str = "row_id") -> D
     """Violations of all ``rules`` in one projection: (row_id, field, rule, message)."""
     if not rules:
         return df.sparkSession.createDataFrame([], "row_id long, field string, rule string, message string")
-    # Per row only an int array of the violated rules is built; names are looked up for violating rows only.
+    # The array is built in a plain projection (whole-stage codegen) and only a column is exploded: with the rule
+    # expressions inside the generator, Spark evaluates them outside codegen.
+    return named_rules(df.select(F.col(row_id).alias("row_id"), violated(rules).alias("_is")), rules)
+
+
+def violated(rules: Sequence[Rule]) -> Column:
+    """Per row only an int array of the violated rules is built; names are looked up for violating rows only."""
     items = [F.when(F.coalesce(r.violated, F.lit(False)), F.lit(i + 1)) for i, r in enumerate(rules)]
+    return F.array_compact(F.array(*items)) if items else F.array().cast("array<int>")
+
+
+def named_rules(found: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(row_id, field, rule, message) of rows with the numbers ``_is`` of the rules that they violate."""
     fields = F.array(*[F.lit(r.field) for r in rules])
     ids = F.array(*[F.lit(r.rule) for r in rules])
     msgs = F.array(*[F.lit(r.message) for r in rules])
-    # The array is built in a plain projection (whole-stage codegen) and only a column is exploded: with the rule
-    # expressions inside the generator, Spark evaluates them outside codegen.
-    v = (df.select(F.col(row_id).alias("row_id"), F.array_compact(F.array(*items)).alias("_is"))
-         .where(F.size("_is") > 0).select("row_id", F.explode("_is").alias("_i")))
+    v = found.where(F.size("_is") > 0).select("row_id", F.explode("_is").alias("_i"))
     return v.select("row_id", F.element_at(fields, F.col("_i")).alias("field"),
                     F.element_at(ids, F.col("_i")).alias("rule"), F.element_at(msgs, F.col("_i")).alias("message"))
 
@@ -137,6 +146,14 @@ def pair_flag(df: DataFrame, left: Sequence[Column], pairs: DataFrame, name: str
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
+def starts_then_digits(text: Column, start: str, pattern: str) -> Column:
+    """``text.rlike(pattern)`` for the pattern ``^<start>[0-9]+$``, asked only where a line end follows (which ``$``
+    allows): a regular expression a row costs more than all other rules."""
+    plain = text.startswith(start) & (F.length(text) > len(start)) & (F.translate(text, "0123456789", "") == start)
+    ended = F.right(text, F.lit(1)).isin("\n", "\r", "\u0085", "\u2028", "\u2029")
+    return plain | (ended & text.rlike(pattern))
+
+
 # -- the rule set --------------------------------------------------------------------------------------------------
 
 @dataclass
@@ -204,18 +221,23 @@ class RuleSet:
 
         direct = [r if large(r) is None else Rule(r.rule, r.field, self.lookups[large(r)].null_violates, r.message)
                   for r in rs if large(r) is None or self.lookups[large(r)].null_violates is not None]
-        out = run_rules(df, direct, row_id)
-        if apart:
-            out = out.unionByName(self._by_values([(r, self.lookups[large(r)]) for r in rs if large(r)], row_id))
-        return out
-
-    def _by_values(self, rules: list[tuple[Rule, Lookup]], row_id: str) -> DataFrame:
-        """Violations of memberships in large sets. Only distinct (rule, value) pairs of the data meet the sets, in one
+        if not apart:
+            return run_rules(df, direct, row_id)
+        # the input is derived once: what the rules found and the cells to be looked up are written, and read for each use
+        by_value = [(r, self.lookups[large(r)]) for r in rs if large(r)]
+        checked = Scratch(df.sparkSession, "rules").written(df.select(
+            F.col(row_id).alias("row_id"), violated(direct).alias("_is"),
+            *[x.cell.alias(f"_v{i}") for i, (_, x) in enumerate(by_value)]), "checked")
+        out = self._by_values(checked, by_value)
+        return named_rules(checked, direct).unionByName(out) if direct else out
+
+    def _by_values(self, checked: DataFrame, rules: list[tuple[Rule, Lookup]]) -> DataFrame:
+        """Violations of memberships in large sets; ``checked``: row_id and the cell of each rule. Only distinct (rule, value) pairs of the data meet the sets, in one
         join for all rules; the pairs that violate, few as a rule, go back to (row, rule, value) rows. Rows are never
         shuffled whole."""
-        cells = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("i"), x.cell.alias("value"))
-                                             for i, (_, x) in enumerate(rules)]), lambda s: s["value"].isNotNull()))
-        long = self.base.select(F.col(row_id).alias("row_id"), cells.alias("_s")).select("row_id", "_s.*")
+        cells = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_v{i}").alias("value"))
+                                             for i in range(len(rules))]), lambda s: s["value"].isNotNull()))
+        long = checked.select("row_id", cells.alias("_s")).select("row_id", "_s.*")
         members = None
         for i, (_, x) in enumerate(rules):
             part = x.members.select(F.lit(i).alias("_i"), F.col("value").alias("_v"))
@@ -307,9 +329,9 @@ def build_rules(df: DataFrame, contract_rows: Sequence[tuple] = (), norm_lookup:
         rules.append(Rule("R4", ro["price_date"], F.col(ro["price_date"]) < F.lit(MIN_PRICE_DATE).cast("date"), m["R4"]))
     if runs("R5", "payment_term"):
         pt = ro["payment_term"]
-        rules.append(Rule("R5", pt, ~F.coalesce(F.col(pt).rlike(PAYMENT_TERM_STRICT), F.lit(False)), m["R5"]))
+        rules.append(Rule("R5", pt, ~F.coalesce(starts_then_digits(F.col(pt), "NET", PAYMENT_TERM_STRICT), F.lit(False)), m["R5"]))
     if runs("R6", "payment_term"):
-        rules.append(Rule("R6", pt, F.col(pt).isNotNull() & ~F.lower(F.col(pt)).rlike(PAYMENT_TERM_LENIENT), m["R6"]))
+        rules.append(Rule("R6", pt, F.col(pt).isNotNull() & ~starts_then_digits(F.lower(F.col(pt)), "net", PAYMENT_TERM_LENIENT), m["R6"]))
 
     handled = set()
     for rid, role, lcols in (("R7", "sku_normalized", ["normalized_name"]), ("R8", "level5", ["level_5", *level5_pool]),
