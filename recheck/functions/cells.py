@@ -19,10 +19,21 @@ UNICODE_ALNUM_STRIP = "[^\\p{L}\\p{N}]"  # key variant C (str.isalnum)
 WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
+# Of ASCII text both patterns take the same characters.
+_ASCII_REST = "".join(c for c in map(chr, range(128)) if not c.isalnum())
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _without(text: Column, pattern: str) -> Column:
+    """``text`` without the characters of ``pattern`` (one of the two above); a regular expression, some twenty times as
+    dear, is asked only where there is more than ASCII."""
+    plain = (F.octet_length(text) == F.length(text)) & F.is_valid_utf8(text)
+    return F.when(plain, F.translate(text, _ASCII_REST, "")).otherwise(F.regexp_replace(text, pattern, ""))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN is pandas' only null; make it Spark NULL right after a scan (Spark treats NaN = NaN as true)."""
     out = []
@@ -49,7 +60,7 @@ def _expanded(text: Column) -> Column:
               .when(more >= 0, F.concat(digits, F.repeat(F.lit("0"), more)))
               .otherwise(F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."),
                                   F.substring(digits, e + 2, F.length(digits)))))
-    return F.when(text.rlike(r"^-?[0-9](\.[0-9]+)?E-?[0-9]+$"), F.concat(sign, plain)).otherwise(text)
+    return F.when(text.contains("E") & text.rlike(r"^-?[0-9](\.[0-9]+)?E-?[0-9]+$"), F.concat(sign, plain)).otherwise(text)
 
 
 def number_text(c, dtype: T.DataType) -> Column:
@@ -72,8 +83,8 @@ def number_text(c, dtype: T.DataType) -> Column:
                 .otherwise(v.cast("string")))
     else:
         return col.cast("string")
-    plain = text.rlike(r"^-?[0-9]+\.[0-9]+$")
-    return F.when(plain, F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    plain = text.contains(".") & ~text.contains("E")
+    return F.when(plain, F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
 
 
 NUMBERS = (T.NumericType,)
@@ -146,7 +157,7 @@ def cell(c, own: T.DataType, other: T.DataType, mode: str = "exact") -> Column:
 
 def clean_key_text(c) -> Column:
     """Text reduced to ``[a-z0-9]``."""
-    return F.lower(F.regexp_replace(_c(c).cast("string"), ASCII_ALNUM_STRIP, ""))
+    return F.lower(_without(_c(c).cast("string"), ASCII_ALNUM_STRIP))
 
 
 def pseudo_key(df: DataFrame, cols: Sequence[str], variant: str = "ascii_lower", name: str = "pseudo_key",
@@ -162,11 +173,11 @@ def pseudo_key(df: DataFrame, cols: Sequence[str], variant: str = "ascii_lower",
         raise ValueError(f"key columns not in DataFrame: {missing}")
     texts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in cols]
     if variant == "ascii_lower":
-        key = F.regexp_replace(F.lower(F.concat(*texts)), ASCII_ALNUM_STRIP, "")
+        key = _without(F.lower(F.concat(*texts)), ASCII_ALNUM_STRIP)
     elif variant == "ascii_case":
-        key = F.regexp_replace(F.concat_ws("-", *texts), ASCII_ALNUM_STRIP, "")
+        key = _without(F.concat_ws("-", *texts), ASCII_ALNUM_STRIP)
     elif variant == "unicode_lower":
-        key = F.concat(*[F.lower(F.regexp_replace(t, UNICODE_ALNUM_STRIP, "")) for t in texts])
+        key = F.concat(*[F.lower(_without(t, UNICODE_ALNUM_STRIP)) for t in texts])
     else:
         raise ValueError(f"unknown key variant {variant!r}")
     out = df.withColumn(name, key)
