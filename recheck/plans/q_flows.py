@@ -15,7 +15,7 @@ from recheck.plans.q_recon import KEY_A, KEY_B, PAIRS_BODY, RECON_COLS, _ci_ctes
 from recheck.plans.q_rules import _BAND, LOOKUPS, RULE_SQL, _sql
 from recheck.plans.registry import query
 from recheck.sources import io
-from recheck.sources.fixtures import load_fixture, with_fixtures
+from recheck.sources.fixtures import load_fixture, load_sides, with_fixtures
 
 _SHEET = """SELECT pid AS row_id, matched AS matched_id, array_to_string(diff, ',') AS diff_columns FROM st
  WHERE i > 0 AND matched IS NOT NULL"""
@@ -30,7 +30,8 @@ def _sheet(spark, base):
 def q_flow_compare(spark, sf_dir):
     """Pipeline output against the baseline, from alignment to the written comparison sheet."""
     base = io.scratch_path(spark, "compare")
-    flows.compare(load_fixture(spark, sf_dir, "pipeline"), load_fixture(spark, sf_dir, "gt"), KEY_A, base)
+    pl, gt = load_sides(spark, sf_dir)
+    flows.compare(pl, gt, KEY_A, base)
     return _sheet(spark, base)
 
 
@@ -38,9 +39,9 @@ def q_flow_compare(spark, sf_dir):
 def q_flow_flat_vs_extract(spark, sf_dir):
     """Flat file against a database extract (kept as Parquet), upper-case headers on one side."""
     base = io.scratch_path(spark, "flat-vs-extract")
-    extract = load_fixture(spark, sf_dir, "gt")
+    pl, extract = load_sides(spark, sf_dir)
     extract.toDF(*[c.upper() if c != "row_id" else c for c in extract.columns]).write.parquet(f"{base}/extract")
-    flows.flat_vs_extract(load_fixture(spark, sf_dir, "pipeline"), spark.read.parquet(f"{base}/extract"), KEY_B, base)
+    flows.flat_vs_extract(pl, spark.read.parquet(f"{base}/extract"), KEY_B, base)
     return _sheet(spark, base)
 
 
@@ -102,8 +103,8 @@ _COMPARED = {c: _FOUND[c] for c in ("matched_id", "diff_columns", "reason", "met
 def q_flow_compare_sheets(spark, sf_dir):
     """Every sheet of a comparison, whole rows, as written; each side has a column that the other lacks."""
     base = io.scratch_path(spark, "compare")
-    flows.compare(load_fixture(spark, sf_dir, "pipeline").withColumn("batch_no", F.lit(1)),
-                  load_fixture(spark, sf_dir, "gt").withColumn("approved_by", F.lit("x")), KEY_A, base)
+    pl, gt = load_sides(spark, sf_dir)
+    flows.compare(pl.withColumn("batch_no", F.lit(1)), gt.withColumn("approved_by", F.lit("x")), KEY_A, base)
     return tagged(spark, base, ["matched", "left_only", "right_only", "totals", "columns"])
 
 
@@ -112,9 +113,9 @@ def q_flow_compare_sheets(spark, sf_dir):
 def q_flow_flat_vs_extract_sheets(spark, sf_dir):
     """Every sheet of the database comparison, whole rows, as written."""
     base = io.scratch_path(spark, "flat-vs-extract")
-    extract = load_fixture(spark, sf_dir, "gt")
+    pl, extract = load_sides(spark, sf_dir)
     extract.toDF(*[c.upper() if c != "row_id" else c for c in extract.columns]).write.parquet(f"{base}/extract")
-    flows.flat_vs_extract(load_fixture(spark, sf_dir, "pipeline"), spark.read.parquet(f"{base}/extract"), KEY_B, base)
+    flows.flat_vs_extract(pl, spark.read.parquet(f"{base}/extract"), KEY_B, base)
     return tagged(spark, base, ["matched", "left_only", "right_only", "totals"])
 
 
@@ -144,9 +145,10 @@ def q_flow_rules(spark, sf_dir):
     of the files that the baseline holds, as written."""
     base = io.scratch_path(spark, "rules")
     cat, cal = (load_fixture(spark, sf_dir, n) for n in ("supplier_category", "client_alias"))
-    points = load_fixture(spark, sf_dir, "pipeline").withColumn("row_id", F.col("row_id") + _SHIFT)
+    pl, gt = load_sides(spark, sf_dir)
+    points = pl.withColumn("row_id", F.col("row_id") + _SHIFT)
     flows.business_checks(
-        flatfile(spark, sf_dir).unionByName(points, allowMissingColumns=True), load_fixture(spark, sf_dir, "gt"),
+        flatfile(spark, sf_dir).unionByName(points, allowMissingColumns=True), gt,
         ["file_name"], KEY_A, base, contract_rows=contract(spark, sf_dir),
         norm_lookup=load_fixture(spark, sf_dir, "norm_lookup"), supplier_category=cat,
         supplier_alias=load_fixture(spark, sf_dir, "supplier_alias"), client_alias=cal, conditional=[cat, cal])

@@ -8,7 +8,7 @@ from recheck.functions.cells import nan_to_null, pseudo_key
 from recheck.operators.match import reconcile
 from recheck.plans.oracle_sql import greedy_ctes, key_sql, nz_text
 from recheck.plans.registry import query
-from recheck.sources.fixtures import load_fixture, with_fixtures
+from recheck.sources.fixtures import load_sides, with_fixtures
 
 # Compared columns of the price-point fixture, in file order (the key and row id are not compared).
 RECON_COLS = ["file_name", "sku_original", "sku_normalized", "level5_category", "uom", "unit_price", "price_date",
@@ -19,9 +19,8 @@ CI_COLS = sorted(RECON_COLS)                      # database variant: lower-case
 
 
 def _sides(spark, sf_dir):
-    gt = nan_to_null(load_fixture(spark, sf_dir, "gt"))
-    pl = nan_to_null(load_fixture(spark, sf_dir, "pipeline"))
-    return pl, gt
+    pl, gt = load_sides(spark, sf_dir)
+    return nan_to_null(pl), nan_to_null(gt)
 
 
 def recon_exact(spark, sf_dir, fast_paths=True, carry=()):
@@ -29,7 +28,7 @@ def recon_exact(spark, sf_dir, fast_paths=True, carry=()):
     pl = pseudo_key(pl, KEY_A, "ascii_lower")
     gt = pseudo_key(gt, KEY_A, "ascii_lower")
     return reconcile(pl, gt, "pseudo_key", RECON_COLS, order_by=["sku_original"], fast_paths=fast_paths,
-                     carry=carry)
+                     carry=carry, rescan=True)
 
 
 def recon_ci(spark, sf_dir, consume_exact=True, fast_paths=True):
@@ -37,7 +36,7 @@ def recon_ci(spark, sf_dir, consume_exact=True, fast_paths=True):
     pl = pseudo_key(pl, KEY_B, "ascii_case")
     gt = pseudo_key(gt, KEY_B, "ascii_case")
     return reconcile(pl, gt, "pseudo_key", CI_COLS, order_by=["file_name"], mode="ci", trim_left=True,
-                     consume_exact=consume_exact, fast_paths=fast_paths)
+                     consume_exact=consume_exact, fast_paths=fast_paths, rescan=True)
 
 
 KEY_HOT = ["sku_normalized"]  # few keys of many rows on both sides
@@ -47,7 +46,7 @@ def recon_hot(spark, sf_dir):
     """Every n x m key takes the path for hot keys: their comparisons are dealt to tasks."""
     pl, gt = _sides(spark, sf_dir)
     pl, gt = pseudo_key(pl, KEY_HOT, "ascii_lower"), pseudo_key(gt, KEY_HOT, "ascii_lower")
-    return reconcile(pl, gt, "pseudo_key", RECON_COLS, order_by=["sku_original"], hot_pairs=0)
+    return reconcile(pl, gt, "pseudo_key", RECON_COLS, order_by=["sku_original"], hot_pairs=0, rescan=True)
 
 
 def _pairs_out(res):

@@ -11,7 +11,7 @@ from recheck.operators.match import RIGHT
 from recheck.plans.oracle_sql import key_sql
 from recheck.plans.q_recon import KEY_B, RECON_COLS, _exact_ctes, recon_exact
 from recheck.plans.registry import query
-from recheck.sources.fixtures import load_fixture, with_fixtures
+from recheck.sources.fixtures import load_fixture, load_sides, with_fixtures
 
 # Columns checked per file in the key outer merge (the key columns themselves are not re-checked).
 SUM_COLS = ["sku_original", "sku_normalized", "level5_category", "uom", "unit_price", "price_date", "payment_term"]
@@ -21,9 +21,12 @@ ALL_COLS = ["file_name"] + SUM_COLS  # fixture columns without the row id
 
 def keyed_sides(spark, sf_dir):
     """Both sides with SKU text cleaned and primary key C (file, SKU) put first."""
+    return _keyed(*reversed(load_sides(spark, sf_dir)))
+
+
+def _keyed(gt, pl):
     out = []
-    for name in ("gt", "pipeline"):
-        df = nan_to_null(load_fixture(spark, sf_dir, name))
+    for df in (nan_to_null(gt), nan_to_null(pl)):
         df = df.withColumn("sku_original", clean_key_text("sku_original"))
         out.append(pseudo_key(df, PK_COLS, "unicode_lower", name="primary_key"))
     return out
@@ -146,8 +149,8 @@ _FILE_TABLE_CTES = [
 
 
 def measures(spark, sf_dir, complete=False):
-    gt, pl = keyed_sides(spark, sf_dir)
-    raw = (load_fixture(spark, sf_dir, n) for n in ("pipeline", "gt"))
+    raw = load_sides(spark, sf_dir)
+    gt, pl = _keyed(*reversed(raw))
     return S.file_measures(gt, pl, "primary_key", SUM_COLS, dup_cols=SIDE_COLS,
                            complete=(*map(nan_to_null, raw), ALL_COLS) if complete else None)
 

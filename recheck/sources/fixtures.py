@@ -10,6 +10,8 @@ id is built per order instead (``l_orderkey * 1024 + rank within the order``; li
 
 from __future__ import annotations
 
+from recheck.session import Scratch
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -145,5 +147,12 @@ def load_fixture(spark, sf_dir: str, name: str):
     return spark.sql(with_fixtures([name], f"SELECT * FROM {name}", "spark", sf_dir))
 
 
+def load_sides(spark, sf_dir: str):
+    """(pipeline, gt), with gt's rows built once: written, and read again wherever either side is read."""
+    gt = Scratch(spark, "gt").written(load_fixture(spark, sf_dir, "gt"), "rows")
+    body = FIXTURES["pipeline"][1]
+    return spark.sql(f"WITH gt AS (SELECT * FROM {{gt}}) {body}", gt=gt), gt
+
+
 def load_table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
