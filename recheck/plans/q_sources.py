@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recheck.plans.q_profile import flatfile
 from recheck.plans.registry import query
+from recheck.session import Scratch
 from recheck.sources import io
 from recheck.sources.fixtures import load_fixture, load_table, with_fixtures
 
@@ -49,16 +49,14 @@ def q_write_partitioned(spark, sf_dir):
     "ORDER BY row_id) - 1 AS n FROM flatfile) GROUP BY 1, 2")))
 def q_write_manifest(spark, sf_dir):
     """One file for each 1000 rows of a file name, listed in the manifest; rows are sorted in their files."""
-    df = flatfile(spark, sf_dir).select("row_id", "file_name", "unit_price")
+    rows = Scratch(spark, "flatfile")
+    df = rows.written(flatfile(spark, sf_dir).select("row_id", "file_name", "unit_price"), "rows")
     path = io.write_partitioned(df, f"{io.scratch_path(spark, 'manifest')}/data", sort=["row_id"], rows_per_file=1000)
-    listed = io.manifest(spark, path, sort=["row_id"]).groupBy("file_name", "part").agg(
+    rows.drop()
+    listed = io.manifest(spark, path, sort=["row_id"], more={"sorted": io.in_order(["row_id"])})
+    return listed.groupBy("file_name", "part").agg(
         F.count(F.lit(1)).cast("int").alias("files"), F.sum("rows").alias("n_rows"), F.min("first.row_id").alias("first_row"),
-        F.max("last.row_id").alias("last_row"))
-    data = spark.read.parquet(path).select("file_name", "part", "row_id", F.col("_metadata.row_index").alias("at"))
-    in_file = Window.partitionBy("file_name", "part").orderBy("row_id")
-    right = data.withColumn("is", F.row_number().over(in_file) - 1 == F.col("at")).groupBy("file_name", "part").agg(
-        F.bool_and("is").alias("sorted"))
-    return listed.join(right, ["file_name", "part"])
+        F.max("last.row_id").alias("last_row"), F.bool_and("sorted").alias("sorted"))
 
 
 # Lines that do not fit: text for a number, too many cells, too few.

@@ -10,8 +10,9 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from recheck.functions.cells import nan_to_null
 from recheck.operators.joins import hinted
@@ -132,6 +133,8 @@ def write_results(results: dict[str, DataFrame], base: str, fmt: str = "parquet"
 
 # Rows of a value from which on it gets a further file.
 ROWS_PER_FILE = 1_000_000
+# Formats whose files name their columns: there a row's part stands in the file, elsewhere it is a folder.
+NAMED_COLUMNS = ("parquet", "orc")
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "file_name", sort: Sequence[str] = (),
@@ -141,15 +144,24 @@ def write_partitioned(df: DataFrame, path: str, by: str = "file_name", sort: Seq
     Rows are numbered inside their value in the order of ``sort`` (``order.with_rank``: no task holds a value), and the
     number says which file a row goes to: a small value has one file, a large one several that follow each other. A file
     is written by one task. ``manifest`` lists what was written.
+
+    A value's files stand in one folder (Parquet, ORC; the column ``part`` tells them apart): with a folder for each
+    file, listing the folders takes as long as writing them. A task begins a file every ``rows_per_file`` rows of a
+    value, which is where the next part begins, as only a value's last part is shorter. Tasks move their files to
+    their place themselves (committer version 2; the driver else moves one after the other): after a failed write, files
+    may stand there, without ``_SUCCESS``.
     """
     scratch = Scratch(df.sparkSession, "by-value")
     order = [F.col(c).asc_nulls_last() for c in sort]
     number, total, part = (_free(n, df) for n in ("_number", "_total", "part"))
+    if df.select(by).dtypes[0][1] == "string":  # NULL and '' have the same folder: one value
+        df = df.withColumn(by, F.when(F.col(by) != "", F.col(by)))
     ranked = with_rank(df, [by], order, scratch, number, total)
     out = ranked.withColumn(part, F.floor(F.col(number) / rows_per_file).cast("int")).drop(total)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = (out.repartition(n, by, part).sortWithinPartitions(by, part, number).drop(number).write.mode(mode).format(fmt)
-         .partitionBy(by, part))
+         .option("maxRecordsPerFile", rows_per_file).option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+         .partitionBy(*([by] if fmt in NAMED_COLUMNS else [by, part])))
     if fmt == "csv":
         w = w.option("header", True)
     w.save(path)
@@ -158,21 +170,35 @@ def write_partitioned(df: DataFrame, path: str, by: str = "file_name", sort: Seq
 
 
 def manifest(spark: SparkSession, path: str, by: str = "file_name", sort: Sequence[str] = (), fmt: str = "parquet",
-             schema=None, publish: bool = True) -> DataFrame:
+             schema=None, publish: bool = True, more: dict[str, Column] | None = None) -> DataFrame:
     """What ``write_partitioned`` wrote: a row for each file with its value, part, rows, and its first and last row's
-    ``sort`` columns (structs ``first``, ``last``). ``publish`` writes it beside the data, as ``<path>.manifest``."""
+    ``sort`` columns (structs ``first``, ``last``). ``more``: further aggregates over a file's rows, by name. ``publish``
+    writes it beside the data, as ``<path>.manifest``."""
     r = spark.read.format(fmt)
+    if schema is not None and fmt in NAMED_COLUMNS:
+        schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        schema = schema if "part" in schema.names else StructType([*schema, StructField("part", IntegerType())])
     r = r.schema(schema) if schema is not None else r
     df = (r.option("header", True) if fmt == "csv" else r).load(path)
     key = F.struct(*[c for s in sort for c in (F.col(s).isNull().alias(f"{s}_is_null"), F.col(s))])
     out = df.groupBy(F.col(by), "part", F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"), *([F.min(key).alias("first"), F.max(key).alias("last")] if sort else []))
+        F.count(F.lit(1)).alias("rows"), *([F.min(key).alias("first"), F.max(key).alias("last")] if sort else []),
+        *[c.alias(name) for name, c in (more or {}).items()])
     if publish:
-        out.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.manifest")
+        out.repartition(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.manifest")  # a row a file
         return spark.read.parquet(f"{path.rstrip('/')}.manifest")
     return out
 
 
+def in_order(sort: Sequence[str]) -> Column:
+    """Aggregate over the rows of a Parquet file: whether they stand there in the order of ``sort``, NULLs last. It holds
+    a file's places and ``sort`` columns, so is meant for files of bounded rows (``rows_per_file``)."""
+    key = F.struct(*[c for s in sort for c in (F.col(s).isNull().alias(f"{s}_is_null"), F.col(s))])
+    rows = F.collect_list(F.struct(F.col("_metadata.row_index").alias("at"), key.alias("key")))
+    as_written = F.transform(F.array_sort(rows), lambda r: r["key"])
+    return as_written == F.array_sort(as_written)
+
+
 def _free(name: str, df: DataFrame) -> str:
     while name.lower() in {c.lower() for c in df.columns}:
         name = "_" + name

@@ -55,6 +55,39 @@ def test_files_of_a_hot_value_follow_each_other(spark, tmp_path):
         [(r[0], r[1], r[2]) for r in rows], key=lambda r: r[0])
 
 
+def test_a_value_has_one_folder_however_many_files(spark, tmp_path):
+    names = ["hot", "hot", "", None, "v"]
+    rows = [(i, names[i % 5]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "row_id long, file_name string").repartition(4)
+    path = io.write_partitioned(df, str(tmp_path / "out"), sort=["row_id"], rows_per_file=30)
+    folders = sorted(str(p.relative_to(path)) for p in (tmp_path / "out").rglob("*") if p.is_dir())
+    assert folders == ["file_name=__HIVE_DEFAULT_PARTITION__", "file_name=hot", "file_name=v"]  # nothing to list a file
+    m = io.manifest(spark, path, sort=["row_id"], more={"sorted": io.in_order(["row_id"])}).collect()
+    want = []
+    for name in ("hot", None, "v"):  # NULL and '' have one folder
+        own = [i for i, n in rows if (n or None) == name]
+        want += [(name, k // 30, len(own[k:k + 30]), own[k], own[k:k + 30][-1]) for k in range(0, len(own), 30)]
+    key = lambda r: (r[0] or "", r[1])
+    assert sorted(((r.file_name, r.part, r.rows, r["first"].row_id, r["last"].row_id) for r in m), key=key) == sorted(want, key=key)
+    assert len({r.file for r in m}) == len(m) and all(r.sorted for r in m)
+    given = io.manifest(spark, path, schema="row_id long, file_name string", publish=False)
+    assert sorted(((r.file_name, r.part, r.rows) for r in given.collect()), key=key) == sorted((w[:3] for w in want), key=key)
+
+
+def test_order_inside_files(spark, tmp_path):
+    for name, values in (("up", [1, 2, 2, 5, None]), ("down", [1, 3, 2]), ("null_first", [None, 1])):
+        spark.createDataFrame([(v,) for v in values], "n int").coalesce(1).write.parquet(str(tmp_path / f"out/file_name={name}/part=0"))
+    m = io.manifest(spark, str(tmp_path / "out"), sort=["n"], more={"sorted": io.in_order(["n"])})
+    assert {r.file_name: r.sorted for r in m.collect()} == {"up": True, "down": False, "null_first": False}
+
+
+def test_csv_parts_are_folders(spark, tmp_path):
+    df = spark.createDataFrame([(i, "f") for i in range(25)], "row_id long, file_name string")
+    path = io.write_partitioned(df, str(tmp_path / "out"), sort=["row_id"], rows_per_file=10, fmt="csv")
+    m = io.manifest(spark, path, sort=["row_id"], fmt="csv", schema="row_id long").collect()
+    assert sorted((r.part, r.rows, r["first"].row_id) for r in m) == [(0, 10, 0), (1, 10, 10), (2, 5, 20)]
+
+
 def test_dates_are_decided_while_writing(spark, tmp_path):
     df = spark.createDataFrame([(1, "2020-01-02", "2020-01-02"), (2, None, "soon"), (3, "2021-03-04 10:00:00", None)],
                                "row_id long, a string, b string")
