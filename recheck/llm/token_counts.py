@@ -5,11 +5,11 @@ document, and no index. The scan cuts files into blocks, finds the end ids of a
 and stitches: a prefix scan over the blocks of a file says where the document that is open at a block's first id began
 and how many documents ended before. A document may span any number of blocks.
 
-Files of up to ``FILE_BYTES`` are read by one task each and cut there; larger files are dealt to tasks as byte ranges of
-whole blocks, read a block at a time, so that no task holds a file whole. Tasks open ranges by ``file:`` paths, as Spark
-does; in other stores, whose files only Spark reads, large files go through its fixed-length record reader, with the
-longest records that fill the file (``record_ends``). ``write_flat`` makes such files from documents, one a
-partition, with Spark's text writer: the line separator is the end id.
+Tasks open files by ``file:`` paths, as Spark does, and read a block at a time, so that no task holds a file whole; files
+above ``FILE_BYTES`` are dealt to tasks as byte ranges of whole blocks. In other stores, whose files only Spark reads, it
+reads files of up to ``FILE_BYTES`` whole, one a task, and cuts them to blocks before Python gets them; larger ones go
+through its fixed-length record reader, with the longest records that fill the file (``record_ends``). ``write_flat``
+makes such files from documents, one a partition, with Spark's text writer: the line separator is the end id.
 
 Cases: an empty file has no documents; ids behind the last end id are a document with complete = false; a NULL or empty
 text is a document of 0 tokens; bytes behind the last whole id are ignored; only the text column is read.
@@ -34,6 +34,7 @@ DTYPE = "<u2"
 BLOCK_TOKENS = 1 << 16
 FILE_BYTES = 1 << 28
 BATCH = 256
+BATCH_ENDS = 1 << 20
 
 _ENDS = "file string, block bigint, n bigint, ends array<int>"
 _RANGES = "file string, first bigint, tokens bigint"
@@ -64,60 +65,104 @@ def ends_of(file: str, first_block: int, data: bytes, end_id: int, dtype: str, b
             for k, b in enumerate(ids[at: at + block_tokens] for at in range(0, len(ids), block_tokens))]
 
 
+def in_file_store(spark: SparkSession, path: str) -> bool:
+    """Whether the files under ``path`` have ``file:`` paths."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+
+
 def block_ends(spark: SparkSession, path: str, end_id: int = END_ID, dtype: str = DTYPE,
                block_tokens: int = BLOCK_TOKENS, file_bytes: int = FILE_BYTES) -> DataFrame:
     """(file, block, n, ends): the end ids of every block of the files under ``path``."""
     files = spark.read.format("binaryFile").load(path)
     item = np.dtype(dtype).itemsize
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for file, data in zip(b.column(0).to_pylist(), b.column(1)):
-                rows = ends_of(file, 0, data.as_buffer(), end_id, dtype, block_tokens)
-                if rows:
-                    f, k, n, e = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(k, pa.int64()), pa.array(n, pa.int64()),
-                                                      pa.array(e, pa.list_(pa.int32()))],
-                                                     names=["file", "block", "n", "ends"])
-
     def whole(some: Column) -> DataFrame:
-        return files.where(some).select("path", "content").mapInArrow(scan, _ENDS)
+        return cut(files.where(some), block_tokens * item, item).mapInArrow(
+            block_scan(end_id, dtype, block_tokens), _ENDS)
 
-    out = whole(F.col("length") <= file_bytes)
     large = files.where(F.col("length") > file_bytes).select("path", "length").collect()
-    each = max(1, file_bytes // (block_tokens * item)) * block_tokens  # tokens of a range
-    ranges = [(r.path, at, min(each, r.length // item - at)) for r in large if r.path.startswith("file:")
-              for at in range(0, r.length // item, each)]
-    if ranges:
-        dealt = spark.createDataFrame(spark.sparkContext.parallelize(ranges, len(ranges)), _RANGES)
-        out = out.unionByName(dealt.mapInArrow(range_scan(end_id, dtype, block_tokens), _ENDS))
+    if in_file_store(spark, path):
+        ranged = range_scan(end_id, dtype, block_tokens)
+        # only names and lengths are asked for: Spark deals the files by their lengths, and reads none of them
+        small = files.where(F.col("length") <= file_bytes).select(
+            "path", F.lit(0).cast("bigint"), F.floor(F.col("length") / item))
+        out = small.mapInArrow(ranged, _ENDS)
+        each = max(1, file_bytes // (block_tokens * item)) * block_tokens  # tokens of a range
+        ranges = [(r.path, at, min(each, r.length // item - at)) for r in large
+                  for at in range(0, r.length // item, each)]
+        if ranges:
+            dealt = spark.createDataFrame(spark.sparkContext.parallelize(ranges, len(ranges)), _RANGES)
+            out = out.unionByName(dealt.mapInArrow(ranged, _ENDS))
+        return out
+    out = whole(F.col("length") <= file_bytes)
     for r in large:
-        if not r.path.startswith("file:"):
-            # records must fill the file: with a part of an id at its end, the file is read by one task
-            got = (whole((F.col("path") == r.path) & (F.col("length") > file_bytes)) if r.length % item else
-                   record_ends(spark, r.path, r.length, end_id, dtype, block_tokens))
-            out = out.unionByName(got)
+        # records must fill the file: with a part of an id at its end, the file is read by one task
+        got = (whole((F.col("path") == r.path) & (F.col("length") > file_bytes)) if r.length % item else
+               record_ends(spark, r.path, r.length, end_id, dtype, block_tokens))
+        out = out.unionByName(got)
     return out
 
 
+def cut(files: DataFrame, size: int, item: int) -> DataFrame:
+    """(file, block, data): the contents of ``files`` in blocks of ``size`` bytes, without a part of an id at the end.
+    They are cut where Spark reads them, so that no batch for Python holds a file whole."""
+    whole = F.floor(F.col("length") / item) * item  # bytes of whole ids
+    blocks = files.where(F.col("length") >= item).select(
+        "path", "content", whole.alias("bytes"),
+        F.explode(F.sequence(F.lit(0), (F.ceil(whole / size) - 1).cast("int"))).alias("block"))
+    first = F.col("block").cast("bigint") * size
+    return blocks.select("path", F.col("block").cast("bigint"), F.substring(
+        "content", (first + 1).cast("int"), F.least(F.lit(size), F.col("bytes") - first).cast("int")))
+
+
+def batched(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """(file, block, n, ends) rows in batches of ``BATCH`` blocks, or fewer with some ``BATCH_ENDS`` end ids."""
+    got: list[tuple] = []
+    ends = 0
+    for row in rows:
+        got.append(row)
+        ends += len(row[3])
+        if len(got) >= BATCH or ends >= BATCH_ENDS:
+            yield _ends_batch(got)
+            got, ends = [], 0
+    if got:
+        yield _ends_batch(got)
+
+
+def _ends_batch(rows: list[tuple]) -> pa.RecordBatch:
+    f, k, n, e = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(f), pa.array(k, pa.int64()), pa.array(n, pa.int64()),
+                                       pa.array(e, pa.list_(pa.int32()))], names=["file", "block", "n", "ends"])
+
+
+def block_scan(end_id: int, dtype: str, block_tokens: int):
+    """Scan of (file, block, bytes) rows."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(
+            row for b in batches for file, block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))
+            for row in ends_of(file, block, data.as_buffer(), end_id, dtype, block_tokens))
+
+    return scan
+
+
 def range_scan(end_id: int, dtype: str, block_tokens: int):
-    """Scan of (file, first token, tokens) rows, the first token being a block's: a batch a block."""
+    """Scan of (file, first token, tokens) rows, the first token being a block's: one block in memory at a time."""
     item = np.dtype(dtype).itemsize
 
+    def read(file: str, first: int, tokens: int) -> Iterator[tuple]:
+        with open("/" + file.removeprefix("file:").lstrip("/"), "rb") as f:
+            f.seek(first * item)
+            for at in range(first, first + tokens, block_tokens):
+                size = min(block_tokens, first + tokens - at) * item
+                data = f.read(size)
+                if len(data) < size:
+                    raise ValueError(f"{file}: shorter than it was listed")
+                yield from ends_of(file, at // block_tokens, data, end_id, dtype, block_tokens)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for file, first, tokens in zip(*(c.to_pylist() for c in b.columns)):
-                with open("/" + file.removeprefix("file:").lstrip("/"), "rb") as f:
-                    f.seek(first * item)
-                    for at in range(first, first + tokens, block_tokens):
-                        size = min(block_tokens, first + tokens - at) * item
-                        data = f.read(size)
-                        if len(data) < size:
-                            raise ValueError(f"{file}: shorter than it was listed")
-                        [(_, k, n, e)] = ends_of(file, at // block_tokens, data, end_id, dtype, block_tokens)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([file]), pa.array([k], pa.int64()), pa.array([n], pa.int64()),
-                             pa.array([e], pa.list_(pa.int32()))], names=["file", "block", "n", "ends"])
+        yield from batched(row for b in batches for r in zip(*(c.to_pylist() for c in b.columns)) for row in read(*r))
 
     return scan
 

@@ -281,6 +281,47 @@ def test_large_files_that_only_spark_reads(spark, tmp_path, n, tail):
     assert [r.n_tokens for r in got] == (np.diff([-1, *np.flatnonzero(ids == 7)]) - 1).tolist()
 
 
+@pytest.mark.parametrize("file_bytes", [1 << 28, 3000])
+def test_no_file_is_read_whole(spark, tmp_path, file_bytes):
+    """Files in file: come a block at a time, whatever their size: Spark may not even hold the contents of one."""
+    ids = np.random.default_rng(3).integers(0, 40, 20011).astype("<u2")
+    for name in "ab":
+        (tmp_path / name).write_bytes(ids.tobytes() + b"x")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        blocks = token_counts.block_ends(spark, str(tmp_path), 7, "<u2", 256, file_bytes).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    for name in "ab":
+        of_file = sorted((r.block, r.n, r.ends) for r in blocks if r.file.endswith(f"/{name}"))
+        assert of_file == [(k, min(256, len(ids) - at), np.flatnonzero(ids[at: at + 256] == 7).tolist())
+                           for k, at in enumerate(range(0, len(ids), 256))]
+
+
+def test_files_that_only_spark_reads_are_cut_before_python(spark, tmp_path):
+    """A row a block, none with more than a block's bytes; the part of an id at a file's end is left out."""
+    sizes = {"none": 0, "half": 1, "one": 2, "block": 512, "odd": 1025, "last": 1538}
+    data = {name: np.random.default_rng(n).bytes(n) for name, n in sizes.items()}
+    for name, x in data.items():
+        (tmp_path / name).write_bytes(x)
+    got = token_counts.cut(spark.read.format("binaryFile").load(str(tmp_path)), 512, 2).collect()
+    assert sorted((f.rsplit("/", 1)[1], k, bytes(x)) for f, k, x in got) == sorted(
+        (name, k, x[at: min(at + 512, len(x) // 2 * 2)]) for name, x in data.items()
+        for k, at in enumerate(range(0, len(x) // 2 * 2, 512)))
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.cut.link./in", f"file://{tmp_path}")
+    blocks = token_counts.block_ends(spark, "viewfs://cut/in", 7, "<u2", 256)
+    assert sorted((r.file.rsplit("/", 1)[1], r.block, r.n) for r in blocks.collect()) == sorted(
+        (name, k, min(256, n // 2 - at)) for name, n in sizes.items() for k, at in enumerate(range(0, n // 2, 256)))
+
+
+def test_blocks_come_in_bounded_batches():
+    ends = np.arange(token_counts.BATCH_ENDS // 4, dtype=np.int32)
+    full = [b.num_rows for b in token_counts.batched(("f", k, len(ends), ends) for k in range(10))]
+    few = [b.num_rows for b in token_counts.batched(("f", k, 9, ends[:1]) for k in range(2 * token_counts.BATCH + 1))]
+    assert full == [4, 4, 2] and few == [token_counts.BATCH, token_counts.BATCH, 1]
+    assert list(token_counts.batched(iter(()))) == []
+
+
 def test_documents_of_one_file_are_made_in_many_tasks(spark):
     """The scan over a file's blocks carries no end ids, and the documents are not made where it runs."""
     rows = [("f", k, 64, list(range(k % 3, 64, 3))) for k in range(400)]
