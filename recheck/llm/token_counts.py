@@ -9,7 +9,8 @@ Tasks open files by ``file:`` paths, as Spark does, and read a block at a time,
 above ``FILE_BYTES`` are dealt to tasks as byte ranges of whole blocks. In other stores, whose files only Spark reads, it
 reads files of up to ``FILE_BYTES`` whole, one a task, and cuts them to blocks before Python gets them; larger ones go
 through its fixed-length record reader, with the longest records that fill the file (``record_ends``). ``write_flat``
-makes such files from documents, one a partition, with Spark's text writer: the line separator is the end id.
+makes such files from documents, one a partition, with Spark's text writer: the line separator is the end id. For such
+stores it writes a file in pieces of ``PIECE_ROWS`` documents, whose blocks follow each other in one file (``joined``).
 
 Cases: an empty file has no documents; ids behind the last end id are a document with complete = false; a NULL or empty
 text is a document of 0 tokens; bytes behind the last whole id are ignored; only the text column is read.
@@ -35,14 +36,15 @@ BLOCK_TOKENS = 1 << 16
 FILE_BYTES = 1 << 28
 BATCH = 256
 BATCH_ENDS = 1 << 20
+PIECE_ROWS = 4096
 
 _ENDS = "file string, block bigint, n bigint, ends array<int>"
 _RANGES = "file string, first bigint, tokens bigint"
 
 
 def write_flat(docs: DataFrame, path: str, text: str = "text", tokenizer: str | None = None, end_id: int = END_ID,
-               dtype: str = DTYPE) -> None:
-    """Flat token files of the texts under ``path``, a file a partition."""
+               dtype: str = DTYPE, piece_rows: int = 0) -> None:
+    """Flat token files of the texts under ``path``, a file a partition, in pieces of ``piece_rows`` documents if given."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = encoder(tokenizer, dtype).ids
@@ -55,7 +57,7 @@ def write_flat(docs: DataFrame, path: str, text: str = "text", tokenizer: str |
     # the writer puts the bytes of a string as they are, and the separator's bytes behind each row
     end = np.array([end_id], dtype).tobytes().decode("latin-1")
     rows.select(F.col("ids").cast("string").alias("value")).write.option("encoding", "ISO-8859-1").option(
-        "lineSep", end).text(path)
+        "lineSep", end).option("maxRecordsPerFile", piece_rows).text(path)
 
 
 def ends_of(file: str, first_block: int, data: bytes, end_id: int, dtype: str, block_tokens: int) -> list[tuple]:
@@ -182,6 +184,14 @@ def record_ends(spark: SparkSession, file: str, length: int, end_id: int, dtype:
                                  _ENDS)
 
 
+def joined(blocks: DataFrame) -> DataFrame:
+    """``blocks`` of the pieces of files, by the numbers that Spark's writer gives them, as blocks of these files."""
+    piece = r"-c(\d+)((\.[^/-]*)?)$"
+    return blocks.select(
+        F.regexp_replace("file", piece, "$2").alias("file"),
+        (F.regexp_extract("file", piece, 1).cast("bigint") * (1 << 32) + F.col("block")).alias("block"), "n", "ends")
+
+
 def stitched(blocks: DataFrame) -> DataFrame:
     """(file, doc_no, start, n_tokens, complete) of every document of the files, end ids not counted.
 
@@ -224,8 +234,12 @@ def of_documents(docs: DataFrame, text: str = "text", tokenizer: str | None = No
     """Writes the documents as flat files to the shared folder, counts them there, and removes the files."""
     spark = docs.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flat-tokens-{uuid.uuid4().hex}"
-    write_flat(docs, path, text, tokenizer)
-    out = counts(spark, path)
+    if in_file_store(spark, path):
+        write_flat(docs, path, text, tokenizer)
+        out = counts(spark, path)
+    else:  # a task of the scan takes a file whole
+        write_flat(docs, path, text, tokenizer, piece_rows=PIECE_ROWS)
+        out = stitched(joined(checkpointed(block_ends(spark, path))))
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     return out

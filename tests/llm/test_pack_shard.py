@@ -3,6 +3,7 @@
 
 import importlib.util
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -314,6 +315,24 @@ def test_files_that_only_spark_reads_are_cut_before_python(spark, tmp_path):
         (name, k, min(256, n // 2 - at)) for name, n in sizes.items() for k, at in enumerate(range(0, n // 2, 256)))
 
 
+def test_files_in_pieces_count_as_one(spark, weird, tmp_path, monkeypatch):
+    """In stores that only Spark reads files are written in pieces; counts are those of whole files."""
+    docs = weird.coalesce(2).localCheckpoint()
+
+    def counted():
+        got = token_counts.of_documents(docs).collect()
+        return sorted((re.search(r"part-(\d+)", r.file)[1], *r[1:]) for r in got), len({r.file for r in got})
+
+    want = counted()
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.pieces.link./in", f"file://{tmp_path}")
+    monkeypatch.setattr(token_counts, "ensure_checkpoint_dir", lambda _: "viewfs://pieces/in")
+    assert counted() == want
+    token_counts.write_flat(docs, f"file://{tmp_path}/kept", piece_rows=3)
+    assert len(list((tmp_path / "kept").glob("part-*"))) > 4
+    monkeypatch.setattr(token_counts, "PIECE_ROWS", 3)
+    assert counted() == want and want[1] == 2
+
+
 def test_blocks_come_in_bounded_batches():
     ends = np.arange(token_counts.BATCH_ENDS // 4, dtype=np.int32)
     full = [b.num_rows for b in token_counts.batched(("f", k, len(ends), ends) for k in range(10))]
